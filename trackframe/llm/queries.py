@@ -6,19 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import secrets
+from . import quality, secrets, toxicity
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    return secrets.scan_secrets(docs, keep=["doc_id"])
+    return secrets.scan_secrets(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Query]:
-    return {"op7_secrets": op7_secrets}
+    return {"op6_quality": op6_quality, "op7_secrets": op7_secrets, "op8_toxicity": op8_toxicity}
 
 
 def oracle_sql() -> dict[str, str]:
