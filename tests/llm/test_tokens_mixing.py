@@ -102,7 +102,7 @@ def test_mixing_empty(spark):
 
 
 def test_schedule_is_even(spark):
-    t = spark.createDataFrame([(0, 60_000.0), (1, 30_000.0), (2, 10_000.0)], "place long, target double")
+    t = spark.createDataFrame([(0, 60_000.0, 90_000), (1, 30_000.0, 30_000), (2, 10_000.0, 5_000)], "place long, target double, source_size long")
     s = [r["place"] for r in mixing.schedule(t, block=100).orderBy("slot").collect()]
     assert len(s) == 1000
     for n in (100, 400, 900):

@@ -66,16 +66,20 @@ def schedule(targets: DataFrame, block: int = BLOCK_WORDS, pattern: int = PATTER
     """
     n = 1 << pattern
     everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    t = targets.where("target >= 0.5").withColumn("total", F.sum("target").over(everything)).withColumn("sources", F.count("*").over(everything))
+    # a source's words are cut into blocks in each round over it
+    rounds = F.floor(F.col("target") / F.col("source_size"))
+    need = rounds * F.ceil(F.col("source_size") / block) + F.ceil((F.col("target") - rounds * F.col("source_size")) / block)
+    t = targets.where("target >= 0.5").withColumn("need", need)
+    t = t.withColumn("total", F.sum("target").over(everything)).withColumn("sources", F.count("*").over(everything))
     # one point for each source, the rest by cumulative weight
     t = t.withColumn("upto", F.sum("target").over(Window.orderBy("place")) / F.col("total"))
     t = t.withColumn("high", F.round(F.col("upto") * F.greatest(n - F.col("sources"), F.lit(0))) + F.row_number().over(Window.orderBy("place")))
     t = t.withColumn("low", F.coalesce(F.lag("high").over(Window.orderBy("place")), F.lit(0.0)))
-    t = t.select("place", "target", F.col("low").cast("long").alias("low"), F.col("high").cast("long").alias("high"))
+    t = t.select("place", "need", F.col("low").cast("long").alias("low"), F.col("high").cast("long").alias("high"))
     points = t.select("place", F.explode(F.sequence("low", F.col("high") - 1)).alias("point"))
     slots = points.withColumn("slot", _reversed_bits(F.col("point"), pattern))
     slots = slots.withColumn("rank", F.row_number().over(Window.partitionBy("place").orderBy("slot")) - 1)
-    each = t.select("place", (F.col("high") - F.col("low")).alias("points"), F.ceil(F.col("target") / block).alias("need"))
+    each = t.select("place", (F.col("high") - F.col("low")).alias("points"), "need")
     cycles = each.withColumn("cycle", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("need") - 1) / F.col("points")))))
     out = cycles.join(slots, "place").where(F.col("cycle") * F.col("points") + F.col("rank") < F.col("need"))
     return out.select((F.col("cycle") * n + F.col("slot")).alias("slot"), "place", (F.col("cycle") * F.col("points") + F.col("rank")).alias("rank"))

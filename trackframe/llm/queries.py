@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, quality, secrets, tokens, toxicity
+from . import licenses, lines, mixing, quality, secrets, tokens, toxicity
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +17,15 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a source is a directory, and a language one below it."""
+    docs = read_table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))
+    found = licenses.scan_licenses(docs.select(path.alias("path"), "text"))
+    doc_id = F.try_element_at(F.split("path", "/"), F.lit(-1)).try_cast("long")
+    return found.select(doc_id.alias("doc_id"), "own_license", "score", "n_headers", "license", "whence")
+
+
 def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -34,8 +44,13 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op2_mixing": op2_mixing, "op4_tokens": op4_tokens, "op6_quality": op6_quality, "op7_secrets": op7_secrets, "op8_toxicity": op8_toxicity}
+    return {"op2_mixing": op2_mixing, "op3_licenses": op3_licenses, "op4_tokens": op4_tokens, "op6_quality": op6_quality, "op7_secrets": op7_secrets, "op8_toxicity": op8_toxicity, "op10_lines": op10_lines}
 
 
 def oracle_sql() -> dict[str, str]:
