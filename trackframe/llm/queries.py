@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, lines, mixing, quality, secrets, tokens, toxicity
+from . import decontaminate, licenses, lines, mixing, quality, secrets, tokens, toxicity
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,13 +44,18 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", *decontaminate.digest())
+
+
 def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_mixing": op2_mixing, "op3_licenses": op3_licenses, "op4_tokens": op4_tokens, "op6_quality": op6_quality, "op7_secrets": op7_secrets, "op8_toxicity": op8_toxicity, "op10_lines": op10_lines}
+    return {"op2_mixing": op2_mixing, "op3_licenses": op3_licenses, "op4_tokens": op4_tokens, "op6_quality": op6_quality, "op7_secrets": op7_secrets, "op8_toxicity": op8_toxicity, "op9_decontamination": op9_decontamination, "op10_lines": op10_lines}
 
 
 def oracle_sql() -> dict[str, str]:
