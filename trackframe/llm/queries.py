@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, lines, mixing, quality, secrets, tokens, toxicity
+from . import decontaminate, licenses, lines, mixing, quality, secrets, simhash, tokens, toxicity
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read_table(spark, sf_dir, "documents"))
 
@@ -55,7 +60,7 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_mixing": op2_mixing, "op3_licenses": op3_licenses, "op4_tokens": op4_tokens, "op6_quality": op6_quality, "op7_secrets": op7_secrets, "op8_toxicity": op8_toxicity, "op9_decontamination": op9_decontamination, "op10_lines": op10_lines}
+    return {"op1_simhash": op1_simhash, "op2_mixing": op2_mixing, "op3_licenses": op3_licenses, "op4_tokens": op4_tokens, "op6_quality": op6_quality, "op7_secrets": op7_secrets, "op8_toxicity": op8_toxicity, "op9_decontamination": op9_decontamination, "op10_lines": op10_lines}
 
 
 def oracle_sql() -> dict[str, str]:
