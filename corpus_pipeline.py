@@ -1,3 +1,60 @@
-"""The corpus pipeline; its stages come with the operators."""
+"""The corpus pipeline: from raw documents to token files, one operator a stage.
 
-STAGES: list = []
+Each stage is judged on what its predecessor kept: toxic documents go; of near-duplicates the one with the least doc_id
+stays; passages of the benchmark are cut out of the texts; sources are mixed, so that a document leaves or comes again;
+and the mix is written as token ids and read back.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from trackframe.llm import decontaminate, mixing, simhash, tokens, toxicity
+from trackframe.llm.common import read_table, written
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score of 0.7 or more go; null and empty texts score least and stay."""
+    lexicon = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score_texts(docs, lexicon, docs.columns).where("predicted = 0").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints stays, the one with the least doc_id."""
+    return simhash.one_of_each(docs)
+
+
+def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of the benchmark are cut out; n_chars follows the text."""
+    cut = decontaminate.remove_contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A document comes as often as the mix takes any of its words, up to twice; without words taken, it goes."""
+    return mixing.repeat_documents(docs)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the mix, read back: a row for each document in it."""
+    return tokens.token_output(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near-duplicates", drop_near_duplicates),
+    ("decontamination", cut_benchmark),
+    ("mixing", mix_sources),
+    ("tokens", write_tokens),
+]
+#: SQL has no learnt lexicon, XXH64 SimHash or tokenizer; tests/llm/test_pipeline.py checks the stages instead.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -90,7 +90,7 @@ def test_mixing_meets_targets(spark, block):
     want = fill(words)
     source = {i: s for i, _, _, s, _ in rows}
     taken = dict.fromkeys(words, 0)
-    for i, size, source_size, target, t in got:
+    for i, size, source_size, target, t, _ in got:
         s = source[i]
         assert 0 <= t <= 2 * size and source_size == words[s] and abs(target - want[s]) < 1e-6
         taken[s] += t

@@ -86,7 +86,7 @@ def schedule(targets: DataFrame, block: int = BLOCK_WORDS, pattern: int = PATTER
 
 
 def mix(docs: DataFrame, seed: int = 17, block: int = BLOCK_WORDS, parts: int = PARTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """doc_id, size, source_size, target and taken for each row of docs.
+    """doc_id, size, source_size, target, taken and h (place in the random order) for each row of docs.
 
     Null texts and texts without words have size 0 and are never taken; a null source is a source of its own; rows with
     the same doc_id are rows of their own. The random order hashes doc_id, text and seed, so reruns agree. A source's words
@@ -115,4 +115,16 @@ def mix(docs: DataFrame, seed: int = 17, block: int = BLOCK_WORDS, parts: int =
     got = F.aggregate("takes", F.lit(0).cast("long"), lambda acc, t: acc + F.greatest(F.least(b, t) - a, F.lit(0)))
     taken = pieces.join(takes, ["place", "block"]).groupBy("place", "start").agg(F.sum(got).alias("taken"))
     full = placed.where("size > 0").join(taken, ["place", "start"], "left").unionByName(placed.where("size = 0"), allowMissingColumns=True)
-    return full.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    return full.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "h")
+
+
+def repeat_documents(docs: DataFrame, **how) -> DataFrame:
+    """The rows of docs, each as often as the mix takes any of its words (up to `most` times), others left out.
+
+    Rows alike in doc_id and text are told apart by nothing, and come as often as the one taken most.
+    """
+    seed = how.get("seed", 17)
+    taken = mix(docs, **how).where("taken > 0").groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).agg(F.max(F.ceil(F.col("taken") / F.col("size"))).alias("_times"))
+    h = F.xxhash64(F.lit(seed), "doc_id", F.col("text"))
+    out = docs.withColumn("_h", h).join(taken.withColumnRenamed("_h", "_h2"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_h2")))
+    return out.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).select(*docs.columns)

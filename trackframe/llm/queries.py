@@ -19,7 +19,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(read_table(spark, sf_dir, "documents"))
+    return mixing.mix(read_table(spark, sf_dir, "documents")).drop("h")
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
