@@ -8,63 +8,89 @@ matters and no leaf meets in one task. Lines whose template occurs in `least_doc
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed, written
 
 WILD = "<*>"
-#: Separates tokens of a stored line.
-SPACE = r"[\x20\x09-\x0D]+"
+DIGIT = re.compile(rb"[0-9]")
 
 
-def masked(line: Column) -> Column:
-    """The line's tokens, joined by blanks, those with a digit as WILD; a line without a token: empty."""
-    return F.trim(F.regexp_replace(F.regexp_replace(line, SPACE, " "), r"[^ ]*\p{Nd}[^ ]*", WILD))
+def masked(line: bytes) -> bytes:
+    """The line's tokens (parted by ASCII white space), joined by blanks, those with a digit 0-9 as WILD."""
+    tokens = line.split()
+    if DIGIT.search(line):
+        tokens = [b"<*>" if DIGIT.search(t) else t for t in tokens]
+    return b" ".join(tokens)
 
 
-def _leaf(depth: int) -> tuple[Column, Column]:
-    tokens = F.split("masked", " ")
-    return F.size(tokens).alias("n"), F.array_join(F.slice(tokens, 1, depth), " ").alias("lead")
+def _leaf(line: bytes, depth: int) -> bytes | None:
+    """A hash of the line's leaf; lines that are all leading tokens need none."""
+    lead = line.split(b" ", depth)
+    if len(lead) <= depth:
+        return None
+    return hashlib.md5(b"%d %s" % (line.count(b" ") + 1, b" ".join(lead[:depth]))).digest()
+
+
+def _placed_lines(docs: DataFrame, depth: int) -> DataFrame:
+    """doc_id, at (place from 0), key and leaf of each line with a token: hashes, no texts."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, ats, keys, leaves = [], [], [], []
+            for d, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+                for at, line in enumerate((text or b"").split(b"\n")):
+                    if m := masked(line):
+                        ids.append(d)
+                        ats.append(at)
+                        keys.append(hashlib.md5(m).digest())
+                        leaves.append(_leaf(m, depth))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ats, pa.int32()), pa.array(keys, pa.binary()), pa.array(leaves, pa.binary())], names=["doc_id", "at", "key", "leaf"])
 
-def _key(text: str | Column) -> Column:
-    return F.unhex(F.md5(text))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, at int, key binary, leaf binary")
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    lines = docs.select("doc_id", F.posexplode(F.split("text", r"\n")).alias("at", "line"))
-    return lines.select("doc_id", "at", masked(F.col("line")).alias("masked")).where("masked != ''")
+def _texts_of_lines(docs: DataFrame, depth: int) -> DataFrame:
+    """leaf, masked: the distinct lines of each batch that have a leaf."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lines = {m for text in b.column("text").to_pylist() for line in (text or b"").split(b"\n") if (m := masked(line))}
+            found = [(leaf, m.decode("utf-8", "replace")) for m in lines if (leaf := _leaf(m, depth))]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.binary()), pa.array([x[1] for x in found], pa.string())], names=["leaf", "masked"])
+
+    return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "leaf binary, masked string")
 
 
 def general_templates(lines: DataFrame, depth: int, fanout: int, constant: float) -> DataFrame:
-    """key -> template, for lines of crowded leaves that a template with enough constant tokens generalises."""
-    n, lead = _leaf(depth)
-    inside = lines.select("masked", n, lead).groupBy("n", "lead", "masked").agg(F.lit(1).alias("one"))
-    inside = checkpointed(inside)  # distinct lines of crowded leaves: read twice
-    places = inside.select("n", "lead", F.posexplode(F.split("masked", " ")).alias("at", "token")).where(F.col("at") >= depth)
-    kinds = places.groupBy("n", "lead", "at", "token").agg(F.lit(1).alias("one")).groupBy("n", "lead", "at").agg(F.count(F.lit(1)).alias("kinds"))
-    wild = kinds.where(F.col("kinds") > fanout).groupBy("n", "lead").agg(F.collect_set("at").alias("wild"))
-    wild = wild.where(F.size("wild") <= (1 - constant) * F.col("n"))
-    general = F.array_join(F.transform(F.split("masked", " "), lambda t, i: F.when(F.array_contains("wild", i), F.lit(WILD)).otherwise(t)), " ")
-    return inside.join(wild, ["n", "lead"]).select(_key("masked").alias("key"), _key(F.concat(F.lit("t "), general)).alias("template"))
+    """leaf, masked -> key, template: for lines of crowded leaves that a template with enough constant tokens generalises."""
+    inside = checkpointed(lines.distinct())  # read twice
+    places = inside.select("leaf", F.posexplode(F.split("masked", " ")).alias("at", "token")).where(F.col("at") >= depth)
+    kinds = places.distinct().groupBy("leaf", "at").agg(F.count(F.lit(1)).alias("kinds"))
+    wild = kinds.where(F.col("kinds") > fanout).groupBy("leaf").agg(F.collect_set("at").alias("wild"))
+    tokens = F.split("masked", " ")
+    general = F.array_join(F.transform(tokens, lambda t, i: F.when(F.array_contains("wild", i), F.lit(WILD)).otherwise(t)), " ")
+    held = inside.join(wild, "leaf").where(F.size("wild") <= (1 - constant) * F.size(tokens))
+    return held.select(F.unhex(F.md5("masked")).alias("key"), F.unhex(F.md5(F.concat(F.lit("t "), general))).alias("template"))
 
 
 def recurring_lines(docs: DataFrame, least_docs: int = 10, depth: int = 3, fanout: int = 8, constant: float = 0.5) -> DataFrame:
     """doc_id, n_lines, drop (places from 0 of the lines that go), for documents that have lines with a token."""
-    lines = _lines(docs)
-    n, lead = _leaf(depth)
-    # 40 bytes a line: the only table of lines that is kept; texts are read again where a leaf asks for them
-    table = written(lines.select("doc_id", "at", _key("masked").alias("key"), F.when(n > depth, F.struct(n, lead)).alias("leaf")).select("doc_id", "at", "key", _key(F.to_json("leaf")).alias("leaf")))
-    by_leaf = table.where("leaf is not null").groupBy("leaf", "key").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count(F.lit(1)).alias("many"))
+    table = written(_placed_lines(docs, depth))  # about 50 bytes a line: the only table of lines that is kept
+    by_leaf = table.where("leaf is not null").select("leaf", "key").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("many"))
     crowded = written(by_leaf.where(F.col("many") > fanout).select("leaf"))
-    named = lines.select("masked", n, lead).where(F.col("n") > depth)
-    named = named.withColumn("leaf", _key(F.to_json(F.struct("n", "lead")))).join(crowded, "leaf").select("masked")
-    general = general_templates(named, depth, fanout, constant)
-    t = table.join(general, "key", "left").select("doc_id", "at", F.coalesce("template", "key").alias("template"))
-    t = written(t)
-    bad = t.groupBy("template", "doc_id").agg(F.lit(1).alias("one")).groupBy("template").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") >= least_docs)
-    marked = t.join(bad.select("template", F.lit(True).alias("bad")), "template", "left")
+    general = written(general_templates(_texts_of_lines(docs, depth).join(crowded, "leaf"), depth, fanout, constant))
+    t = written(table.join(general, "key", "left").select("doc_id", "at", F.coalesce("template", "key").alias("template")))
+    bad = t.select("template", "doc_id").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n_docs"))
+    # written, so that the join below is dealt by itself and its common templates can be split
+    bad = written(bad.where(F.col("n_docs") >= least_docs).select("template", F.lit(True).alias("bad")))
+    marked = t.join(bad, "template", "left")
     return marked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.array_sort(F.collect_set(F.when(F.col("bad"), F.col("at")))).alias("drop"))
 
 

@@ -67,5 +67,46 @@ def queries() -> dict[str, Query]:
     return {"op1_simhash": op1_simhash, "op2_mixing": op2_mixing, "op3_licenses": op3_licenses, "op4_tokens": op4_tokens, "op5_substrings": op5_substrings, "op6_quality": op6_quality, "op7_secrets": op7_secrets, "op8_toxicity": op8_toxicity, "op9_decontamination": op9_decontamination, "op10_lines": op10_lines}
 
 
+#: The tree of line templates; tokens are parted by ASCII white space, as the operator parts them.
+OP10_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, line, pos, trim(regexp_replace(regexp_replace(line, '[\x09-\x0D\x20]+', ' ', 'g'), '[^ ]*[0-9][^ ]*', '<*>', 'g')) AS masked
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents)
+), tokens AS (
+  SELECT *, string_split(masked, ' ') AS ts FROM lines WHERE masked <> ''
+), kinds AS (
+  SELECT DISTINCT masked, ts, len(ts) AS n, array_to_string(ts[1:3], ' ') AS lead FROM tokens WHERE len(ts) > 3
+), crowded AS (
+  SELECT n, lead FROM kinds GROUP BY n, lead HAVING count(*) > 8
+), inside AS (
+  SELECT kinds.* FROM kinds JOIN crowded USING (n, lead)
+), wild AS (
+  SELECT n, lead, pos FROM (SELECT n, lead, unnest(ts) AS t, unnest(range(len(ts))) AS pos FROM inside)
+  WHERE pos >= 3 GROUP BY n, lead, pos HAVING count(DISTINCT t) > 8
+), few AS (
+  SELECT n, lead FROM wild GROUP BY n, lead HAVING count(*) <= 0.5 * n
+), general AS (
+  SELECT p.masked, 't ' || string_agg(CASE WHEN w.pos IS NULL THEN p.t ELSE '<*>' END, ' ' ORDER BY p.pos) AS template
+  FROM (SELECT masked, n, lead, unnest(ts) AS t, unnest(range(len(ts))) AS pos FROM inside SEMI JOIN few USING (n, lead)) p
+  LEFT JOIN wild w ON w.n = p.n AND w.lead = p.lead AND w.pos = p.pos
+  GROUP BY p.masked
+), named AS (
+  SELECT doc_id, pos, coalesce(template, 'm ' || masked) AS template FROM tokens LEFT JOIN general USING (masked)
+), bad AS (
+  SELECT template FROM named GROUP BY template HAVING count(DISTINCT doc_id) >= 10
+), dropped AS (
+  SELECT doc_id, pos FROM named SEMI JOIN bad USING (template)
+), kept AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) AS text
+  FROM lines l ANTI JOIN dropped d ON d.doc_id = l.doc_id AND d.pos = l.pos GROUP BY l.doc_id
+)
+SELECT d.doc_id,
+  coalesce((SELECT count(*) FROM tokens t WHERE t.doc_id = d.doc_id), 0) AS n_lines,
+  coalesce((SELECT count(*) FROM dropped x WHERE x.doc_id = d.doc_id), 0) AS n_dropped,
+  CASE WHEN d.text IS NULL THEN NULL ELSE sha256(coalesce(k.text, '')) END AS kept_sha256
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_lines": OP10_SQL}
