@@ -29,13 +29,29 @@ BLOCK = 512
 #: A segment ends with the document that brings it to so many ids.
 SEGMENT = 1 << 16
 #: Pieces that a worker remembers.
-CACHE = 400_000
+CACHE = 800_000
 
-#: Pieces of a text that are encoded alike alone and in the text: white space stands at their start only, or is all
-#: of them; and a run of letters may end before a mark.
+#: Pieces of a text that are encoded alike alone and in the text: white space stands at their start only, or is all of
+#: them; and a run of letters may end before a mark. A text whose words are parted by single blanks and line breaks is
+#: split there instead, which is faster.
 PIECE = re.compile(r" ?[^\W\d_]+(?![^\s.,;:!?])| ?\S+|\s+(?!\S)|\s+")
+#: Stands before a piece with nothing in front of it.
+BARE = "\0"
 #: Characters that Python takes for white space and the tokenizer does not, and the tokenizer's special token.
-ODD = re.compile("[\x1c-\x1f]|<\\|endoftext\\|>")
+ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "<|endoftext|>", BARE)
+BREAKS = ("\n", BARE)
+#: Marks that may follow a word in a piece of their own.
+MARKS = ".,;:!?"
+
+
+def _shown() -> dict[int, str]:
+    """The characters by which byte-level vocabularies show bytes: printable ones themselves, the others from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+SHOWN = _shown()
 
 
 def dac_encode(ids: np.ndarray) -> list[tuple[bytes, bytes, bytes]]:
@@ -79,6 +95,18 @@ def dac_get(levels: list, i: int) -> int:
     return out
 
 
+class Numbers(dict):
+    """Numbers pieces as they are first looked up; `new` has those that have no ids yet."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        n = self[piece] = len(self)
+        self.new.append(piece)
+        return n
+
+
 class Encoder:
     """Encodes whole texts with a tokenizer, each distinct piece once."""
 
@@ -87,54 +115,123 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
+        self.line_break = self._model("\n")
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a character of a token stands for a byte
+        for token, i in vocabulary.items():
+            self.bytes[i] = len(token)
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.n, self.used = 0, 0
-        self.starts, self.sizes = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
-        self.flat = np.zeros(1 << 14, np.uint32)
+        self.numbers, self.used, self.known = Numbers(), 0, 0
+        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.flat, self.bad = np.zeros(1 << 18, np.uint32), np.zeros(1 << 16, bool)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        for i in range(0, len(pieces), 20_000):
-            some = pieces[i : i + 20_000]
-            ids = self._whole(some)
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-            while self.n + len(some) > len(self.starts):
-                self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
-            while self.used + len(flat) > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat))
-            self.starts[self.n : self.n + len(some)] = self.used + np.cumsum(sizes) - sizes
-            self.sizes[self.n : self.n + len(some)] = sizes
-            self.flat[self.used : self.used + len(flat)] = flat
-            self.number.update(zip(some, range(self.n, self.n + len(some)), strict=True))
-            self.n, self.used = self.n + len(some), self.used + len(flat)
+    def _store(self, at: np.ndarray, ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+        """Keep ids; piece number at[k] has sizes[k] of them from starts[k] on."""
+        while (most := int(at.max(initial=0)) + 1) > len(self.starts):
+            self.starts, self.sizes = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.sizes, 2 * len(self.sizes))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        self.starts[at], self.sizes[at] = self.used + starts, sizes
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used, self.known = self.used + len(ids), max(self.known, most)
+
+    def _learn_joined(self, group: tuple[list[str], list[int]], before: str, gap: str) -> None:
+        """Pieces that are encoded in one text, each with `before` as part of it and gap behind it, and cut by their bytes."""
+        pieces, at = group
+        if not pieces:
+            return
+        text = before + (gap + before).join(pieces) + gap
+        ids = np.array(self._whole([text])[0], np.uint32)
+        sizes = np.fromiter(map(len, pieces) if text.isascii() else (len(p.encode()) for p in pieces), np.int64, len(pieces)) + len(before) + len(gap)
+        ends = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(sizes)) + 1
+        starts = np.concatenate([[0], ends[:-1]])
+        self._store(np.array(at), ids, starts, ends - starts - len(gap))
+
+    def _model(self, word: str) -> list[int]:
+        """The ids of a piece that the tokenizer's own pattern doesn't part."""
+        if not word.isascii() or word[0] < "!":
+            word = SHOWN[32] + word[1:] if word[0] == " " and word.isascii() else word.encode().decode("latin1").translate(SHOWN)
+        return [x.id for x in self.tokenize(word)]
+
+    def _learn(self) -> None:
+        """Give ids to new pieces. A key is BARE and a piece, a line break and a word, or a word behind a blank."""
+        new, first = self.numbers.new, len(self.numbers) - len(self.numbers.new)
+        while len(self.numbers) > len(self.bad):
+            self.bad = np.concatenate([self.bad, np.zeros(len(self.bad), bool)])
+        for i in range(0, len(new), 5000):
+            flat: list[int] = []
+            sizes: list[int] = []
+            places: list[int] = []
+            groups: dict[str, tuple[list, list]] = {" ": ([], []), "\n": ([], []), BARE: ([], []), "": ([], [])}
+            for n, p in enumerate(new[i : i + 5000], first + i):
+                kind = p[0] if p and p[0] in BREAKS else " "
+                word = p if kind == " " else p[1:]
+                if kind == BARE and (not word or word[0].isspace()):
+                    to = groups[""]
+                elif not word or word[0].isspace() or word[-1].isspace():
+                    self.bad[n] = True
+                    continue
+                else:
+                    letters = word.rstrip(MARKS)
+                    if letters.isalpha():  # one piece for the model, or two: no text needs to be cut
+                        simple = self._model(" " + letters) if kind == " " else self._model(letters)
+                        if kind == "\n":
+                            simple = self.line_break + simple
+                        if letters != word:
+                            simple = simple + self._model(word[len(letters) :])
+                        sizes.append(len(simple))
+                        flat += simple
+                        places.append(n)
+                        continue
+                    to = groups[kind]
+                to[0].append(word)
+                to[1].append(n)
+            ends = np.cumsum(np.array(sizes, np.int64))
+            self._store(np.array(places, np.int64), np.array(flat, np.uint32), ends - sizes, np.array(sizes, np.int64))
+            self._learn_joined(groups[" "], " ", "")
+            self._learn_joined(groups["\n"], "\n", "")
+            self._learn_joined(groups[BARE], "", "\n")
+            for p, n in zip(*groups[""], strict=True):
+                ids = np.array(self._whole([p])[0], np.uint32)
+                self._store(np.array([n]), ids, np.zeros(1, np.int64), np.array([len(ids)]))
+        new.clear()
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text; null: none."""
         if not texts:
             return []
-        if self.n > CACHE:
+        if self.known > CACHE:
             self.forget()
-        odd = {i for i, t in enumerate(texts) if t and ODD.search(t)}
-        found = [PIECE.findall(t) if t and i not in odd else [] for i, t in enumerate(texts)]
-        pieces = list(chain.from_iterable(found))
-        self._learn(list(set(pieces) - self.number.keys()))
-        numbers = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+        odd = {i for i, t in enumerate(texts) if t and any(x in t for x in ODD)}
+        found = [(BARE + t).replace("\n", " \n").split(" ") if t and i not in odd else [] for i, t in enumerate(texts)]
+        counts, numbers = self._look_up(found)
+        doubtful = np.unique(np.repeat(np.arange(len(texts)), counts)[self.bad[numbers]]).tolist()
+        if doubtful:
+            for i in doubtful:
+                found[i] = [BARE + p for p in PIECE.findall(texts[i])]
+            counts, numbers = self._look_up(found)
+        del found
         sizes = self.sizes[numbers]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.flat[np.repeat(self.starts[numbers] - (ends - sizes), sizes) + np.arange(total)]
-        cuts = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))[:-1]
-        out = np.split(ids, np.concatenate([[0], ends])[cuts])
+        out = np.split(ids, np.concatenate([[0], ends])[np.cumsum(counts)[:-1]])
         for i in odd:
             out[i] = np.array(self._whole([texts[i]])[0], np.uint32)
         return out
 
+    def _look_up(self, found: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        numbers = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(found)), np.int64, int(counts.sum()))
+        self._learn()
+        return counts, numbers
+
 
 def _encoder(path: str) -> Encoder:
     """One encoder a worker process, which runs many tasks."""
