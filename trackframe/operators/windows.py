@@ -52,11 +52,23 @@ def rotation_step(by: Sequence[str], q: Sequence[str] = ("qx", "qy", "qz", "qw")
     return g.quaternion_angle([F.col(c) for c in q], [F.lag(c).over(ordered(by)) for c in q])
 
 
+def unit_quaternions(arms: DataFrame, by: Sequence[str], q: Sequence[str] = ("qx", "qy", "qz", "qw")) -> DataFrame:
+    """by, and the unit quaternion ux, uy, uz, uw of the stored six-number rotation.
+
+    Each step is a projection of its own, so that no expression repeats the ones below it.
+    """
+    six = g.rot6d(g.quaternion_matrix([F.col(c) for c in q]))
+    out = arms.select(*by, *[c.alias(f"_r{i}") for i, c in enumerate(six)])
+    m = g.rot6d_matrix([F.col(f"_r{i}") for i in range(6)])
+    out = out.select(*by, *[m[i][j].alias(f"_m{i}{j}") for i in range(3) for j in range(3)])
+    unit = g.matrix_quaternion([[F.col(f"_m{i}{j}") for j in range(3)] for i in range(3)])
+    return out.select(*by, *[c.alias(n) for c, n in zip(unit, ("ux", "uy", "uz", "uw"), strict=True)])
+
+
 def step_metrics(arms: DataFrame) -> DataFrame:
     """episode_index, frame_index, position_step, rotation_step: the larger of the arms, from the second frame on."""
     by = ("episode_index", "role")
-    unit = g.matrix_quaternion(g.rot6d_matrix(g.rot6d(g.quaternion_matrix([F.col(c) for c in ("qx", "qy", "qz", "qw")]))))
-    units = arms.select("episode_index", "role", "frame_index", "x", "y", "z", *[c.alias(n) for c, n in zip(unit, ("ux", "uy", "uz", "uw"), strict=True)])
+    units = unit_quaternions(arms, by=("episode_index", "role", "frame_index", "x", "y", "z"))
     steps = units.select("episode_index", "frame_index", position_step(by).alias("p"), rotation_step(by, ("ux", "uy", "uz", "uw")).alias("r"))
     return steps.where("p is not null").groupBy("episode_index", "frame_index").agg(F.max("p").alias("position_step"), F.max("r").alias("rotation_step"))
 

@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 POSE = ("x", "y", "z", "qx", "qy", "qz", "qw", "width")
-EPISODE = Window.partitionBy("episode_index")
-FRAMES = EPISODE.orderBy("frame_index")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,7 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _numbered(df: DataFrame, *order: str) -> DataFrame:
     """frame_index from an order; the partition key has its final name already, so later windows reuse the exchange."""
-    return df.withColumn("frame_index", (F.row_number().over(EPISODE.orderBy(*order)) - 1).cast("long"))
+    return df.withColumn("frame_index", (F.row_number().over(Window.partitionBy("episode_index").orderBy(*order)) - 1).cast("long"))
 
 
 def embedding_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
