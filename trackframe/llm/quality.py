@@ -109,7 +109,7 @@ def choose_cutoff(bins: pd.DataFrame, risk: float, level: float, gain: float) ->
     return chosen
 
 
-def calibrate(counted: DataFrame, labels: DataFrame, stratum: str, risk: float = 0.02, confidence: float = 0.95, gain: float = 20.0) -> DataFrame:
+def calibrate(counted: DataFrame, labels: DataFrame, stratum: str, risk: float = 0.05, confidence: float = 0.95, gain: float = 20.0) -> DataFrame:
     """Cutoffs (stratum, feature, cutoff) from labelled rows that pass the base rules.
 
     risk: share of a stratum's good documents that all rules together may reject, with probability `confidence` at

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import held_out, map_texts
+from .common import checkpointed, held_out, map_texts
 
 #: Letters of other scripts that look like Latin ones; fixed values.
 HOMOGLYPHS = {
@@ -42,6 +42,14 @@ def fold(text: str | None) -> list[str]:
     return words
 
 
+def sketch(text: str) -> int:
+    """The least hash of three words in a row: near copies mostly share it."""
+    from xxhash import xxh64_intdigest
+
+    words = text.lower().split()
+    return min((xxh64_intdigest(" ".join(words[i : i + 3])) for i in range(max(len(words) - 2, 1))), default=0) >> 1
+
+
 def parts(words: list[str]) -> set[str]:
     """Entries that a text could support: " word " and " stem"."""
     out = set()
@@ -132,11 +140,12 @@ def _fit(x: np.ndarray, y: np.ndarray, rounds: int = 30, ridge: float = 0.05) ->
     return tuple(float(v) for v in w)
 
 
-def train(docs: DataFrame, labels: DataFrame, most_rows: int = 50_000, most_entries: int = 5000, least: int = 4, least_weight: float = 2.5, exceptions: bool = True) -> Lexicon:
+def train(docs: DataFrame, labels: DataFrame, most_rows: int = 50_000, most_entries: int = 5000, least: int = 4, least_share: float = 0.008, least_weight: float = 2.5, exceptions: bool = True) -> Lexicon:
     """Learn from labelled rows that aren't held out.
 
     most_rows bounds the training sample: labelled ids are taken by hash so that about as many remain (all, if fewer).
-    Only their ids (12 bytes each) are broadcast; texts stay where they are. most_entries bounds the lexicon.
+    Only their ids (12 bytes each) are broadcast; texts stay where they are. most_entries bounds the lexicon. An entry
+    stands in `least` toxic documents, and least_share of them: rarer words are those of copies of one document.
     Rows without an id, a label or a text don't train; an id with several labels takes the largest.
     """
     labels = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
@@ -144,12 +153,16 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 50_000, most_entr
     n = max(labels.count(), 1)
     sample = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(n)) < most_rows)
     rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(sample), "doc_id")
+    # copies would make any word of theirs look toxic: of rows with one sketch, one trains; again only ids are broadcast
+    sketched = map_texts(rows, lambda: lambda texts: ((sketch(t),) for t in texts), [T.StructField("sketch", T.LongType())], ["doc_id", "toxic"])
+    distinct = sketched.groupBy("sketch", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+    rows = rows.join(F.broadcast(checkpointed(distinct)), "doc_id", "left_semi")
     totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     clean_n, toxic_n = totals.get(0, 0), totals.get(1, 0)
     if not toxic_n:
         return Lexicon({})
 
-    least_docs = max(least, round(0.003 * toxic_n))
+    least_docs = max(least, round(least_share * toxic_n))
     found = _counted(rows.where("toxic = 1"), lambda: lambda text: parts(fold(text)), ["part"])
     # what is shared by a given share of toxic documents: at most 1 / share x parts in a document, and cut to the bound
     candidates = {r["part"]: r["toxic"] for r in found.where(F.col("toxic") >= least_docs).orderBy(F.desc("toxic"), "part").limit(20 * most_entries).collect()}
