@@ -29,7 +29,7 @@ BLOCK = 512
 #: A segment ends with the document that brings it to so many ids.
 SEGMENT = 1 << 16
 #: Pieces that a worker remembers.
-CACHE = 800_000
+CACHE = 600_000
 
 #: Pieces of a text that are encoded alike alone and in the text: white space stands at their start only, or is all of
 #: them; and a run of letters may end before a mark. A text whose words are parted by single blanks and line breaks is
