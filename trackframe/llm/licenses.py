@@ -22,6 +22,7 @@ TEMPLATES = {
         "documentation files, to deal in the Software without restriction",
     ],
     "Apache-2.0": [
+        "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0; you may not use this file except in compliance with the License.",
     ],
     "GPL-3.0": [

@@ -102,8 +102,9 @@ def dedup_lines(docs: DataFrame, **how) -> DataFrame:
     that many documents repeat loses all of its lines in all of them.
     """
     found = recurring_lines(docs.select("doc_id", "text"), **how)
-    joined = docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left").drop(found["doc_id"])
-    stay = F.filter(F.split("text", r"\n"), lambda x, i: ~F.array_contains("drop", i))
-    text = F.when(F.size("drop") > 0, F.array_join(stay, "\n")).otherwise(F.col("text"))
-    keep = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
-    return joined.select(*keep, text.alias("text"), F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"))
+    found = found.select(F.col("doc_id").alias("_id"), F.col("n_lines").alias("_lines"), F.col("drop").alias("_drop"))
+    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    stay = F.filter(F.split("text", r"\n"), lambda x, i: ~F.array_contains("_drop", i))
+    text = F.when(F.size("_drop") > 0, F.array_join(stay, "\n")).otherwise(F.col("text"))
+    keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+    return joined.select(*keep, text.alias("text"), F.coalesce("_lines", F.lit(0)).alias("n_lines"), F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"))
