@@ -296,7 +296,7 @@ def plot_points(spark, sf_dir):
 def chunk_paths(spark, sf_dir):
     e = event_frames(spark, sf_dir).select("episode_index").distinct()
     data = encode.episode_path("data/chunk-{episode_chunk:03d}/episode_{episode_index:06d}.parquet", F.col("episode_index"), 100)
-    video = encode.episode_path("videos/chunk-{episode_chunk:03d}/{video_key}/episode_{episode_index:06d}.mp4", F.col("episode_index"), 100, video_key="observation.images.mvs_R")
+    video = encode.episode_path("videos/chunk-{episode_chunk:03d}/{video_key}/episode_{episode_index:06d}.mp4", F.col("episode_index"), 100, video_key="observation.images.right")
     return e.select("episode_index", data.alias("data_path"), video.alias("video_path"))
 
 

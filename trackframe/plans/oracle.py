@@ -174,7 +174,7 @@ SELECT * EXCLUDE (h, k, f), {", ".join(f"round_even(({_hue.format(*v)})::DOUBLE
 SQL["plot_points"] = f"""WITH {LINE}, k AS (SELECT *, CASE WHEN frame_index = 0 THEN 'start' WHEN frame_index = count(*) OVER (PARTITION BY episode_index) - 1 THEN 'end' ELSE 'point' END AS kind FROM line)
 SELECT episode_index, frame_index, kind, x, y, z FROM k WHERE kind <> 'point' OR frame_index % 3 = 0"""
 SQL["chunk_paths"] = """SELECT DISTINCT user_id AS episode_index, 'data/chunk-' || lpad((user_id // 100)::VARCHAR, 3, '0') || '/episode_' || lpad(user_id::VARCHAR, 6, '0') || '.parquet' AS data_path,
-'videos/chunk-' || lpad((user_id // 100)::VARCHAR, 3, '0') || '/observation.images.mvs_R/episode_' || lpad(user_id::VARCHAR, 6, '0') || '.mp4' AS video_path FROM events"""
+'videos/chunk-' || lpad((user_id // 100)::VARCHAR, 3, '0') || '/observation.images.right/episode_' || lpad(user_id::VARCHAR, 6, '0') || '.mp4' AS video_path FROM events"""
 SQL["missing_episodes"] = """SELECT DISTINCT user_id AS episode_index, 'present' AS state FROM events WHERE user_id IN (SELECT c_custkey FROM customer)
 UNION ALL SELECT c_custkey, 'missing' FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)"""
 SQL["duplicate_keys"] = "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1"

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-EPISODES = "episode_index long, tasks array<string>, length long, xense_runtime_set_id string"
+EPISODES = "episode_index long, tasks array<string>, length long"
 STATS = "episode_index long, stats map<string, string>"
 VERSION = "v2.1"
 
