@@ -108,5 +108,59 @@ FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
 """
 
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: Windows of items against windows of documents, word by word.
+OP9_SQL = rf"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (SELECT item_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+phrases AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS phrase
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM iw WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT size FROM phrases),
+places AS (
+  SELECT doc_id, i, size, array_to_string(w[i : i + size - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM dw JOIN sizes ON len(w) >= size)
+), found AS (SELECT doc_id, i, places.size AS size, item_id FROM places JOIN phrases USING (phrase, size)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS sha FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+SELECT dw.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(sha, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM dw LEFT JOIN hit ON hit.doc_id = dw.doc_id LEFT JOIN items ON items.doc_id = dw.doc_id
+"""
+
+
+_TEMPLATES = ", ".join("('{}', {}, '{}')".format(name, k, t.replace("'", "''")) for name, texts in licenses.TEMPLATES.items() for k, t in enumerate(texts))
+_TERMS = r"regexp_extract_all(lower({}), '(?:[\p{{L}}\p{{N}}]|\.\p{{N}})+')"
+_WORDS = r"len(regexp_split_to_array(trim({}), '\s+'))"
+#: Licence headers by cosine, and the licence files of directories.
+OP3_SQL = rf"""
+WITH tpl AS (SELECT * FROM (VALUES {_TEMPLATES}) v(license, variant, template)),
+tterm AS (SELECT license, variant, unnest({_TERMS.format("template")}) AS w FROM tpl),
+known AS (SELECT DISTINCT w FROM tterm),
+n AS (SELECT count(*) AS n FROM documents),
+freq AS (SELECT w, count(*) AS df FROM (SELECT DISTINCT k, w FROM (SELECT row_number() OVER () AS k, unnest({_TERMS.format("text")}) AS w FROM documents)) SEMI JOIN known USING (w) GROUP BY w),
+idf AS (SELECT w, 1 + ln((n + 1)::DOUBLE / (coalesce(df, 0) + 1)) AS idf FROM known CROSS JOIN n LEFT JOIN freq USING (w)),
+tvec AS (SELECT license, variant, w, count(*) * any_value(idf) AS x FROM tterm JOIN idf USING (w) GROUP BY 1, 2, 3),
+tnorm AS (SELECT license, variant, sqrt(sum(x * x)) AS tnorm FROM tvec GROUP BY 1, 2),
+line AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS header FROM documents),
+head AS (SELECT doc_id, text, header FROM line WHERE regexp_matches(header, '{licenses.CUE}')),
+hterm AS (SELECT header, unnest({_TERMS.format("header")}) AS w FROM (SELECT DISTINCT header FROM head)),
+hvec AS (SELECT header, k.w AS w, count(*) * coalesce(any_value(idf), 1 + ln((any_value(n) + 1)::DOUBLE)) AS x FROM hterm CROSS JOIN n LEFT JOIN idf k ON k.w = hterm.w GROUP BY 1, 2),
+hnorm AS (SELECT header, sqrt(sum(x * x)) AS hnorm FROM hvec GROUP BY 1),
+dots AS (SELECT header, license, variant, sum(hvec.x * tvec.x) AS d FROM hvec JOIN tvec USING (w) GROUP BY 1, 2, 3),
+cosine AS (SELECT header, license, round(d / (hnorm * tnorm), 6) AS score FROM dots JOIN hnorm USING (header) JOIN tnorm USING (license, variant)),
+best AS (SELECT header, license, score FROM cosine QUALIFY row_number() OVER (PARTITION BY header ORDER BY score DESC, license) = 1),
+scored AS (SELECT doc_id, {_WORDS.format("text")} AS n_words, {_WORDS.format("header")} AS len, license, coalesce(score, 0) AS score FROM head LEFT JOIN best USING (header)),
+own AS (
+  SELECT doc_id, count(*) AS n_headers, coalesce(sum(len) FILTER (score >= 0.7), 0) >= 0.5 * any_value(n_words) AS is_file,
+    min(license) FILTER (score = m) AS own_license, any_value(m) AS score
+  FROM (SELECT *, max(score) OVER (PARTITION BY doc_id) AS m FROM scored) GROUP BY doc_id HAVING any_value(m) >= 0.7
+), place AS (SELECT doc_id, coalesce(source, '-') || '/' || coalesce(lang, '-') AS dir FROM documents),
+dirs AS (SELECT dir, own_license AS dir_license FROM own JOIN place USING (doc_id) WHERE is_file QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, own_license) = 1)
+SELECT p.doc_id, own_license, score, coalesce(n_headers, 0) AS n_headers, coalesce(own_license, dir_license) AS license,
+  CASE WHEN own_license IS NOT NULL THEN 'own' WHEN dir_license IS NOT NULL THEN 'dir:' || p.dir END AS whence
+FROM place p LEFT JOIN own USING (doc_id) LEFT JOIN dirs ON dirs.dir = p.dir
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_lines": OP10_SQL}
+    return {"op3_licenses": OP3_SQL, "op9_decontamination": OP9_SQL, "op10_lines": OP10_SQL}

@@ -282,17 +282,18 @@ def dedup_substrings(docs: DataFrame, group: int = GROUP) -> DataFrame:
     # what meets at the ends of buckets: for each bucket, the contexts of its first and last leading bytes
     edge = found.where(F.col("kind") == EDGE).select("h", "c", "d", "place")
     firsts = edge.groupBy("h", "c").agg(F.min(F.struct("d", "place")).alias("m")).select("h", "c", F.col("m.d").alias("d"), F.col("m.place").alias("place"))
-    shared = firsts.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # what is joined below is written first: a join that deals its own rows can have its largest keys split
+    shared = written(firsts.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
     again = edge.join(firsts, ["h", "c", "d", "place"], "left_anti").select("d", "place")
     repeat = found.where(F.col("kind") == REPEAT).select("d", "place").union(again)
     partial = written(found.where(F.col("kind") == PARTIAL).select("h", "d", "place").union(firsts.join(shared, "h", "left_semi").select("h", "d", "place")))
 
-    many = partial.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group).select("h", F.lit(True).alias("large"))
+    many = written(partial.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group).select("h", F.lit(True).alias("large")))
     of_doc = partial.join(many, "h", "left").groupBy("d").agg(F.collect_list(F.struct("h", "place", F.coalesce("large", F.lit(False)).alias("large"))).alias("found"))
     contexts = written(_zipped(rows).join(of_doc, "d").mapInArrow(_contexts, "large boolean, h long, d long, place long, data binary"))
     small = contexts.where("not large").repartition("h").sortWithinPartitions("h", "d", "place").mapInArrow(_resolve, "d long, a long, b long")
     windows = contexts.where("large").select("h", "d", F.col("place").alias("a"))
-    first = windows.groupBy("h").agg(F.min(F.struct("d", "a")).alias("m")).select("h", F.col("m.d").alias("d0"), F.col("m.a").alias("a0"))
+    first = written(windows.groupBy("h").agg(F.min(F.struct("d", "a")).alias("m"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h", F.col("m.d").alias("d0"), F.col("m.a").alias("a0")))
     large = windows.join(first, "h").where((F.col("d") != F.col("d0")) | (F.col("a") != F.col("a0"))).select("d", "a", (F.col("a") + LENGTH).alias("b"))
 
     at, before, after = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(255), F.col("place").bitwiseAND(255)
