@@ -248,3 +248,39 @@ def test_dataset_round_trip(spark, tmp_path):
     assert d.frames.count() == 6 and len(d.frames.first()["state"]) == 7 and dataset.inspect(d).count() == 0
     assert dataset.slot_index(["tcp_right_S.x", "tcp_left_S.x"], "tcp_right", "x") == 0
     assert {r["path"][-22:] for r in merge.file_manifest(spark, f"{root}/data").collect()} == {"episode_000000.parquet", "episode_000001.parquet"}
+
+
+def test_command_line(spark, tmp_path):
+    from trackframe.__main__ import main
+
+    root, out = tmp_path / "in" / "set", tmp_path / "out" / "set"
+    names = [f"tcp_right_S.{c}" for c in ("x", "y", "z", "qx", "qy", "qz", "qw")] + ["grip.width_m"]
+    features = {"observation.state": {"dtype": "float32", "shape": [8], "names": names}, "timestamp": {"dtype": "float32", "shape": [1]}, "frame_index": {"dtype": "int64", "shape": [1]}, "episode_index": {"dtype": "int64", "shape": [1]}}
+    rows = [(e, i, [0.01 * i, 0.0, 0.0, *map(float, quaternion(i)), 0.05], i / 30) for e in range(2) for i in range(12)]
+    dataset.write(spark.createDataFrame(rows, "episode_index long, frame_index long, `observation.state` array<double>, timestamp double"), str(root), features).collect()
+    (root / "meta").mkdir()
+    (root / "meta/info.json").write_text(json.dumps(dataset.info_of({}, 2, 24, 0, 1, 1000, features)))
+    (root / "meta/episodes.jsonl").write_text("".join(json.dumps({"episode_index": e, "tasks": ["t"], "length": 12}) + "\n" for e in range(2)))
+    (root / "meta/tasks.jsonl").write_text(json.dumps({"task_index": 0, "task": "t"}) + "\n")
+    (tmp_path / "c.yaml").write_text("smoothing: {enabled: true}\n")
+    arms = json.dumps({"right": {"pose": "tcp_right", "gripper": "grip.width_m"}})
+    args = ["--config", str(tmp_path / "c.yaml"), "--input", str(root), "--output", str(out), "--arms", arms]
+    assert main([*args, "--check"]) == 0 and not out.exists()
+    assert main(args) == 0
+    w = spark.read.parquet(str(out / "data/chunk-000/episode_000001.parquet"))
+    assert w.count() == 12 and len(w.orderBy("frame_index").first()["action"]) == 10
+    assert dataset.read_json(spark, str(out / "meta/info"))["total_frames"] == 24
+    (root / "meta/episodes.jsonl").write_text(json.dumps({"episode_index": 0, "tasks": ["t"], "length": 99}) + "\n")
+    assert main([*args, "--check"]) == 1
+
+
+def test_sessions_of_a_stream(spark, tmp_path):
+    from trackframe.streaming.sessions import session_episodes
+
+    e = spark.sql("SELECT id % 2 AS user_id, timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, CAST(id * 7 + IF(id > 5, 90, 0) AS INT), 0) AS ts, CAST(id AS DOUBLE) AS value FROM range(10)")
+    e.write.parquet(str(tmp_path / "in"))
+    want = sorted(map(tuple, session_episodes(e).collect()))
+    s = spark.readStream.schema(e.schema).parquet(str(tmp_path / "in"))
+    q = session_episodes(s).writeStream.format("memory").queryName("sessions").outputMode("complete").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert sorted(map(tuple, spark.table("sessions").collect())) == want and len(want) == 4

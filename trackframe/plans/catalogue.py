@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trackframe.functions import encode
 from trackframe.functions import geometry as g
-from trackframe.operators import kernels, media, merge, stats, trim, validate, windows
+from trackframe.operators import datasets, kernels, media, merge, stats, trim, validate, windows
 from trackframe.sources.adapters import by_role, embedding_frames, event_frames, line_frames, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -446,3 +446,123 @@ def session_episodes(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
     s = sessions(e, "6 hours")
     return s.groupBy("user_id").agg(F.count(F.lit(1)).alias("sessions"), F.sum("frames").alias("frames"), F.max("frames").alias("longest"))
+
+
+@query
+def footer_row_counts(spark, sf_dir):
+    names = ("lineitem", "events", "embeddings")
+    out = None
+    for n in names:
+        one = table(spark, sf_dir, n).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("name"), "n_rows")
+        out = one if out is None else out.union(one)
+    return out
+
+
+@query
+def json_lines_scan(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(F.from_json("props", "k int").alias("p"))
+    return e.groupBy(F.col("p.k").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def append_tensor_columns(spark, sf_dir):
+    tensors = table(spark, sf_dir, "embeddings").select(F.col("label").cast("long").alias("episode_index"), "vec_id", F.element_at("embedding", 1).cast("double").alias("force"))
+    tensors = tensors.withColumn("frame_index", (F.row_number().over(windows.ordered(order="vec_id")) - 1).cast("long"))
+    out = datasets.append_columns(event_frames(spark, sf_dir).where("episode_index < 20"), tensors, ["force"])
+    return out.select("episode_index", "frame_index", r("force").alias("force"))
+
+
+@query
+def layout_lookup(spark, sf_dir):
+    """Two lookups in a row, each of which must find its key."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"))
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nation"), "n_name", F.col("n_regionkey").alias("region"))
+    g_ = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("region"), "r_name")
+    return merge.lookup(merge.lookup(s, n, "nation"), g_, "region").select("s_suppkey", "n_name", "r_name")
+
+
+@query
+def sensor_match(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    sensors = c.where("c_custkey < 200").select(F.col("c_name").alias("name"), F.col("c_custkey").alias("serial"))
+    features = table(spark, sf_dir, "orders").where("o_custkey % 3 = 0").select(F.col("o_custkey").alias("serial"), F.format_string("order_%09d", "o_orderkey").alias("key"))
+    return datasets.match_sensors(sensors, features)
+
+
+@query
+def arm_commands(spark, sf_dir):
+    e = event_frames(spark, sf_dir).groupBy("episode_index").agg(F.count(F.lit(1)).alias("frames"))
+    c = datasets.for_each_arm(e, ("right", "left"))
+    path = encode.episode_path("videos/{episode_chunk:03d}/{episode_index:06d}", F.col("episode_index"), 50)
+    return c.select("episode_index", "role", F.concat(path, F.lit("_"), "role", F.lit(".mp4")).alias("target"), "frames")
+
+
+@query
+def runtime_set_validation(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select(F.concat(F.lit("xrs_"), F.md5("source")).alias("set_id"), F.col("doc_id").cast("string").alias("path"), F.sha2("text", 256).alias("sha256"), "doc_id")
+    manifest = d.where("doc_id % 50 <> 1").withColumn("sha256", F.when(F.col("doc_id") % 50 == 2, "0").otherwise(F.col("sha256")))
+    manifest = manifest.withColumn("set_id", F.when(F.col("doc_id") % 50 == 3, "xrs_short").otherwise(F.col("set_id")))
+    return datasets.invalid_runtime_sets(manifest, d.where("doc_id % 50 <> 4"))
+
+
+@query
+def dataset_compatibility(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").where("o_custkey < 60").select(F.format_string("c%04d", "o_custkey").alias("dataset"), F.col("o_orderpriority").alias("task"))
+    return datasets.differing_sets(o, "dataset", "task")
+
+
+@query
+def compatible_info(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier")
+    info = F.create_map(F.lit("fps"), F.lit("30"), F.lit("total_frames"), F.col("s_suppkey").cast("string"), F.lit("robot"), F.col("s_name"), F.lit("splits"), F.lit("x"))
+    kept = datasets.compatible_info(info)
+    return s.select("s_suppkey", F.array_join(F.array_sort(F.map_keys(kept)), ",").alias("keys"), F.element_at(kept, "robot").alias("robot"))
+
+
+@query
+def video_mismatches(spark, sf_dir):
+    n = event_frames(spark, sf_dir).groupBy("episode_index").agg(F.count(F.lit(1)).alias("frames"))
+    size = [F.lit("cam").alias("key"), F.lit(640).alias("width"), F.lit(480).alias("height")]
+    expected = n.select("episode_index", "frames", *size)
+    probed = n.where("episode_index % 11 <> 0").select("episode_index", (F.col("frames") - (F.col("episode_index") % 7 == 0).cast("int")).alias("frames"), *size)
+    return datasets.video_mismatches(expected, probed).select("episode_index", "frames", "got_frames")
+
+
+@query
+def marker_distance(spark, sf_dir):
+    f = line_frames(spark, sf_dir)
+    m = f.select("episode_index", F.floor(F.col("frame_index") / 3).alias("frame_index"), (F.col("y").cast("long") % 4).alias("marker_id"), *XYZ)
+    return datasets.one_left_one_right(m, 0, 1).select("episode_index", "frame_index", r("distance").alias("distance"))
+
+
+@query
+def nearest_marker(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").where("l_orderkey < 500").groupBy("l_orderkey", "l_partkey").agg(F.min("l_extendedprice").alias("cost"))
+    return validate.nearest_by(li, "l_orderkey", "cost").select("l_orderkey", "cost")
+
+
+@query
+def roi_bounds(spark, sf_dir):
+    f = event_frames(spark, sf_dir)
+    ok = datasets.inside(F.col("x"), F.col("y"), F.lit(100.0), F.lit(20.0), 480, 100)
+    return f.groupBy("episode_index").agg(F.count_if(ok).alias("inside"), F.count_if(~ok).alias("outside"))
+
+
+@query
+def replaced_column(spark, sf_dir):
+    """A column replaced in place keeps its type: whole numbers stay whole."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    return datasets.replace_column(e, "label", F.col("label") * 1.5)
+
+
+@query
+def set_differences(spark, sf_dir):
+    """Orders' customers, known customers: in both, and in one only."""
+    a = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")).distinct()
+    b = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).where("k % 2 = 0")
+    kinds = (("both", a.intersect(b)), ("first", a.exceptAll(b)), ("second", b.exceptAll(a)))
+    out = None
+    for name, df in kinds:
+        df = df.select(F.lit(name).alias("kind"), "k")
+        out = df if out is None else out.union(df)
+    return out.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("sum_k"))

@@ -212,3 +212,32 @@ SELECT episode_index, frame_index, {r("v", 4)} AS solved FROM s WHERE frame_inde
 SQL["session_episodes"] = """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOURS THEN 0 ELSE 1 END AS new FROM events),
 s AS (SELECT user_id, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM g), n AS (SELECT user_id, k, count(*) AS f FROM s GROUP BY 1, 2)
 SELECT user_id, count(*) AS sessions, sum(f)::BIGINT AS frames, max(f) AS longest FROM n GROUP BY 1"""
+SQL["footer_row_counts"] = " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n_rows FROM {t}" for t in ("lineitem", "events", "embeddings"))
+SQL["json_lines_scan"] = "SELECT json_extract_string(props, '$.k')::INT AS k, count(*) AS n FROM events GROUP BY 1"
+SQL["append_tensor_columns"] = f"""WITH {EVT}, t AS (SELECT label::BIGINT AS episode_index, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame_index, embedding[1]::DOUBLE AS force FROM embeddings)
+SELECT episode_index, frame_index, {r("force")} AS force FROM evt LEFT JOIN t USING (episode_index, frame_index) WHERE episode_index < 20"""
+SQL["layout_lookup"] = "SELECT s_suppkey, n_name, r_name FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey"
+SQL["sensor_match"] = """WITH f AS (SELECT o_custkey AS serial, count(*) AS n, min('order_' || lpad(o_orderkey::VARCHAR, 9, '0')) AS key FROM orders WHERE o_custkey % 3 = 0 GROUP BY 1)
+SELECT c_name AS name, c_custkey AS serial, key, CASE WHEN n IS NULL THEN 'missing' WHEN n > 1 THEN 'ambiguous' ELSE 'ok' END AS state FROM customer LEFT JOIN f ON serial = c_custkey WHERE c_custkey < 200"""
+SQL["arm_commands"] = """SELECT user_id AS episode_index, role, 'videos/' || lpad((user_id // 50)::VARCHAR, 3, '0') || '/' || lpad(user_id::VARCHAR, 6, '0') || '_' || role || '.mp4' AS target, frames
+FROM (SELECT user_id, count(*) AS frames FROM events GROUP BY 1) CROSS JOIN (VALUES ('right'), ('left')) v(role)"""
+SQL["runtime_set_validation"] = """WITH d AS (SELECT 'xrs_' || md5(source) AS set_id, doc_id::VARCHAR AS path, sha256(text) AS sha, doc_id FROM documents),
+m AS (SELECT CASE WHEN doc_id % 50 = 3 THEN 'xrs_short' ELSE set_id END AS set_id, path, CASE WHEN doc_id % 50 = 2 THEN '0' ELSE sha END AS wanted FROM d WHERE doc_id % 50 <> 1),
+f AS (SELECT set_id, path, sha AS found FROM d WHERE doc_id % 50 <> 4)
+SELECT * FROM (SELECT set_id, path, CASE WHEN set_id = 'xrs_short' THEN 'id' WHEN found IS NULL THEN 'no file' WHEN wanted IS NULL THEN 'no entry' WHEN wanted <> found THEN 'content' END AS why
+FROM m FULL JOIN f USING (set_id, path)) WHERE why IS NOT NULL"""
+SQL["dataset_compatibility"] = """WITH s AS (SELECT 'c' || lpad(o_custkey::VARCHAR, 4, '0') AS dataset, o_orderpriority AS task FROM orders WHERE o_custkey < 60 GROUP BY 1, 2),
+ref AS (SELECT task FROM s WHERE dataset = (SELECT min(dataset) FROM s)), n AS (SELECT count(*) AS n FROM ref),
+c AS (SELECT dataset, count(*) AS members, count(*) FILTER (task IN (SELECT task FROM ref)) AS shared FROM s GROUP BY 1)
+SELECT dataset, members::INT AS members, (n - shared)::INT AS missing, (members - shared)::INT AS extra FROM c CROSS JOIN n WHERE n > shared OR members > shared"""
+SQL["compatible_info"] = "SELECT s_suppkey, 'fps,robot' AS keys, s_name AS robot FROM supplier"
+SQL["video_mismatches"] = """SELECT user_id AS episode_index, n AS frames, CASE WHEN user_id % 11 <> 0 THEN n - 1 END AS got_frames FROM (SELECT user_id, count(*) AS n FROM events GROUP BY 1) WHERE user_id % 11 = 0 OR user_id % 7 = 0"""
+SQL["marker_distance"] = f"""WITH {LINE}, m AS (SELECT episode_index, frame_index // 3 AS frame_index, trunc(y)::BIGINT % 4 AS marker, x, y, z FROM line),
+l AS (SELECT * FROM m WHERE marker = 0 QUALIFY count(*) OVER (PARTITION BY episode_index, frame_index) = 1),
+q AS (SELECT * FROM m WHERE marker = 1 QUALIFY count(*) OVER (PARTITION BY episode_index, frame_index) = 1)
+SELECT l.episode_index, l.frame_index, {r("sqrt((l.x - q.x)*(l.x - q.x) + (l.y - q.y)*(l.y - q.y) + (l.z - q.z)*(l.z - q.z))")} AS distance FROM l JOIN q ON l.episode_index = q.episode_index AND l.frame_index = q.frame_index"""
+SQL["nearest_marker"] = "SELECT l_orderkey, min(l_extendedprice) AS cost FROM lineitem WHERE l_orderkey < 500 GROUP BY 1"
+SQL["roi_bounds"] = f"WITH {EVT} SELECT episode_index, count(*) FILTER (x >= 0 AND y >= 0 AND x + 100 <= 480 AND y + 20 <= 100) AS inside, count(*) FILTER (NOT (x >= 0 AND y >= 0 AND x + 100 <= 480 AND y + 20 <= 100)) AS outside FROM evt GROUP BY 1"
+SQL["replaced_column"] = "SELECT vec_id, trunc(label * 1.5)::INT AS label FROM embeddings"
+SQL["set_differences"] = """WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders), b AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 2 = 0)
+SELECT kind, count(*) AS n, sum(k)::BIGINT AS sum_k FROM (SELECT 'both' AS kind, k FROM a SEMI JOIN b USING (k) UNION ALL SELECT 'first', k FROM a ANTI JOIN b USING (k) UNION ALL SELECT 'second', k FROM b ANTI JOIN a USING (k)) GROUP BY 1"""
