@@ -9,7 +9,6 @@ the next sample.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
