@@ -17,6 +17,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 #: log2 of the schedule's period.
 PATTERN = 14
 BLOCK_WORDS = 1024
+#: Periods of the schedule that a row stands for until they are dealt to tasks.
+CHUNK = 64
 #: Parts that a source's random order is cut into, so that no task orders a whole source.
 PARTS = 4096
 
@@ -58,7 +60,7 @@ def _reversed_bits(j: Column, bits: int) -> Column:
 
 
 def schedule(targets: DataFrame, block: int = BLOCK_WORDS, pattern: int = PATTERN) -> DataFrame:
-    """slot, place (of the source), rank: the order in which blocks of sources enter the mix.
+    """slot, place (of the source), rank, source_size, target: the order in which blocks of sources enter the mix.
 
     A source's share of the points is its share of the target, one at least. Its slots go on until its target is met:
     slot = cycle x 2^pattern + slot in the pattern, rank = cycle x points of the source + rank in the pattern. Row
@@ -75,14 +77,18 @@ def schedule(targets: DataFrame, block: int = BLOCK_WORDS, pattern: int = PATTER
     t = t.withColumn("upto", F.sum("target").over(Window.orderBy("place")) / F.col("total"))
     t = t.withColumn("high", F.round(F.col("upto") * F.greatest(n - F.col("sources"), F.lit(0))) + F.row_number().over(Window.orderBy("place")))
     t = t.withColumn("low", F.coalesce(F.lag("high").over(Window.orderBy("place")), F.lit(0.0)))
-    t = t.select("place", "need", F.col("low").cast("long").alias("low"), F.col("high").cast("long").alias("high"))
+    t = t.select("place", "need", "source_size", "target", F.col("low").cast("long").alias("low"), F.col("high").cast("long").alias("high"))
     points = t.select("place", F.explode(F.sequence("low", F.col("high") - 1)).alias("point"))
     slots = points.withColumn("slot", _reversed_bits(F.col("point"), pattern))
     slots = slots.withColumn("rank", F.row_number().over(Window.partitionBy("place").orderBy("slot")) - 1)
-    each = t.select("place", (F.col("high") - F.col("low")).alias("points"), "need")
-    cycles = each.withColumn("cycle", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("need") - 1) / F.col("points")))))
-    out = cycles.join(slots, "place").where(F.col("cycle") * F.col("points") + F.col("rank") < F.col("need"))
-    return out.select((F.col("cycle") * n + F.col("slot")).alias("slot"), "place", (F.col("cycle") * F.col("points") + F.col("rank")).alias("rank"))
+    each = t.select("place", "need", "source_size", "target", (F.col("high") - F.col("low")).alias("points"))
+    # cycles are dealt in chunks, so that no task makes all slots of a large source; the pattern's size is fixed
+    last = F.floor((F.col("need") - 1) / F.col("points"))
+    chunks = each.withColumn("last", last).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("last") / CHUNK))))
+    chunks = chunks.repartition("place", "chunk")
+    cycles = chunks.withColumn("cycle", F.explode(F.sequence(F.col("chunk") * CHUNK, F.least(F.col("last"), F.col("chunk") * CHUNK + CHUNK - 1))))
+    out = cycles.join(F.broadcast(slots), "place").where(F.col("cycle") * F.col("points") + F.col("rank") < F.col("need"))
+    return out.select((F.col("cycle") * n + F.col("slot")).alias("slot"), "place", (F.col("cycle") * F.col("points") + F.col("rank")).alias("rank"), "source_size", "target")
 
 
 def mix(docs: DataFrame, seed: int = 17, block: int = BLOCK_WORDS, parts: int = PARTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -103,9 +109,8 @@ def mix(docs: DataFrame, seed: int = 17, block: int = BLOCK_WORDS, parts: int =
     placed = rows.join(sums, ["place", "part"]).withColumn("start", F.col("before") + F.sum("size").over(in_part) - F.col("size"))
     # pieces of documents by block
     pieces = placed.where("size > 0").select("doc_id", "h", "place", "start", "size", "source_size", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
-    slots = schedule(targets, block)
     # a rank's words: the source's words over and over, without gaps at the ends of a round
-    s = slots.join(targets.select("place", "source_size", "target"), "place")
+    s = schedule(targets, block)
     rounds = F.ceil(F.col("source_size") / block)
     s = s.select("place", (F.col("rank") % rounds).alias("block"), F.floor(F.col("rank") / rounds).alias("round"), "source_size", F.round("target").cast("long").alias("stop"))
     s = s.withColumn("take", F.least(F.lit(block).cast("long"), F.col("source_size") - F.col("block") * block, F.col("stop") - F.col("round") * F.col("source_size") - F.col("block") * block))
