@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackframe.llm import decontaminate, mixing, simhash, tokens, toxicity
+from trackframe.llm import decontaminate, jaccard, mixing, tokens, toxicity
 from trackframe.llm.common import read_table, written
 
 
@@ -22,8 +22,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints stays, the one with the least doc_id."""
-    return simhash.one_of_each(docs)
+    """Of texts linked by a Jaccard similarity of 0.8 or more of five-word shingles, the one with the least doc_id stays."""
+    return jaccard.one_of_each(docs)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
