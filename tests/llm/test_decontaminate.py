@@ -85,3 +85,19 @@ def test_spans_are_cut(spark):
     got = d.remove_contamination(docs, spark.createDataFrame([(7, item)], "item_id long, text string"))
     assert got.columns == docs.columns
     assert {r["doc_id"]: r["text"] for r in got.collect()} == {1: "Clean É. , tail", 2: "clean\n text ", 3: None, 4: ""}
+
+
+def test_blocks_cut_uncut_texts(spark):
+    names = [f"w{i}" for i in range(60)]
+    # windows of several items overlap in the texts, in any order of the blocks; the ends at a cut form an item of their own
+    items = [(i, " ".join(names[5 * i : 5 * i + 14])) for i in range(9)] + [(None, " ".join(f"n{i}" for i in range(12))), (20, "left a b c d right e f g h")]
+    texts = ["start " + " ".join(names) + " end", "left a b c d " + items[0][1] + " right e f g h", "x " + items[9][1] + " y", "clean", "", None]
+    docs = spark.createDataFrame([(t, i) for i, t in enumerate(texts)] + [(texts[0], 0)], "text string, doc_id long")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    # words 54 and on stand in no window
+    want = {0: "start  " + " ".join(names[54:]) + " end", 1: "left a b c d  right e f g h", 2: "x  y", 3: "clean", 4: "", 5: None}
+    for block_words in (1 << 20, 40, 12, 5):
+        got = d.remove_contamination(docs, bench, block_words=block_words)
+        assert got.columns == docs.columns
+        rows = got.collect()
+        assert len(rows) == 7 and {r["doc_id"]: r["text"] for r in rows} == want, block_words

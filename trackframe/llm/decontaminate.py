@@ -14,10 +14,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import written
+
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 WINDOW = 10
 #: Positions between samples.
@@ -29,15 +32,15 @@ BLOCK_WORDS = 1 << 20
 
 
 class Phrases:
-    """The distinct windows of some items: a pattern's symbols stand in its row, right-aligned."""
+    """The distinct windows of some items: a pattern's symbols stand in its row, right-aligned; an item None has no name."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int = WINDOW):
         self.vocabulary: dict[bytes, int] = {}
         found: dict[tuple[int, ...], set[str]] = {}
         for item, text in items:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in WORD.findall(text.lower())]
             for i in range(max(len(ids) - window, 0) + 1 if ids else 0):
-                found.setdefault(tuple(ids[i : i + window]), set()).add(item)
+                found.setdefault(tuple(ids[i : i + window]), set()).update(() if item is None else (item,))
         self.items = [sorted(v) for v in found.values()]
         self.sizes = np.array([len(k) for k in found], np.int64)
         self.table = np.zeros((len(found), window), np.int64)
@@ -196,12 +199,11 @@ def cut(data: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, data[at:]])
 
 
-def _search(docs: DataFrame, phrases: Phrases, keep: list[str], clean: bool, shard_symbols: int) -> DataFrame:
+def _search(docs: DataFrame, held: Broadcast[Phrases], keep: list[str], clean: bool, shard_symbols: int) -> DataFrame:
     """keep, n_words, starts, ends, items (of one block), and with `clean` the text without spans."""
     fields = [T.StructField("n_words", T.LongType())] + [T.StructField(n, T.ArrayType(T.LongType())) for n in ("starts", "ends")]
     fields += [T.StructField("items", T.ArrayType(T.StringType()))] + [T.StructField("text", T.StringType())] * clean
     schema = T.StructType([docs.schema[c] for c in keep] + fields)
-    held = docs.sparkSession.sparkContext.broadcast(phrases)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = held.value
@@ -239,14 +241,34 @@ def _search(docs: DataFrame, phrases: Phrases, keep: list[str], clean: bool, sha
     return docs.select(*keep, F.col("text").cast("binary").alias("_data")).mapInArrow(run, schema)
 
 
-def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Phrases]:
-    """The benchmark's phrases in blocks of about block_words words, one after the other; items without id are left out."""
-    items = benchmark.where("item_id is not null and text is not null").select("item_id", "text")
-    n = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    parts = max(1, -(-n // (6 * block_words)))
+def blocks(items: DataFrame, parts: int) -> Iterator[Broadcast[Phrases]]:
+    """The phrases of items (item_id, text) in `parts` blocks, broadcast one after the other; the driver holds one block."""
     for k in range(parts):
-        rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == k).collect()  # one block
-        yield Phrases([(str(r["item_id"]), r["text"].encode()) for r in rows])
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k).collect()  # one block
+        named = [(None if r["item_id"] is None else str(r["item_id"]), r["text"].encode()) for r in rows]
+        del rows
+        yield items.sparkSession.sparkContext.broadcast(Phrases(named))
+
+
+def _items(benchmark: DataFrame, block_words: int, nameless: bool) -> tuple[DataFrame, int]:
+    """item_id and text, with or without the items that have no id, and the number of blocks of about block_words words."""
+    items = benchmark.where("text is not null" if nameless else "item_id is not null and text is not null").select("item_id", "text")
+    n = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    return items, max(1, -(-n // (6 * block_words)))
+
+
+def _each_block(docs: DataFrame, items: DataFrame, parts: int, keep: list[str], shard_symbols: int, hits: bool = False) -> DataFrame:
+    """What each block finds in the same texts; `hits`: rows with spans alone, one for each value of keep.
+
+    A block's rows are written, and its phrases freed, before the next block is collected.
+    """
+    out = None
+    for held in blocks(items, parts):
+        found = _search(docs, held, keep, False, shard_symbols)
+        found = written(found.where(F.size("starts") > 0).dropDuplicates(keep) if hits else found)
+        held.destroy()
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def digest(spans: str = "starts") -> list:
@@ -271,15 +293,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_words: int =
     Null and empty texts have no words. A benchmark of several blocks takes a pass over docs for each; spans are then
     merged by row (doc_id and text), so that repeated rows are found alike.
     """
-    several = list(blocks(benchmark, block_words))  # phrases alone
-    if len(several) == 1:
-        return _search(docs.select("doc_id", "text"), several[0], ["doc_id"], False, shard_symbols)
+    items, parts = _items(benchmark, block_words, False)
+    if parts == 1:
+        return _search(docs.select("doc_id", "text"), next(blocks(items, 1)), ["doc_id"], False, shard_symbols)
     # rows that share doc_id and text are found alike, so one of each is enough; they are counted to be put back
     keyed = docs.groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("_times")).withColumn("_row", F.sha2("text", 256))
-    found = [_search(keyed, p, ["doc_id", "_times", "_row"], False, shard_symbols) for p in several]
-    union = found[0]
-    for f in found[1:]:
-        union = union.unionByName(f)
+    union = _each_block(keyed, items, parts, ["doc_id", "_times", "_row"], shard_symbols)
     g = union.groupBy("doc_id", "_row", "_times").agg(F.first("n_words").alias("n_words"), F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     g = g.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), "_times")))
 
@@ -293,9 +312,24 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_words: int =
 
 
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS, shard_symbols: int = SHARD_SYMBOLS) -> DataFrame:
-    """docs, with each text cut by its spans; a benchmark of several blocks cuts one block after the other."""
-    out = docs
-    for p in blocks(benchmark, block_words):
-        kept = [c for c in out.columns if c != "text"]
-        out = _search(out, p, kept, True, shard_symbols).select(*docs.columns)
-    return out
+    """docs, with each text cut once by the merged spans of the whole benchmark, items without id included."""
+    items, parts = _items(benchmark, block_words, True)
+    if parts == 1:
+        kept = [c for c in docs.columns if c != "text"]
+        return _search(docs, next(blocks(items, 1)), kept, True, shard_symbols).select(*docs.columns)
+    # spans follow from the text alone
+    found = _each_block(docs.select(F.sha2("text", 256).alias("_text"), "text"), items, parts, ["_text"], shard_symbols, True)
+    spans = found.groupBy("_text").agg(F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))).alias("_spans"))  # a list a block
+    joined = docs.withColumn("_text", F.sha2("text", 256)).join(spans, "_text", "left").select(*docs.columns, "_spans")
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, texts = b.schema.get_field_index("text"), []
+            for t, x in zip(b.column("text").to_pylist(), b.column("_spans").to_pylist(), strict=True):
+                if x:
+                    both = _merged([s["starts"] for s in x], [s["ends"] for s in x])
+                    t = cut(t.encode(), list(zip(*both, strict=True))).decode("utf-8", "replace")
+                texts.append(t)
+            yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type)).drop_columns(["_spans"])
+
+    return joined.mapInArrow(clean, docs.schema)
