@@ -73,3 +73,31 @@ def test_stage_keeps_one_of_each_group(spark, monkeypatch):
 
 def test_prefix_sizes():
     assert [jaccard.prefix_size(n) for n in (1, 2, 5, 10, 11)] == [1, 1, 2, 3, 3]
+
+
+def test_rows_that_share_or_lack_an_id(spark):
+    unique = "a text that no other row of these has anywhere in it"
+    copy = "one two three four five six seven eight nine ten"
+    rows = [(1, copy), (5, copy), (5, unique), (None, copy.upper()), (None, unique + " but longer by quite a few more words"), (9, unique), (9, unique)]
+    docs = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in rows], "doc_id long, text string, _key string, n long, `a.b` string")
+    kept = jaccard.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"], r["text"]) for r in kept.where("doc_id is not null").collect()) == [(1, copy), (5, unique)]
+    assert [r["text"] for r in kept.where("doc_id is null").collect()] == [rows[4][1]]
+    assert jaccard.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_shared_rows_over_batches():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    rows = np.unique(np.stack([rng.integers(0, 40, 120), np.zeros(120, np.int64), rng.integers(0, 9, 120)]), axis=1)
+    rows = np.repeat(rows, rng.integers(1, 3, rows.shape[1]), axis=1)
+    times = {h: len(set(rows[2][rows[0] == h])) for h in set(rows[0].tolist())}
+    want = sorted({(h, s) for h, _, s in rows.T.tolist() if times[h] > 1})
+    for size in (1, 2, 5, 1000):
+        parts = [rows[:, i : i + size] for i in range(0, rows.shape[1], size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(x) for x in (*p, p[2], p[2])], names=["h", "part", "sid", "n", "at"]) for p in parts]
+        got = [(r["h"], r["sid"]) for b in jaccard._shared(iter(batches)) for r in b.to_pylist()]
+        assert sorted(got) == want

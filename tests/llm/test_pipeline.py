@@ -5,7 +5,7 @@ import shutil
 import pytest
 
 import corpus_pipeline as p
-from trackframe.llm import mixing, simhash
+from trackframe.llm import mixing
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -69,4 +69,3 @@ def test_rows_that_repeat_in_the_mix(spark):
     got = [r["doc_id"] for r in mixing.repeat_documents(df).collect()]
     assert set(got) <= {1, None} and 2 not in got
     assert mixing.repeat_documents(df.limit(0)).count() == 0
-    assert simhash.one_of_each(df).count() >= 2

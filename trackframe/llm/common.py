@@ -24,16 +24,34 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; outside a cluster, where none is named, a temporary one."""
+    """The folder that all executors share; where none is named, a temporary one if Spark runs in one process (tests)."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = "file://" + tempfile.mkdtemp(prefix="trackframe-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(named)
     return named
 
 
+def columns(names: Iterable[str]) -> list[Column]:
+    """Columns by their exact names, whatever characters these have."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in names]
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like those given that no column of df has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df with its lineage cut, kept in the shared folder so that a lost executor loses nothing."""
     shared_dir(df.sparkSession)
@@ -42,9 +60,35 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def written(df: DataFrame) -> DataFrame:
     """df as a Parquet table in the shared folder: for tables that are read more than once by column."""
+    return _write(df)[0]
+
+
+def _write(df: DataFrame) -> tuple[DataFrame, str]:
     path = f"{shared_dir(df.sparkSession)}/trackframe-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+class Scratch:
+    """Tables in the shared folder that are deleted together, once what is made of them has been written."""
+
+    def __init__(self):
+        self.paths: list[tuple[SparkSession, str]] = []
+
+    def written(self, df: DataFrame) -> DataFrame:
+        out, path = _write(df)
+        self.paths.append((df.sparkSession, path))
+        return out
+
+    def clear(self) -> None:
+        for spark, path in self.paths:
+            delete(spark, path)
+        self.paths = []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def map_texts(
@@ -78,7 +122,7 @@ def map_texts(
             yield pa.RecordBatch.from_arrays(arrays, names=keep + [f.name for f in fields])
 
     need = list(dict.fromkeys([*keep, *inputs]))
-    return df.select(*[F.col(f"`{c}`") for c in need]).mapInArrow(run, schema)
+    return df.select(*columns(need)).mapInArrow(run, schema)
 
 
 def long_(name: str) -> T.StructField:

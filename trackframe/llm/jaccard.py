@@ -1,15 +1,18 @@
-"""Near-duplicates by the exact Jaccard similarity of word shingles, found through prefixes.
-
-A text is the set of its SHINGLE-word shingles. In any order of all shingles, two sets of similarity 4/5 or more share
-one of the leading n - ceil(4/5 n) + 1 shingles of each, so only texts that meet there are compared, and no pair is
-missed. The order puts shingles that a sample shows to be common last. Candidates are compared exactly: first those with
-the least and the greatest set of each shared shingle, and then, of all others, the pairs that are not yet connected, so
-that large groups of near copies make few pairs.
+"""One document of each group of near-duplicates, by the exact Jaccard similarity of five-word shingles.
+
+A text is the set of its SHINGLE-word shingles, and texts whose sets have a similarity of 4/5 or more are linked.
+Candidates come from two sides. The vantage-point trees of `simhash` connect the texts whose fingerprints (of the same
+shingles) differ in 2 bits or fewer. Pairs at a similarity of 4/5 mostly differ in more, further than such a tree can
+prune, so prefixes complete them: in any order of all shingles, two sets of similarity 4/5 or more share one of the
+leading n - ceil(4/5 n) + 1 shingles of each, so no pair is missed. The order puts shingles that a sample shows to be
+common last. Candidates pass a filter of bitmaps, which bounds their overlap from above, and then are compared exactly.
+First come those with the least and the greatest set of each shared shingle, and then, of all others, the pairs that are
+not yet connected, so that large groups of near copies make few pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, map_texts, written
+from . import simhash
+from .common import Scratch, checkpointed, columns, fresh, map_texts
 from .components import connected_components
 
 SHINGLE, SEED = 5, 42
@@ -25,113 +29,213 @@ SHINGLE, SEED = 5, 42
 NUM, DEN = 4, 5
 #: Sets that show which shingles are common, the sets of the sample that make one common, and most common shingles.
 SAMPLE, COMMON, MOST_COMMON = 4096, 3, 1 << 18
-#: log2 of the bits that mark the sets of candidates.
-MARKS = 24
+#: Sets of the sample for each part that the sets of a very common shingle are dealt to.
+PART = 16
+#: Bits of a set's bitmap.
+BITMAP = 1024
+#: log2 of the most bits that mark the rows whose sets are compared: 16 MB.
+MARKS = 27
+#: Words that a task remembers the hashes of.
+CACHE = 1 << 20
+M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
 
+def hasher(size: int = SHINGLE) -> Callable[[str | None], np.ndarray]:
+    """A function from a text to the 64-bit hashes of its shingles, repeats included, in order.
 
-def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
-    """The distinct XXH64 hashes of a text's shingles, ascending; fewer words than a shingle's are one, none are no set."""
+    A shingle is `size` words, lower-cased in A-Z; fewer words are one shingle, none are none.
+    """
     from xxhash import xxh64_intdigest
 
-    words = (text or "").encode().lower().split()  # bytes split at ASCII white space
-    if not words:
-        return np.zeros(0, "<i8")
-    whole = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    k = min(size, len(words))
-    spans = zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)
-    return np.unique(np.array([xxh64_intdigest(whole[a:b], SEED) for a, b in spans], "<u8").view("<i8"))
+    class Hashes(dict):
+        def __missing__(self, word: bytes) -> int:
+            if len(self) >= CACHE:
+                self.clear()
+            h = self[word] = xxh64_intdigest(word, SEED)
+            return h
+
+    known = Hashes()
+
+    def shingles(text: str | None) -> np.ndarray:
+        words = (text or "").encode().lower().split()  # bytes split at ASCII white space
+        w = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        n = max(len(w) - size + 1, min(len(w), 1))
+        x = np.full(n, min(len(w), size), np.uint64)
+        for k in range(min(len(w), size)):
+            x = (x ^ w[k : k + n]) * M1
+            x ^= x >> np.uint64(29)
+            x *= M2
+            x ^= x >> np.uint64(32)
+        return x
+
+    return shingles
 
 
 def prefix_size(n: int) -> int:
     return n - -(-NUM * n // DEN) + 1
 
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """key (of the row), doc_id, sid (of the set), n and shingles (bytes) for each row of docs."""
+def row_key() -> Column:
+    """A hash of doc_id and text: rows that share it are alike."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.concat(F.lit(" "), F.col("text")), F.lit("")))))
+
+
+def _sid(s: np.ndarray) -> int:
+    from xxhash import xxh64_intdigest
+
+    return int(np.uint64(xxh64_intdigest(s.tobytes(), SEED)).view(np.int64))
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """key (of the row), doc_id, sid (of the set), n, fp (SimHash of the shingles) and bits (of the set) for each row."""
 
     def make():
-        from xxhash import xxh64_intdigest
+        shingles = hasher()
 
         def compute(texts: list) -> Iterator[tuple]:
             for t in texts:
-                data = (s := shingles(t)).tobytes()
-                yield (int(np.uint64(xxh64_intdigest(data, SEED)).view(np.int64)), len(s), data)
+                h = shingles(t)
+                s = np.unique(h)
+                odd = np.bincount((s & np.uint64(BITMAP - 1)).astype(np.int64), minlength=BITMAP) & 1
+                yield _sid(s), len(s), int(np.uint64(simhash.majority(h)).view(np.int64)), np.packbits(odd.astype(bool)).tobytes()
 
         return compute
 
-    fields = [T.StructField("sid", T.LongType()), T.StructField("n", T.LongType()), T.StructField("shingles", T.BinaryType())]
+    fields = [T.StructField(c, T.LongType()) for c in ("sid", "n", "fp")] + [T.StructField("bits", T.BinaryType())]
     return map_texts(docs.select(row_key().alias("key"), "doc_id", "text"), make, fields, ["key", "doc_id"])
 
 
-def row_key() -> Column:
-    """A hash of doc_id and text: rows that share it are alike."""
-    return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.concat(F.lit(" "), F.col("text")), F.lit("")))))
+def _marked(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """key, sid and shingles (bytes) of the rows that have one of the keys, and of few others.
 
+    A bitmap of fixed size picks the rows, so that the rest need neither be shuffled nor hashed.
+    """
+    n = keys.count()
+    log = min(max(n, 1).bit_length() + 5, MARKS)
+    place = F.conv(F.substring(F.hex("key"), 1, 12), 16, 10).cast("long").bitwiseAND(F.lit((1 << log) - 1))
+    words = np.zeros(max(1 << (log - 6), 1), np.int64)
+    marks = keys.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("bits"))
+    found = marks.toPandas()  # 2^(MARKS - 6) rows at most
+    words[found["w"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    held = docs.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = hasher()
+        for b in batches:
+            p = b.column("p").to_numpy()
+            b = b.filter(pa.array((held.value[p >> 6] >> (p & 63) & 1).astype(bool)))
+            sets = [np.unique(shingles(t)) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([_sid(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "sid", "shingles"])
+
+    keyed = docs.select(row_key().alias("key"), "text")
+    return keyed.select("key", place.alias("p"), "text").mapInArrow(run, "key binary, sid long, shingles binary")
 
-def _exploded(sets: DataFrame, common: dict[int, int] | None) -> DataFrame:
-    """sid, n, h, at: the prefix of each set, common shingles (by count) last; without `common`, all shingles."""
-    held = None
-    if common is not None:
-        ks = np.array(sorted(common), np.int64)
-        held = sets.sparkSession.sparkContext.broadcast((ks, np.array([common[k] for k in ks.tolist()], np.int64)))
+
+def _common(docs: DataFrame, sets: DataFrame) -> dict[int, int]:
+    """The shingles that COMMON sets of the sample hold, or more, with their number."""
+    # the sample is the sets whose ids hash lowest
+    keys = sets.select("key", F.xxhash64("sid").alias("o")).orderBy("o", "key").limit(SAMPLE).select("key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            seen, out = set(), []
-            for sid, data in zip(b.column("sid").to_pylist(), b.column("shingles").to_pylist(), strict=True):
-                s = np.frombuffer(data, "<i8")
-                if sid in seen or not len(s):
-                    continue
-                seen.add(sid)
-                if held is not None:
-                    ks, counts = held.value
-                    if len(ks):
-                        at = np.minimum(np.searchsorted(ks, s), len(ks) - 1)
-                        s = s[np.lexsort((s, np.where(ks[at] == s, counts[at], 0)))]
-                    p = prefix_size(len(s))
-                else:
-                    p = len(s)
-                out.append((sid, len(s), s[:p]))
-            if not out:
-                continue
-            sizes = [len(x[2]) for x in out]
-            cols = [np.repeat([x[0] for x in out], sizes), np.repeat([x[1] for x in out], sizes), np.concatenate([x[2] for x in out]), np.concatenate([np.arange(k) for k in sizes])]
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["sid", "n", "h", "at"])
+            flat = np.frombuffer(b"".join(b.column("shingles").to_pylist()), "<i8")
+            yield pa.RecordBatch.from_arrays([pa.array(flat)], names=["h"])
 
-    return sets.select("sid", "shingles").mapInArrow(run, "sid long, n long, h long, at long")
+    some = _marked(docs, keys).join(F.broadcast(checkpointed(keys)), "key", "left_semi").dropDuplicates(["sid"])
+    counts = some.select("shingles").mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= COMMON)
+    top = counts.orderBy(F.desc("c"), "h").limit(MOST_COMMON).toPandas()
+    return dict(zip(top["h"].tolist(), top["c"].tolist(), strict=True))
 
 
-def _listed(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The sets of pairs, and few others: by a bitmap of fixed size, so that the rest need no shuffle."""
-    place = lambda c: F.col(c).bitwiseAND(F.lit((1 << MARKS) - 1))
-    marks = pairs.select(place("u").alias("p")).union(pairs.select(place("v"))).groupBy(F.shiftright("p", 6).alias("w"))
-    rows = marks.agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 AS int))")).alias("bits")).collect()
-    words = np.zeros(1 << (MARKS - 6), np.int64)
-    words[[r["w"] for r in rows]] = [r["bits"] for r in rows]
-    held = sets.sparkSession.sparkContext.broadcast(words)
+def _prefixes(docs: DataFrame, common: dict[int, int]) -> DataFrame:
+    """h, part, sid, n, at: the prefix of each set, common shingles (by count) last. part: 0, or that of a very common one."""
+    ks = np.array(sorted(common), np.int64)
+    held = docs.sparkSession.sparkContext.broadcast((ks, np.array([common[k] for k in ks.tolist()], np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, seen = hasher(), set()
+        ks, counts = held.value
         for b in batches:
-            p = b.column("sid").to_numpy() & ((1 << MARKS) - 1)
-            yield b.filter(pa.array((held.value[p >> 6] >> (p & 63) & 1).astype(bool)))
+            sids, sizes, hs, parts = [], [], [], []
+            for t in b.column("text").to_pylist():
+                s = np.unique(shingles(t))
+                if not len(s) or (sid := _sid(s)) in seen:
+                    continue
+                seen.add(sid)
+                s = s.view(np.int64)
+                c = np.zeros(len(s), np.int64)
+                if len(ks):
+                    at = np.minimum(np.searchsorted(ks, s), len(ks) - 1)
+                    c = np.where(ks[at] == s, counts[at], 0)
+                    order = np.lexsort((s, c))
+                    s, c = s[order], c[order]
+                p = prefix_size(len(s))
+                hs.append(s[:p])
+                parts.append(np.where(c[:p] > PART, 1 + sid % (1 + c[:p] // PART), 0))
+                sids.append(sid)
+                sizes.append((len(s), p))
+            if len(seen) > CACHE:  # sets that come again are told apart later, too
+                seen.clear()
+            if not sids:
+                continue
+            ps = np.array([p for _, p in sizes])
+            cols = [np.concatenate(hs), np.concatenate(parts), np.repeat(sids, ps), np.repeat([n for n, _ in sizes], ps), np.concatenate([np.arange(p) for p in ps])]
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in cols], names=["h", "part", "sid", "n", "at"])
+
+    return docs.select("text").mapInArrow(run, "h long, part long, sid long, n long, at long")
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by h, part and sid -> those whose h several sets have, or that are part of a very common one; once each."""
+    names = ["h", "part", "sid", "n", "at"]
+    last = None  # the row before, and whether it has been given out
+    for b in batches:
+        if not b.num_rows:
+            continue
+        rows = np.stack([b.column(c).to_numpy() for c in names])
+        out = np.zeros(0, bool)
+        if last is not None:
+            rows, out = np.concatenate([last[0], rows], axis=1), np.array([last[1]])
+        out = np.pad(out, (0, rows.shape[1] - len(out)))
+        new = np.r_[True, (rows[:3, 1:] != rows[:3, :-1]).any(axis=0)]
+        again = out[:1].copy()
+        rows, out = rows[:, new], out[new]
+        same = (rows[:2, 1:] == rows[:2, :-1]).all(axis=0)
+        several = np.r_[same, False] | np.r_[False, same] | (rows[1] > 0)
+        give = several & ~out
+        last = rows[:, -1:], bool(several[-1] or (again.any() and rows.shape[1] == 1))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows[[0, 2, 3, 4]][:, give]], names=["h", "sid", "n", "at"])
+
+
+def _filtered(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose bitmaps do not rule the least similarity out: a bit on which they differ is an element not shared."""
+    held = sets.select("sid", "n", "bits")
+    both = pairs.join(held.toDF("u", "n1", "b1"), "u").join(held.toDF("v", "n2", "b2"), "v")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            a, b = (np.frombuffer(b"".join(x.column(c).to_pylist()), np.uint64).reshape(-1, BITMAP // 64) for c in ("b1", "b2"))
+            total = x.column("n1").to_numpy() + x.column("n2").to_numpy()
+            overlap = (total - np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)) // 2  # at most
+            yield x.select(["u", "v"]).filter(pa.array((NUM + DEN) * overlap >= NUM * total))
 
-    return sets.mapInArrow(run, sets.schema)
+    return both.mapInArrow(run, "u long, v long")
 
 
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """The pairs (u, v) whose sets have the least similarity or more."""
-    held = written(_listed(sets.select("sid", "shingles"), pairs).dropDuplicates(["sid"]))
-    both = pairs.join(held.toDF("u", "a"), "u").join(held.toDF("v", "b"), "v")
+    left = scratch.written(_filtered(pairs, sets))
+    keys = scratch.written(left.select(F.col("u").alias("sid")).union(left.select("v")).distinct().join(sets.select("sid", "key"), "sid").select("key"))
+    held = scratch.written(_marked(docs, keys).join(keys, "key", "left_semi").dropDuplicates(["sid"]).select("sid", "shingles"))
+    both = left.join(held.toDF("u", "a"), "u").join(held.toDF("v", "b"), "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            a, b = ([np.frombuffer(d, "<i8") for d in x.column(c).to_pylist()] for c in ("a", "b"))
+            a, b = ([np.frombuffer(d, "<u8") for d in x.column(c).to_pylist()] for c in ("a", "b"))
             ok = [(NUM + DEN) * len(np.intersect1d(i, j, assume_unique=True)) >= NUM * (len(i) + len(j)) for i, j in zip(a, b, strict=True)]
             yield x.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
-    return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
+    return scratch.written(both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long"))
 
 
 def _pairs(a: DataFrame, b: DataFrame, also: Column | None = None) -> DataFrame:
@@ -142,42 +246,52 @@ def _pairs(a: DataFrame, b: DataFrame, also: Column | None = None) -> DataFrame:
     return met.select(F.least("sid1", "sid2").alias("u"), F.greatest("sid1", "sid2").alias("v")).distinct()
 
 
-def linked(sets: DataFrame) -> DataFrame:
-    """sets: sid, n, shingles (repeats allowed) -> u, v: edges whose components are those of all links."""
-    # the sample is the sets whose ids hash lowest: only ids are ordered
-    order = F.xxhash64("sid")
-    last = sets.select("sid").distinct().select(order.alias("o")).orderBy("o").limit(SAMPLE).agg(F.max("o")).first()[0]
-    some = sets.where(order <= F.lit(last)).select("sid", "shingles").dropDuplicates(["sid"])
-    counts = _exploded(some, None).groupBy("h").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= COMMON)
-    common = {r["h"]: r["c"] for r in counts.orderBy(F.desc("c"), "h").limit(MOST_COMMON).collect()}
-    prefixes = _exploded(sets, common)
-    met = prefixes.groupBy("h").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("h")
-    # copies of a set in several batches go here; shingles of one set alone are most of all
-    shared = written(prefixes.join(met, "h", "left_semi").distinct())
+def _by_fingerprint(sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """u, v: pairs that connect the sets whose fingerprints differ in 2 bits or fewer, one at most for each set twice over."""
+    named = sets.groupBy("fp").agg(F.min("sid").alias("rep"))
+    named = scratch.written(named)
+    links = simhash.linked(named.select("fp"))
+    near = links.join(named.toDF("u", "a"), "u").join(named.toDF("v", "b"), "v").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v"))
+    return near.union(sets.select("sid", "fp").join(named, "fp").where("sid <> rep").select(F.col("rep").alias("u"), F.col("sid").alias("v")))
+
+
+def linked(docs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """docs: doc_id, text; sets: sid, key, n, fp, bits, a row a set -> u, v: edges whose components are those of all links."""
+    prefixes = _prefixes(docs, _common(docs, sets))
+    # dealt once: what is alone goes, which is most of it
+    shared = scratch.written(prefixes.repartition("h", "part").sortWithinPartitions("h", "part", "sid").mapInArrow(_shared, "h long, sid long, n long, at long"))
     member = F.struct("sid", "n", "at")
     hubs = shared.groupBy("h").agg(F.array(F.min(member), F.max(member)).alias("hubs")).select("h", F.inline("hubs")).distinct()
-    first = written(_pairs(shared.toDF(*[c + "1" for c in shared.columns]), hubs.toDF("h2", "sid2", "n2", "at2")))
-    edges = written(_similar(first, sets))
+    first = _pairs(shared.toDF(*[c + "1" for c in shared.columns]), hubs.toDF("h2", "sid2", "n2", "at2"))
+    first = scratch.written(first.union(_by_fingerprint(sets, scratch)).distinct())
+    edges = _similar(first, sets, docs, scratch)
     roots = connected_components(edges).withColumnRenamed("id", "sid")
     named = shared.join(roots, "sid", "left").select("h", "sid", "n", "at", F.coalesce("root", "sid").alias("root"))
     open_ = named.groupBy("h").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("h")
-    named = written(named.join(open_, "h", "left_semi"))
+    named = scratch.written(named.join(open_, "h", "left_semi"))
     a, b = (named.toDF(*[c + k for c in named.columns]) for k in "12")
     rest = _pairs(a, b, F.col("root1") != F.col("root2"))
-    rest = written(rest.join(first, ["u", "v"], "left_anti"))
-    return edges.union(_similar(rest, sets))
+    rest = scratch.written(rest.join(first, ["u", "v"], "left_anti"))
+    return edges.union(_similar(rest, sets, docs, scratch))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """docs with one row of each component of links: that of the least doc_id, rows without id last, then by text.
 
-    Texts without words are one group. Rows that share a doc_id are judged apart, each by its text.
+    Texts without words are one group. Rows that share a doc_id are judged apart, each by its text; columns besides
+    doc_id and text play no part, whatever their names. Sets and rows are told apart by 64-bit and 128-bit hashes: two
+    of 10^9 unlike sets are taken for one with a probability of 3 %.
     """
-    sets = written(_sets(docs))
-    roots = connected_components(checkpointed(linked(sets))).withColumnRenamed("id", "sid")
+    scratch = Scratch()
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = scratch.written(_rows(plain))
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
     # of equal sets first, so that large groups of copies are summed up before they are joined
-    least = sets.groupBy("sid").agg(F.min(order).alias("first"))
-    least = least.join(roots, "sid", "left").groupBy(F.coalesce("root", "sid")).agg(F.min("first")["key"].alias("_key"))
-    kept = docs.withColumn("_key", row_key()).join(least.select("_key"), "_key")
-    return kept.dropDuplicates(["_key"]).select(*docs.columns)
+    sets = rows.groupBy("sid").agg(F.min(order).alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bits").alias("bits"))
+    sets = scratch.written(sets.select("sid", "first", F.col("first.key").alias("key"), "n", "fp", "bits"))
+    roots = checkpointed(connected_components(checkpointed(linked(plain, sets, scratch))).withColumnRenamed("id", "sid"))
+    (key,) = fresh(docs, "_key")
+    least = checkpointed(sets.select("sid", "first").join(roots, "sid", "left").groupBy(F.coalesce("root", "sid")).agg(F.min("first")["key"].alias(key)).select(key))
+    scratch.clear()
+    kept = docs.withColumn(key, row_key()).join(least, key)
+    return kept.dropDuplicates([key]).select(*columns(docs.columns))

@@ -3,13 +3,16 @@
 A tree over a bounded sample of fingerprints deals all fingerprints to shards: a node sends those within a distance of
 its vantage point inwards and the rest outwards. By the triangle inequality two fingerprints that differ in 2 bits can
 part only if the inner one lies within 2 of the boundary, so these are copied outwards as well, and every pair meets in a
-shard. In a shard, a tree of its own goes on dividing until its leaves are small enough to compare all of them. Links
-are contracted to stars in each shard; their connected components are found by Spark joins.
+shard. In a shard, a tree of its own goes on dividing until its leaves are small enough to compare all of them. A shard
+that stays large is a dense ball, which no vantage point parts: its fingerprints meet in groups that share a one-bit
+variant instead, over all tasks. Links are contracted to stars in each shard; their connected components are found by
+Spark joins.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -21,28 +24,39 @@ from .common import map_texts, written
 from .components import connected_components
 
 BITS, RADIUS, SHINGLE, SEED = 64, 2, 3, 42
-#: Sampled fingerprints that the dealing tree is built of, fingerprints aimed at in a shard, and most shards.
-SAMPLE, SHARD, MOST_SHARDS = 1 << 16, 2048, 2048
+#: Most sampled fingerprints that the dealing tree is built of (8 MB), those for each shard, fingerprints aimed at in a
+#: shard, and most shards.
+SAMPLE, EACH, SHARD, MOST_SHARDS = 1 << 20, 32, 2048, 1 << 15
+#: Fingerprints of a shard, copies included, above which it is not one task's.
+LARGE = 1 << 18
+#: Fingerprints that are dealt at once.
+DEALT = 1 << 16
 #: Fingerprints of a leaf whose pairs are all compared.
 LEAF = 256
 
 
-def fingerprint(text: str | None) -> int:
-    """The SimHash of all 3-word shingles of a text, lower-cased in A-Z, by XXH64; a text without words: 0."""
+def majority(h: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes; of none: 0."""
+    if not len(h):
+        return 0
+    counts = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(h), bitorder="little").view("<u8")[0])
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """The SimHash of all shingles (of so many words) of a text, lower-cased in A-Z, by XXH64; a text without words: 0."""
     from xxhash import xxh64_intdigest
 
     words = (text or "").encode().lower().split()  # bytes split at ASCII white space
     if not words:
         return 0
     whole = b" ".join(words)
-    if len(words) < SHINGLE:
+    if len(words) < shingle:
         return xxh64_intdigest(whole, SEED)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    spans = zip(starts[: len(words) - SHINGLE + 1].tolist(), ends[SHINGLE - 1 :].tolist(), strict=True)
-    h = np.array([xxh64_intdigest(whole[a:b], SEED) for a, b in spans], "<u8")
-    counts = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(h), bitorder="little").view("<u8")[0])
+    spans = zip(starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)
+    return majority(np.array([xxh64_intdigest(whole[a:b], SEED) for a, b in spans], "<u8"))
 
 
 def _distance(a: np.ndarray, b) -> np.ndarray:
@@ -149,37 +163,57 @@ def stars(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         root = new
 
 
-def linked(fps: DataFrame, shard: int = SHARD, sample: int = SAMPLE, most_shards: int = MOST_SHARDS) -> DataFrame:
+def linked(fps: DataFrame, shard: int = SHARD, sample: int = SAMPLE, most_shards: int = MOST_SHARDS, large: int = LARGE) -> DataFrame:
     """fps: fp (distinct longs) -> u, v: edges whose components are those of all links."""
-    n = fps.count()
+    leaves = min(most_shards, -(-fps.count() // shard))
     # a bounded sample fits the tree; every fingerprint is dealt through it, and its copies make it exact
-    picked = fps.orderBy(F.xxhash64("fp")).limit(sample).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
-    tree = Tree(picked, min(most_shards, -(-n // shard)))
+    picked = fps.orderBy(F.xxhash64("fp")).limit(min(sample, max(EACH * leaves, 1 << 12))).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
+    tree = fps.sparkSession.sparkContext.broadcast(Tree(picked, leaves))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            s, f = tree.deal(b["fp"].to_numpy(np.int64).view(np.uint64))
-            yield pd.DataFrame({"shard": s, "fp": f.view(np.int64)})
+        held: list[np.ndarray] = []
+        for b in chain(batches, [None]):
+            if b is not None:
+                held.append(b["fp"].to_numpy(np.int64).view(np.uint64))
+            if held and (b is None or sum(map(len, held)) >= DEALT):
+                s, f = tree.value.deal(np.concatenate(held))
+                held = []
+                yield pd.DataFrame({"shard": s, "fp": f.view(np.int64)})
 
     def join(part: pd.DataFrame) -> pd.DataFrame:
         u, v = stars(np.unique(part["fp"].to_numpy(np.int64).view(np.uint64)))
         return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
 
-    return fps.mapInPandas(deal, "shard int, fp long").groupBy("shard").applyInPandas(join, "u long, v long")
-
-
-def near_duplicates(docs: DataFrame, **how) -> DataFrame:
+    def vary(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            f = b["fp"].to_numpy(np.int64).view(np.uint64)
+            yield pd.DataFrame({"variant": variants(f).ravel().view(np.int64), "fp": np.repeat(f.view(np.int64), BITS + 1)})
+
+    dealt = written(fps.mapInPandas(deal, "shard int, fp long"))
+    sizes = dealt.groupBy("shard").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > large)
+    balls = sorted(r["shard"] for r in sizes.collect())  # most_shards rows at most
+    if not balls:
+        return dealt.groupBy("shard").applyInPandas(join, "u long, v long")
+    held = fps.sparkSession.createDataFrame([(k,) for k in balls], "shard int")
+    varied = written(dealt.join(F.broadcast(held), "shard").select("fp").distinct().mapInPandas(vary, "variant long, fp long"))
+    least = written(varied.groupBy("variant").agg(F.min("fp").alias("v"), F.max("fp").alias("most")).where("v < most").select("variant", "v"))
+    apart = dealt.join(F.broadcast(held), "shard", "left_anti").groupBy("shard").applyInPandas(join, "u long, v long")
+    return apart.union(varied.join(least, "variant").where("fp <> v").select(F.col("fp").alias("u"), "v").distinct())
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, **how) -> DataFrame:
     """doc_id, fp (long), component_id for each row of docs.
 
     component_id is the least doc_id (nulls apart) that links of fingerprints reach. Null and empty texts have
     fingerprint 0 and are linked like any other; rows that repeat a doc_id belong to the components of their texts.
-    Exact copies are one fingerprint, so groups of copies of any size make no pairs.
+    Exact copies are one fingerprint, so groups of copies of any size make no pairs. `jaccard.one_of_each` keeps one
+    document of each group.
     """
 
     def make():
         def compute(texts: list) -> Iterator[tuple]:
             for t in texts:
-                yield (int(np.uint64(fingerprint(t)).view(np.int64)),)
+                yield (int(np.uint64(fingerprint(t, shingle)).view(np.int64)),)
 
         return compute
 
@@ -190,10 +224,3 @@ def near_duplicates(docs: DataFrame, **how) -> DataFrame:
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     of_fp = named.select("fp", "root").join(least, "root").select("fp", "component_id")
     return of_doc.join(of_fp, "fp").select("doc_id", "fp", "component_id")
-
-
-def one_of_each(docs: DataFrame, **how) -> DataFrame:
-    """The rows of docs whose doc_id names their component: one document of each group; rows without id stay."""
-    found = near_duplicates(docs, **how).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
