@@ -84,15 +84,42 @@ def test_lines_against_sql(spark, tmp_path):
     assert "logged in" not in kept and "All rights" not in kept and out[900]["text"] is None and out[902]["text"] == "x\r\ny"
 
 
-def test_repeated_ids_and_names_that_clash(spark):
-    rows = [(1, f"a b c d {i}\nonly {'x' * i}", "en", "s", 5) for i in range(3)] + [(k, "a b c d 7", "en", "s", 5) for k in range(2, 15)] + [(None, "a b c d 9\nleft", "en", "s", 5)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, drop string, n_lines string, n_dropped long")
+def test_rows_that_share_or_lack_an_id_and_names_that_clash(spark):
+    boiler = "a b c d 7"
+    rows = [(1, f"a b c d {i}\nonly {'x' * i}") for i in range(3)] + [(k, boiler) for k in range(2, 15)] + [(None, f"{boiler}\nleft"), (None, "two\nlines"), (None, "are not\nthese")]
+    df = spark.createDataFrame([(i, t, "d", "n", 5, "s", "x", "q") for i, t in rows], "doc_id long, text string, drop string, n_lines string, n_dropped long, _row string, `a.b` string, score string")
     out = lines.dedup_lines(df)
-    assert out.count() == len(rows) and sorted(out.columns) == sorted(["doc_id", "text", "drop", "n_lines", "n_dropped"])
-    assert {r["text"] for r in out.where("doc_id is null").collect()} == {"left"}
+    assert out.count() == len(rows) and sorted(out.columns) == sorted(df.columns)
+    got = {(r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in out.collect()}
+    assert {(None, "left", 2, 1), (None, "two\nlines", 2, 0), (None, "are not\nthese", 2, 0)} == {r for r in got if r[0] is None}
+    assert {r[1] for r in got if r[0] == 1} == {"only " + "x" * i for i in range(3)}
     assert lines.dedup_lines(df.limit(0)).count() == 0
 
 
+def kept_lines(spark, rows, **how):
+    return {r["doc_id"]: r["text"] for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), **how).collect()}
+
+
+def test_templates_among_prose_of_the_same_leaf(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    logs = [(i, f"the user named {word()} logged in from the {word()} host today") for i in range(40)]
+    prose = [(100 + i, "the user named " + " ".join(word() for _ in range(8))) for i in range(400)]
+    assert set(kept_lines(spark, logs).values()) == {""}
+    got = kept_lines(spark, logs + prose)
+    assert {got[i] for i, _ in logs} == {""} and all(got[i] == t for i, t in prose)
+
+
+def test_numbers_and_long_lines(spark):
+    rng = random.Random(9)
+    numbers = [(i, f"{rng.randrange(10**9)} {i} 2019\nin {i}") for i in range(30)]
+    got = kept_lines(spark, numbers)
+    assert all(got[i] == t.split("\n")[0] for i, t in numbers)  # differ in every token; "in <*>" is half constant
+    passage = " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60))
+    rows = [(5, f"own a\n{passage}"), (3, f"{passage}\nown b"), (4, f"own c\n{passage} "), (6, "short line here"), (7, "short line here")]
+    assert kept_lines(spark, rows) == {5: "own a", 3: f"{passage}\nown b", 4: "own c", 6: "short line here", 7: "short line here"}
+
+
 def test_licenses(spark):
     files = [
         ("a/LICENSE", "Released under the MIT License."), ("a/x/code.py", "import this\n" * 30), ("a/x/y/COPYING", "This work is licensed under the GNU General Public License, version 3."),

@@ -41,6 +41,11 @@ def columns(names: Iterable[str]) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in names]
 
 
+def row_key() -> Column:
+    """A 16-byte hash of doc_id and text: rows that share it are alike."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.concat(F.lit(" "), F.col("text")), F.lit("")))))
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names like those given that no column of df has."""
     taken, out = {c.lower() for c in df.columns}, []

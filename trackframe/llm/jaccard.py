@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import simhash
-from .common import Scratch, checkpointed, columns, fresh, map_texts
+from .common import Scratch, checkpointed, columns, fresh, map_texts, row_key
 from .components import connected_components
 
 SHINGLE, SEED = 5, 42
@@ -75,11 +75,6 @@ def prefix_size(n: int) -> int:
     return n - -(-NUM * n // DEN) + 1
 
 
-def row_key() -> Column:
-    """A hash of doc_id and text: rows that share it are alike."""
-    return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce(F.concat(F.lit(" "), F.col("text")), F.lit("")))))
-
-
 def _sid(s: np.ndarray) -> int:
     from xxhash import xxh64_intdigest
 

@@ -1,9 +1,15 @@
 """Line dedup by a tree of line templates.
 
-The tree has a fixed depth: a line's number of tokens, then its leading tokens. In a leaf, a token with a digit is
-variable, and so is a place that holds more than `fanout` distinct tokens; a template with at least half of its tokens
-constant generalises its lines, any other line stands for itself. All of it is counting by keys, so no order of arrival
-matters and no leaf meets in one task. Lines whose template occurs in `least_docs` documents or more are dropped.
+The tree has a fixed depth: a line's number of tokens, then its leading tokens. A token with a digit is variable. In a
+leaf, a token behind the leading ones is constant if more than `fanout` distinct lines of the leaf have it at that place;
+all others are variable, so a leaf has as many templates as there are patterns of constant tokens in it, and prose that
+shares a leaf with a template changes none of its tokens. A template with at least half of its tokens constant, and with
+more than `fanout` distinct lines, generalises them; any other line stands for itself, and so does, with its digits, a
+line that would be variable in more than half of its tokens. All of it is counting by keys, so no order of arrival
+matters and no leaf meets in one task.
+
+Lines whose template occurs in `least_docs` documents or more are dropped from all of them. A line of `long_line` tokens
+or more that stands for itself needs two documents, and stays in the first if they are fewer than `least_docs`.
 """
 
 from __future__ import annotations
@@ -15,96 +21,123 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import checkpointed, written
+from .common import columns, fresh, row_key, written
 
 WILD = "<*>"
+MASK = WILD.encode()
 DIGIT = re.compile(rb"[0-9]")
 
 
-def masked(line: bytes) -> bytes:
-    """The line's tokens (parted by ASCII white space), joined by blanks, those with a digit 0-9 as WILD."""
+def parsed(line: bytes) -> tuple[list[bytes], bool]:
+    """The line's tokens (parted by ASCII white space), those with a digit 0-9 as WILD unless it would be most of them.
+
+    The second value tells whether the line has at least half of its tokens constant.
+    """
     tokens = line.split()
-    if DIGIT.search(line):
-        tokens = [b"<*>" if DIGIT.search(t) else t for t in tokens]
-    return b" ".join(tokens)
+    masked = [MASK if DIGIT.search(t) else t for t in tokens] if DIGIT.search(line) else tokens
+    fixed = 2 * sum(t != MASK for t in masked) >= len(masked)
+    return (masked if fixed else tokens), fixed
+
+
+def _key(tokens: list[bytes], fixed: bool) -> bytes:
+    return hashlib.md5((b"" if fixed else b"\0") + b" ".join(tokens)).digest()
 
 
-def _leaf(line: bytes, depth: int) -> bytes | None:
-    """A hash of the line's leaf; lines that are all leading tokens need none."""
-    lead = line.split(b" ", depth)
-    if len(lead) <= depth:
-        return None
-    return hashlib.md5(b"%d %s" % (line.count(b" ") + 1, b" ".join(lead[:depth]))).digest()
+def _leaf(tokens: list[bytes], depth: int) -> bytes:
+    return hashlib.md5(b"%d %s" % (len(tokens), b" ".join(tokens[:depth]))).digest()
 
 
-def _placed_lines(docs: DataFrame, depth: int) -> DataFrame:
-    """doc_id, at (place from 0), key and leaf of each line with a token: hashes, no texts."""
+def _placed_lines(docs: DataFrame, depth: int, long_line: int) -> DataFrame:
+    """row, doc_id, at (place from 0), key, leaf and `long` of each line with a token: hashes, no texts."""
+    names = ["row", "doc_id", "at", "key", "leaf", "long"]
+    types = [pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, ats, keys, leaves = [], [], [], []
-            for d, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+            out = []
+            for row, d, text in zip(*(b.column(c).to_pylist() for c in ("row", "doc_id", "text")), strict=True):
                 for at, line in enumerate((text or b"").split(b"\n")):
-                    if m := masked(line):
-                        ids.append(d)
-                        ats.append(at)
-                        keys.append(hashlib.md5(m).digest())
-                        leaves.append(_leaf(m, depth))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ats, pa.int32()), pa.array(keys, pa.binary()), pa.array(leaves, pa.binary())], names=["doc_id", "at", "key", "leaf"])
+                    tokens, fixed = parsed(line)
+                    if tokens:
+                        out.append((row, d, at, _key(tokens, fixed), _leaf(tokens, depth) if fixed and len(tokens) > depth else None, len(tokens) >= long_line))
+            cols = zip(*out, strict=True) if out else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, at int, key binary, leaf binary")
+    data = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    return data.mapInArrow(run, "row binary, doc_id long, at int, key binary, leaf binary, long boolean")
 
 
 def _texts_of_lines(docs: DataFrame, depth: int) -> DataFrame:
-    """leaf, masked: the distinct lines of each batch that have a leaf."""
+    """leaf, key, masked: the distinct lines of each batch that have a leaf."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lines = {m for text in b.column("text").to_pylist() for line in (text or b"").split(b"\n") if (m := masked(line))}
-            found = [(leaf, m.decode("utf-8", "replace")) for m in lines if (leaf := _leaf(m, depth))]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.binary()), pa.array([x[1] for x in found], pa.string())], names=["leaf", "masked"])
+            lines = {line for text in b.column("text").to_pylist() for line in (text or b"").split(b"\n")}
+            found = {(_leaf(t, depth), _key(t, True), b" ".join(t).decode("utf-8", "replace")) for t, fixed in map(parsed, lines) if fixed and len(t) > depth}
+            cols = zip(*found, strict=True) if found else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.binary(), pa.string()), strict=True)], names=["leaf", "key", "masked"])
 
-    return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "leaf binary, masked string")
+    return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "leaf binary, key binary, masked string")
 
 
-def general_templates(lines: DataFrame, depth: int, fanout: int, constant: float) -> DataFrame:
-    """leaf, masked -> key, template: for lines of crowded leaves that a template with enough constant tokens generalises."""
-    inside = checkpointed(lines.distinct())  # read twice
-    places = inside.select("leaf", F.posexplode(F.split("masked", " ")).alias("at", "token")).where(F.col("at") >= depth)
-    kinds = places.distinct().groupBy("leaf", "at").agg(F.count(F.lit(1)).alias("kinds"))
-    wild = kinds.where(F.col("kinds") > fanout).groupBy("leaf").agg(F.collect_set("at").alias("wild"))
+def general_templates(lines: DataFrame, depth: int, fanout: int) -> DataFrame:
+    """leaf, key, masked -> key, template: for the lines that a template generalises."""
+    inside = written(lines.distinct())  # read three times
     tokens = F.split("masked", " ")
-    general = F.array_join(F.transform(tokens, lambda t, i: F.when(F.array_contains("wild", i), F.lit(WILD)).otherwise(t)), " ")
-    held = inside.join(wild, "leaf").where(F.size("wild") <= (1 - constant) * F.size(tokens))
-    return held.select(F.unhex(F.md5("masked")).alias("key"), F.unhex(F.md5(F.concat(F.lit("t "), general))).alias("template"))
-
-
-def recurring_lines(docs: DataFrame, least_docs: int = 10, depth: int = 3, fanout: int = 8, constant: float = 0.5) -> DataFrame:
-    """doc_id, n_lines, drop (places from 0 of the lines that go), for documents that have lines with a token."""
-    table = written(_placed_lines(docs, depth))  # about 50 bytes a line: the only table of lines that is kept
+    places = inside.select("leaf", "key", F.posexplode(tokens).alias("at", "token")).where((F.col("at") >= depth) & (F.col("token") != WILD))
+    slot = F.xxhash64("leaf", "at", "token")
+    # written, so that the join below is dealt by itself and its common slots can be split
+    frequent = written(places.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fanout).select("slot"))
+    constant = places.select("key", "at", slot.alias("slot")).join(frequent, "slot").groupBy("key").agg(F.collect_set("at").alias("constant"))
+    held = F.transform(tokens, lambda t, i: F.when((i < depth) | F.array_contains("constant", i), t).otherwise(F.lit(WILD)))
+    named = inside.join(constant, "key").select("key", held.alias("held"))
+    enough = 2 * F.size(F.filter("held", lambda t: t != WILD)) >= F.size("held")
+    named = written(named.where(enough).select("key", F.unhex(F.md5(F.concat(F.lit("\0t "), F.array_join("held", " ")))).alias("template")))
+    several = written(named.groupBy("template").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fanout).select("template"))
+    return named.join(several, "template").select("key", "template")
+
+
+def recurring_lines(docs: DataFrame, least_docs: int = 10, depth: int = 3, fanout: int = 8, long_line: int = 20) -> DataFrame:
+    """row (key of a row), n_lines, drop (places from 0 of the lines that go), for rows that have lines with a token."""
+    table = written(_placed_lines(docs, depth, long_line))  # about 70 bytes a line: the only table of lines that is kept
     by_leaf = table.where("leaf is not null").select("leaf", "key").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("many"))
     crowded = written(by_leaf.where(F.col("many") > fanout).select("leaf"))
-    general = written(general_templates(_texts_of_lines(docs, depth).join(crowded, "leaf"), depth, fanout, constant))
-    t = written(table.join(general, "key", "left").select("doc_id", "at", F.coalesce("template", "key").alias("template")))
-    bad = t.select("template", "doc_id").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n_docs"))
+    general = written(general_templates(_texts_of_lines(docs, depth).join(crowded, "leaf"), depth, fanout))
+    own = F.col("template").isNull() & F.col("long")
+    t = written(table.join(general, "key", "left").select("row", "doc_id", "at", F.coalesce("template", "key").alias("template"), own.alias("own")))
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
+    counted = t.select("template", "own", "doc_id", "row").distinct().groupBy("template", "own").agg(F.count(F.lit(1)).alias("n_docs"), F.min(order)["row"].alias("first"))
+    everywhere = F.col("n_docs") >= least_docs
     # written, so that the join below is dealt by itself and its common templates can be split
-    bad = written(bad.where(F.col("n_docs") >= least_docs).select("template", F.lit(True).alias("bad")))
-    marked = t.join(bad, "template", "left")
-    return marked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"), F.array_sort(F.collect_set(F.when(F.col("bad"), F.col("at")))).alias("drop"))
+    bad = written(counted.where(everywhere | (F.col("own") & (F.col("n_docs") > 1))).select("template", F.lit(True).alias("bad"), F.when(~everywhere, F.col("first")).alias("first")))
+    marked = t.join(bad, "template", "left").withColumn("bad", F.col("bad") & ~F.col("row").eqNullSafe(F.col("first")))
+    return marked.groupBy("row").agg(F.size(F.collect_set("at")).cast("long").alias("n_lines"), F.array_sort(F.collect_set(F.when(F.col("bad"), F.col("at")))).alias("drop"))
+
+
+@F.arrow_udf(T.StringType())
+def _cut(text: pa.Array, drop: pa.Array) -> pa.Array:
+    """Texts without the lines at the given places (ascending)."""
+    out = []
+    for t, places in zip(text.to_pylist(), drop.to_pylist(), strict=True):
+        if t is not None and places:
+            gone = set(places)
+            t = "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone)
+        out.append(t)
+    return pa.array(out, pa.string())
 
 
 def dedup_lines(docs: DataFrame, **how) -> DataFrame:
     """The rows of docs, text cut to the lines that stay, with n_lines (lines with a token) and n_dropped.
 
-    Lines without a token stay and count in no template; a null text stays null, with 0 lines. Rows that share a doc_id
-    are one document: in a count they are one, and each loses the lines at the places found in any of them. A text
-    that many documents repeat loses all of its lines in all of them.
+    Lines without a token stay and count in no template; a null text stays null, with 0 lines. Rows that share a doc_id,
+    or have none, are documents of their own unless they also share their text; rows alike in both count once, and each
+    is cut alike. "First" is the least doc_id, null last. A text that `least_docs` documents repeat loses all of its lines
+    in all of them. Other columns play no part; columns n_lines and n_dropped of docs are replaced.
     """
-    found = recurring_lines(docs.select("doc_id", "text"), **how)
-    found = found.select(F.col("doc_id").alias("_id"), F.col("n_lines").alias("_lines"), F.col("drop").alias("_drop"))
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    stay = F.filter(F.split("text", r"\n"), lambda x, i: ~F.array_contains("_drop", i))
-    text = F.when(F.size("_drop") > 0, F.array_join(stay, "\n")).otherwise(F.col("text"))
-    keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
-    return joined.select(*keep, text.alias("text"), F.coalesce("_lines", F.lit(0)).alias("n_lines"), F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("n_dropped"))
+    row, n, drop = fresh(docs, "_row", "_lines", "_drop")
+    found = recurring_lines(docs.select("doc_id", "text"), **how).toDF(row, n, drop)
+    joined = docs.withColumn(row, row_key()).join(found, row, "left")
+    keep = columns(c for c in docs.columns if c not in ("text", "n_lines", "n_dropped"))
+    return joined.select(*keep, _cut("text", drop).alias("text"), F.coalesce(n, F.lit(0)).alias("n_lines"), F.coalesce(F.size(drop), F.lit(0)).cast("long").alias("n_dropped"))

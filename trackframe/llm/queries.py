@@ -70,41 +70,45 @@ def queries() -> dict[str, Query]:
 #: The tree of line templates; tokens are parted by ASCII white space, as the operator parts them.
 OP10_SQL = r"""
 WITH lines AS (
-  SELECT doc_id, line, pos, trim(regexp_replace(regexp_replace(line, '[\x09-\x0D\x20]+', ' ', 'g'), '[^ ]*[0-9][^ ]*', '<*>', 'g')) AS masked
+  SELECT doc_id, line, pos, trim(regexp_replace(line, '[\x09-\x0D\x20]+', ' ', 'g')) AS raw
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents)
+), masks AS (
+  SELECT *, string_split(regexp_replace(raw, '[^ ]*[0-9][^ ]*', '<*>', 'g'), ' ') AS ts FROM lines WHERE raw <> ''
 ), tokens AS (
-  SELECT *, string_split(masked, ' ') AS ts FROM lines WHERE masked <> ''
+  SELECT *, len(ts) AS n, array_to_string(ts, ' ') AS masked, 2 * len(list_filter(ts, lambda t: t <> '<*>')) >= len(ts) AS fixed FROM masks
 ), kinds AS (
-  SELECT DISTINCT masked, ts, len(ts) AS n, array_to_string(ts[1:3], ' ') AS lead FROM tokens WHERE len(ts) > 3
+  SELECT DISTINCT masked, ts, n, array_to_string(ts[1:3], ' ') AS lead FROM tokens WHERE fixed AND n > 3
 ), crowded AS (
   SELECT n, lead FROM kinds GROUP BY n, lead HAVING count(*) > 8
-), inside AS (
-  SELECT kinds.* FROM kinds JOIN crowded USING (n, lead)
-), wild AS (
-  SELECT n, lead, pos FROM (SELECT n, lead, unnest(ts) AS t, unnest(range(len(ts))) AS pos FROM inside)
-  WHERE pos >= 3 GROUP BY n, lead, pos HAVING count(DISTINCT t) > 8
-), few AS (
-  SELECT n, lead FROM wild GROUP BY n, lead HAVING count(*) <= 0.5 * n
-), general AS (
-  SELECT p.masked, 't ' || string_agg(CASE WHEN w.pos IS NULL THEN p.t ELSE '<*>' END, ' ' ORDER BY p.pos) AS template
-  FROM (SELECT masked, n, lead, unnest(ts) AS t, unnest(range(len(ts))) AS pos FROM inside SEMI JOIN few USING (n, lead)) p
-  LEFT JOIN wild w ON w.n = p.n AND w.lead = p.lead AND w.pos = p.pos
+), places AS (
+  SELECT masked, n, lead, unnest(ts) AS t, unnest(range(n)) AS pos FROM kinds SEMI JOIN crowded USING (n, lead)
+), frequent AS (
+  SELECT n, lead, pos, t FROM places WHERE pos >= 3 AND t <> '<*>' GROUP BY n, lead, pos, t HAVING count(*) > 8
+), held AS (
+  SELECT p.masked, any_value(p.n) AS n, count(f.pos) AS n_frequent,
+    string_agg(CASE WHEN p.pos < 3 OR f.pos IS NOT NULL THEN p.t ELSE '<*>' END, ' ' ORDER BY p.pos) AS template,
+    count(*) FILTER (p.t <> '<*>' AND (p.pos < 3 OR f.pos IS NOT NULL)) AS n_constant
+  FROM places p LEFT JOIN frequent f ON f.n = p.n AND f.lead = p.lead AND f.pos = p.pos AND f.t = p.t
   GROUP BY p.masked
+), enough AS (
+  SELECT masked, template FROM held WHERE n_frequent > 0 AND 2 * n_constant >= n
+), general AS (
+  SELECT masked, 't ' || template AS template FROM enough SEMI JOIN (SELECT template FROM enough GROUP BY template HAVING count(*) > 8) USING (template)
 ), named AS (
-  SELECT doc_id, pos, coalesce(template, 'm ' || masked) AS template FROM tokens LEFT JOIN general USING (masked)
+  SELECT doc_id, pos, coalesce(template, CASE WHEN fixed THEN 'm ' || tokens.masked ELSE 'r ' || raw END) AS template, template IS NULL AND n >= 20 AS own
+  FROM tokens LEFT JOIN general ON fixed AND general.masked = tokens.masked
 ), bad AS (
-  SELECT template FROM named GROUP BY template HAVING count(DISTINCT doc_id) >= 10
+  SELECT template, own, count(DISTINCT doc_id) AS n_docs, min(doc_id) AS first FROM named GROUP BY template, own
+  HAVING count(DISTINCT doc_id) >= 10 OR own AND count(DISTINCT doc_id) > 1
 ), dropped AS (
-  SELECT doc_id, pos FROM named SEMI JOIN bad USING (template)
+  SELECT doc_id, pos FROM named JOIN bad USING (template, own) WHERE n_docs >= 10 OR doc_id <> first
 ), kept AS (
   SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.pos) AS text
   FROM lines l ANTI JOIN dropped d ON d.doc_id = l.doc_id AND d.pos = l.pos GROUP BY l.doc_id
-)
-SELECT d.doc_id,
-  coalesce((SELECT count(*) FROM tokens t WHERE t.doc_id = d.doc_id), 0) AS n_lines,
-  coalesce((SELECT count(*) FROM dropped x WHERE x.doc_id = d.doc_id), 0) AS n_dropped,
+), n_lines AS (SELECT doc_id, count(*) AS n_lines FROM tokens GROUP BY doc_id), n_dropped AS (SELECT doc_id, count(*) AS n_dropped FROM dropped GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
   CASE WHEN d.text IS NULL THEN NULL ELSE sha256(coalesce(k.text, '')) END AS kept_sha256
-FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id LEFT JOIN n_lines a ON a.doc_id = d.doc_id LEFT JOIN n_dropped b ON b.doc_id = d.doc_id
 """
 
 
