@@ -90,7 +90,8 @@ def test_mixing_meets_targets(spark, block):
     want = fill(words)
     source = {i: s for i, _, _, s, _ in rows}
     taken = dict.fromkeys(words, 0)
-    for i, size, source_size, target, t, _ in got:
+    for i, size, source_size, target, t, first, slots, _ in got:
+        assert (first is None) == (t == 0) == (not slots) and len(slots) == -(-t // max(size, 1)) and (not slots or first == min(slots))
         s = source[i]
         assert 0 <= t <= 2 * size and source_size == words[s] and abs(target - want[s]) < 1e-6
         taken[s] += t
@@ -103,7 +104,54 @@ def test_mixing_empty(spark):
 
 def test_schedule_is_even(spark):
     t = spark.createDataFrame([(0, 60_000.0, 90_000), (1, 30_000.0, 30_000), (2, 10_000.0, 5_000)], "place long, target double, source_size long")
-    s = [r["place"] for r in mixing.schedule(t, block=100).orderBy("slot").collect()]
-    assert len(s) == 1000
+    rows = mixing.schedule(t, 100, 1000, 3).orderBy("slot").collect()
+    s = [r["place"] for r in rows]
+    assert len(s) == 1000 and sum(r["slot"] >= 1000 for r in rows) <= 8  # what the points leave short of the targets
     for n in (100, 400, 900):
         assert all(abs(s[:n].count(p) - n * share) <= 8 for p, share in ((0, 0.6), (1, 0.3), (2, 0.1)))
+
+
+def sourced(n=1200):
+    rng = random.Random(11)
+    rows = [(i, " ".join(["w"] * rng.randrange(1, 60)), "en", rng.choices(["a", "b", "c", None], [40, 10, 5, 5])[0], 0) for i in range(n)]
+    return [*rows, (n, None, "en", "a", 0), (None, "x y z", "en", "b", 0)]
+
+
+def test_mixing_against_sql(spark, tmp_path):
+    import oracle
+    from trackframe.llm import queries
+
+    spark.createDataFrame(sourced(), SCHEMA).toPandas().to_parquet(tmp_path / "documents.parquet")
+    assert oracle.same(spark, str(tmp_path), queries.op2_mixing, queries.OP2_SQL) == 1202
+
+
+def mixed_shares(spark):
+    """Share of each source's words among those of the first half of the slots in use, and the whole mix's."""
+    source = {i: s for i, _, _, s, _ in sourced()}
+    rows = [r for r in mixing.mix(spark.createDataFrame(sourced(), SCHEMA), block=20).collect() if r["taken"]]
+    middle = max(r["first_slot"] for r in rows) // 2
+    count = lambda rs: {s: sum(source[r["doc_id"]] == s for r in rs) / len(rs) for s in ("a", "b", "c")}
+    return count([r for r in rows if max(r["slots"]) <= middle or min(r["slots"]) <= middle]), count(rows)
+
+
+def test_the_schedule_orders_the_mix(spark, monkeypatch):
+    half, whole_ = mixed_shares(spark)
+    assert all(abs(half[s] - whole_[s]) < 0.12 for s in half)
+    monkeypatch.setattr(mixing, "_reversed_bits", lambda j, bits: j)  # not low-discrepancy points any more
+    half, whole_ = mixed_shares(spark)
+    assert max(abs(half[s] - whole_[s]) for s in half) > 0.2
+
+
+def test_mixed_documents_keep_the_order_of_slots(spark):
+    rows = [(i, t, lang, s, n, "x", "y") for i, t, lang, s, n in sourced(300)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", _slot string, `a.b` string")
+    out = mixing.repeat_documents(docs, block=20)
+    assert out.columns == docs.columns
+    want = sorted((slot, r["doc_id"] or -1) for r in mixing.mix(docs, block=20).collect() for slot in r["slots"])
+    got = [r["doc_id"] or -1 for r in out.collect()]
+    assert len(got) == len(want) and sorted(got) == sorted(i for _, i in want)
+    first = {}
+    for slot, i in want:
+        first.setdefault(i, slot)
+    order = [first[i] for i in dict.fromkeys(got)]
+    assert order == sorted(order)

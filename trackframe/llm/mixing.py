@@ -3,7 +3,9 @@
 Each source's documents are put in a random order and its words cut into blocks of equal size. The schedule is a run of
 slots; slot j takes the van der Corput point of j, which the sources' cumulative weights map to a source, and the slot's
 rank among the source's slots says which block fills it. All of the schedule but a pattern of fixed size is arithmetic:
-over 2^PATTERN slots each point comes once, so ranks repeat with that period.
+over the pattern's slots each point comes once, so ranks repeat with that period. The first N slots, of all targets'
+words, meet the targets but for a few blocks a source; for those the schedule goes on, and slots of sources whose target
+is met stay empty.
 """
 
 from __future__ import annotations
@@ -11,16 +13,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, columns, fresh
 
 WEIGHTS = (5.0, 2.0, 1.0)
-#: log2 of the schedule's period.
-PATTERN = 14
-BLOCK_WORDS = 1024
+#: log2 of the most points of the pattern.
+PATTERN = 18
+#: A block has so many words, or fewer so that the mix has about LEAST_SLOTS blocks.
+BLOCK_WORDS, LEAST_SLOTS = 1024, 1 << 17
 #: Periods of the schedule that a row stands for until they are dealt to tasks.
 CHUNK = 64
-#: Parts that a source's random order is cut into, so that no task orders a whole source.
-PARTS = 4096
+#: Hexadecimal digits by which a source's random order is cut into parts, so that no task orders a whole source.
+DIGITS = 3
 
 
 def size(text: Column) -> Column:
@@ -29,7 +32,7 @@ def size(text: Column) -> Column:
 
 
 def source_targets(sized: DataFrame, share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """source, source_size, w (place in code point order), target: `share` of all words, by weights 5, 2, 1, repeating.
+    """source, source_size, place (in code point order), target: `share` of all words, by weights 5, 2, 1, repeating.
 
     No source gives over `most` times its size; what is above is reshared by weight. The level of that water-filling
     is found in order of the ratio of bound to weight: the first at which the rest fits. The windows without keys run
@@ -59,14 +62,20 @@ def _reversed_bits(j: Column, bits: int) -> Column:
     return out
 
 
-def schedule(targets: DataFrame, block: int = BLOCK_WORDS, pattern: int = PATTERN) -> DataFrame:
+def block_words(total: float) -> int:
+    """The words of a block of a mix of so many words."""
+    return int(max(1, min(BLOCK_WORDS, total // LEAST_SLOTS)))
+
+
+def schedule(targets: DataFrame, block: int, slots: int, sources: int) -> DataFrame:
     """slot, place (of the source), rank, source_size, target: the order in which blocks of sources enter the mix.
 
-    A source's share of the points is its share of the target, one at least. Its slots go on until its target is met:
-    slot = cycle x 2^pattern + slot in the pattern, rank = cycle x points of the source + rank in the pattern. Row
-    counts follow the mix's size over the block's; only the pattern, of 2^pattern rows, and the sources meet in a task.
+    A source's share of the points is its share of the target, one at least: slot = cycle x points of the pattern + slot
+    in the pattern, rank = cycle x points of the source + rank in the pattern. Row counts follow the mix's size over the
+    block's; only the pattern, of 2^PATTERN rows or 128 for each source, and the sources meet in a task.
     """
-    n = 1 << pattern
+    bits = max(min(PATTERN, slots.bit_length()), (64 * sources).bit_length())
+    n = 1 << bits
     everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # a source's words are cut into blocks in each round over it
     rounds = F.floor(F.col("target") / F.col("source_size"))
@@ -75,61 +84,74 @@ def schedule(targets: DataFrame, block: int = BLOCK_WORDS, pattern: int = PATTER
     t = t.withColumn("total", F.sum("target").over(everything)).withColumn("sources", F.count("*").over(everything))
     # one point for each source, the rest by cumulative weight
     t = t.withColumn("upto", F.sum("target").over(Window.orderBy("place")) / F.col("total"))
-    t = t.withColumn("high", F.round(F.col("upto") * F.greatest(n - F.col("sources"), F.lit(0))) + F.row_number().over(Window.orderBy("place")))
+    t = t.withColumn("high", F.round(F.col("upto") * (n - F.col("sources"))) + F.row_number().over(Window.orderBy("place")))
     t = t.withColumn("low", F.coalesce(F.lag("high").over(Window.orderBy("place")), F.lit(0.0)))
     t = t.select("place", "need", "source_size", "target", F.col("low").cast("long").alias("low"), F.col("high").cast("long").alias("high"))
     points = t.select("place", F.explode(F.sequence("low", F.col("high") - 1)).alias("point"))
-    slots = points.withColumn("slot", _reversed_bits(F.col("point"), pattern))
-    slots = slots.withColumn("rank", F.row_number().over(Window.partitionBy("place").orderBy("slot")) - 1)
+    pattern = points.withColumn("slot", _reversed_bits(F.col("point"), bits))
+    pattern = pattern.withColumn("rank", F.row_number().over(Window.partitionBy("place").orderBy("slot")) - 1)
     each = t.select("place", "need", "source_size", "target", (F.col("high") - F.col("low")).alias("points"))
     # cycles are dealt in chunks, so that no task makes all slots of a large source; the pattern's size is fixed
     last = F.floor((F.col("need") - 1) / F.col("points"))
     chunks = each.withColumn("last", last).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("last") / CHUNK))))
     chunks = chunks.repartition("place", "chunk")
     cycles = chunks.withColumn("cycle", F.explode(F.sequence(F.col("chunk") * CHUNK, F.least(F.col("last"), F.col("chunk") * CHUNK + CHUNK - 1))))
-    out = cycles.join(F.broadcast(slots), "place").where(F.col("cycle") * F.col("points") + F.col("rank") < F.col("need"))
+    out = cycles.join(F.broadcast(pattern), "place").where(F.col("cycle") * F.col("points") + F.col("rank") < F.col("need"))
     return out.select((F.col("cycle") * n + F.col("slot")).alias("slot"), "place", (F.col("cycle") * F.col("points") + F.col("rank")).alias("rank"), "source_size", "target")
 
 
-def mix(docs: DataFrame, seed: int = 17, block: int = BLOCK_WORDS, parts: int = PARTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """doc_id, size, source_size, target, taken and h (place in the random order) for each row of docs.
+def _order(seed: int) -> Column:
+    """A row's place in the random order: 16 bytes of its id and text."""
+    return F.md5(F.concat_ws(" ", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("text", F.lit(""))))
+
+
+def mix(docs: DataFrame, seed: int = 17, block: int | None = None, share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """doc_id, size, source_size, target, taken, first_slot, slots and h (place in the random order) for each row of docs.
 
-    Null texts and texts without words have size 0 and are never taken; a null source is a source of its own; rows with
-    the same doc_id are rows of their own. The random order hashes doc_id, text and seed, so reruns agree. A source's words
-    are taken in that order, over again up to `most` times; its last block stops at its target.
+    first_slot: the slot of the schedule in which the first word taken of the row stands; slots: one such for each round
+    over the source's words; null and empty where nothing is taken. Null texts and texts without words have size 0 and are
+    never taken; a null source is a source of its own; rows with the same doc_id are rows of their own. The random order
+    hashes doc_id, text and seed, so reruns agree. A source's words are taken in that order, over again up to `most` times;
+    its last block stops at its target. block: words of a block, by default after the size of the mix.
     """
-    sized = docs.select("doc_id", "source", size(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", F.col("text")).alias("h"))
+    sized = docs.select("doc_id", "source", size(F.col("text")).alias("size"), _order(seed).alias("h"))
     sized = checkpointed(sized)  # ids and sizes: it is read more than once
     targets = checkpointed(source_targets(sized, share, most))
-    part = F.pmod("h", F.lit(parts))
+    all_ = targets.agg(F.sum("target").alias("words"), F.count(F.lit(1)).alias("sources")).first()
+    words = all_["words"] or 0.0
+    block = block_words(words) if block is None else block
+    part = F.substring("h", 1, DIGITS)
     rows = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).select("doc_id", "size", "h", "place", "source_size", "target", part.alias("part"))
     sums = rows.groupBy("place", "part").agg(F.sum("size").alias("n"))
     sums = sums.select("place", "part", (F.sum("n").over(Window.partitionBy("place").orderBy("part")) - F.col("n")).alias("before"))
     in_part = Window.partitionBy("place", "part").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = rows.join(sums, ["place", "part"]).withColumn("start", F.col("before") + F.sum("size").over(in_part) - F.col("size"))
     # pieces of documents by block
-    pieces = placed.where("size > 0").select("doc_id", "h", "place", "start", "size", "source_size", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
+    pieces = placed.where("size > 0").select("place", "start", "size", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
     # a rank's words: the source's words over and over, without gaps at the ends of a round
-    s = schedule(targets, block)
+    s = schedule(targets, block, -(-int(words) // block), all_["sources"])
     rounds = F.ceil(F.col("source_size") / block)
-    s = s.select("place", (F.col("rank") % rounds).alias("block"), F.floor(F.col("rank") / rounds).alias("round"), "source_size", F.round("target").cast("long").alias("stop"))
+    s = s.select("slot", "place", (F.col("rank") % rounds).alias("block"), F.floor(F.col("rank") / rounds).alias("round"), "source_size", F.round("target").cast("long").alias("stop"))
     s = s.withColumn("take", F.least(F.lit(block).cast("long"), F.col("source_size") - F.col("block") * block, F.col("stop") - F.col("round") * F.col("source_size") - F.col("block") * block))
-    takes = s.where("take > 0").groupBy("place", "block").agg(F.collect_list("take").alias("takes"))  # `most` entries at most
+    s = s.where("take > 0").select("place", "block", "round", "take", "slot")
     a = F.greatest(F.col("start") - F.col("block") * block, F.lit(0))
     b = F.least(F.col("start") + F.col("size") - F.col("block") * block, F.lit(block))
-    got = F.aggregate("takes", F.lit(0).cast("long"), lambda acc, t: acc + F.greatest(F.least(b, t) - a, F.lit(0)))
-    taken = pieces.join(takes, ["place", "block"]).groupBy("place", "start").agg(F.sum(got).alias("taken"))
+    got = pieces.join(s, ["place", "block"]).withColumn("got", F.least(b, F.col("take")) - a).where("got > 0")
+    first = [F.min(F.when(F.col("round") == k, F.col("slot"))) for k in range(int(-(-most // 1)))]
+    taken = got.groupBy("place", "start").agg(F.sum("got").alias("taken"), F.array_compact(F.array(*first)).alias("slots"))
     full = placed.where("size > 0").join(taken, ["place", "start"], "left").unionByName(placed.where("size = 0"), allowMissingColumns=True)
-    return full.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "h")
+    slots = F.coalesce("slots", F.array().cast("array<long>"))
+    return full.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.array_min(slots).alias("first_slot"), slots.alias("slots"), "h")
 
 
 def repeat_documents(docs: DataFrame, **how) -> DataFrame:
-    """The rows of docs, each as often as the mix takes any of its words (up to `most` times), others left out.
+    """The rows of docs in the order of the mix: a row for each round in which it takes any of a document's words.
 
-    Rows alike in doc_id and text are told apart by nothing, and come as often as the one taken most.
+    A document comes up to `most` times, each at its first slot of the round, and not at all if no word of it is taken.
+    Rows alike in doc_id and text are told apart by nothing, and come as often as the one taken most. Columns besides
+    doc_id, text and source play no part.
     """
-    seed = how.get("seed", 17)
-    taken = mix(docs, **how).where("taken > 0").groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).agg(F.max(F.ceil(F.col("taken") / F.col("size"))).alias("_times"))
-    h = F.xxhash64(F.lit(seed), "doc_id", F.col("text"))
-    out = docs.withColumn("_h", h).join(taken.withColumnRenamed("_h", "_h2"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_h2")))
-    return out.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).select(*docs.columns)
+    h, slots, slot = fresh(docs, "_h", "_slots", "_slot")
+    taken = mix(docs.select("doc_id", "text", "source"), **how).where("taken > 0").groupBy(F.col("h").alias(h)).agg(F.max(F.struct(F.size("slots"), "slots"))["slots"].alias(slots))
+    out = docs.withColumn(h, _order(how.get("seed", 17))).join(taken, h).withColumn(slot, F.explode(slots))
+    return out.repartitionByRange(slot).sortWithinPartitions(slot).select(*columns(docs.columns))

@@ -19,7 +19,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(read_table(spark, sf_dir, "documents")).drop("h")
+    return mixing.mix(read_table(spark, sf_dir, "documents")).drop("h", "slots")
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +112,56 @@ FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id LEFT JOIN n_lines a ON
 """
 
 
+#: The schedule's points and blocks, in integers; the hash that orders documents is MD5.
+OP2_SQL = rf"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    md5('17 ' || coalesce(doc_id::VARCHAR, '-') || ' ' || coalesce(text, '')) AS h FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM sized GROUP BY source
+), w AS (
+  SELECT *, [5, 2, 1][place % 3 + 1]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS bound FROM s
+), u AS (
+  SELECT *, 1.5::DOUBLE * sum(source_size) OVER () AS total, sum(weight) OVER () AS sum_w, sum(bound) OVER upto AS bounds, sum(weight) OVER upto AS weights
+  FROM w WINDOW upto AS (ORDER BY bound / weight, place ROWS UNBOUNDED PRECEDING)
+), l AS (
+  SELECT *, (total - bounds + bound) / (sum_w - weights + weight) AS level FROM u
+), t AS (
+  SELECT source, place, source_size, least(bound, (SELECT level FROM l WHERE bound / weight >= level - 1e-9 ORDER BY bound / weight, place LIMIT 1) * weight) AS target FROM l
+), b AS (
+  SELECT sum(target) AS words, count(*) AS sources, greatest(1, least({mixing.BLOCK_WORDS}, floor(sum(target) / {mixing.LEAST_SLOTS})))::BIGINT AS block FROM t
+), k AS (
+  SELECT *, greatest(least({mixing.PATTERN}, length(bin((words::BIGINT + block - 1) // block))), length(bin(64 * sources)))::BIGINT AS bits FROM b
+), part AS (
+  SELECT *, coalesce(lag(high) OVER (ORDER BY place), 0) AS low FROM (
+    SELECT t.*, block, bits, (round(sum(target) OVER (ORDER BY place) / sum(target) OVER () * ((1::BIGINT << bits) - count(*) OVER ())) + row_number() OVER (ORDER BY place))::BIGINT AS high,
+      ceil(source_size / block)::BIGINT AS rounds, floor(target / source_size) AS times
+    FROM t, k WHERE target >= 0.5)
+), points AS (
+  SELECT place, row_number() OVER (PARTITION BY place ORDER BY slot) - 1 AS rank, slot FROM (
+    SELECT place, list_sum([((point >> i) & 1) << (bits - 1 - i) for i in range(bits)])::BIGINT AS slot
+    FROM (SELECT place, bits, unnest(range(low, high)) AS point FROM part))
+), ranks AS (
+  SELECT *, unnest(range((times * rounds + ceil((target - times * source_size) / block))::BIGINT)) AS rank FROM part
+), takes AS (
+  SELECT * FROM (
+    SELECT r.place, r.rank % rounds AS block_no, r.rank // (high - low) * (1::BIGINT << bits) + p.slot AS slot,
+      least(block, source_size - r.rank % rounds * block, round(target)::BIGINT - r.rank // rounds * source_size - r.rank % rounds * block) AS take
+    FROM ranks r JOIN points p ON p.place = r.place AND p.rank = r.rank % (high - low)) WHERE take > 0
+), placed AS (
+  SELECT doc_id, size, source_size, target, t.place, (sum(size) OVER (PARTITION BY t.place ORDER BY h, doc_id ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
+  FROM sized JOIN t ON t.source IS NOT DISTINCT FROM sized.source
+), pieces AS (
+  SELECT place, start, size, block, unnest(range(start // block, (start + size - 1) // block + 1)) AS block_no FROM placed, k WHERE size > 0
+), got AS (
+  SELECT p.place, start, slot, least(start + size - p.block_no * block, block, take) - greatest(start - p.block_no * block, 0) AS got
+  FROM pieces p JOIN takes x ON x.place = p.place AND x.block_no = p.block_no
+), taken AS (SELECT place, start, sum(got)::BIGINT AS taken, min(slot) AS first_slot FROM got WHERE got > 0 GROUP BY place, start)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, first_slot
+FROM placed p LEFT JOIN taken x ON x.place = p.place AND x.start = p.start AND size > 0
+"""
+
+
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 #: Windows of items against windows of documents, word by word.
 OP9_SQL = rf"""
@@ -167,4 +217,4 @@ FROM place p LEFT JOIN own USING (doc_id) LEFT JOIN dirs ON dirs.dir = p.dir
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_licenses": OP3_SQL, "op9_decontamination": OP9_SQL, "op10_lines": OP10_SQL}
+    return {"op2_mixing": OP2_SQL, "op3_licenses": OP3_SQL, "op9_decontamination": OP9_SQL, "op10_lines": OP10_SQL}
