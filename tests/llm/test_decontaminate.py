@@ -101,3 +101,15 @@ def test_blocks_cut_uncut_texts(spark):
         assert got.columns == docs.columns
         rows = got.collect()
         assert len(rows) == 7 and {r["doc_id"]: r["text"] for r in rows} == want, block_words
+
+
+def test_columns_of_any_name(spark):
+    item = "one two three four five six seven eight nine ten eleven"
+    rows = [(1, f"before {item} after", "n", "s", "i", "d", "q", 5), (None, None, "n", "s", "i", "d", "q", 5), (2, "", "n", "s", "i", "d", "q", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_words string, starts string, items string, _data string, `a.b` string, _text int")
+    bench = spark.createDataFrame([(1, item), (2, "some other words that make up a window of ten of them")], "item_id long, text string")
+    for block_words in (1 << 20, 5):
+        out = d.remove_contamination(docs, bench, block_words=block_words)
+        assert out.columns == docs.columns
+        got = sorted(map(tuple, out.collect()), key=str)
+        assert got == sorted([(1, "before  after", *rows[0][2:]), *rows[1:]], key=str)

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -32,11 +33,63 @@ def test_base_patterns(parts):
     assert base == [(a, b, k) for a, _, k, b in want]
 
 
+def segment_cost(g, part, brute):
+    """The cost of a part as one segment, whatever kind is cheapest."""
+    low, n = part.lower(), len(part)
+    out = [secrets.word_cost(part, g.ranks) if 3 <= n <= 32 else math.inf, secrets.date_cost(part)]
+    if n == 1:
+        out.append(brute)
+    if n >= 3 and len(set(part)) == 1:
+        out.append(brute + math.log10(n))
+    if 3 <= n <= 64 and all(x in secrets.FOLLOWS for x in zip(low, low[1:])):
+        out.append(math.log10(40 * n))
+    for size in range(2, 9):
+        if n <= 64 and n % size == 0 and n >= 2 * size and part == part[:size] * (n // size):
+            out.append(g.block_cost(part[:size], brute) + math.log10(n // size))
+    return min(out)
+
+
+def exhaustive(g, value):
+    brute = math.log10(secrets._alphabet(value))
+    best = [0.0]
+    for j in range(1, len(value) + 1):
+        best.append(min(best[i] + segment_cost(g, value[i:j], brute) for i in range(j)))
+    return best[-1]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["dragon", "dragonn", "nn", "nnnnn", "green", "boy", "horse", "zxc", "Qwe", "qwq", "111", "abc", "abcabc", "1987", "2024-05-17", "p4ss", "X", "#", "9", "kla", "klakla"]), max_size=9))
+def test_costs_are_least(parts):
+    g, value = secrets.Guesses(["zebra", "klakla"]), "".join(parts)
+    want = exhaustive(g, value)
+    assert abs(g.cost(value) - want) < 1e-9
+    for enough in (3.0, 8.0):
+        assert (g.cost(value, enough) >= enough) == (want >= enough) or abs(want - enough) < 1e-9
+
+
 def test_guess_costs():
-    cost = secrets.guess_cost
+    g = secrets.Guesses()
+    cost = g.cost
     assert cost("password") < cost("password1987") < cost("kT9#vQ2x!mZ7")
     assert cost("qwertyuiop") < 4 and cost("aaaaaaaaaaaa") < 4 and cost("2024-05-17") < 6
     assert cost("p4ssw0rd") < 2 and cost("x" * 5000) < 10 and cost("") == 0
+    assert abs(cost("dragonnnnnn") - 3.26) < 0.01 and cost("abcabcabcabcabc") < 6
+    assert cost("kT9#vQ2x!mZ7" * 100_000, 8.0) >= 8  # no need to go through all of it
+    assert secrets.Guesses(["orbitale"]).cost("orbitale") < 2.1 < cost("orbitale")
+    assert len(set(secrets.WORDS)) == len(secrets.WORDS)
+
+
+def test_base_spans_of_a_long_text():
+    text = "token = abcdefgh123 " * 20_000
+    base, more = secrets.spans(text)
+    assert len(base) == 20_000 and not more
+
+
+def test_frequent_words(spark):
+    texts = ["Alpha beta beta", "alpha Gamma", None, "", "x1 ab alpha beta2"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert secrets.frequent_words(docs) == ["alpha", "beta", "gamma"][: len(secrets.frequent_words(docs))] and secrets.frequent_words(docs, 1) == ["alpha"]
+    assert secrets.frequent_words(docs.limit(0)) == []
 
 
 def test_scan(spark):
@@ -74,6 +127,65 @@ def test_cutoffs_are_certified():
     assert abs(quality._tail(10, 3, 0.5) - 176 / 1024) < 1e-12
 
 
+def brute_cutoffs(rows, labels, risk=0.05, confidence=0.95, gain=20.0):
+    """Cutoffs by trying all values of all features on the labelled documents, one of each group of copies."""
+    features = {
+        "symbols_per_word": lambda c: c["n_symbols"] / c["n_words"], "dup_lines": lambda c: c["n_dup_lines"] / max(c["n_lines"], 1) * 4,
+        "repeat_words": lambda c: c["n_repeat_words"] / c["n_words"] * 4, "long_words": lambda c: c["word_chars"] / c["n_words"],
+        "short_words": lambda c: max(0.0, 20 - c["word_chars"] / c["n_words"]), "upper_words": lambda c: c["n_upper"] / c["n_words"] * 4,
+        "marks_per_word": lambda c: c["n_marks"] / c["n_words"] * 4, "few_words": lambda c: 20 / math.sqrt(c["n_words"]),
+    }
+    number = lambda x: math.floor(32 * (x if x <= 20 else 20 + 20 * math.log2(x / 20)))
+
+    def tail(n, k, p):
+        total = term = (1 - p) ** n
+        for i in range(k):
+            term *= (n - i) / (i + 1) * p / (1 - p)
+            total += term
+        return total
+
+    strata = {lang for _, _, lang, *_ in rows}
+    out = {}
+    for lang in strata:
+        seen, some = set(), []
+        for d, t, s, *_ in sorted(rows):
+            c = dict(zip(quality.COUNTS, quality.count_text(t)))
+            if s == lang and d in labels and t not in seen and c["n_words"] >= 10 and 100 * c["n_repeat_words"] <= 20 * c["n_words"]:
+                seen.add(t)
+                some.append((c, labels[d]))
+        for name, f in features.items():
+            xs = [(number(f(c)), y) for c, y in some]
+            good, bad = sum(y for _, y in xs), sum(1 - y for _, y in xs)
+            best, chosen = 0.0, None
+            for cut in sorted({x for x, _ in xs}, reverse=True) if good and bad else []:
+                k, b = sum(y for x, y in xs if x >= cut), sum(1 - y for x, y in xs if x >= cut)
+                if k > risk / 8 * good or tail(good, k, risk / 8) > (1 - confidence) / (8 * len(strata)):
+                    break
+                if b / bad - gain * k / good > best:
+                    best, chosen = b / bad - gain * k / good, cut - 1
+            if chosen is not None:
+                out[lang, name] = chosen
+    return out
+
+
+def test_cutoffs_by_brute_force(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8)))
+    rows, labels = [], {}
+    for i in range(5200):
+        bad = rng.random() < 0.1
+        words = [word() + ("#" * rng.randrange(40) if bad else "#" * (rng.random() < 0.02)) for _ in range(rng.randrange(12, 30))]
+        rows.append((i, " ".join(words), "en" if i % 4 else "de", "x", "y"))
+        labels[i] = int(not bad) if rng.random() < 0.99 else int(bad)
+    rows += [(6000 + i, rows[7][1], "en", "x", "y") for i in range(300)]  # copies
+    labels |= {6000 + i: labels[7] for i in range(300)}
+    docs = spark.createDataFrame([(d, t, s) for d, t, s, *_ in rows], "doc_id long, text string, stratum string")
+    counted = quality.count_features(docs, keep=["doc_id", "stratum"])
+    got = quality.calibrate(counted, spark.createDataFrame([(d, y, 0) for d, y in labels.items()], "doc_id long, quality int, toxic int"), "stratum")
+    want = brute_cutoffs(rows, labels)
+    assert want and {(r["stratum"], r["feature"]): r["cutoff"] for r in got.collect()} == want
+
+
 def test_rules(spark):
     rng = random.Random(1)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 8)))

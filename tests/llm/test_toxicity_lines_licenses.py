@@ -53,6 +53,55 @@ def test_held_out_labels_are_not_learnt_from(spark):
     assert a.weights == b.weights and a.coef == b.coef
 
 
+def test_lexicon_and_scores_by_brute_force(spark):
+    import math
+
+    rows, labels = corpus(500, 5)
+    rows += [(700 + i, rows[1][1], "en", "s", "x") for i in range(20)]  # copies train once
+    labels += [(700 + i, 1, labels[1][2]) for i in range(20)]
+    lex = toxicity.train(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    y = {i: t for i, _, t in labels}
+    train = {(t, y[i]): t for i, t, *_ in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+    n = [sum(k == v for _, k in train) for v in (0, 1)]
+    counts = {}
+    for text, toxic in train:
+        for p in toxicity.parts(toxicity.fold(text)):
+            counts.setdefault(p, [0, 0])[toxic] += 1
+    weights = {}
+    for p, (c, t) in counts.items():
+        w = math.log((t + 0.5) / (n[1] + 1)) - math.log((c + 0.5) / (n[0] + 1))
+        if t >= max(4, round(0.008 * n[1])) and 20 * c * n[1] <= t * n[0] and w >= 2.5:
+            weights[p] = w
+    assert set(lex.weights) == set(weights) and all(abs(lex.weights[p] - w) < 1e-12 for p, w in weights.items())
+    match = lex.matcher()
+    for _, text, *_ in rows[:120]:
+        words = toxicity.fold(text)
+        total = 0.0
+        for k, w in enumerate(words):
+            hits = [weights[p] for p in {f" {w} ", *(f" {w[:m]}" for m in range(1, len(w) + 1))} if p in weights]
+            pairs = {" ".join(words[i : i + 2]) for i in (k - 1, k) if 0 <= i < len(words) - 1}
+            if hits and not pairs & lex.exceptions:
+                total += max(hits)
+        a, b = match(text)
+        assert abs(a - math.log1p(total)) < 1e-9 and abs(b - math.log1p(100 * total / max(len(words), 20))) < 1e-9
+
+
+def test_many_rows_with_one_labelled_id(spark):
+    rows, labels = corpus(200)
+    rows += [(8, f"other {i} words {i} in each", "en", "s", "x") for i in range(400)]
+    docs, lab = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert toxicity._training_rows(docs, lab, 100).count() < 160 < toxicity._training_rows(docs, lab, 5000).count()
+
+
+def test_stage_leaves_other_columns_alone(spark):
+    rows, labels = corpus(300)
+    docs = spark.createDataFrame([(i, t, "keep", 7, "d") for i, t, *_ in rows], "doc_id long, text string, score string, predicted int, `a.b` string")
+    lex = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    out = toxicity.without_toxic(docs, lex)
+    got = out.collect()
+    assert out.columns == docs.columns and 200 < len(got) < 240 and all(tuple(r)[2:] == ("keep", 7, "d") for r in got)
+
+
 def test_no_labels(spark):
     docs = spark.createDataFrame(corpus(20)[0], SCHEMA)
     empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")

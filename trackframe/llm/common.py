@@ -96,6 +96,18 @@ def delete(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """mapInArrow that takes columns of any name, dots included; run sees the names of df and gives those of schema."""
+    names = df.columns
+    plain = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema.fields)])
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in run(b.rename_columns(names) for b in batches):
+            yield b.rename_columns(plain.names)
+
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(go, plain).toDF(*schema.names)
+
+
 def map_texts(
     df: DataFrame,
     make: Callable[[], Callable[[list], Iterable[tuple]]],
@@ -127,7 +139,7 @@ def map_texts(
             yield pa.RecordBatch.from_arrays(arrays, names=keep + [f.name for f in fields])
 
     need = list(dict.fromkeys([*keep, *inputs]))
-    return df.select(*columns(need)).mapInArrow(run, schema)
+    return map_batches(df.select(*columns(need)), run, schema)
 
 
 def long_(name: str) -> T.StructField:

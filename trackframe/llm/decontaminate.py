@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import columns, fresh, map_batches, written
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 WINDOW = 10
@@ -204,6 +204,7 @@ def _search(docs: DataFrame, held: Broadcast[Phrases], keep: list[str], clean: b
     fields = [T.StructField("n_words", T.LongType())] + [T.StructField(n, T.ArrayType(T.LongType())) for n in ("starts", "ends")]
     fields += [T.StructField("items", T.ArrayType(T.StringType()))] + [T.StructField("text", T.StringType())] * clean
     schema = T.StructType([docs.schema[c] for c in keep] + fields)
+    names = [f"c{i}" for i in range(len(schema))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = held.value
@@ -213,32 +214,33 @@ def _search(docs: DataFrame, held: Broadcast[Phrases], keep: list[str], clean: b
             found, i = find(shard, p), 0
             for b in some:
                 part, data = found[i : i + b.num_rows], texts[i : i + b.num_rows]
-                cols = [b.column(b.schema.get_field_index(c)) for c in keep]
+                cols = list(b.columns)
                 cols.append(pa.array([len(s) for s in shard[i : i + b.num_rows]], pa.int64()))
                 cols += [pa.array([[s[k] for s in spans] for spans, _ in part], pa.list_(pa.int64())) for k in (0, 1)]
                 cols.append(pa.array([sorted(items) for _, items in part], pa.list_(pa.string())))
                 if clean:
                     cols.append(pa.array([t if t is None else (cut(t, spans) if spans else t).decode("utf-8", "replace") for t, (spans, _) in zip(data, part, strict=True)], pa.string()))
-                yield pa.RecordBatch.from_arrays(cols, names=schema.names)
+                yield pa.RecordBatch.from_arrays(cols, names=names)
                 i += b.num_rows
 
         some, texts, shard, n, size = [], [], [], 0, 0
         for b in batches:
-            for t in b.column(b.schema.get_field_index("_data")).to_pylist():
+            for t in b.column(b.num_columns - 1).to_pylist():
                 words = WORD.findall(t.lower()) if t else []
                 s = np.fromiter((get(w, 0) for w in words), np.int32, len(words))
                 texts.append(t if clean else None)
                 shard.append(s)
                 n += int(np.count_nonzero(s))
                 size += len(t or b"") if clean else 4 * len(s)
-            some.append(b.drop_columns(["_data"]))
+            some.append(b.select(range(b.num_columns - 1)))
             if n >= shard_symbols or size >= SHARD_BYTES:
                 yield from flush(some, texts, shard)
                 some, texts, shard, n, size = [], [], [], 0, 0
         if some:
             yield from flush(some, texts, shard)
 
-    return docs.select(*keep, F.col("text").cast("binary").alias("_data")).mapInArrow(run, schema)
+    (data,) = fresh(docs, "_data")
+    return map_batches(docs.select(*columns(keep), F.col("text").cast("binary").alias(data)), run, schema)
 
 
 def blocks(items: DataFrame, parts: int) -> Iterator[Broadcast[Phrases]]:
@@ -312,24 +314,33 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_words: int =
 
 
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS, shard_symbols: int = SHARD_SYMBOLS) -> DataFrame:
-    """docs, with each text cut once by the merged spans of the whole benchmark, items without id included."""
+    """docs, with each text cut once by the merged spans of the whole benchmark, items without id included.
+
+    Null and empty texts stay; rows alike are cut alike; columns besides the text go through, whatever their names.
+    """
     items, parts = _items(benchmark, block_words, True)
+    plain = docs.columns
     if parts == 1:
-        kept = [c for c in docs.columns if c != "text"]
-        return _search(docs, next(blocks(items, 1)), kept, True, shard_symbols).select(*docs.columns)
+        kept = [c for c in plain if c != "text"]
+        out = _search(docs, next(blocks(items, 1)), kept, True, shard_symbols)
+        # the columns kept stand first and the text last, as names may be those of a search's columns
+        out = out.toDF(*[f"c{i}" for i in range(len(out.columns))])
+        places = {c: f"c{i}" for i, c in enumerate(kept)} | {"text": out.columns[-1]}
+        return out.select(*[places[c] for c in plain]).toDF(*plain)
     # spans follow from the text alone
     found = _each_block(docs.select(F.sha2("text", 256).alias("_text"), "text"), items, parts, ["_text"], shard_symbols, True)
-    spans = found.groupBy("_text").agg(F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))).alias("_spans"))  # a list a block
-    joined = docs.withColumn("_text", F.sha2("text", 256)).join(spans, "_text", "left").select(*docs.columns, "_spans")
+    of_text, spans = fresh(docs, "_text", "_spans")
+    lists = found.groupBy(F.col("_text").alias(of_text)).agg(F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))).alias(spans))  # a list a block
+    joined = docs.withColumn(of_text, F.sha2("text", 256)).join(lists, of_text, "left").select(*columns(plain), spans)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at, texts = b.schema.get_field_index("text"), []
-            for t, x in zip(b.column("text").to_pylist(), b.column("_spans").to_pylist(), strict=True):
+            for t, x in zip(b.column(at).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True):
                 if x:
                     both = _merged([s["starts"] for s in x], [s["ends"] for s in x])
                     t = cut(t.encode(), list(zip(*both, strict=True))).decode("utf-8", "replace")
                 texts.append(t)
-            yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type)).drop_columns(["_spans"])
+            yield b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type)).select(range(b.num_columns - 1))
 
-    return joined.mapInArrow(clean, docs.schema)
+    return map_batches(joined, clean, docs.schema)

@@ -12,7 +12,7 @@ not yet connected, so that large groups of near copies make few pairs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +23,9 @@ from pyspark.sql import types as T
 from . import simhash
 from .common import Scratch, checkpointed, columns, fresh, map_texts, row_key
 from .components import connected_components
+from .shingles import SEED, hasher
 
-SHINGLE, SEED = 5, 42
+SHINGLE = 5
 #: The least similarity of a link, as a fraction.
 NUM, DEN = 4, 5
 #: Sets that show which shingles are common, the sets of the sample that make one common, and most common shingles.
@@ -35,40 +36,8 @@ PART = 16
 BITMAP = 1024
 #: log2 of the most bits that mark the rows whose sets are compared: 16 MB.
 MARKS = 27
-#: Words that a task remembers the hashes of.
+#: Sets that a task remembers to have seen.
 CACHE = 1 << 20
-M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-
-
-def hasher(size: int = SHINGLE) -> Callable[[str | None], np.ndarray]:
-    """A function from a text to the 64-bit hashes of its shingles, repeats included, in order.
-
-    A shingle is `size` words, lower-cased in A-Z; fewer words are one shingle, none are none.
-    """
-    from xxhash import xxh64_intdigest
-
-    class Hashes(dict):
-        def __missing__(self, word: bytes) -> int:
-            if len(self) >= CACHE:
-                self.clear()
-            h = self[word] = xxh64_intdigest(word, SEED)
-            return h
-
-    known = Hashes()
-
-    def shingles(text: str | None) -> np.ndarray:
-        words = (text or "").encode().lower().split()  # bytes split at ASCII white space
-        w = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        n = max(len(w) - size + 1, min(len(w), 1))
-        x = np.full(n, min(len(w), size), np.uint64)
-        for k in range(min(len(w), size)):
-            x = (x ^ w[k : k + n]) * M1
-            x ^= x >> np.uint64(29)
-            x *= M2
-            x ^= x >> np.uint64(32)
-        return x
-
-    return shingles
 
 
 def prefix_size(n: int) -> int:
@@ -85,7 +54,7 @@ def _rows(docs: DataFrame) -> DataFrame:
     """key (of the row), doc_id, sid (of the set), n, fp (SimHash of the shingles) and bits (of the set) for each row."""
 
     def make():
-        shingles = hasher()
+        shingles = hasher(SHINGLE)
 
         def compute(texts: list) -> Iterator[tuple]:
             for t in texts:
@@ -115,7 +84,7 @@ def _marked(docs: DataFrame, keys: DataFrame) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = hasher()
+        shingles = hasher(SHINGLE)
         for b in batches:
             p = b.column("p").to_numpy()
             b = b.filter(pa.array((held.value[p >> 6] >> (p & 63) & 1).astype(bool)))
@@ -148,7 +117,7 @@ def _prefixes(docs: DataFrame, common: dict[int, int]) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast((ks, np.array([common[k] for k in ks.tolist()], np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, seen = hasher(), set()
+        shingles, seen = hasher(SHINGLE), set()
         ks, counts = held.value
         for b in batches:
             sids, sizes, hs, parts = [], [], [], []

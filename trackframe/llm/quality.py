@@ -17,12 +17,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, long_, map_texts, written
+from .common import WORD, columns, long_, map_texts, written
+from .shingles import sketcher
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks")
-#: Cutoffs of a feature are multiples of 1 / GRID, up to MOST of them: a bound on the histogram's size.
-GRID, MOST = 32, 640
+#: Cutoffs of a feature are multiples of 1 / GRID up to LINEAR, and as many for each doubling from there on.
+GRID, LINEAR = 32, 20.0
 MARKS = re.compile(r"[!?]")
 WINDOW = 5
 
@@ -56,16 +57,19 @@ def count_text(text: str | None) -> tuple[int, ...]:
 
 
 def count_features(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Add COUNTS of each whole text; a narrow map."""
+    """COUNTS of each whole text, and a sketch that near copies share; a narrow map."""
     keep = [c for c in df.columns if c != text] if keep is None else keep
 
     def make():
+        sketch = sketcher()
+
         def compute(texts: list) -> Iterator[tuple]:
-            return map(count_text, texts)
+            for t, (s,) in zip(texts, sketch(texts), strict=True):
+                yield *count_text(t), s
 
         return compute
 
-    return map_texts(df, make, [long_(c) for c in COUNTS], keep, (text,))
+    return map_texts(df, make, [long_(c) for c in (*COUNTS, "sketch")], keep, (text,))
 
 
 def base_failed() -> Column:
@@ -88,6 +92,12 @@ def features() -> dict[str, Column]:
     }
 
 
+def bin_of(feature: Column) -> Column:
+    """The cutoff's number that a feature reaches: ascending and without an end, but a histogram has some thousands."""
+    x = feature.cast("double")
+    return F.floor(GRID * F.when(x <= LINEAR, x).otherwise(LINEAR + LINEAR * F.log2(x / LINEAR)))
+
+
 def _tail(n: int, k: int, p: float) -> float:
     """P(Bin(n, p) <= k), exactly summed."""
     log = lambda i: math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)
@@ -114,13 +124,16 @@ def calibrate(counted: DataFrame, labels: DataFrame, stratum: str, risk: float =
 
     risk: share of a stratum's good documents that all rules together may reject, with probability `confidence` at
     least over all strata. gain: what a point of rejected good documents weighs against one of rejected bad ones.
-    The histogram is summed over all labelled rows; a stratum's part of it has at most features x MOST rows, and each
-    stratum is chosen on its own, so nothing meets on the driver. Labels with several rows an id count by their least.
+    The histogram is summed over all labelled rows but copies: of the rows of a stratum that share a sketch, that of the
+    least doc_id counts, or the draws would not be independent. Its bins follow the features' logarithms, and each stratum
+    is chosen on its own, so nothing meets on the driver. Labels with several rows an id count by their least.
     """
     named = features()
     labels = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = counted.where(~base_failed()).join(labels, "doc_id").select(F.col(stratum).alias("stratum"), "quality", *[c.alias(n) for n, c in named.items()])
-    long = rows.select("stratum", "quality", F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), F.least(F.floor(F.col(n) * GRID), F.lit(MOST)).alias("bin")) for n in named])).alias("x"))
+    rows = counted.where(~base_failed()).join(labels, "doc_id").select(F.col(stratum).alias("stratum"), "doc_id", "sketch", "quality", *[c.alias(n) for n, c in named.items()])
+    row = F.struct("doc_id", "quality", *named)
+    rows = rows.groupBy("stratum", "sketch").agg(F.min(row).alias("row")).select("stratum", "row.*")
+    long = rows.select("stratum", "quality", F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), bin_of(F.col(n)).alias("bin")) for n in named])).alias("x"))
     bins = long.groupBy("stratum", "x.feature", "x.bin").agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad"))
     bins = bins.withColumn("strata", F.lit(counted.select(stratum).distinct().count()))
     n_features = len(named)
@@ -140,13 +153,14 @@ def quality_rules(df: DataFrame, labels: DataFrame, stratum: str = "lang", **how
     Null and empty texts have no words, so the base rules reject them. Documents of a stratum without certified cutoffs
     (few or no labels, a null stratum among them) are judged by the base rules alone. Repeated rows are judged alike.
     """
-    counted = written(count_features(df.select("doc_id", F.col(stratum).cast("string").alias(stratum), "text"), keep=["doc_id", stratum]))
-    cuts = calibrate(counted, labels, stratum, **how)
+    (of,) = columns([stratum])
+    counted = written(count_features(df.select("doc_id", of.cast("string").alias("stratum"), "text"), keep=["doc_id", "stratum"]))
+    cuts = calibrate(counted, labels, "stratum", **how)
     # one row a stratum: feature to cutoff; strata with a cutoff are fewer than labels / 100, and AQE picks the join
     cuts = cuts.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("feature", "cutoff"))).alias("cuts"))
-    joined = counted.join(cuts, counted[stratum].eqNullSafe(cuts["stratum"]), "left")
+    joined = counted.join(cuts.withColumnRenamed("stratum", "of"), F.col("stratum").eqNullSafe(F.col("of")), "left")
     over = F.lit(False)
     for n, c in features().items():
-        over = over | F.coalesce(F.least(F.floor(c * GRID), F.lit(MOST)) > F.col("cuts")[n], F.lit(False))
+        over = over | F.coalesce(bin_of(c) > F.col("cuts")[n], F.lit(False))
     failed = base_failed()
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~over).alias("kept"))

@@ -46,7 +46,8 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan_secrets(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    docs = read_table(spark, sf_dir, "documents")
+    return secrets.scan_secrets(docs, keep=["doc_id"], words=secrets.frequent_words(docs))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,14 +1,22 @@
-"""Secret scan: fixed base patterns, and password guess costs for values in a credential context."""
+"""Secret scan: fixed base patterns, and password guess costs for values in a credential context.
+
+A value's cost is that of its cheapest segmentation, found by dynamic programming. The words of the ranked list are some
+fixed ones and then the words that most documents of the corpus hold, as those are what a guesser tries first.
+"""
 
 from __future__ import annotations
 
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import long_, map_texts, string_
 
@@ -35,19 +43,27 @@ WORDS = (
     "password pass admin welcome login user root test secret letmein master monkey dragon shadow love hello summer "
     "winter spring autumn sunshine princess football baseball superman batman ninja star angel magic money power "
     "office work home house computer internet server data base system default guest change temp private public "
-    "token key api code access account bank credit card mail email name first last city country house world "
+    "token key api code access account bank credit card mail email name first last city country world "
     "blue red green black white silver gold orange purple happy good best cool hot cold fire water earth wind "
     "king queen lord lady boy girl man woman baby mother father sister brother friend dog cat horse tiger lion"
 ).split()
+#: Words of the corpus that are ranked behind them.
+CORPUS_WORDS = 20_000
+LETTERS = re.compile(r"[^\W\d_]{3,16}")
 #: Rows of a keyboard; a walk steps along one.
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "qwertzuiop", "azertyuiop")
-LONGEST = 32
+#: Characters of the longest word, of the longest walk or repeat of a block, and of the longest block.
+LONGEST, SPAN, BLOCK = 32, 64, 8
 DATE = re.compile(
     r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:(?:19|20)\d\d)|(?:19|20)\d\d"
 )
 LEET = str.maketrans("013457@$!", "oleastasi")
 FOLLOWS = frozenset(x for r in ROWS for s in (r, r[::-1]) for x in zip(s, s[1:], strict=False))
-RANK = {w: i + 1 for i, w in reversed(list(enumerate(WORDS)))}
+
+
+def ranked(words: list[str] | None = None) -> dict[str, int]:
+    """Word to rank: WORDS, and then the words given that are not among them."""
+    return {w: i for i, w in enumerate(dict.fromkeys([*WORDS, *(words or [])]), 1)}
 
 
 def _alphabet(s: str) -> int:
@@ -55,39 +71,87 @@ def _alphabet(s: str) -> int:
     return max(n + 32 * any(not c.isalnum() for c in s), 10)
 
 
-@lru_cache(4096)
-def guess_cost(value: str) -> float:
-    """log10 of the guesses that the cheapest segmentation of value takes.
-
-    Segments: words of a ranked list (capitals and digit substitutions cost a factor of 2), dates, repeats of a
-    character, keyboard walks, and brute-force spans at the alphabet's size a character. Linear in the value's
-    length, as no listed segment but a brute-force character run or repeat is longer than LONGEST.
-    """
-    n, low = len(value), value.lower()
-    plain = low.translate(LEET)
-    brute = math.log10(_alphabet(value))
-    best = [0.0] + [math.inf] * n
-    repeat = walk = 1
-    for j in range(1, n + 1):
-        best[j] = best[j - 1] + brute
-        repeat = repeat + 1 if j > 1 and value[j - 1] == value[j - 2] else 1
-        walk = walk + 1 if j > 1 and (low[j - 2], low[j - 1]) in FOLLOWS else 1
-        if repeat >= 3:
-            best[j] = min(best[j], best[j - repeat] + brute + math.log10(repeat))
-        if walk >= 3:
-            best[j] = min(best[j], best[j - walk] + math.log10(40 * walk))
-        for i in range(max(0, j - LONGEST), j - 2):
-            rank = RANK.get(low[i:j])
-            if rank is None and (rank := RANK.get(plain[i:j])) is not None:
-                rank *= 2
-            if rank is not None:
-                best[j] = min(best[j], best[i] + math.log10(rank * (1 + (value[i:j] != low[i:j])) + 1))
-            elif j - i in (4, 8, 10) and value[j - 1].isdigit() and DATE.fullmatch(value[i:j]):
-                best[j] = min(best[j], best[i] + math.log10(365 * 100 if j - i > 4 else 120))
-    return best[n]
-
-
-def spans(text: str | None, least_cost: float = 8.0) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
+def word_cost(s: str, ranks: dict[str, int]) -> float:
+    """log10 of the guesses for one word; capitals and digit substitutions cost a factor of 2 each. Inf: no word."""
+    low = s.lower()
+    rank = ranks.get(low)
+    if rank is None and (rank := ranks.get(low.translate(LEET))) is not None:
+        rank *= 2
+    return math.inf if rank is None else math.log10(rank * (1 + (s != low)) + 1)
+
+
+def date_cost(s: str) -> float:
+    if len(s) not in (4, 8, 10) or not s[-1].isdigit() or not DATE.fullmatch(s):
+        return math.inf
+    return math.log10(365 * 100 if len(s) > 4 else 120)
+
+
+class Guesses:
+    """Guess costs by a ranked list of words."""
+
+    def __init__(self, words: list[str] | None = None):
+        self.ranks = ranked(words)
+        self.cost = lru_cache(4096)(self._cost)
+
+    def block_cost(self, unit: str, brute: float) -> float:
+        """Of one block that is repeated: brute force, or a word."""
+        return min(brute * len(unit), word_cost(unit, self.ranks))
+
+    def _cost(self, value: str, enough: float = math.inf) -> float:
+        """log10 of the guesses that the cheapest segmentation of value takes; from `enough` on, some lower bound of it.
+
+        Segments: words of the ranked list; dates; a character repeated 3 times or more; a block of 2 to BLOCK characters
+        repeated twice or more, and a keyboard walk of 3 characters or more, both of SPAN characters at most; brute-force
+        characters at the alphabet's size. Linear in the value's length: a repeated character begins at most LONGEST
+        places into its run, as only a word that overlaps the run's start can be cheaper than more of the repeat.
+        """
+        n, low = len(value), value.lower()
+        brute = math.log10(_alphabet(value))
+        best = [0.0] + [math.inf] * n
+        repeat = walk = 1
+        for j in range(1, n + 1):
+            cost = best[j - 1] + brute
+            repeat = repeat + 1 if j > 1 and value[j - 1] == value[j - 2] else 1
+            walk = walk + 1 if j > 1 and (low[j - 2], low[j - 1]) in FOLLOWS else 1
+            for i in range(j - repeat, min(j - repeat + LONGEST, j - 3) + 1):
+                cost = min(cost, best[i] + brute + math.log10(j - i))
+            for i in range(max(j - min(walk, SPAN), 0), j - 2):
+                cost = min(cost, best[i] + math.log10(40 * (j - i)))
+            for size in range(2, min(BLOCK, j // 2) + 1):
+                unit, i, times = value[j - size : j], j - 2 * size, 2
+                while i >= 0 and size * times <= SPAN and value[i : i + size] == unit:
+                    cost = min(cost, best[i] + self.block_cost(unit, brute) + math.log10(times))
+                    i, times = i - size, times + 1
+            for i in range(max(0, j - LONGEST), j - 2):
+                if best[i] < cost:
+                    part = value[i:j]
+                    cost = min(cost, best[i] + word_cost(part, self.ranks), best[i] + date_cost(part))
+            best[j] = cost
+            # no segment but a repeated character goes over SPAN places: one of these costs is part of any whole
+            if j >= SPAN and repeat < SPAN and min(best[j - SPAN + 1 : j + 1]) >= enough:
+                return min(best[j - SPAN + 1 : j + 1])
+        return best[n]
+
+
+def frequent_words(docs: DataFrame, most: int = CORPUS_WORDS) -> list[str]:
+    """The `most` words of letters that most documents hold, lower-case, the most frequent first; ties by name."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, int] = {}
+        for b in batches:
+            for t in b.column("text").to_pylist():
+                for w in set(LETTERS.findall((t or "").lower())):
+                    counts[w] = counts.get(w, 0) + 1
+            if len(counts) > 300_000:  # a bound on the task's memory: the rest is summed after the shuffle
+                yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["w", "n"])
+                counts = {}
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["w", "n"])
+
+    found = docs.select("text").mapInArrow(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    return [r["w"] for r in found.orderBy(F.desc("n"), "w").limit(most).collect()]
+
+
+def spans(text: str | None, least_cost: float = 8.0, guesses: Guesses | None = None) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """(base spans, spans of the method) of a whole text, as (start, end, kind); null: none."""
     base: list[tuple[int, int, str]] = []
     more: list[tuple[int, int, str]] = []
@@ -99,14 +163,19 @@ def spans(text: str | None, least_cost: float = 8.0) -> tuple[list[tuple[int, in
     if "AKIA" in text:
         base += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     base += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
+    base.sort(key=lambda s: (s[0], KINDS.index(s[2])))
     if any(w in low for w in CONTEXT_WORDS):
+        guesses = guesses or Guesses()
+        starts = [s for s, _, _ in base]
+        ends = list(accumulate((e for _, e, _ in base), max))  # the furthest end of the spans up to each
         for m in CONTEXT.finditer(text):
             value = m[2].rstrip(".,;)")
             a, b = m.start(2), m.start(2) + len(value)
-            if len(value) >= 4 and not any(s <= a and b <= e for s, e, _ in base) and guess_cost(value) >= least_cost:
+            before = bisect_right(starts, a)
+            inside = before > 0 and ends[before - 1] >= b
+            if len(value) >= 4 and not inside and guesses.cost(value, least_cost) >= least_cost:
                 more.append((a, b, "guess"))
-    order = lambda s: (s[0], KINDS.index(s[2]))
-    return sorted(base, key=order), sorted(more, key=order)
+    return base, more
 
 
 def as_text(found: list[tuple[int, int, str]]) -> str:
@@ -114,18 +183,21 @@ def as_text(found: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, b, k in found)
 
 
-def scan_secrets(df: DataFrame, text: str = "text", keep: list[str] | None = None, least_cost: float = 8.0) -> DataFrame:
+def scan_secrets(df: DataFrame, text: str = "text", keep: list[str] | None = None, least_cost: float = 8.0, words: list[str] | None = None) -> DataFrame:
     """Secrets in each whole text: n_assign, n_access, n_hex, base_sha256 and all spans (code points, end exclusive).
 
     One narrow map. Null and empty texts have no spans; repeated rows each get their own; other columns in keep
     (all but the text, if not given) go through. least_cost: log10 of guesses from which a value counts as a secret.
+    words: ranked words of the corpus (`frequent_words`), a list of bounded size.
     """
     keep = [c for c in df.columns if c != text] if keep is None else keep
 
     def make():
+        guesses = Guesses(words)
+
         def compute(texts: list) -> Iterator[tuple]:
             for t in texts:
-                base, more = spans(t, least_cost)
+                base, more = spans(t, least_cost, guesses)
                 n = [sum(k == kind for *_, k in base) for kind in KINDS[:3]]
                 yield (*n, hashlib.sha256(as_text(base).encode()).hexdigest(), as_text(base + more))
 

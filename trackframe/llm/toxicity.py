@@ -12,11 +12,13 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, held_out, map_texts
+from .common import held_out, map_batches, map_texts, row_key, written
+from .shingles import sketcher
 
 #: Letters of other scripts that look like Latin ones; fixed values.
 HOMOGLYPHS = {
@@ -42,14 +44,6 @@ def fold(text: str | None) -> list[str]:
     return words
 
 
-def sketch(text: str) -> int:
-    """The least hash of three words in a row: near copies mostly share it."""
-    from xxhash import xxh64_intdigest
-
-    words = text.lower().split()
-    return min((xxh64_intdigest(" ".join(words[i : i + 3])) for i in range(max(len(words) - 2, 1))), default=0) >> 1
-
-
 def parts(words: list[str]) -> set[str]:
     """Entries that a text could support: " word " and " stem"."""
     out = set()
@@ -59,10 +53,8 @@ def parts(words: list[str]) -> set[str]:
     return out
 
 
-def _counted(df: DataFrame, make, names: list[str]) -> DataFrame:
+def _counted(df: DataFrame, make) -> DataFrame:
     """Sum counts by entry over tasks, each of which adds up its own rows first."""
-    import pyarrow as pa
-
     def run(batches: Iterator) -> Iterator:
         count = make()
         sums: dict[str, list[int]] = {}
@@ -140,45 +132,50 @@ def _fit(x: np.ndarray, y: np.ndarray, rounds: int = 30, ridge: float = 0.05) ->
     return tuple(float(v) for v in w)
 
 
-def train(docs: DataFrame, labels: DataFrame, most_rows: int = 50_000, most_entries: int = 5000, least: int = 4, least_share: float = 0.008, least_weight: float = 2.5, exceptions: bool = True) -> Lexicon:
-    """Learn from labelled rows that aren't held out.
-
-    most_rows bounds the training sample: labelled ids are taken by hash so that about as many remain (all, if fewer).
-    Only their ids (12 bytes each) are broadcast; texts stay where they are. most_entries bounds the lexicon. An entry
-    stands in `least` toxic documents, and least_share of them: rarer words are those of copies of one document.
-    Rows without an id, a label or a text don't train; an id with several labels takes the largest.
-    """
+def _training_rows(docs: DataFrame, labels: DataFrame, most_rows: int) -> DataFrame:
+    """text, toxic: the rows to learn from, in a table of their own; at most about most_rows, one of each group of copies."""
     labels = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     labels = labels.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     n = max(labels.count(), 1)
     sample = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(n)) < most_rows)
-    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(sample), "doc_id")
-    # copies would make any word of theirs look toxic: of rows with one sketch, one trains; again only ids are broadcast
-    sketched = map_texts(rows, lambda: lambda texts: ((sketch(t),) for t in texts), [T.StructField("sketch", T.LongType())], ["doc_id", "toxic"])
-    distinct = sketched.groupBy("sketch", "toxic").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    rows = rows.join(F.broadcast(checkpointed(distinct)), "doc_id", "left_semi")
+    rows = docs.select(row_key().alias("key"), "doc_id", "text").where("text is not null").join(F.broadcast(sample), "doc_id")
+    # copies would make any word of theirs look toxic: of rows with one sketch, one trains
+    rows = written(map_texts(rows, sketcher, [T.StructField("sketch", T.LongType())], ["key", "text", "toxic"]))
+    first = written(rows.groupBy("sketch", "toxic").agg(F.min("key").alias("key")).select("key").distinct())
+    few = rows.join(first, "key").dropDuplicates(["key"])  # rows that share an id and differ are rows of their own
+    n = max(first.count(), 1)
+    return written(few.where(F.pmod(F.xxhash64("key"), F.lit(n)) < most_rows).select("text", "toxic"))
+
+
+def train(docs: DataFrame, labels: DataFrame, most_rows: int = 50_000, least: int = 4, least_share: float = 0.008, least_weight: float = 2.5, exceptions: bool = True) -> Lexicon:
+    """Learn from labelled rows that aren't held out.
+
+    most_rows bounds the training sample: labelled ids are taken by hash so that about as many remain (all, if fewer),
+    and then rows alike. Only ids (12 bytes each) are broadcast; the rows are stored once. An entry stands in `least` toxic
+    documents, and least_share of them: rarer words are those of copies of one document. So the sample bounds the entries:
+    a document's words over least_share, on average. Rows without an id, a label or a text don't train; an id with several
+    labels takes the largest.
+    """
+    rows = _training_rows(docs, labels, most_rows)
     totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     clean_n, toxic_n = totals.get(0, 0), totals.get(1, 0)
     if not toxic_n:
         return Lexicon({})
 
     least_docs = max(least, round(least_share * toxic_n))
-    found = _counted(rows.where("toxic = 1"), lambda: lambda text: parts(fold(text)), ["part"])
-    # what is shared by a given share of toxic documents: at most 1 / share x parts in a document, and cut to the bound
-    candidates = {r["part"]: r["toxic"] for r in found.where(F.col("toxic") >= least_docs).orderBy(F.desc("toxic"), "part").limit(20 * most_entries).collect()}
+    found = _counted(rows.where("toxic = 1"), lambda: lambda text: parts(fold(text)))
+    candidates = {r["part"]: r["toxic"] for r in found.where(F.col("toxic") >= least_docs).collect()}
 
     def against():
         def count(text):
-            words = fold(text)
-            hits = parts(words) & candidates.keys()
-            return hits
+            return parts(fold(text)) & candidates.keys()
 
         return count
 
-    clean = {r["part"]: r["clean"] for r in _counted(rows.where("toxic = 0"), against, ["part"]).collect()}
+    clean = {r["part"]: r["clean"] for r in _counted(rows.where("toxic = 0"), against).collect()}
     weight = lambda p, t: math.log((t + 0.5) / (toxic_n + 1)) - math.log((clean.get(p, 0) + 0.5) / (clean_n + 1))
-    strong = sorted(((weight(p, t), t, p) for p, t in candidates.items() if 20 * clean.get(p, 0) * toxic_n <= t * max(clean_n, 1)), reverse=True)
-    weights = {p: w for w, _, p in strong[:most_entries] if w >= least_weight}
+    strong = {p: weight(p, t) for p, t in candidates.items() if 20 * clean.get(p, 0) * toxic_n <= t * max(clean_n, 1)}
+    weights = {p: w for p, w in strong.items() if w >= least_weight}
     lexicon = Lexicon(weights)
 
     if exceptions and weights:
@@ -196,8 +193,8 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 50_000, most_entr
 
             return count
 
-        pairs = _counted(rows, phrases, ["part"]).where("clean >= 3 and toxic = 0").orderBy(F.desc("clean"), "part").limit(most_entries)
-        lexicon.exceptions = frozenset(r["part"] for r in pairs.collect())
+        # pairs with an entry that several clean rows of the sample hold, and no toxic one
+        lexicon.exceptions = frozenset(r["part"] for r in _counted(rows, phrases).where("clean >= 3 and toxic = 0").collect())
 
     def make():
         match = lexicon.matcher()
@@ -208,14 +205,14 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 50_000, most_entr
         return compute
 
     both = [T.StructField("a", T.DoubleType()), T.StructField("b", T.DoubleType())]
-    # about most_rows rows of 20 bytes at most
-    fit = map_texts(rows, make, both, ["toxic"]).toPandas()
+    # about most_rows rows of 20 bytes at most; in order, so that reruns agree to the last bit
+    fit = map_texts(rows, make, both, ["toxic"]).toPandas().sort_values(["toxic", "a", "b"])
     lexicon.coef = _fit(fit[["a", "b"]].to_numpy(), fit["toxic"].to_numpy(dtype=float))
     return lexicon
 
 
 def score_texts(df: DataFrame, lexicon: Lexicon, keep: list[str], text: str = "text", threshold: float = 0.7) -> DataFrame:
-    """Add score and predicted to each row, one narrow map over whole texts; null and empty texts get the least score."""
+    """keep, score and predicted of each row, one narrow map over whole texts; null and empty texts get the least score."""
 
     def make():
         match = lexicon.matcher()
@@ -230,6 +227,17 @@ def score_texts(df: DataFrame, lexicon: Lexicon, keep: list[str], text: str = "t
     return map_texts(df, make, [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())], keep, (text,))
 
 
+def without_toxic(docs: DataFrame, lexicon: Lexicon, threshold: float = 0.7) -> DataFrame:
+    """The rows of docs, all their columns as they are, whose score is under the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        match = lexicon.matcher()
+        for b in batches:
+            yield b.filter(pa.array([lexicon.score(match(t)) < threshold for t in b.column(b.schema.get_field_index("text")).to_pylist()], pa.bool_()))
+
+    return map_batches(docs, run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, **how) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of docs; repeated rows score alike, other columns play no part."""
     lexicon = train(docs, labels, **how)
