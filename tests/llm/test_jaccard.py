@@ -101,3 +101,29 @@ def test_shared_rows_over_batches():
         batches = [pa.RecordBatch.from_arrays([pa.array(x) for x in (*p, p[2], p[2])], names=["h", "part", "sid", "n", "at"]) for p in parts]
         got = [(r["h"], r["sid"]) for b in jaccard._shared(iter(batches)) for r in b.to_pylist()]
         assert sorted(got) == want
+
+
+def test_bitmaps_bound_the_overlap():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n, m, shared in ((5, 5, 0), (300, 310, 290), (300, 310, 100), (900, 4000, 800), (3000, 3100, 3000)):
+        both = np.unique(rng.integers(0, 1 << 63, n + m - shared, dtype=np.uint64))
+        a, b = both[:n], both[n - shared :]
+        bound = jaccard.most_overlap(jaccard.bitmap(a).tobytes(), jaccard.bitmap(b).tobytes(), n + m)
+        assert shared <= bound <= shared + 0.6 * (max(n, m) - shared) + 30
+
+
+def test_large_group_of_near_copies(spark, monkeypatch):
+    rng = random.Random(12)
+    monkeypatch.setattr(jaccard, "BLOCK", 16)  # several blocks a shingle
+    centre = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(90):
+        w = list(centre)
+        for _ in range(rng.randrange(1, 9)):
+            w[rng.randrange(150)] = f"x{rng.randrange(1000)}"
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    got = {r["doc_id"] for r in jaccard.one_of_each(docs).collect()}
+    assert got == {min(r[0] for r in g) for g in brute_kept(rows)} and 1 < len(got) < 60

@@ -7,7 +7,8 @@ prune, so prefixes complete them: in any order of all shingles, two sets of simi
 leading n - ceil(4/5 n) + 1 shingles of each, so no pair is missed. The order puts shingles that a sample shows to be
 common last. Candidates pass a filter of bitmaps, which bounds their overlap from above, and then are compared exactly.
 First come those with the least and the greatest set of each shared shingle, and then, of all others, the pairs that are
-not yet connected, so that large groups of near copies make few pairs.
+not yet connected: in rounds, each set with the one that it can overlap most, so that large groups of near copies are
+connected by few comparisons.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,10 +34,16 @@ NUM, DEN = 4, 5
 SAMPLE, COMMON, MOST_COMMON = 4096, 3, 1 << 18
 #: Sets of the sample for each part that the sets of a very common shingle are dealt to.
 PART = 16
-#: Bits of a set's bitmap.
+#: Least bits of a set's bitmap; it has 2 to 4 for each shingle.
 BITMAP = 1024
+#: Rounds of comparisons with the best candidates only.
+ROUNDS = 2
 #: log2 of the most bits that mark the rows whose sets are compared: 16 MB.
 MARKS = 27
+#: Sets of a shared shingle up to which all their pairs are made; above, they are compared by blocks of so many.
+PAIRED, BLOCK = 32, 2048
+#: Rows of a block that are compared at once.
+STRIP = 128
 #: Sets that a task remembers to have seen.
 CACHE = 1 << 20
 
@@ -50,6 +58,25 @@ def _sid(s: np.ndarray) -> int:
     return int(np.uint64(xxh64_intdigest(s.tobytes(), SEED)).view(np.int64))
 
 
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """Parity bits (in 64-bit words) of a set's hashes, by their lowest bits: a power of 2 that grows with the set."""
+    size = max(BITMAP, 1 << (2 * len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.uint64)
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """The bitmap of the same set with fewer words."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, words), axis=0)
+
+
+def most_overlap(a: bytes, b: bytes, total: int) -> int:
+    """A bound of the overlap of two sets: a bit on which their bitmaps differ is an element that they do not share."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    n = min(len(x), len(y))
+    return (total - int(np.bitwise_count(folded(x, n) ^ folded(y, n)).sum())) // 2
+
+
 def _rows(docs: DataFrame) -> DataFrame:
     """key (of the row), doc_id, sid (of the set), n, fp (SimHash of the shingles) and bits (of the set) for each row."""
 
@@ -60,8 +87,7 @@ def _rows(docs: DataFrame) -> DataFrame:
             for t in texts:
                 h = shingles(t)
                 s = np.unique(h)
-                odd = np.bincount((s & np.uint64(BITMAP - 1)).astype(np.int64), minlength=BITMAP) & 1
-                yield _sid(s), len(s), int(np.uint64(simhash.majority(h)).view(np.int64)), np.packbits(odd.astype(bool)).tobytes()
+                yield _sid(s), len(s), int(np.uint64(simhash.majority(h)).view(np.int64)), bitmap(s).tobytes()
 
         return compute
 
@@ -172,26 +198,26 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _filtered(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose bitmaps do not rule the least similarity out: a bit on which they differ is an element not shared."""
+    """u, v, bound: the pairs whose bitmaps do not rule the least similarity out, and the share that they can overlap."""
     held = sets.select("sid", "n", "bits")
     both = pairs.join(held.toDF("u", "n1", "b1"), "u").join(held.toDF("v", "n2", "b2"), "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            a, b = (np.frombuffer(b"".join(x.column(c).to_pylist()), np.uint64).reshape(-1, BITMAP // 64) for c in ("b1", "b2"))
             total = x.column("n1").to_numpy() + x.column("n2").to_numpy()
-            overlap = (total - np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)) // 2  # at most
-            yield x.select(["u", "v"]).filter(pa.array((NUM + DEN) * overlap >= NUM * total))
+            overlap = np.array([most_overlap(a, b, t) for a, b, t in zip(x.column("b1").to_pylist(), x.column("b2").to_pylist(), total.tolist(), strict=True)], np.int64)
+            overlap = np.minimum(overlap, np.minimum(x.column("n1").to_numpy(), x.column("n2").to_numpy()))
+            rows = pa.RecordBatch.from_arrays([x.column("u"), x.column("v"), pa.array(overlap / np.maximum(total, 1))], names=["u", "v", "bound"])
+            yield rows.filter(pa.array((NUM + DEN) * overlap >= NUM * total))
 
-    return both.mapInArrow(run, "u long, v long")
+    return both.select("u", "v", "n1", "n2", "b1", "b2").mapInArrow(run, "u long, v long, bound double")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """The pairs (u, v) whose sets have the least similarity or more."""
-    left = scratch.written(_filtered(pairs, sets))
-    keys = scratch.written(left.select(F.col("u").alias("sid")).union(left.select("v")).distinct().join(sets.select("sid", "key"), "sid").select("key"))
+    keys = scratch.written(pairs.select(F.col("u").alias("sid")).union(pairs.select("v")).distinct().join(sets.select("sid", "key"), "sid").select("key"))
     held = scratch.written(_marked(docs, keys).join(keys, "key", "left_semi").dropDuplicates(["sid"]).select("sid", "shingles"))
-    both = left.join(held.toDF("u", "a"), "u").join(held.toDF("v", "b"), "v")
+    both = pairs.join(held.toDF("u", "a"), "u").join(held.toDF("v", "b"), "v")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -202,6 +228,30 @@ def _similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scratc
     return scratch.written(both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long"))
 
 
+def _connected(pairs: DataFrame, edges: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """Edges that connect what the given edges and the similar ones of the pairs (u, v, bound) connect.
+
+    Each round compares every set with the partner of the largest bound, each way, and leaves out what is then connected;
+    after ROUNDS all pairs that are left are compared.
+    """
+    for k in range(ROUNDS + 1):
+        roots = checkpointed(connected_components(edges))
+        a, b = roots.toDF("u", "ru"), roots.toDF("v", "rv")
+        apart = pairs.join(a, "u", "left").join(b, "v", "left").where(F.coalesce("ru", "u") != F.coalesce("rv", "v"))
+        pairs = scratch.written(apart.select("u", "v", "bound"))
+        if pairs.isEmpty():
+            return edges
+        if k < ROUNDS:
+            both = pairs.union(pairs.select("v", "u", "bound"))
+            best = both.groupBy("u").agg(F.max(F.struct("bound", "v"))["v"].alias("v"))
+            best = scratch.written(best.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+            pairs = pairs.join(best, ["u", "v"], "left_anti")
+        else:
+            best = pairs.select("u", "v")
+        edges = scratch.written(edges.union(_similar(best, sets, docs, scratch)))
+    return edges
+
+
 def _pairs(a: DataFrame, b: DataFrame, also: Column | None = None) -> DataFrame:
     """u, v: pairs of sets that meet at h and can be similar if h is the first shingle that they share."""
     overlap = F.least(F.col("n1") - F.col("at1"), F.col("n2") - F.col("at2"))  # at most
@@ -210,6 +260,37 @@ def _pairs(a: DataFrame, b: DataFrame, also: Column | None = None) -> DataFrame:
     return met.select(F.least("sid1", "sid2").alias("u"), F.greatest("sid1", "sid2").alias("v")).distinct()
 
 
+def _in_blocks(named: DataFrame, sets: DataFrame) -> DataFrame:
+    """h, sid, root, many (sets of h) -> u, v: pairs with different roots whose bitmaps allow the least similarity.
+
+    The sets of a shingle are dealt to blocks, and each pair of blocks meets in a task, which compares the bitmaps and
+    gives out what passes: no row is made for any other pair.
+    """
+    blocks = F.ceil(F.col("many") / BLOCK)
+    own = F.pmod(F.xxhash64("sid"), blocks)
+    dealt = named.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    dealt = dealt.select("h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "root").join(sets.select("sid", "n", "bits"), "sid")
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        i, j = part["i"].iloc[0], part["j"].iloc[0]
+        both = [part if i == j else part[part["own"] == k] for k in (i, j)]
+        (sa, ra, na), (sb, rb, nb) = ([x[c].to_numpy(np.int64) for c in ("sid", "root", "n")] for x in both)
+        a, b = (np.stack([folded(np.frombuffer(d, np.uint64), BITMAP // 64) for d in x["bits"]]) for x in both)
+        us, vs = [], []
+        for at in range(0, len(sa), STRIP):
+            k = slice(at, at + STRIP)
+            total = na[k, None] + nb[None, :]
+            apart = sum(np.bitwise_count(a[k, w, None] ^ b[None, :, w]).astype(np.int64) for w in range(BITMAP // 64))
+            overlap = np.minimum((total - apart) // 2, np.minimum(na[k, None], nb[None, :]))
+            x, y = np.nonzero(((NUM + DEN) * overlap >= NUM * total) & (ra[k, None] != rb[None, :]))
+            us.append(sa[k][x])
+            vs.append(sb[y])
+        u, v = np.concatenate(us), np.concatenate(vs)
+        return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)}).drop_duplicates()
+
+    return dealt.groupBy("h", "i", "j").applyInPandas(compare, "u long, v long")
+
+
 def _by_fingerprint(sets: DataFrame, scratch: Scratch) -> DataFrame:
     """u, v: pairs that connect the sets whose fingerprints differ in 2 bits or fewer, one at most for each set twice over."""
     named = sets.groupBy("fp").agg(F.min("sid").alias("rep"))
@@ -227,16 +308,17 @@ def linked(docs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     member = F.struct("sid", "n", "at")
     hubs = shared.groupBy("h").agg(F.array(F.min(member), F.max(member)).alias("hubs")).select("h", F.inline("hubs")).distinct()
     first = _pairs(shared.toDF(*[c + "1" for c in shared.columns]), hubs.toDF("h2", "sid2", "n2", "at2"))
-    first = scratch.written(first.union(_by_fingerprint(sets, scratch)).distinct())
+    first = scratch.written(_filtered(first.union(_by_fingerprint(sets, scratch)).distinct(), sets))
     edges = _similar(first, sets, docs, scratch)
     roots = connected_components(edges).withColumnRenamed("id", "sid")
     named = shared.join(roots, "sid", "left").select("h", "sid", "n", "at", F.coalesce("root", "sid").alias("root"))
-    open_ = named.groupBy("h").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("h")
-    named = scratch.written(named.join(open_, "h", "left_semi"))
-    a, b = (named.toDF(*[c + k for c in named.columns]) for k in "12")
-    rest = _pairs(a, b, F.col("root1") != F.col("root2"))
-    rest = scratch.written(rest.join(first, ["u", "v"], "left_anti"))
-    return edges.union(_similar(rest, sets, docs, scratch))
+    open_ = named.groupBy("h").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("many")).where("a < b").select("h", "many")
+    named = scratch.written(named.join(open_, "h"))
+    few = named.where(F.col("many") <= PAIRED).drop("many")
+    a, b = (few.toDF(*[c + k for c in few.columns]) for k in "12")
+    rest = _pairs(a, b, F.col("root1") < F.col("root2")).union(_in_blocks(named.where(F.col("many") > PAIRED), sets)).distinct()
+    rest = scratch.written(_filtered(rest.join(first, ["u", "v"], "left_anti"), sets))
+    return _connected(rest, edges, sets, docs, scratch)
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -253,7 +335,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     # of equal sets first, so that large groups of copies are summed up before they are joined
     sets = rows.groupBy("sid").agg(F.min(order).alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bits").alias("bits"))
     sets = scratch.written(sets.select("sid", "first", F.col("first.key").alias("key"), "n", "fp", "bits"))
-    roots = checkpointed(connected_components(checkpointed(linked(plain, sets, scratch))).withColumnRenamed("id", "sid"))
+    roots = checkpointed(connected_components(linked(plain, sets, scratch)).withColumnRenamed("id", "sid"))
     (key,) = fresh(docs, "_key")
     least = checkpointed(sets.select("sid", "first").join(roots, "sid", "left").groupBy(F.coalesce("root", "sid")).agg(F.min("first")["key"].alias(key)).select(key))
     scratch.clear()
