@@ -121,9 +121,11 @@ def test_large_group_of_near_copies(spark, monkeypatch):
     rows = []
     for i in range(90):
         w = list(centre)
-        for _ in range(rng.randrange(1, 9)):
+        for _ in range(rng.randrange(1, 6)):
             w[rng.randrange(150)] = f"x{rng.randrange(1000)}"
         rows.append((i, " ".join(w)))
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
     got = {r["doc_id"] for r in jaccard.one_of_each(docs).collect()}
-    assert got == {min(r[0] for r in g) for g in brute_kept(rows)} and 1 < len(got) < 60
+    want = {min(r[0] for r in g) for g in brute_kept(rows)}
+    assert got == want, (len(got), len(want))
+    assert 1 < len(got) < 80, len(got)
