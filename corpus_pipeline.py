@@ -1,8 +1,8 @@
 """The corpus pipeline: from raw documents to token files, one operator a stage.
 
-Each stage is judged on what its predecessor kept: toxic documents go; of near-duplicates the one with the least doc_id
+Each stage works on what its predecessor kept: toxic documents go; of near-duplicates the one with the least doc_id
 stays; passages of the benchmark are cut out of the texts; sources are mixed, so that a document leaves or comes again;
-and the mix is written as token ids and read back.
+and the mix is written as token ids and read back. A stage's table is deleted when the next one's is written.
 """
 
 from __future__ import annotations
@@ -12,24 +12,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackframe.llm import decontaminate, jaccard, mixing, tokens, toxicity
-from trackframe.llm.common import read_table, written
+from trackframe.llm.common import Scratch, read_table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score of 0.7 or more go; null and empty texts score least and stay."""
     lexicon = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
-    return toxicity.score_texts(docs, lexicon, docs.columns).where("predicted = 0").select(*docs.columns)
+    return toxicity.without_toxic(docs, lexicon)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts linked by a Jaccard similarity of 0.8 or more of five-word shingles, the one with the least doc_id stays."""
+    """Of texts linked by a similarity of 0.8 or more of their five-word shingles, the one with the least doc_id stays.
+
+    The operator's vantage-point trees find the nearest fingerprints; links that fingerprints miss are found by prefixes.
+    """
     return jaccard.one_of_each(docs)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of the benchmark are cut out; n_chars follows the text."""
     cut = decontaminate.remove_contamination(docs, read_table(spark, sf_dir, "benchmark"))
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return cut.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +57,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    docs, held = read_table(spark, sf_dir, "documents"), Scratch()
+    for _, stage in STAGES:
+        before, held = held, Scratch()
+        docs = held.written(stage(spark, docs, sf_dir))
+        before.clear()
+    return docs
