@@ -189,6 +189,43 @@ def test_licenses(spark):
     assert licenses.scan_licenses(df.limit(0)).count() == 0
 
 
+def wrapped(text, prefix="", width=80):
+    import textwrap
+
+    return "\n".join(prefix + x for x in textwrap.wrap(text, width - len(prefix)))
+
+
+def test_wrapped_texts_tags_and_holders(spark):
+    t = licenses.TEMPLATES
+    mit = wrapped("Copyright (c) 2019 Jane Q. Doe and others") + "\n\n" + wrapped(t["MIT"][2].replace("MIT License Copyright (c) ", ""))
+    code = "\n\nimport os\n\ndef f(x):\n    return x + 1\n" * 40
+    files = [
+        ("m/LICENSE", mit), ("m/a.py", "x = 1"), ("b/LICENSE.txt", wrapped(t["BSD-3-Clause"][2].replace("(c)", "(c) 2001 Some One"), width=72)), ("b/c/d.py", None),
+        ("apache.py", wrapped(t["Apache-2.0"][2], "# ") + code), ("gpl.c", "/*\n" + wrapped(t["GPL-3.0"][1], " * ") + "\n */" + code),
+        ("tag.py", "# SPDX-License-Identifier: MIT" + code), ("holder.py", "Copyright (c) 2021 Jane Doe. Released under the MIT License." + code),
+        ("nc.md", "licensed under CC BY-NC 4.0" + code), ("talk.md", "We spoke about the license of the building and its permission." + code),
+    ]
+    filler = [(f"z/{i}.txt", f"the words of file {i} are about this and that of {i * 7}, under the tree and for a person") for i in range(200)]
+    got = {r["path"]: (r["own_license"], r["license"]) for r in licenses.scan_licenses(spark.createDataFrame(files + filler, "path string, text string")).collect()}
+    want = {"m/LICENSE": "MIT", "b/LICENSE.txt": "BSD-3-Clause", "apache.py": "Apache-2.0", "gpl.c": "GPL-3.0", "tag.py": "MIT", "holder.py": "MIT", "nc.md": "CC-BY-NC-4.0", "talk.md": None}
+    assert {k: got[k][0] for k in want} == want
+    assert got["m/a.py"] == (None, "MIT") and got["b/c/d.py"] == (None, "BSD-3-Clause") and got["z/1.txt"] == (None, None)
+
+
+def test_licenses_against_sql(spark, tmp_path):
+    rng = random.Random(6)
+    shown = [x for v in licenses.tagged(licenses.TEMPLATES).values() for x in v]
+    word = lambda: rng.choice(["the", "of", "license", "copy", "work", "and", "2.0", "permission", "v1"])
+    rows = []
+    for i in range(150):
+        parts = [" ".join(word() for _ in range(rng.randrange(1, 30))) for _ in range(rng.randrange(4))]
+        parts += rng.sample([*shown, wrapped(rng.choice(shown), "# ")], rng.randrange(3))
+        rows.append((i, rng.choice(["\n", "\n\n", ". "]).join(parts), rng.choice(["en", "de", None]), rng.choice(["a", "b", None]), 1))
+    rows += [(900, None, "en", "a", 0), (901, "", "en", "c", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").toPandas().to_parquet(tmp_path / "documents.parquet")
+    assert oracle.same(spark, str(tmp_path), queries.op3_licenses, queries.OP3_SQL) == len(rows)
+
+
 def test_cosine_by_brute_force(spark):
     import math
     import re
@@ -197,22 +234,22 @@ def test_cosine_by_brute_force(spark):
     df = spark.createDataFrame([(f"f{i}", t) for i, t in enumerate(texts)], "path string, text string")
     got = {r["path"]: r for r in licenses.scan_licenses(df, least=0.0).collect()}
     split = lambda t: [w for w in re.split(r"[^\w.]+|\.(?!\d)", t.lower()) if w]
-    known = {w for ts in licenses.TEMPLATES.values() for t in ts for w in split(t)}
+    shown = licenses.tagged(licenses.TEMPLATES)
+    known = {w for ts in shown.values() for t in ts for w in split(t)}
     n = len(texts)
     df_ = {w: sum(w in set(split(t)) for t in texts) for w in known}
-    idf = {w: 1 + math.log((n + 1) / (df_[w] + 1)) for w in known} | {"": 1 + math.log(n + 1)}
+    idf = {w: 1 + math.log((n + 1) / (df_[w] + 1)) for w in known}
 
     def vector(t):
         v = {}
         for w in split(t):
-            w = w if w in known else ""
-            v[w] = v.get(w, 0) + idf[w]
+            v[w] = v.get(w, 0) + idf.get(w, 1 + math.log(n + 1))
         return v
 
     def cosine(a, b):
         norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
-        return sum(x * b.get(w, 0) for w, x in a.items() if w) / norm(a) / norm(b)
+        return sum(x * b.get(w, 0) for w, x in a.items()) / norm(a) / norm(b)
 
     for i, t in enumerate(texts):
-        score, name = max(((round(cosine(vector(t), vector(x)), 6), k) for k, xs in licenses.TEMPLATES.items() for x in xs), key=lambda p: (p[0], [-ord(c) for c in p[1]]))
+        score, name = max(((round(cosine(vector(t), vector(x)), 6), k) for k, xs in shown.items() for x in xs), key=lambda p: (p[0], [-ord(c) for c in p[1]]))
         assert abs(got[f"f{i}"]["score"] - score) < 1e-5 and got[f"f{i}"]["own_license"] == name

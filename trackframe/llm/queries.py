@@ -183,10 +183,10 @@ FROM dw LEFT JOIN hit ON hit.doc_id = dw.doc_id LEFT JOIN items ON items.doc_id
 """
 
 
-_TEMPLATES = ", ".join("('{}', {}, '{}')".format(name, k, t.replace("'", "''")) for name, texts in licenses.TEMPLATES.items() for k, t in enumerate(texts))
+_TEMPLATES = ", ".join("('{}', {}, '{}')".format(name, k, t.replace("'", "''")) for name, texts in licenses.tagged(licenses.TEMPLATES).items() for k, t in enumerate(texts))
 _TERMS = r"regexp_extract_all(lower({}), '(?:[\p{{L}}\p{{N}}]|\.\p{{N}})+')"
-_WORDS = r"len(regexp_split_to_array(trim({}), '\s+'))"
-#: Licence headers by cosine, and the licence files of directories.
+_CUED = "regexp_matches({}, '" + licenses.CUE + "')"
+#: Licence headers and files by cosine, and the licence files of directories.
 OP3_SQL = rf"""
 WITH tpl AS (SELECT * FROM (VALUES {_TEMPLATES}) v(license, variant, template)),
 tterm AS (SELECT license, variant, unnest({_TERMS.format("template")}) AS w FROM tpl),
@@ -196,22 +196,25 @@ freq AS (SELECT w, count(*) AS df FROM (SELECT DISTINCT k, w FROM (SELECT row_nu
 idf AS (SELECT w, 1 + ln((n + 1)::DOUBLE / (coalesce(df, 0) + 1)) AS idf FROM known CROSS JOIN n LEFT JOIN freq USING (w)),
 tvec AS (SELECT license, variant, w, count(*) * any_value(idf) AS x FROM tterm JOIN idf USING (w) GROUP BY 1, 2, 3),
 tnorm AS (SELECT license, variant, sqrt(sum(x * x)) AS tnorm FROM tvec GROUP BY 1, 2),
-line AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS header FROM documents),
-head AS (SELECT doc_id, text, header FROM line WHERE regexp_matches(header, '{licenses.CUE}')),
-hterm AS (SELECT header, unnest({_TERMS.format("header")}) AS w FROM (SELECT DISTINCT header FROM head)),
-hvec AS (SELECT header, k.w AS w, count(*) * coalesce(any_value(idf), 1 + ln((any_value(n) + 1)::DOUBLE)) AS x FROM hterm CROSS JOIN n LEFT JOIN idf k ON k.w = hterm.w GROUP BY 1, 2),
-hnorm AS (SELECT header, sqrt(sum(x * x)) AS hnorm FROM hvec GROUP BY 1),
-dots AS (SELECT header, license, variant, sum(hvec.x * tvec.x) AS d FROM hvec JOIN tvec USING (w) GROUP BY 1, 2, 3),
-cosine AS (SELECT header, license, round(d / (hnorm * tnorm), 6) AS score FROM dots JOIN hnorm USING (header) JOIN tnorm USING (license, variant)),
-best AS (SELECT header, license, score FROM cosine QUALIFY row_number() OVER (PARTITION BY header ORDER BY score DESC, license) = 1),
-scored AS (SELECT doc_id, {_WORDS.format("text")} AS n_words, {_WORDS.format("header")} AS len, license, coalesce(score, 0) AS score FROM head LEFT JOIN best USING (header)),
-own AS (
-  SELECT doc_id, count(*) AS n_headers, coalesce(sum(len) FILTER (score >= 0.7), 0) >= 0.5 * any_value(n_words) AS is_file,
-    min(license) FILTER (score = m) AS own_license, any_value(m) AS score
-  FROM (SELECT *, max(score) OVER (PARTITION BY doc_id) AS m FROM scored) GROUP BY doc_id HAVING any_value(m) >= 0.7
-), place AS (SELECT doc_id, coalesce(source, '-') || '/' || coalesce(lang, '-') AS dir FROM documents),
-dirs AS (SELECT dir, own_license AS dir_license FROM own JOIN place USING (doc_id) WHERE is_file QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, own_license) = 1)
-SELECT p.doc_id, own_license, score, coalesce(n_headers, 0) AS n_headers, coalesce(own_license, dir_license) AS license,
+cued AS (SELECT doc_id, text, list_filter(string_split(text, chr(10)), lambda x: {_CUED.format("x")}) AS lines FROM documents WHERE {_CUED.format("text")}),
+unit AS (
+  SELECT doc_id, lines, true AS whole, text AS unit FROM cued
+  UNION ALL SELECT DISTINCT doc_id, lines, false, unit FROM (
+    SELECT doc_id, lines, unnest(list_concat(lines,
+      list_filter(flatten(list_transform(lines, lambda x: string_split(regexp_replace(x, '{licenses.SENTENCE}', '\1' || chr(10), 'g'), chr(10)))), lambda x: {_CUED.format("x")}),
+      list_filter(string_split_regex(text, '{licenses.PARAGRAPH}'), lambda x: {_CUED.format("x")}))) AS unit FROM cued)
+),
+uterm AS (SELECT unit, unnest({_TERMS.format("unit")}) AS w FROM (SELECT DISTINCT unit FROM unit)),
+uvec AS (SELECT unit, u.w AS w, count(*) * coalesce(any_value(idf), 1 + ln((any_value(n) + 1)::DOUBLE)) AS x FROM uterm u CROSS JOIN n LEFT JOIN idf k ON k.w = u.w GROUP BY 1, 2),
+unorm AS (SELECT unit, sqrt(sum(x * x)) AS unorm FROM uvec GROUP BY 1),
+dots AS (SELECT unit, license, variant, sum(uvec.x * tvec.x) AS d FROM uvec JOIN tvec USING (w) GROUP BY 1, 2, 3),
+cosine AS (SELECT unit, license, round(d / (unorm * tnorm), 6) AS score FROM dots JOIN unorm USING (unit) JOIN tnorm USING (license, variant)),
+best AS (SELECT unit, license, score FROM cosine QUALIFY row_number() OVER (PARTITION BY unit ORDER BY score DESC, license) = 1),
+scored AS (SELECT doc_id, len(lines) AS n_headers, whole, license, score FROM unit JOIN best USING (unit) WHERE score >= 0.7),
+own AS (SELECT doc_id, n_headers, license AS own_license, score FROM scored QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) = 1),
+place AS (SELECT doc_id, coalesce(source, '-') || '/' || coalesce(lang, '-') AS dir FROM documents),
+dirs AS (SELECT dir, license AS dir_license FROM scored JOIN place USING (doc_id) WHERE whole QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, license) = 1)
+SELECT p.doc_id, own_license, score, coalesce(n_headers, 0)::INTEGER AS n_headers, coalesce(own_license, dir_license) AS license,
   CASE WHEN own_license IS NOT NULL THEN 'own' WHEN dir_license IS NOT NULL THEN 'dir:' || p.dir END AS whence
 FROM place p LEFT JOIN own USING (doc_id) LEFT JOIN dirs ON dirs.dir = p.dir
 """
