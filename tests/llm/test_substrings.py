@@ -3,15 +3,17 @@ import random
 
 import numpy as np
 
+from xxhash import xxh64_intdigest
+
 from trackframe.llm import substrings as s
 
 SCHEMA = "doc_id long, text string, d long, n_bytes long"
 
 
 def brute(rows):
-    """Rows in order of doc_id (null first) and text."""
+    """Rows in order of doc_id (null first) and the text's hash."""
     seen, out = set(), []
-    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode())):
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, 42 if r[1] is None else int(np.uint64(xxh64_intdigest(r[1], 42)).view(np.int64)))):
         t = (text or "").encode()
         gone = np.zeros(len(t), bool)
         for i in range(len(t) - 99):
@@ -73,12 +75,12 @@ def test_long_text_in_stretches(spark, monkeypatch):
     monkeypatch.setattr(s, "CHUNK", 333)
     got = set()
     for rows, offsets, parts in s._pieces(texts):
-        text, h, c, place = s.anchors(parts)
+        text, _, h, c, place = s.anchors(parts)
         for k, hh, p in zip(text.tolist(), h.tolist(), place.tolist(), strict=True):
             at = (p >> 16) + offsets[k]
             got |= {(rows[k], i, at, hh) for i in range(at - (p >> 8 & 255), at - (p & 255) + 1)}
     monkeypatch.setattr(s, "CHUNK", 1 << 21)
-    text, h, c, place = s.anchors(texts)
+    text, _, h, c, place = s.anchors(texts)
     whole = {(k, i, p >> 16, hh) for k, hh, p in zip(text.tolist(), h.tolist(), place.tolist(), strict=True) for i in range((p >> 16) - (p >> 8 & 255), (p >> 16) - (p & 255) + 1)}
     assert got == whole and len(whole) == sum(len(x) - 99 for x in texts)
 

@@ -40,6 +40,13 @@ def test_codes_round_trip_and_random_access(ids):
     assert [tokens.dac_get(levels, i) for i in range(len(ids))] == ids
 
 
+def spark_hash(text):
+    """xxhash64 of a text as Spark has it, signed."""
+    import xxhash
+
+    return 42 if text is None else int(np.uint64(xxhash.xxh64_intdigest(text, 42)).view(np.int64))
+
+
 def test_token_output(spark):
     rng = random.Random(3)
     rows = [(i, " ".join(rng.choice(["the", "und", "été,", "x1.", "\n"]) for _ in range(rng.randrange(60))), "en", "a", 1) for i in range(200)]
@@ -48,7 +55,7 @@ def test_token_output(spark):
     df = tokens.token_output(spark.createDataFrame(rows, SCHEMA), PATH, segment=100)
     got = {(r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in df.collect()}
     at, want = 0, set()
-    for d, text, *_ in sorted(rows, key=lambda r: (r[0], r[1] or "")):
+    for d, text, *_ in sorted(rows, key=lambda r: (r[0], spark_hash(r[1]))):
         ids = np.array([*whole([text])[0], 0], "<u4")
         want.add((at, d, len(ids), zlib.crc32(ids.tobytes())))
         at += len(ids)
@@ -56,9 +63,47 @@ def test_token_output(spark):
     assert tokens.token_output(spark.createDataFrame([], SCHEMA), PATH).count() == 0
 
 
-def test_random_access_through_files(spark, tmp_path):
-    tokens.write_tokens(spark.createDataFrame([(1, "one two"), (2, "three four five")], "doc_id long, text string"), str(tmp_path / "t"), PATH)
-    assert tokens.get_tokens(spark, str(tmp_path / "t"), 2, 1) == whole(["three four five"])[0][1]
+def test_random_access_through_files(spark, tmp_path, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(tokens, "ROW_GROUP", 4096)
+    rng = random.Random(4)
+    rows = [(3 * i, " ".join(rng.choice(["one", "two", "vierzehn", "été"]) for _ in range(rng.randrange(400)))) for i in range(600)] + [(None, "no id")]
+    path = str(tmp_path / "t")
+    tokens.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), path, PATH, segment=500)
+    ids = {d: [*whole([t])[0], 0] for d, t in rows}
+    for d, i in ((0, 0), (3, len(ids[3]) - 1), (900, len(ids[900]) // 2), (1797, 0)):
+        assert tokens.get_token(spark, path, d, i) == ids[d][i]
+    with pytest.raises(KeyError):
+        tokens.get_token(spark, path, 4, 0)
+    with pytest.raises(IndexError):
+        tokens.get_token(spark, path, 3, len(ids[3]))
+    # statistics lead to few of many row groups, whose pages are neither compressed nor dictionary-encoded
+    plan = tokens.segments_of(spark, path, 900)._jdf.queryExecution().toString()
+    assert "LessThanOrEqual(least,900)" in plan and "GreaterThanOrEqual(most,900)" in plan
+    groups = [m.row_group(g) for f in glob.glob(path + "/part-*") for m in [pq.ParquetFile(f).metadata] for g in range(m.num_row_groups)]
+    column = lambda g, name: next(g.column(c) for c in range(g.num_columns) if g.column(c).path_in_schema == name)
+    hold = [g for g in groups if (x := column(g, "least").statistics).has_min_max and x.min <= 900 and column(g, "most").statistics.max >= 900]
+    assert len(groups) > 20 and 1 <= len(hold) <= 3
+    assert {g.column(c).compression for g in groups for c in range(g.num_columns)} == {"UNCOMPRESSED"}
+    assert all("DICTIONARY" not in e for g in groups for c in range(g.num_columns) for e in g.column(c).encodings)
+
+
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    import json
+
+    said = json.load(open(PATH, encoding="utf-8"))
+    said["pre_tokenizer"]["add_prefix_space"] = True
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(said))
+    from tokenizers import Tokenizer
+
+    texts = ["don't, can't.  Two  spaces", None, "a"]
+    assert tokens.by_pieces(PATH) and not tokens.by_pieces(str(other))
+    want = [e.ids for e in Tokenizer.from_file(str(other)).encode_batch([x or "" for x in texts], add_special_tokens=False)]
+    assert [x.tolist() for x in tokens.Encoder(str(other)).encode(texts)] == want
 
 
 def fill(sizes, share=1.5, most=2.0):

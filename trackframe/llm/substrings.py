@@ -2,14 +2,15 @@
 
 Every LENGTH-byte window of a text has an anchor: of the suffixes that start in it and have KMER bytes in it, the one
 whose leading bytes hash lowest. Equal windows have equal anchors at equal places, so it is enough to sort the anchors'
-suffixes. These are range-partitioned by sampled splitters of their leading bytes' hash, sorted within the buckets, and
-compared with their neighbours, across the boundaries of buckets too:
+suffixes. These are range-partitioned by sampled splitters, by their leading 8 bytes and then the hash of the leading 32,
+sorted within the buckets, and compared with their neighbours, across the boundaries of buckets too:
 
 1. Anchors that stand for the same stretch of windows in the same context: all but the first lose the whole stretch.
 2. Anchors with equal leading bytes in different contexts share some windows only: their contexts are fetched, and the
    windows in them sorted and compared one by one.
 
-A suffix is 32 bytes here (hash of its leading bytes, hash of its context, document, place), whatever its length.
+A suffix is 40 bytes here (its leading bytes, their hash, hash of its context, document, place), whatever its length.
+What is removed is equal in 128 bits of hashes: two of 64 bits each.
 """
 
 from __future__ import annotations
@@ -32,26 +33,33 @@ GROUP = 2048
 #: Contexts that a task holds at once, with the groups they complete.
 HELD = 20_000
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+M3, M4 = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 PLACE = np.uint64((1 << 31) - 1)
 
 
-def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def mix(a: np.ndarray, b: np.ndarray, m1: np.uint64 = M1, m2: np.uint64 = M2) -> np.ndarray:
     """A 64-bit hash of two, in that order."""
-    a = a * M1
+    a = a * m1
     a ^= a >> np.uint64(29)
     a += b
-    a *= M2
+    a *= m2
     a ^= a >> np.uint64(32)
     return a
 
 
-def kmer_hashes(data: np.ndarray) -> np.ndarray:
-    """The hash of the KMER bytes from each place on."""
+def leading(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place on, the first the lowest."""
     x = data.astype(np.uint64)
     for k in (1, 2, 4):
         x = x[:-k] | (x[k:] << np.uint64(8 * k))
+    return x
+
+
+def kmer_hashes(data: np.ndarray, m1: np.uint64 = M1, m2: np.uint64 = M2) -> np.ndarray:
+    """The hash of the KMER bytes from each place on."""
+    x = leading(data)
     for k in (8, 16):
-        x = mix(x[:-k], x[k:])
+        x = mix(x[:-k], x[k:], m1, m2)
     return x
 
 
@@ -64,7 +72,7 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(text, k-mer hash, context hash, place) of the anchors of some texts.
+    """(text, leading bytes in their order, k-mer hash, context hash, place) of the anchors of some texts.
 
     place: the anchor's place << 16 | bytes before it to its first window << 8 | bytes before it to its last window.
     """
@@ -76,7 +84,7 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     at = np.repeat(ends - sizes, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)  # window starts
     if not len(at):
         none = np.zeros(0, np.int64)
-        return none, none, none, none
+        return none, none, none, none, none
     h = kmer_hashes(buf)
     low = sliding_min((h & ~PLACE) | np.arange(len(h), dtype=np.uint64), LENGTH - KMER + 1)
     anchor = (low[at] & PLACE).astype(np.int64)
@@ -88,7 +96,8 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     before, after = anchor - first, anchor - last
     context = mix(context, (before << 8 | after).astype(np.uint64))
     place = (anchor - (ends - sizes)[text]) << 16 | before << 8 | after
-    return text, h[anchor].view(np.int64), context.view(np.int64), place
+    lead = (leading(buf)[anchor].byteswap() ^ np.uint64(1 << 63)).view(np.int64)  # signed numbers in the order of the bytes
+    return text, lead, h[anchor].view(np.int64), context.view(np.int64), place
 
 
 def _pieces(texts: list[bytes | None]) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
@@ -111,9 +120,9 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids = b.column("d").to_numpy()
         for rows, offsets, parts in _pieces(b.column("text").to_pylist()):
-            text, h, c, place = anchors(parts)
+            text, lead, h, c, place = anchors(parts)
             place = place + (np.array(offsets, np.int64)[text] << 16)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h, c, ids[np.array(rows)[text]], place)], names=["h", "c", "d", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (lead, h, c, ids[np.array(rows)[text]], place)], names=["lead", "h", "c", "d", "place"])
 
 
 REPEAT, PARTIAL, EDGE = 0, 1, 2
@@ -150,27 +159,30 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out(EDGE, held)
 
 
-def windows_of(contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context, offset, hash) of all LENGTH-byte windows of some contexts."""
+def windows_of(contexts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(context, offset, hash, another hash) of all LENGTH-byte windows of some contexts."""
     sizes = np.array([len(c) for c in contexts], np.int64)
-    h = kmer_hashes(np.frombuffer(b"".join(contexts) + b"\0" * LENGTH, np.uint8))
+    data = np.frombuffer(b"".join(contexts) + b"\0" * LENGTH, np.uint8)
     n = sizes - LENGTH + 1
     which = np.repeat(np.arange(len(contexts)), n)
     offset = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
     at = (np.cumsum(sizes) - sizes)[which] + offset
-    return which, offset, mix(mix(h[at], h[at + KMER]), mix(h[at + 2 * KMER], h[at + LENGTH - KMER]))
+    out = []
+    for m in ((M1, M2), (M3, M4)):
+        h = kmer_hashes(data, *m)
+        out.append(mix(mix(h[at], h[at + KMER], *m), mix(h[at + 2 * KMER], h[at + LENGTH - KMER], *m), *m))
+    return which, offset, *out
 
 
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contexts sorted by leading bytes, document and place -> stretches (d, a, b) of windows that start earlier, too."""
 
     def done(h: np.ndarray, d: np.ndarray, a: np.ndarray, data: list[bytes]) -> pa.RecordBatch:
-        which, offset, w = windows_of(data)
+        which, offset, w, w2 = windows_of(data)
         # equal windows lie at equal places about their anchor, so the order of anchors is that of windows
-        w = mix(w, h[which].view(np.uint64))
-        order = np.argsort(w, kind="stable")
+        order = np.lexsort((w2, w))
         again = np.zeros(len(w), bool)
-        again[order[1:]] = w[order[1:]] == w[order[:-1]]
+        again[order[1:]] = (w[order[1:]] == w[order[:-1]]) & (w2[order[1:]] == w2[order[:-1]])
         key = (which << 8) + offset
         found = key[again]
         start = np.flatnonzero(np.r_[True, np.diff(found) != 1]) if len(found) else np.zeros(0, np.int64)
@@ -205,11 +217,11 @@ def _zipped(rows: DataFrame) -> DataFrame:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with their partial anchors -> contexts; of large groups, windows (hash in h)."""
+    """Texts with their partial anchors -> contexts; of large groups, windows (hashes in h and g)."""
     import zstandard
 
     unzip = zstandard.ZstdDecompressor().decompress
-    names = ["large", "h", "d", "place", "data"]
+    names = ["large", "h", "g", "d", "place", "data"]
     for b in batches:
         small: list[tuple] = []
         large: list[tuple] = []
@@ -221,14 +233,13 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 (large if x["large"] else small).append(row)
         if small:
             h, d, place, data = zip(*small, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array([False] * len(h)), pa.array(h, pa.int64()), pa.array(d, pa.int64()), pa.array(place, pa.int64()), pa.array(data, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array([False] * len(h)), pa.array(h, pa.int64()), pa.nulls(len(h), pa.int64()), pa.array(d, pa.int64()), pa.array(place, pa.int64()), pa.array(data, pa.binary())], names=names)
         if large:
             h, d, place, data = zip(*large, strict=True)
-            which, offset, w = windows_of(list(data))
+            which, offset, w, w2 = windows_of(list(data))
             place = np.array(place, np.int64)
             start = ((place >> 16) - (place >> 8 & 255))[which] + offset
-            w = mix(w, np.array(h, np.int64).view(np.uint64)[which]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([True] * len(w)), pa.array(w), pa.array(np.array(d, np.int64)[which]), pa.array(start), pa.nulls(len(w), pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array([True] * len(w)), pa.array(w.view(np.int64)), pa.array(w2.view(np.int64)), pa.array(np.array(d, np.int64)[which]), pa.array(start), pa.nulls(len(w), pa.binary())], names=names)
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -265,7 +276,7 @@ def dedup_substrings(docs: DataFrame, group: int = GROUP) -> DataFrame:
 
     A byte goes if a 100-byte string over it starts earlier, too: in a smaller doc_id, or before in the same text. Null
     texts are empty; texts of under 100 bytes stay whole. Rows that share a doc_id, or have none, are ordered by
-    doc_id (null first) and text, so of repeated rows the first stays; they are numbered in a table of their own.
+    doc_id (null first) and a hash of the text, so of repeated rows the first stays; they are numbered in a table of their own.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
@@ -273,10 +284,12 @@ def dedup_substrings(docs: DataFrame, group: int = GROUP) -> DataFrame:
     if unique:
         rows = rows.withColumn("d", F.col("doc_id"))
     else:
-        rows = written(rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text").withColumn("d", F.monotonically_increasing_id()))
-    suffixes = rows.select("d", "text").mapInArrow(_suffixes, "h long, c long, d long, place long")
+        rows = rows.withColumn("o", F.xxhash64("text"))  # texts are no range keys: samples of these go to the driver
+        rows = written(rows.repartitionByRange("doc_id", "o").sortWithinPartitions("doc_id", "o", "text").drop("o").withColumn("d", F.monotonically_increasing_id()))
+    suffixes = rows.select("d", "text").mapInArrow(_suffixes, "lead long, h long, c long, d long, place long")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    dealt = suffixes.repartitionByRange("h", "c", "d", "place").sortWithinPartitions("h", "c", "d", "place")
+    order = ("lead", "h", "c", "d", "place")
+    dealt = suffixes.repartitionByRange(*order).sortWithinPartitions(*order).drop("lead")
     found = written(dealt.mapInArrow(_compare, "kind byte, h long, c long, d long, place long"))
 
     # what meets at the ends of buckets: for each bucket, the contexts of its first and last leading bytes
@@ -290,11 +303,11 @@ def dedup_substrings(docs: DataFrame, group: int = GROUP) -> DataFrame:
 
     many = written(partial.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group).select("h", F.lit(True).alias("large")))
     of_doc = partial.join(many, "h", "left").groupBy("d").agg(F.collect_list(F.struct("h", "place", F.coalesce("large", F.lit(False)).alias("large"))).alias("found"))
-    contexts = written(_zipped(rows).join(of_doc, "d").mapInArrow(_contexts, "large boolean, h long, d long, place long, data binary"))
-    small = contexts.where("not large").repartition("h").sortWithinPartitions("h", "d", "place").mapInArrow(_resolve, "d long, a long, b long")
-    windows = contexts.where("large").select("h", "d", F.col("place").alias("a"))
-    first = written(windows.groupBy("h").agg(F.min(F.struct("d", "a")).alias("m"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h", F.col("m.d").alias("d0"), F.col("m.a").alias("a0")))
-    large = windows.join(first, "h").where((F.col("d") != F.col("d0")) | (F.col("a") != F.col("a0"))).select("d", "a", (F.col("a") + LENGTH).alias("b"))
+    contexts = written(_zipped(rows).join(of_doc, "d").mapInArrow(_contexts, "large boolean, h long, g long, d long, place long, data binary"))
+    small = contexts.where("not large").drop("g").repartition("h").sortWithinPartitions("h", "d", "place").mapInArrow(_resolve, "d long, a long, b long")
+    windows = contexts.where("large").select("h", "g", "d", F.col("place").alias("a"))
+    first = written(windows.groupBy("h", "g").agg(F.min(F.struct("d", "a")).alias("m"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "g", F.col("m.d").alias("d0"), F.col("m.a").alias("a0")))
+    large = windows.join(first, ["h", "g"]).where((F.col("d") != F.col("d0")) | (F.col("a") != F.col("a0"))).select("d", "a", (F.col("a") + LENGTH).alias("b"))
 
     at, before, after = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(255), F.col("place").bitwiseAND(255)
     spans = repeat.select("d", (at - before).alias("a"), (at - after + LENGTH).alias("b")).union(small).union(large)

@@ -3,11 +3,14 @@
 A table of segments in ascending doc_id order. The ids of a segment are split into chunks of 8 bits: level 0 holds the
 low chunk of every id, and a continuation bitmap says which ids go on in level 1, and so on. A rank directory (ones
 before each block of 512 bits) finds an id's place in the next level, so any id is read without decoding its neighbours.
-Segments are rows of a Parquet table: Spark's commit protocol makes the write whole even if executors are lost.
+Segments are rows of a Parquet table: Spark's commit protocol makes the write whole even if executors are lost. Its pages
+are plain and uncompressed, and least and greatest doc_id of each segment stand beside it, so that a reader goes by the
+statistics of the row groups to the one that holds a document, and no block is decoded.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -28,6 +31,11 @@ from .common import shared_dir
 BLOCK = 512
 #: A segment ends with the document that brings it to so many ids.
 SEGMENT = 1 << 16
+#: Bytes of a row group, the least that a reader of one token takes from the file.
+ROW_GROUP = 1 << 20
+#: The pre-tokenizer and added tokens that Encoder's way of cutting texts is made for; other files encode whole texts.
+KNOWN = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+ADDED = ["<|endoftext|>"]
 #: Pieces that a worker remembers.
 CACHE = 600_000
 
@@ -107,6 +115,17 @@ class Numbers(dict):
         return n
 
 
+def by_pieces(path: str) -> bool:
+    """Whether the tokenizer's file says that it cuts texts as Encoder does: byte-level BPE of plain pieces."""
+    with open(path, encoding="utf-8") as f:
+        said = json.load(f)
+    pre, model = said.get("pre_tokenizer") or {}, said.get("model") or {}
+    plain = all(not model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    added = sorted(t["content"] for t in said.get("added_tokens") or [])
+    shown = {k: pre.get(k) for k in KNOWN} == KNOWN and added == ADDED and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in said["added_tokens"])
+    return shown and model.get("type") == "BPE" and plain and not said.get("normalizer") and not said.get("truncation")
+
+
 class Encoder:
     """Encodes whole texts with a tokenizer, each distinct piece once."""
 
@@ -115,6 +134,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.simple = by_pieces(path)
         self.tokenize = self.tokenizer.model.tokenize
         self.line_break = self._model("\n")
         vocabulary = self.tokenizer.get_vocab()
@@ -206,6 +226,8 @@ class Encoder:
         """The ids of each text; null: none."""
         if not texts:
             return []
+        if not self.simple:
+            return [np.array(x, np.uint32) for x in self._whole([t or "" for t in texts])]
         if self.known > CACHE:
             self.forget()
         odd = {i for i, t in enumerate(texts) if t and any(x in t for x in ODD)}
@@ -241,14 +263,15 @@ def _encoder(path: str) -> Encoder:
     return kept[path]
 
 
-LEVELS = "levels array<struct<chunks:binary,bits:binary,ranks:binary>>"
+SEGMENTS = "part int, seq int, first long, n_tokens long, least long, most long, doc_ids array<long>, sizes array<long>, levels array<struct<chunks:binary,bits:binary,ranks:binary>>"
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, segment: int = SEGMENT) -> None:
     """Write the ids of every whole text (null: empty), each followed by end_id, in ascending doc_id order (null first).
 
-    Texts are dealt by ranges of doc_id and sorted there, so files, segments and documents ascend; rows with one doc_id
-    stand next to each other. part: the range; seq: the segment in it; first: ids before it in the range.
+    Texts are dealt by ranges of doc_id (and a hash of the text, so that an id of many rows is several ranges) and sorted
+    there, so files, segments and documents ascend; rows with one doc_id stand next to each other. part: the range; seq:
+    the segment in it; first: ids before it in the range; least, most: of its doc_ids.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,8 +283,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, se
 
         def segment_row() -> pa.RecordBatch:
             sizes = [len(x) for x in ids]
+            known = [d for d in doc_ids if d is not None]
             levels = [dict(zip(("chunks", "bits", "ranks"), x, strict=True)) for x in dac_encode(np.concatenate(ids))]
-            row = {"part": part, "seq": seq, "first": first, "n_tokens": sum(sizes), "doc_ids": doc_ids, "sizes": sizes, "levels": levels}
+            row = {"part": part, "seq": seq, "first": first, "n_tokens": sum(sizes), "least": min(known, default=None), "most": max(known, default=None), "doc_ids": doc_ids, "sizes": sizes, "levels": levels}
             return pa.RecordBatch.from_pylist([row], schema=arrow)
 
         for b in batches:
@@ -276,17 +300,19 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, se
         if ids:
             yield segment_row()
 
-    schema = T.StructType.fromDDL(f"part int, seq int, first long, n_tokens long, doc_ids array<long>, sizes array<long>, {LEVELS}")
+    schema = T.StructType.fromDDL(SEGMENTS)
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
-    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    dealt.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
+    dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
+    dealt = dealt.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").drop("h")
+    plain = {"compression": "uncompressed", "parquet.enable.dictionary": "false", "parquet.block.size": str(ROW_GROUP), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "16"}
+    dealt.mapInArrow(run, schema).write.options(**plain).parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """Per document of the files: doc_id, start (ids of all documents before it), n_tokens and ids_crc32."""
-    table = spark.read.schema(f"part int, seq int, first long, n_tokens long, doc_ids array<long>, sizes array<long>, {LEVELS}").parquet(path)
+    table = spark.read.schema(SEGMENTS).parquet(path)
     # one row a range: as many as shuffle partitions
     totals = sorted((r["part"], r["n"]) for r in table.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())
     before, total = {}, 0
@@ -309,10 +335,21 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return table.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def get_tokens(spark: SparkSession, path: str, doc_id: int, i: int) -> int:
-    """Token i of a document, read from its segment alone by rank."""
-    row = spark.read.parquet(path).where(F.array_contains("doc_ids", doc_id)).select("doc_ids", "sizes", "levels").first()
+def segments_of(spark: SparkSession, path: str, doc_id: int) -> DataFrame:
+    """The segments that may hold a document: files and row groups whose statistics exclude it are not read."""
+    return spark.read.schema(SEGMENTS).parquet(path).where((F.col("least") <= doc_id) & (F.col("most") >= doc_id))
+
+
+def get_token(spark: SparkSession, path: str, doc_id: int, i: int) -> int:
+    """Token i of a document (the first, if several have its id), by rank, without decoding another."""
+    found = segments_of(spark, path, doc_id).where(F.array_contains("doc_ids", doc_id)).orderBy("part", "seq").limit(1)
+    # of the document's segment, the places and the levels' bytes: a segment's size is bounded by that of its last document
+    row = found.select("doc_ids", "sizes", "levels").first()
+    if row is None:
+        raise KeyError(doc_id)
     k = row["doc_ids"].index(doc_id)
+    if not 0 <= i < row["sizes"][k]:
+        raise IndexError(i)
     return dac_get([(x["chunks"], x["bits"], x["ranks"]) for x in row["levels"]], sum(row["sizes"][:k]) + i)
 
 
