@@ -7,8 +7,8 @@ prune, so prefixes complete them: in any order of all shingles, two sets of simi
 leading n - ceil(4/5 n) + 1 shingles of each, so no pair is missed. The order puts shingles that a sample shows to be
 common last. Candidates pass a filter of bitmaps, which bounds their overlap from above, and then are compared exactly.
 First come those with the least and the greatest set of each shared shingle, and then, of all others, the pairs that are
-not yet connected: in rounds, each set with the one that it can overlap most, so that large groups of near copies are
-connected by few comparisons.
+not yet connected: each set with the one that it can overlap most before the rest, so that large groups of near copies
+are connected by few comparisons.
 """
 
 from __future__ import annotations
@@ -36,8 +36,6 @@ SAMPLE, COMMON, MOST_COMMON = 4096, 3, 1 << 18
 PART = 16
 #: Least bits of a set's bitmap; it has 2 to 4 for each shingle.
 BITMAP = 1024
-#: Rounds of comparisons with the best candidates only.
-ROUNDS = 2
 #: log2 of the most bits that mark the rows whose sets are compared: 16 MB.
 MARKS = 27
 #: Sets of a shared shingle up to which all their pairs are made; above, they are compared by blocks of so many.
@@ -228,30 +226,6 @@ def _similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scratc
     return scratch.written(both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long"))
 
 
-def _connected(pairs: DataFrame, edges: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Edges that connect what the given edges and the similar ones of the pairs (u, v, bound) connect.
-
-    Each round compares every set with the partner of the largest bound, each way, and leaves out what is then connected;
-    after ROUNDS all pairs that are left are compared.
-    """
-    for k in range(ROUNDS + 1):
-        roots = checkpointed(connected_components(edges))
-        a, b = roots.toDF("u", "ru"), roots.toDF("v", "rv")
-        apart = pairs.join(a, "u", "left").join(b, "v", "left").where(F.coalesce("ru", "u") != F.coalesce("rv", "v"))
-        pairs = scratch.written(apart.select("u", "v", "bound"))
-        if pairs.isEmpty():
-            return edges
-        if k < ROUNDS:
-            both = pairs.union(pairs.select("v", "u", "bound"))
-            best = both.groupBy("u").agg(F.max(F.struct("bound", "v"))["v"].alias("v"))
-            best = scratch.written(best.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-            pairs = pairs.join(best, ["u", "v"], "left_anti")
-        else:
-            best = pairs.select("u", "v")
-        edges = scratch.written(edges.union(_similar(best, sets, docs, scratch)))
-    return edges
-
-
 def _pairs(a: DataFrame, b: DataFrame, also: Column | None = None) -> DataFrame:
     """u, v: pairs of sets that meet at h and can be similar if h is the first shingle that they share."""
     overlap = F.least(F.col("n1") - F.col("at1"), F.col("n2") - F.col("at2"))  # at most
@@ -260,11 +234,11 @@ def _pairs(a: DataFrame, b: DataFrame, also: Column | None = None) -> DataFrame:
     return met.select(F.least("sid1", "sid2").alias("u"), F.greatest("sid1", "sid2").alias("v")).distinct()
 
 
-def _in_blocks(named: DataFrame, sets: DataFrame) -> DataFrame:
+def _in_blocks(named: DataFrame, sets: DataFrame, best: bool) -> DataFrame:
     """h, sid, root, many (sets of h) -> u, v: pairs with different roots whose bitmaps allow the least similarity.
 
     The sets of a shingle are dealt to blocks, and each pair of blocks meets in a task, which compares the bitmaps and
-    gives out what passes: no row is made for any other pair.
+    gives out what passes: no row is made for any other pair. best: for each set only the pair of the largest bound.
     """
     blocks = F.ceil(F.col("many") / BLOCK)
     own = F.pmod(F.xxhash64("sid"), blocks)
@@ -274,17 +248,32 @@ def _in_blocks(named: DataFrame, sets: DataFrame) -> DataFrame:
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         i, j = part["i"].iloc[0], part["j"].iloc[0]
         both = [part if i == j else part[part["own"] == k] for k in (i, j)]
+        if not len(both[0]) or not len(both[1]):
+            return pd.DataFrame({"u": np.zeros(0, np.int64), "v": np.zeros(0, np.int64)})
         (sa, ra, na), (sb, rb, nb) = ([x[c].to_numpy(np.int64) for c in ("sid", "root", "n")] for x in both)
         a, b = (np.stack([folded(np.frombuffer(d, np.uint64), BITMAP // 64) for d in x["bits"]]) for x in both)
         us, vs = [], []
+        top, above = np.full(len(sb), -1.0), np.zeros(len(sb), np.int64)  # of each column: the largest bound, and its row
         for at in range(0, len(sa), STRIP):
             k = slice(at, at + STRIP)
             total = na[k, None] + nb[None, :]
             apart = sum(np.bitwise_count(a[k, w, None] ^ b[None, :, w]).astype(np.int64) for w in range(BITMAP // 64))
             overlap = np.minimum((total - apart) // 2, np.minimum(na[k, None], nb[None, :]))
-            x, y = np.nonzero(((NUM + DEN) * overlap >= NUM * total) & (ra[k, None] != rb[None, :]))
+            passes = ((NUM + DEN) * overlap >= NUM * total) & (ra[k, None] != rb[None, :])
+            if best:
+                bound = np.where(passes, overlap / total, -1.0)
+                x = np.flatnonzero(passes.any(axis=1))
+                y = bound[x].argmax(axis=1)
+                more = bound.max(axis=0) > top
+                top, above = np.where(more, bound.max(axis=0), top), np.where(more, at + bound.argmax(axis=0), above)
+            else:
+                x, y = np.nonzero(passes)
             us.append(sa[k][x])
             vs.append(sb[y])
+        if best:
+            y = np.flatnonzero(top >= 0)
+            us.append(sa[above[y]])
+            vs.append(sb[y])
         u, v = np.concatenate(us), np.concatenate(vs)
         return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)}).drop_duplicates()
 
@@ -300,6 +289,13 @@ def _by_fingerprint(sets: DataFrame, scratch: Scratch) -> DataFrame:
     return near.union(sets.select("sid", "fp").join(named, "fp").where("sid <> rep").select(F.col("rep").alias("u"), F.col("sid").alias("v")))
 
 
+def _open(shared: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
+    """h, sid, n, at, root, many: the sets of the shingles that sets of different components share."""
+    named = shared.join(roots.toDF("sid", "root"), "sid", "left").select("h", "sid", "n", "at", F.coalesce("root", "sid").alias("root"))
+    open_ = named.groupBy("h").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("many")).where("a < b").select("h", "many")
+    return scratch.written(named.join(open_, "h"))
+
+
 def linked(docs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     """docs: doc_id, text; sets: sid, key, n, fp, bits, a row a set -> u, v: edges whose components are those of all links."""
     prefixes = _prefixes(docs, _common(docs, sets))
@@ -310,15 +306,25 @@ def linked(docs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
     first = _pairs(shared.toDF(*[c + "1" for c in shared.columns]), hubs.toDF("h2", "sid2", "n2", "at2"))
     first = scratch.written(_filtered(first.union(_by_fingerprint(sets, scratch)).distinct(), sets))
     edges = _similar(first, sets, docs, scratch)
-    roots = connected_components(edges).withColumnRenamed("id", "sid")
-    named = shared.join(roots, "sid", "left").select("h", "sid", "n", "at", F.coalesce("root", "sid").alias("root"))
-    open_ = named.groupBy("h").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("many")).where("a < b").select("h", "many")
-    named = scratch.written(named.join(open_, "h"))
+
+    # of what is left, first the best partner of each set; then all pairs that are still apart
+    named = _open(shared, connected_components(edges), scratch)
     few = named.where(F.col("many") <= PAIRED).drop("many")
     a, b = (few.toDF(*[c + k for c in few.columns]) for k in "12")
-    rest = _pairs(a, b, F.col("root1") < F.col("root2")).union(_in_blocks(named.where(F.col("many") > PAIRED), sets)).distinct()
-    rest = scratch.written(_filtered(rest.join(first, ["u", "v"], "left_anti"), sets))
-    return _connected(rest, edges, sets, docs, scratch)
+    pairs = _pairs(a, b, F.col("root1") < F.col("root2")).union(_in_blocks(named.where(F.col("many") > PAIRED), sets, True)).distinct()
+    pairs = scratch.written(_filtered(pairs.join(first, ["u", "v"], "left_anti"), sets))
+    best = pairs.union(pairs.select("v", "u", "bound")).groupBy("u").agg(F.max(F.struct("bound", "v"))["v"].alias("v"))
+    best = scratch.written(best.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    if best.isEmpty():
+        return edges
+    edges = scratch.written(edges.union(_similar(best, sets, docs, scratch)))
+    roots = connected_components(edges)
+    named = _open(shared, roots, scratch)
+    left = pairs.select("u", "v").union(_in_blocks(named.where(F.col("many") > PAIRED), sets, False)).distinct()
+    left = left.join(first, ["u", "v"], "left_anti").join(best, ["u", "v"], "left_anti")
+    left = left.join(roots.toDF("u", "ru"), "u", "left").join(roots.toDF("v", "rv"), "v", "left").where(F.coalesce("ru", "u") != F.coalesce("rv", "v"))
+    left = scratch.written(_filtered(left.select("u", "v"), sets))
+    return edges if left.isEmpty() else edges.union(_similar(left, sets, docs, scratch))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
