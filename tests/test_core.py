@@ -16,7 +16,7 @@ from trackframe.sources import dataset
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
+@pytest.mark.parametrize("name", sorted(sql.SQL))
 def test_query_against_sql(spark, name):
     assert oracle.same(spark, SF, catalogue.QUERIES[name], sql.SQL[name]) > 0 or name in ("missing_episodes",)
 
@@ -89,10 +89,110 @@ def test_step_limit():
     q = np.array([quaternion(d) for d in (0, 5, 10, 70, 20, 15, 10, 5, 0)])
     out, _ = kernels.limit_steps(q, 12, 0, 1, 3000, True)
     assert kernels.angles(out[:-1], out[1:]).max() <= 12 + 1e-6
-    with pytest.raises(ValueError, match="Fixed endpoint"):
+    with pytest.raises(ValueError, match="fixed frames"):
         kernels.limit_steps(np.array([[0.0, 0, 0], [1, 0, 0]]), 0.1, 0, 1, 10, False)
 
 
+def limited(p, limit, tolerance, preserve, max_sweeps):
+    """Step limits as they are stated, pair by pair; None: not possible."""
+    p, n, enough = [list(map(float, x)) for x in p], len(p), limit + max(tolerance, 1e-9)
+    preserve = min(preserve, n // 2)
+    free = lambda i: preserve <= i < n - preserve
+    for sweep in range(1, max_sweeps + 1):
+        for i in [*range(0, n - 1, 2), *range(1, n - 1, 2)]:
+            d = math.dist(p[i], p[i + 1])
+            if d <= limit:
+                continue
+            if not free(i) and not free(i + 1):
+                if d > enough:
+                    return None
+                continue
+            share = 0.5 if free(i) and free(i + 1) else float(free(i))
+            move = [(b - a) * (d - limit) / d for a, b in zip(p[i], p[i + 1])]
+            p[i] = [a + m * share for a, m in zip(p[i], move)]
+            p[i + 1] = [b - m * (1 - share) for b, m in zip(p[i + 1], move)]
+        if max(math.dist(a, b) for a, b in zip(p, p[1:])) <= enough:
+            return p, sweep
+    return None
+
+
+def by_episode(df, columns):
+    out = {}
+    for r in df.orderBy("episode_index", "frame_index").collect():
+        out.setdefault(r["episode_index"], []).append([r[c] for c in columns])
+    return out
+
+
+def test_step_limit_query_by_brute_force(spark):
+    source = by_episode(catalogue.line_frames(spark, SF), ("x", "y", "z"))
+    half = windows.step_reference(catalogue.line_steps(spark, SF).where("position_step is not null"), ["position_step"], 50).first()[0]
+    got, done = by_episode(catalogue.QUERIES["step_limit_project"](spark, SF), ("x", "y", "z", "sweeps")), 0
+    for e, p in list(source.items())[:4]:
+        want = limited(p, half, 1e-5, 1, 3000)
+        assert {r[3] for r in got[e]} == {want[1] if want else -1}
+        assert np.allclose(np.array(got[e])[:, :3], np.array(want[0] if want else p), atol=1e-3)
+        done += want is not None
+    assert done
+    for bad in ({"limit": 0.0}, {"limit": math.inf}, {"preserve": 0}):
+        with pytest.raises(ValueError):
+            kernels.limit_steps(np.zeros((3, 3)), **({"limit": 1.0, "tolerance": 0.0, "preserve": 1, "max_sweeps": 5, "rotation": False} | bad))
+
+
+def thinned(p, turn_deg, context, context_distance, dense, kept_step, position_error, consecutive):
+    """Frames that stay, by trying each candidate against the list of those that are kept."""
+    n, kept = len(p), list(range(len(p)))
+    if n < 2 * context + 1:
+        return kept
+    step = [math.inf, *[math.dist(a, b) for a, b in zip(p, p[1:])], math.inf]
+    local, angle = [max(step[i], step[i + 1]) for i in range(n)], [0.0] * n
+    for i in range(context, n - context):
+        a, b = p[i] - p[i - context], p[i + context] - p[i]
+        na, nb = np.linalg.norm(a), np.linalg.norm(b)
+        if min(na, nb) >= context_distance and min(na, nb) > 0:
+            angle[i] = math.degrees(math.acos(np.clip(a @ b / (na * nb), -1, 1)))
+    protected, i = {0, n - 1}, 0
+    while i < n:
+        j = i
+        while j < n and angle[j] >= turn_deg:
+            j += 1
+        if j > i:
+            protected.add(max(range(i, j), key=lambda k: (angle[k], -k)))
+        i = max(j, i + 1)
+    for i in sorted((k for k in range(n) if angle[k] >= turn_deg and local[k] <= dense and k not in protected), key=lambda k: (local[k], k)):
+        a, b = max(k for k in kept if k < i), min(k for k in kept if k > i)
+        if b - a - 1 > consecutive or math.dist(p[a], p[b]) > kept_step:
+            continue
+        if all(math.dist(p[a] + (p[b] - p[a]) * (k - a) / (b - a), p[k]) <= position_error for k in range(a + 1, b)):
+            kept.remove(i)
+    return kept
+
+
+def test_turn_query_by_brute_force(spark):
+    source = by_episode(catalogue.line_frames(spark, SF), ("x", "y", "z"))
+    got, gone = by_episode(catalogue.QUERIES["turn_sparsify"](spark, SF), ("frame_index",)), 0
+    for e, p in list(source.items())[:6]:
+        want = thinned(np.array(p, float), **catalogue.THIN)
+        assert [r[0] for r in got[e]] == want
+        gone += len(p) - len(want)
+    assert gone
+
+
+def test_stretches_with_long_steps_are_put_back():
+    p = np.stack([np.arange(10.0), np.zeros(10), np.zeros(10)], axis=1)
+    arms = [{"p": p, "q": np.tile([0.0, 0, 0, 1], (10, 1))}]
+    assert trajectory.restored(arms, np.array([0, 1, 4, 6, 9]), (2.5, 1.0)).tolist() == [0, 1, 2, 3, 4, 6, 7, 8, 9]
+    assert trajectory.restored(arms, np.array([0, 9]), None).tolist() == [0, 9]
+
+
+def test_null_and_nan_are_violations(spark):
+    a = arms_of(spark)
+    for change in ({"width": F.lit(float("nan"))}, {"x": F.lit(None).cast("double")}, {c: F.lit(0.0) for c in ("qx", "qy", "qz", "qw")}):
+        first = (F.col("episode_index") == 1) & (F.col("frame_index") == 4)
+        bad = a.withColumns({c: F.when(first, v).otherwise(F.col(c)) for c, v in change.items()})
+        found = {r["check"] for r in trajectory.run(bad, config.Settings.of({})).violations.collect()}
+        assert "finite source" in found or "quaternion" in found
+
+
 def test_step_limit_sweeps():
     p = np.random.default_rng(1).normal(size=(20, 3)).cumsum(axis=0) * 0.015
     tight = kernels.limit_steps(p, 0.02, 1e-9, 1, 3000, False)[1]
@@ -257,9 +357,9 @@ def test_command_line(spark, tmp_path):
     names = [f"tcp_right_S.{c}" for c in ("x", "y", "z", "qx", "qy", "qz", "qw")] + ["grip.width_m"]
     features = {"observation.state": {"dtype": "float32", "shape": [8], "names": names}, "timestamp": {"dtype": "float32", "shape": [1]}, "frame_index": {"dtype": "int64", "shape": [1]}, "episode_index": {"dtype": "int64", "shape": [1]}}
     rows = [(e, i, [0.01 * i, 0.0, 0.0, *map(float, quaternion(i)), 0.05], i / 30) for e in range(2) for i in range(12)]
-    dataset.write(spark.createDataFrame(rows, "episode_index long, frame_index long, `observation.state` array<double>, timestamp double"), str(root), features).collect()
+    dataset.write(spark.createDataFrame(rows, "episode_index long, frame_index long, `observation.state` array<double>, timestamp double"), str(root), features, 1).collect()
     (root / "meta").mkdir()
-    (root / "meta/info.json").write_text(json.dumps(dataset.info_of({}, 2, 24, 0, 1, 1000, features)))
+    (root / "meta/info.json").write_text(json.dumps(dataset.info_of({}, 2, 24, 0, 1, 1, features)))
     (root / "meta/episodes.jsonl").write_text("".join(json.dumps({"episode_index": e, "tasks": ["t"], "length": 12}) + "\n" for e in range(2)))
     (root / "meta/tasks.jsonl").write_text(json.dumps({"task_index": 0, "task": "t"}) + "\n")
     (tmp_path / "c.yaml").write_text("smoothing: {enabled: true}\n")
@@ -267,9 +367,18 @@ def test_command_line(spark, tmp_path):
     args = ["--config", str(tmp_path / "c.yaml"), "--input", str(root), "--output", str(out), "--arms", arms]
     assert main([*args, "--check"]) == 0 and not out.exists()
     assert main(args) == 0
-    w = spark.read.parquet(str(out / "data/chunk-000/episode_000001.parquet"))
+    w = spark.read.parquet(str(out / "data/chunk-001/episode_000001.parquet"))
     assert w.count() == 12 and len(w.orderBy("frame_index").first()["action"]) == 10
-    assert dataset.read_json(spark, str(out / "meta/info"))["total_frames"] == 24
+    back = dataset.read(spark, str(out))  # what is written reads back
+    assert dataset.inspect(back).count() == 0 and back.info["total_frames"] == 24 and back.info["chunks_size"] == 1
+    assert back.info["features"]["action"]["names"] == list(trajectory.SLOT_NAMES)
+    assert [tuple(r) for r in back.tasks.collect()] == [(0, "t")] and {tuple(r["tasks"]) for r in back.episodes.collect()} == {("t",)}
+    assert [json.loads(x)["episode_index"] for x in (out / "meta/episodes.jsonl").read_text().splitlines()] == [0, 1]
+    assert {r["task_index"] for r in back.frames.select("task_index").distinct().collect()} == {0}
+    assert sorted(x.name for x in (out / "meta").iterdir() if not x.name.startswith(".")) == ["episodes.jsonl", "episodes_stats.jsonl", "info.json", "selection.jsonl", "stats.jsonl", "tasks.jsonl"]
+    other = tmp_path / "other" / "set"
+    assert main([*args[:4], "--output", str(other), *args[6:], "--task", "lift it"]) == 0
+    assert [tuple(r) for r in dataset.read(spark, str(other)).tasks.collect()] == [(0, "lift it")]
     (root / "meta/episodes.jsonl").write_text(json.dumps({"episode_index": 0, "tasks": ["t"], "length": 99}) + "\n")
     assert main([*args, "--check"]) == 1
 

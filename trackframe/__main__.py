@@ -27,12 +27,24 @@ def arms(d: dataset.Dataset, roles: dict[str, dict[str, str]], state: str = "obs
     return d.frames.select("episode_index", "frame_index", F.inline(F.array(*rows)))
 
 
+def tasks_of(d: dataset.Dataset, override: str | None):
+    """tasks (task_index, task), and episode_index, task_index; a prompt given takes the place of all."""
+    if override is not None:
+        one = d.frames.sparkSession.createDataFrame([(0, override)], "task_index long, task string")
+        return one, d.episodes.select("episode_index", F.lit(0).cast("long").alias("task_index"))
+    if "task_index" in d.frames.columns:
+        return d.tasks, d.frames.groupBy("episode_index").agg(F.min_by("task_index", "frame_index").cast("long").alias("task_index"))
+    first = d.episodes.select("episode_index", F.try_element_at("tasks", F.lit(1)).alias("task"))
+    return d.tasks, first.join(d.tasks, "task", "left").select("episode_index", "task_index")
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="trackframe", description=__doc__)
     p.add_argument("--config", required=True)
     p.add_argument("--input", required=True)
     p.add_argument("--output", required=True)
     p.add_argument("--arms", default='{"right": {"pose": "tcp_right"}}', help="JSON: role to pose prefix and gripper slot")
+    p.add_argument("--task", help="one prompt for all episodes, instead of the dataset's own")
     p.add_argument("--check", action="store_true", help="report violations, write nothing")
     a = p.parse_args(argv)
     settings, output = config.load(a.config), config.safe_output(a.output, a.input)
@@ -45,18 +57,24 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps([r.asDict() for r in bad], indent=2))
         return int(bool(bad))
     validate.require(out.violations)
-    size = len(trajectory.POSE) * len(roles)
-    features = {n: {"dtype": "float32", "shape": [size]} for n in ("observation.state", "action")}
-    features |= {"timestamp": {"dtype": "float32", "shape": [1]}} | {n: {"dtype": "int64", "shape": [1]} for n in ("frame_index", "episode_index", "index", "task_index")}
-    w = trajectory.wide(out.frames, tuple(roles)).withColumnRenamed("state", "observation.state").withColumn("task_index", F.lit(0).cast("long"))
-    written = dataset.write(w, output, features).select("episode_index", "length").persist()
+    size, chunk = len(trajectory.POSE) * len(roles), d.info.get("chunks_size", 1000)
+    names = [f"{role}.{n}" if len(roles) > 1 else n for role in roles for n in trajectory.SLOT_NAMES]
+    features = {n: {"dtype": "float32", "shape": [size], "names": names} for n in ("observation.state", "action")}
+    features |= {"timestamp": {"dtype": "float32", "shape": [1], "names": None}} | {n: {"dtype": "int64", "shape": [1], "names": None} for n in ("frame_index", "episode_index", "index", "task_index")}
+    tasks, of_episode = tasks_of(d, a.task)
+    w = trajectory.wide(out.frames, tuple(roles)).withColumnRenamed("state", "observation.state")
+    w = w.join(of_episode.select("episode_index", "task_index"), "episode_index", "left").withColumn("task_index", F.coalesce("task_index", F.lit(0).cast("long")))
+    written = dataset.write(w, output, features, chunk).select("episode_index", "length").persist()
     episodes, frames = written.count(), written.agg(F.sum("length")).first()[0]
-    dataset.write_jsonl(written, f"{output}/meta/episodes")
-    dataset.write_jsonl(out.stats, f"{output}/meta/episodes_stats")
-    dataset.write_jsonl(out.global_stats, f"{output}/meta/stats")
-    dataset.write_jsonl(out.selection, f"{output}/meta/selection")
-    info = dataset.info_of(d.info, episodes, frames, 0, d.tasks.count(), d.info.get("chunks_size", 1000), features)
-    spark.createDataFrame([(json.dumps(info),)], "value string").coalesce(1).write.text(f"{output}/meta/info")
+    info = dataset.info_of(d.info, episodes, frames, 0, tasks.count(), chunk, features)
+    tasks_text = F.col("tasks") if a.task is None else F.array(F.lit(a.task))
+    listed = written.join(d.episodes.select("episode_index", "tasks"), "episode_index", "left").select("episode_index", tasks_text.alias("tasks"), "length")
+    dataset.write_jsonl(listed, f"{output}/meta/episodes.jsonl", "episode_index")
+    dataset.write_jsonl(tasks, f"{output}/meta/tasks.jsonl", "task_index")
+    dataset.write_jsonl(out.stats, f"{output}/meta/episodes_stats.jsonl", "episode_index", "role", "feature")
+    dataset.write_jsonl(out.global_stats, f"{output}/meta/stats.jsonl", "role", "feature")
+    dataset.write_jsonl(out.selection, f"{output}/meta/selection.jsonl", "episode_index", "out_frame")
+    dataset.write_json(spark, info, f"{output}/meta/info.json")  # last: a folder with it is whole
     return 0
 
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def depth_code(depth: Column, low: float, high: float) -> Column:
-    """0 to 255, rounding half to even; values outside are clipped (count them with outside())."""
-    return F.rint((F.greatest(F.least(depth, F.lit(high)), F.lit(low)) - low) / (high - low) * 255).cast("int")
+    """0 to 255, rounding half to even; values outside are clipped (count them with outside()), null and NaN have no code."""
+    code = F.rint((F.greatest(F.least(depth, F.lit(high)), F.lit(low)) - low) / (high - low) * 255)
+    return F.when(depth.isNotNull() & ~F.isnan(depth), code).cast("int")
 
 
 def outside(depth: Column, low: float, high: float) -> tuple[Column, Column]:
@@ -17,14 +18,15 @@ def outside(depth: Column, low: float, high: float) -> tuple[Column, Column]:
 
 
 def strict_depth_code(depth: Column, low: float, high: float) -> Column:
-    """depth_code, but a value outside is an error."""
-    bad = (depth < low) | (depth > high)
-    return F.when(bad, F.raise_error(F.format_string("depth %s is not in the range", depth.cast("string"))).cast("int")).otherwise(depth_code(depth, low, high))
+    """depth_code, but a value outside, null or NaN is an error."""
+    bad = depth.isNull() | F.isnan(depth) | (depth < low) | (depth > high)
+    return F.when(bad, F.raise_error(F.format_string("depth %s is not in the range", F.coalesce(depth.cast("string"), F.lit("null")))).cast("int")).otherwise(depth_code(depth, low, high))
 
 
 def force_code(value: Column, low: Column, high: Column) -> Column:
-    """0 to 255 between a channel's extremes; a channel without span is 0."""
-    return F.when(high > low, F.rint((value - low) / (high - low) * 255)).otherwise(0.0).cast("int")
+    """0 to 255 between a channel's extremes; a channel without span is 0; null and NaN have no code."""
+    code = F.when(high > low, F.rint((value - low) / (high - low) * 255)).otherwise(0.0)
+    return F.when(value.isNotNull() & ~F.isnan(value), code).cast("int")
 
 
 def quantisation(low: Column, high: Column) -> tuple[Column, Column]:

@@ -25,7 +25,12 @@ def dot(a: Sequence[Column], b: Sequence[Column]) -> Column:
 
 
 def clamp(c: Column, low: float, high: float) -> Column:
-    return F.greatest(F.least(c, F.lit(high)), F.lit(low))
+    """c within bounds; null and NaN stay what they are, for the finite check to find."""
+    return F.when(c.isNull() | F.isnan(c), c).otherwise(F.greatest(F.least(c, F.lit(high)), F.lit(low)))
+
+
+def at_least(c: Column, low: float) -> Column:
+    return F.when(c.isNotNull(), F.greatest(c, F.lit(low)))
 
 
 def unit_quaternion(q: Sequence[Column]) -> list[Column]:
@@ -57,11 +62,11 @@ def cross(a: Sequence[Column], b: Sequence[Column]) -> list[Column]:
 
 def rot6d_matrix(r: Sequence[Column], floor: float = NORM_FLOOR) -> Matrix:
     """The rotation that Gram-Schmidt makes of two columns."""
-    n = F.greatest(norm(r[:3]), F.lit(floor))
+    n = at_least(norm(r[:3]), floor)
     a = [c / n for c in r[:3]]
     along = dot(a, r[3:])
     rest = [c - along * x for c, x in zip(r[3:], a, strict=True)]
-    n = F.greatest(norm(rest), F.lit(floor))
+    n = at_least(norm(rest), floor)
     b = [c / n for c in rest]
     c = cross(a, b)
     return [[a[i], b[i], c[i]] for i in range(3)]
@@ -92,7 +97,7 @@ def matrix_quaternion(m: Matrix) -> list[Column]:
         return F.when(trace > 0, by_trace).when(first, x).when(second, y).otherwise(z)
 
     s = pick(trace + 1, 1 + m[0][0] - m[1][1] - m[2][2], 1 + m[1][1] - m[0][0] - m[2][2], 1 + m[2][2] - m[0][0] - m[1][1])
-    s = F.sqrt(F.greatest(s, F.lit(0.0))) * 2
+    s = F.sqrt(at_least(F.when(trace.isNotNull(), s), 0.0)) * 2
     xy, xz, yz = m[0][1] + m[1][0], m[0][2] + m[2][0], m[1][2] + m[2][1]
     wx, wy, wz = m[2][1] - m[1][2], m[0][2] - m[2][0], m[1][0] - m[0][1]
     q = [pick(wx / s, s / 4, xy / s, xz / s), pick(wy / s, xy / s, s / 4, yz / s), pick(wz / s, xz / s, yz / s, s / 4), pick(s / 4, wx / s, wy / s, wz / s)]
@@ -141,7 +146,7 @@ def transform_pose(position: Sequence[Column], rotation: Matrix, translation: Se
 
 
 def map_gripper(width: Column, observed: tuple[float, float], radians: tuple[float, float], clip: bool = True) -> Column:
-    """Width to angle, linearly; the sentinel -1 (gripper off) passes."""
+    """Width to angle, linearly; the sentinel -1 (gripper off) passes, and so do null and NaN."""
     if not observed[1] > observed[0]:
         raise ValueError("the observed maximum must exceed the minimum")
     out = radians[0] + (width - observed[0]) / (observed[1] - observed[0]) * (radians[1] - radians[0])

@@ -39,7 +39,10 @@ def limit_steps(values: np.ndarray, limit: float, tolerance: float, preserve: in
 
     A sweep treats pairs (0,1), (2,3), ..., then (1,2), (3,4), ...; a pair that is too far apart is pulled together by
     its excess, half from each end, or all from the end that may move. (rows, sweeps); rows: points or unit quaternions.
+    The tolerance only says when the sweeps are enough.
     """
+    if not (math.isfinite(limit) and limit > 0) or preserve < 1 or tolerance < 0:
+        raise ValueError("the limit must be positive and finite, the tolerance 0 or more, and one frame at least preserved")
     v, n = values.astype(float).copy(), len(values)
     if n < 2:
         return v, 0
@@ -52,12 +55,14 @@ def limit_steps(values: np.ndarray, limit: float, tolerance: float, preserve: in
         for parity in (0, 1):
             i = np.arange(parity, n - 1, 2)
             d = measure(v[i], v[i + 1])
-            i, d = i[d > enough], d[d > enough]
+            i, d = i[d > limit], d[d > limit]
             if not len(i):
                 continue
             left, right = free[i], free[i + 1]
-            if (~left & ~right).any():
-                raise ValueError("Fixed endpoint frames exceed the step limit")
+            stuck = ~left & ~right
+            if (stuck & (d > enough)).any():
+                raise ValueError("two fixed frames are further apart than the limit")
+            i, d, left, right = i[~stuck], d[~stuck], left[~stuck], right[~stuck]
             share = np.where(left & right, 0.5, np.where(left, 1.0, 0.0))
             excess = (d - limit) / d
             a, b = v[i], v[i + 1]

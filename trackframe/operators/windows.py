@@ -158,12 +158,16 @@ def episode_offsets(episodes: DataFrame) -> DataFrame:
     return episodes.withColumn("first_index", F.sum("length").over(w) - F.col("length"))
 
 
-def jerk_metrics(frames: DataFrame, columns: Sequence[str] = ("x", "y", "z"), alias: str = "jerk_rms") -> DataFrame:
-    """Root mean square of the third difference of positions, for each episode of four frames or more."""
+def third_difference(columns: Sequence[str]) -> Column:
+    """The squared third difference of positions that ends at a frame; null at the first three."""
     w = ordered()
     third = [F.col(c) - 3 * F.lag(c, 1).over(w) + 3 * F.lag(c, 2).over(w) - F.lag(c, 3).over(w) for c in columns]
-    sq = frames.select("episode_index", sum((t * t for t in third[1:]), third[0] * third[0]).alias("sq"))
-    return sq.groupBy("episode_index").agg(F.sqrt(F.avg("sq")).alias(alias))
+    return sum((t * t for t in third[1:]), third[0] * third[0])
+
+
+def jerk_metrics(frames: DataFrame, columns: Sequence[str] = ("x", "y", "z"), alias: str = "jerk_rms") -> DataFrame:
+    """Root mean square of the third difference of positions, for each episode of four frames or more."""
+    return frames.select("episode_index", third_difference(columns).alias("sq")).groupBy("episode_index").agg(F.sqrt(F.avg("sq")).alias(alias))
 
 
 def action_chunk(frames: DataFrame, column: str, horizon: int) -> DataFrame:

@@ -22,6 +22,7 @@ TRIM = {"threshold": 60.0, "columns": ("x",), "pre": 2, "post": 3, "least": 20,
 TURN, CONTEXT, LEAST = 120.0, 2, 5.0
 DENSE, PREFIX, SPACING, STEP_LIMIT = 40.0, 40, 80.0, 60.0
 DEPTH = (-1.0, 1.5)
+THIN = {"turn_deg": 90.0, "context": 2, "context_distance": 1.0, "dense": 60.0, "kept_step": 60.0, "position_error": 40.0, "consecutive": 2}
 
 
 def query(f: Query) -> Query:
@@ -224,7 +225,7 @@ def force_minmax_uint8(spark, sf_dir):
     v = embedding_values(spark, sf_dir).withColumn("channel", F.col("dim") % 3)
     ranges = stats.channel_range(v, ["label", "channel"])
     step, error = encode.quantisation(F.col("low"), F.col("high"))
-    out = v.join(F.broadcast(ranges), ["label", "channel"])  # a row for each label and channel
+    out = v.join(ranges, ["label", "channel"])
     return out.select("vec_id", "dim", encode.force_code(F.col("value"), F.col("low"), F.col("high")).alias("code"), r(step).alias("step"), r(error).alias("error"))
 
 
@@ -268,12 +269,12 @@ def rotation_quality(spark, sf_dir):
 @query
 def smoothing_metrics(spark, sf_dir):
     f = event_frames(spark, sf_dir)
-    s = windows.smooth_positions(f)
-    both = f.select("episode_index", "frame_index", *XYZ).join(s.select("episode_index", "frame_index", *[F.col(c).alias("s" + c) for c in XYZ]), ["episode_index", "frame_index"])
+    # the smoothed positions beside the first ones, in one plan: all windows share the episodes' exchange and order
+    s = windows.smooth_positions(f.select("*", *[F.col(c).alias("s" + c) for c in XYZ]), ["s" + c for c in XYZ])
     d = g.norm([F.col("s" + c) - F.col(c) for c in XYZ])
-    change = both.groupBy("episode_index").agg(F.sqrt(F.avg(d * d)).alias("change_rms"), F.max(d).alias("change_max"))
-    jerk = windows.jerk_metrics(f, alias="jerk_before").join(windows.jerk_metrics(s, alias="jerk_after"), "episode_index")
-    return change.join(jerk, "episode_index").select("episode_index", *[r(c, 4).alias(c) for c in ("change_rms", "change_max", "jerk_before", "jerk_after")])
+    sq = s.select("episode_index", d.alias("d"), windows.third_difference(XYZ).alias("before"), windows.third_difference(["s" + c for c in XYZ]).alias("after"))
+    m = sq.groupBy("episode_index").agg(F.sqrt(F.avg(F.col("d") * F.col("d"))).alias("change_rms"), F.max("d").alias("change_max"), F.sqrt(F.avg("before")).alias("jerk_before"), F.sqrt(F.avg("after")).alias("jerk_after"))
+    return m.select("episode_index", *[r(c, 4).alias(c) for c in ("change_rms", "change_max", "jerk_before", "jerk_after")])
 
 
 @query
@@ -391,31 +392,54 @@ def report_rollup(spark, sf_dir):
     return b.agg(F.count(F.lit(1)).alias("episodes"), F.count_if(ok).alias("trimmed"), F.sum("length").alias("frames_before"), F.sum(n).alias("frames_after"), F.max(F.col("length") - n).alias("most_removed"), F.ceil(F.count(F.lit(1)) / 100).alias("total_chunks"), (F.count(F.lit(1)) * 2).alias("total_videos"))
 
 
+@query
+def gripper_missing(spark, sf_dir):
+    """Widths that are null or NaN have no angle: they are not taken for an open gripper."""
+    arms = by_role(embedding_frames(spark, sf_dir))
+    width = F.when(F.col("frame_index") % 5 == 1, F.lit(float("nan"))).when(F.col("frame_index") % 5 != 2, F.col("width"))
+    out = arms.select("episode_index", "frame_index", "role", g.map_gripper(width, (-0.3, 0.3), (0.0, 1.2)).alias("v"))
+    return out.select("episode_index", "frame_index", "role", r(F.when(g.finite(F.col("v")), F.col("v"))).alias("gripper"), g.finite(F.col("v")).alias("ok"))
+
+
+@query
+def depth_missing(spark, sf_dir):
+    depth = F.when(F.col("dim") % 5 == 1, F.lit(float("nan"))).when(F.col("dim") % 5 != 2, F.col("value") * 4)
+    return embedding_values(spark, sf_dir).select("vec_id", "dim", encode.depth_code(depth, *DEPTH).alias("code"))
+
+
+@query
+def step_missing(spark, sf_dir):
+    """Steps to and from a pose whose quaternion has no length have no angle."""
+    arms = by_role(embedding_frames(spark, sf_dir)).where("role = 'right'")
+    gone = F.col("frame_index") % 4 == 2
+    arms = arms.select("episode_index", "frame_index", "role", *XYZ, *[F.when(gone, 0.0).otherwise(F.col(c)).alias(c) for c in Q])
+    s = windows.step_metrics(arms)
+    return s.select("episode_index", "frame_index", r("position_step").alias("position_step"), r("rotation_step", 4).alias("rotation_step"))
+
+
 @query
 def so3_smooth(spark, sf_dir):
-    s = kernels.smooth_episode_rotations(poses(spark, sf_dir).select("episode_index", "frame_index", "role", *R6), R6, by=("episode_index", "role"))
-    q = validate.rotation_quality(s, R6, ("episode_index", "role"))
-    return q.where("orthogonality < 1e-4").select("episode_index", "role", F.lit(True).alias("ok"))
+    """Rotations about one axis, by an event's value in degrees, smoothed as rotations."""
+    f = event_frames(spark, sf_dir)
+    c, s = F.cos(F.radians("x")), F.sin(F.radians("x"))
+    six = dict(zip(R6, (c, s, F.lit(0.0), -s, c, F.lit(0.0)), strict=True))
+    out = kernels.smooth_episode_rotations(f.select("episode_index", "frame_index", *[v.alias(k) for k, v in six.items()]), R6)
+    return out.select("episode_index", "frame_index", *[r(k).alias(k) for k in R6])
 
 
 @query
 def step_limit_project(spark, sf_dir):
+    """Positions whose steps are cut to the middle one; episodes that cannot be have sweeps -1 and stay."""
     f = line_frames(spark, sf_dir)
     half = windows.step_reference(line_steps(spark, sf_dir).where("position_step is not null"), ["position_step"], 50).first()["position_step_limit"]  # one number
     moved = kernels.limit_episode_steps(f, half, strict=False)
-    step = windows.position_step()
-    s = moved.select("episode_index", "sweeps", step.alias("step"))
-    return s.groupBy("episode_index").agg((F.max("step") <= half + 2e-5).alias("within"), F.count(F.lit(1)).alias("frames"), (F.min("sweeps") >= 1).alias("converged"))
+    return moved.select("episode_index", "frame_index", *[r(k, 4).alias(k) for k in XYZ], "sweeps")
 
 
 @query
 def turn_sparsify(spark, sf_dir):
-    f = line_frames(spark, sf_dir)
-    kept = kernels.sparsify_turns(f, turn_deg=90.0, context=2, context_distance=1.0, dense=60.0, kept_step=60.0, position_error=40.0, consecutive=2)
-    n = f.groupBy("episode_index").agg(F.max("frame_index").alias("last"))
-    gap = F.col("frame_index") - F.lag("frame_index").over(windows.ordered())
-    k = kept.select("episode_index", "frame_index", gap.alias("gap")).groupBy("episode_index").agg(F.min("frame_index").alias("first_kept"), F.max("frame_index").alias("last_kept"), (F.max("gap") <= 3).alias("gaps_ok"))
-    return k.join(n, "episode_index").select("episode_index", (F.col("first_kept") == 0).alias("keeps_first"), (F.col("last_kept") == F.col("last")).alias("keeps_last"), "gaps_ok")
+    """The frames that stay when turns are thinned."""
+    return kernels.sparsify_turns(line_frames(spark, sf_dir), **THIN)
 
 
 class RunningMean:
@@ -468,7 +492,7 @@ def json_lines_scan(spark, sf_dir):
 def append_tensor_columns(spark, sf_dir):
     tensors = table(spark, sf_dir, "embeddings").select(F.col("label").cast("long").alias("episode_index"), "vec_id", F.element_at("embedding", 1).cast("double").alias("force"))
     tensors = tensors.withColumn("frame_index", (F.row_number().over(windows.ordered(order="vec_id")) - 1).cast("long"))
-    out = datasets.append_columns(event_frames(spark, sf_dir).where("episode_index < 20"), tensors, ["force"])
+    out = datasets.append_columns(event_frames(spark, sf_dir), tensors, ["force"])
     return out.select("episode_index", "frame_index", r("force").alias("force"))
 
 
@@ -484,8 +508,8 @@ def layout_lookup(spark, sf_dir):
 @query
 def sensor_match(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
-    sensors = c.where("c_custkey < 200").select(F.col("c_name").alias("name"), F.col("c_custkey").alias("serial"))
-    features = table(spark, sf_dir, "orders").where("o_custkey % 3 = 0").select(F.col("o_custkey").alias("serial"), F.format_string("order_%09d", "o_orderkey").alias("key"))
+    sensors = c.select(F.col("c_name").alias("name"), F.col("c_custkey").alias("serial"))
+    features = table(spark, sf_dir, "orders").select(F.when(F.col("o_custkey") % 3 == 0, F.col("o_custkey")).otherwise(-F.col("o_custkey")).alias("serial"), F.format_string("order_%09d", "o_orderkey").alias("key"))
     return datasets.match_sensors(sensors, features)
 
 
@@ -507,7 +531,7 @@ def runtime_set_validation(spark, sf_dir):
 
 @query
 def dataset_compatibility(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_custkey < 60").select(F.format_string("c%04d", "o_custkey").alias("dataset"), F.col("o_orderpriority").alias("task"))
+    o = table(spark, sf_dir, "orders").select(F.format_string("c%08d", "o_custkey").alias("dataset"), F.col("o_orderpriority").alias("task"))
     return datasets.differing_sets(o, "dataset", "task")
 
 
@@ -537,7 +561,7 @@ def marker_distance(spark, sf_dir):
 
 @query
 def nearest_marker(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").where("l_orderkey < 500").groupBy("l_orderkey", "l_partkey").agg(F.min("l_extendedprice").alias("cost"))
+    li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_partkey").agg(F.min("l_extendedprice").alias("cost"))
     return validate.nearest_by(li, "l_orderkey", "cost").select("l_orderkey", "cost")
 
 
@@ -557,9 +581,9 @@ def replaced_column(spark, sf_dir):
 
 @query
 def set_differences(spark, sf_dir):
-    """Orders' customers, known customers: in both, and in one only."""
+    """Orders' customers, known customers (odd keys changed): in both, and in one only."""
     a = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")).distinct()
-    b = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")).where("k % 2 = 0")
+    b = table(spark, sf_dir, "customer").select(F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey")).otherwise(-F.col("c_custkey")).alias("k"))
     kinds = (("both", a.intersect(b)), ("first", a.exceptAll(b)), ("second", b.exceptAll(a)))
     out = None
     for name, df in kinds:

@@ -35,6 +35,8 @@ def _rounded(named: dict[str, str], digits: int = 6) -> str:
 
 SQL: dict[str, str] = {}
 SQL["quat_to_rot6d"] = f"WITH {POSES} SELECT episode_index, frame_index, role, {_rounded(R6)} FROM mat"
+SQL["gripper_missing"] = f"""WITH {ARMS}, w AS (SELECT *, CASE WHEN frame_index % 5 NOT IN (1, 2) THEN width END AS v FROM arms)
+SELECT episode_index, frame_index, role, {r("CASE WHEN v IS NOT NULL THEN greatest(least((v + 0.3) / 0.6 * 1.2, 1.2), 0.0) END")} AS gripper, v IS NOT NULL AS ok FROM w"""
 SQL["gripper_map"] = f"""WITH {ARMS}, w AS (SELECT *, CASE WHEN frame_index % 7 = 0 THEN -1.0 ELSE width END AS v FROM arms)
 SELECT episode_index, frame_index, role, {r("CASE WHEN v = -1.0 THEN -1.0 ELSE greatest(least((v + 0.3) / 0.6 * 1.2, 1.2), 0.0) END")} AS gripper FROM w"""
 
@@ -63,6 +65,11 @@ SQL["step_metrics"] = f"""WITH {ARMS}, {UNIT}, s AS (SELECT episode_index, frame
   degrees(2 * acos(least(abs(ux*lag(ux) OVER w + uy*lag(uy) OVER w + uz*lag(uz) OVER w + uw*lag(uw) OVER w), 1.0))) AS a
   FROM unit WINDOW w AS ({_RW}))
 SELECT episode_index, frame_index, {r("max(p)")} AS position_step, {r("max(a)", 4)} AS rotation_step FROM s WHERE p IS NOT NULL GROUP BY ALL"""
+SQL["step_missing"] = f"""WITH {ARMS}, {UNIT}, s AS (SELECT episode_index, frame_index,
+  sqrt(pow(x - lag(x) OVER w, 2) + pow(y - lag(y) OVER w, 2) + pow(z - lag(z) OVER w, 2)) AS p,
+  CASE WHEN frame_index % 4 NOT IN (2, 3) THEN degrees(2 * acos(least(abs(ux*lag(ux) OVER w + uy*lag(uy) OVER w + uz*lag(uz) OVER w + uw*lag(uw) OVER w), 1.0))) END AS a
+  FROM unit WHERE role = 'right' WINDOW w AS ({_RW}))
+SELECT episode_index, frame_index, {r("p")} AS position_step, {r("a", 4)} AS rotation_step FROM s WHERE p IS NOT NULL"""
 STEP = f"step AS (SELECT *, sqrt((x - lag(x) OVER w)*(x - lag(x) OVER w) + (y - lag(y) OVER w)*(y - lag(y) OVER w) + (z - lag(z) OVER w)*(z - lag(z) OVER w)) AS s FROM line WINDOW w AS ({W}))"
 SQL["step_limit_reference"] = f"WITH {LINE}, {STEP} SELECT {r('quantile_cont(s, 0.95)')} AS position_step_limit, {r('max(s)')} AS position_step_max, count(*) AS adjacent_pairs FROM step WHERE s IS NOT NULL"
 
@@ -135,6 +142,7 @@ _state = [f"right_{c}" for c in SLOTS] + [f"left_{c}" for c in SLOTS]
 _text = lambda cs: "concat_ws(',', " + ", ".join(f"round_even({c} * 1000, 0)::BIGINT" for c in cs) + ")"
 SQL["width_add_layout"] = f"WITH {EMB} SELECT episode_index, frame_index, {_text(_state)} AS added, {_text([*_state[:7], '-1.0', *_state[8:]])} AS overwritten FROM emb"
 VAL = "val AS (SELECT vec_id, label::BIGINT AS label, (unnest(range(64)))::INT AS dim, (unnest(embedding))::DOUBLE AS value FROM embeddings)"
+SQL["depth_missing"] = f"WITH {VAL} SELECT vec_id, dim, CASE WHEN dim % 5 NOT IN (1, 2) THEN round_even((greatest(least(value * 4, 1.5), -1.0) + 1.0) / 2.5 * 255, 0)::INT END AS code FROM val"
 SQL["depth_unorm8"] = f"WITH {VAL} SELECT vec_id, dim, round_even((greatest(least(value * 4, 1.5), -1.0) + 1.0) / 2.5 * 255, 0)::INT AS code FROM val"
 SQL["depth_range_report"] = f"WITH {VAL} SELECT label, count(*) FILTER (value * 4 < -1.0) AS below, count(*) FILTER (value * 4 > 1.5) AS above, count(*) AS \"values\" FROM val GROUP BY 1"
 SQL["force_minmax_uint8"] = f"""WITH {VAL}, rng AS (SELECT label, dim % 3 AS channel, min(value) AS low, max(value) AS high FROM val GROUP BY 1, 2)
@@ -204,9 +212,10 @@ SQL["matrix_to_quaternion"] = f"WITH {ARMS}, {UNIT} SELECT episode_index, frame_
 SQL["finite_report"] = f"WITH {EVT} SELECT episode_index, count(*) FILTER (missing) AS x, count(*) FILTER (y IS NULL) AS y FROM evt GROUP BY 1"
 SQL["report_rollup"] = f"""WITH {EVT}, {BOUNDS} SELECT count(*) AS episodes, count(*) FILTER (status = 'ok') AS trimmed, sum(length)::BIGINT AS frames_before, sum(end_frame - start_frame)::BIGINT AS frames_after,
 max(length - (end_frame - start_frame)) AS most_removed, ceil(count(*) / 100.0)::BIGINT AS total_chunks, count(*) * 2 AS total_videos FROM bounds"""
-SQL["so3_smooth"] = f"WITH {ARMS} SELECT DISTINCT episode_index, role, true AS ok FROM arms"
-SQL["step_limit_project"] = f"WITH {LINE} SELECT episode_index, true AS within, count(*) AS frames, true AS converged FROM line GROUP BY 1"
-SQL["turn_sparsify"] = f"WITH {LINE} SELECT DISTINCT episode_index, true AS keeps_first, true AS keeps_last, true AS gaps_ok FROM line"
+_C, _S = "cos(radians(x))", "sin(radians(x))"
+SQL["so3_smooth"] = f"""WITH {EVT}, t AS (SELECT episode_index, frame_index, {_C} AS x, {_S} AS y, 0.0::DOUBLE AS z FROM evt), {_smooth("t")},
+u AS (SELECT episode_index, frame_index, sx / sqrt(sx * sx + sy * sy) AS c, sy / sqrt(sx * sx + sy * sy) AS s FROM smooth)
+SELECT episode_index, frame_index, {r("c")} AS r0, {r("s")} AS r1, 0.0::DOUBLE AS r2, {r("-s")} AS r3, {r("c")} AS r4, 0.0::DOUBLE AS r5 FROM u"""
 SQL["sensor_select_fake_solver"] = f"""WITH {EVT}, s AS (SELECT episode_index, frame_index, avg(x) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v FROM evt)
 SELECT episode_index, frame_index, {r("v", 4)} AS solved FROM s WHERE frame_index % 4 = 1"""
 SQL["session_episodes"] = """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOURS THEN 0 ELSE 1 END AS new FROM events),
@@ -215,10 +224,10 @@ SELECT user_id, count(*) AS sessions, sum(f)::BIGINT AS frames, max(f) AS longes
 SQL["footer_row_counts"] = " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n_rows FROM {t}" for t in ("lineitem", "events", "embeddings"))
 SQL["json_lines_scan"] = "SELECT json_extract_string(props, '$.k')::INT AS k, count(*) AS n FROM events GROUP BY 1"
 SQL["append_tensor_columns"] = f"""WITH {EVT}, t AS (SELECT label::BIGINT AS episode_index, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame_index, embedding[1]::DOUBLE AS force FROM embeddings)
-SELECT episode_index, frame_index, {r("force")} AS force FROM evt LEFT JOIN t USING (episode_index, frame_index) WHERE episode_index < 20"""
+SELECT episode_index, frame_index, {r("force")} AS force FROM evt LEFT JOIN t USING (episode_index, frame_index)"""
 SQL["layout_lookup"] = "SELECT s_suppkey, n_name, r_name FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey"
-SQL["sensor_match"] = """WITH f AS (SELECT o_custkey AS serial, count(*) AS n, min('order_' || lpad(o_orderkey::VARCHAR, 9, '0')) AS key FROM orders WHERE o_custkey % 3 = 0 GROUP BY 1)
-SELECT c_name AS name, c_custkey AS serial, key, CASE WHEN n IS NULL THEN 'missing' WHEN n > 1 THEN 'ambiguous' ELSE 'ok' END AS state FROM customer LEFT JOIN f ON serial = c_custkey WHERE c_custkey < 200"""
+SQL["sensor_match"] = """WITH f AS (SELECT CASE WHEN o_custkey % 3 = 0 THEN o_custkey ELSE -o_custkey END AS serial, count(*) AS n, min('order_' || lpad(o_orderkey::VARCHAR, 9, '0')) AS key FROM orders GROUP BY 1)
+SELECT c_name AS name, c_custkey AS serial, key, CASE WHEN n IS NULL THEN 'missing' WHEN n > 1 THEN 'ambiguous' ELSE 'ok' END AS state FROM customer LEFT JOIN f ON serial = c_custkey"""
 SQL["arm_commands"] = """SELECT user_id AS episode_index, role, 'videos/' || lpad((user_id // 50)::VARCHAR, 3, '0') || '/' || lpad(user_id::VARCHAR, 6, '0') || '_' || role || '.mp4' AS target, frames
 FROM (SELECT user_id, count(*) AS frames FROM events GROUP BY 1) CROSS JOIN (VALUES ('right'), ('left')) v(role)"""
 SQL["runtime_set_validation"] = """WITH d AS (SELECT 'xrs_' || md5(source) AS set_id, doc_id::VARCHAR AS path, sha256(text) AS sha, doc_id FROM documents),
@@ -226,7 +235,7 @@ m AS (SELECT CASE WHEN doc_id % 50 = 3 THEN 'xrs_short' ELSE set_id END AS set_i
 f AS (SELECT set_id, path, sha AS found FROM d WHERE doc_id % 50 <> 4)
 SELECT * FROM (SELECT set_id, path, CASE WHEN set_id = 'xrs_short' THEN 'id' WHEN found IS NULL THEN 'no file' WHEN wanted IS NULL THEN 'no entry' WHEN wanted <> found THEN 'content' END AS why
 FROM m FULL JOIN f USING (set_id, path)) WHERE why IS NOT NULL"""
-SQL["dataset_compatibility"] = """WITH s AS (SELECT 'c' || lpad(o_custkey::VARCHAR, 4, '0') AS dataset, o_orderpriority AS task FROM orders WHERE o_custkey < 60 GROUP BY 1, 2),
+SQL["dataset_compatibility"] = """WITH s AS (SELECT 'c' || lpad(o_custkey::VARCHAR, 8, '0') AS dataset, o_orderpriority AS task FROM orders GROUP BY 1, 2),
 ref AS (SELECT task FROM s WHERE dataset = (SELECT min(dataset) FROM s)), n AS (SELECT count(*) AS n FROM ref),
 c AS (SELECT dataset, count(*) AS members, count(*) FILTER (task IN (SELECT task FROM ref)) AS shared FROM s GROUP BY 1)
 SELECT dataset, members::INT AS members, (n - shared)::INT AS missing, (members - shared)::INT AS extra FROM c CROSS JOIN n WHERE n > shared OR members > shared"""
@@ -236,8 +245,8 @@ SQL["marker_distance"] = f"""WITH {LINE}, m AS (SELECT episode_index, frame_inde
 l AS (SELECT * FROM m WHERE marker = 0 QUALIFY count(*) OVER (PARTITION BY episode_index, frame_index) = 1),
 q AS (SELECT * FROM m WHERE marker = 1 QUALIFY count(*) OVER (PARTITION BY episode_index, frame_index) = 1)
 SELECT l.episode_index, l.frame_index, {r("sqrt((l.x - q.x)*(l.x - q.x) + (l.y - q.y)*(l.y - q.y) + (l.z - q.z)*(l.z - q.z))")} AS distance FROM l JOIN q ON l.episode_index = q.episode_index AND l.frame_index = q.frame_index"""
-SQL["nearest_marker"] = "SELECT l_orderkey, min(l_extendedprice) AS cost FROM lineitem WHERE l_orderkey < 500 GROUP BY 1"
+SQL["nearest_marker"] = "SELECT l_orderkey, min(l_extendedprice) AS cost FROM lineitem GROUP BY 1"
 SQL["roi_bounds"] = f"WITH {EVT} SELECT episode_index, count(*) FILTER (x >= 0 AND y >= 0 AND x + 100 <= 480 AND y + 20 <= 100) AS inside, count(*) FILTER (NOT (x >= 0 AND y >= 0 AND x + 100 <= 480 AND y + 20 <= 100)) AS outside FROM evt GROUP BY 1"
 SQL["replaced_column"] = "SELECT vec_id, trunc(label * 1.5)::INT AS label FROM embeddings"
-SQL["set_differences"] = """WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders), b AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 2 = 0)
+SQL["set_differences"] = """WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders), b AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN c_custkey ELSE -c_custkey END AS k FROM customer)
 SELECT kind, count(*) AS n, sum(k)::BIGINT AS sum_k FROM (SELECT 'both' AS kind, k FROM a SEMI JOIN b USING (k) UNION ALL SELECT 'first', k FROM a ANTI JOIN b USING (k) UNION ALL SELECT 'second', k FROM b ANTI JOIN a USING (k)) GROUP BY 1"""

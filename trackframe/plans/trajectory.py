@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,8 @@ from .config import Settings
 XYZ, R6, Q = ("x", "y", "z"), ("r0", "r1", "r2", "r3", "r4", "r5"), ("qx", "qy", "qz", "qw")
 POSE = (*XYZ, *R6, "gripper")
 ARM = ("episode_index", "role")
+#: Names of a pose's slots in a dataset; fixed values.
+SLOT_NAMES = ("x", "y", "z", "rot6d_0", "rot6d_1", "rot6d_2", "rot6d_3", "rot6d_4", "rot6d_5", "gripper_angle_rad")
 
 
 @dataclass
@@ -135,8 +138,24 @@ def bounds(poses: DataFrame, settings: Settings) -> DataFrame:
     return trim.trim_bounds(a, 0.0, pre=s.pre_roll_frames, post=s.post_roll_frames, least=s.min_episode_frames, run=s.min_active_frames, active_first=F.col("a"), active_last=F.col("b"))
 
 
-def kept_frames(poses: DataFrame, settings: Settings) -> DataFrame:
-    """episode_index, kept (source frames): a sampled prefix, then turns thinned in what the prefix left."""
+def restored(arms: list[dict[str, np.ndarray]], kept: np.ndarray, limits: tuple[float, float] | None) -> np.ndarray:
+    """kept, and all frames between two kept ones whose step in any arm is over the limits (position, degrees)."""
+    if limits is None or len(kept) < 2:
+        return kept
+    far = np.zeros(len(kept) - 1, bool)
+    for a in arms:
+        p, q = a["p"][kept], a["q"][kept]
+        far |= np.linalg.norm(np.diff(p, axis=0), axis=1) > limits[0]
+        far |= kernels.angles(q[:-1], q[1:]) > limits[1]
+    back = [np.arange(kept[i] + 1, kept[i + 1]) for i in np.flatnonzero(far)]
+    return np.unique(np.concatenate([kept, *back]))
+
+
+def kept_frames(poses: DataFrame, settings: Settings, limits: tuple[float, float] | None = None) -> DataFrame:
+    """episode_index, kept (source frames): a sampled prefix, then turns thinned in what the prefix left.
+
+    limits: steps that the kept frames may make; stretches whose removal makes longer ones are put back.
+    """
     s = settings.turn_sparsification
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
@@ -150,7 +169,7 @@ def kept_frames(poses: DataFrame, settings: Settings) -> DataFrame:
             inner, s.turn_angle_threshold_deg, s.turn_context_frames, s.min_turn_context_distance, s.dense_step_threshold, s.max_kept_step,
             s.max_position_error, s.max_rotation_error_deg, s.gripper_change_threshold, s.max_consecutive_removed,
         )
-        return pd.DataFrame({"episode_index": [part["episode_index"].iloc[0]], "kept": [kept[stay].tolist()]})
+        return pd.DataFrame({"episode_index": [part["episode_index"].iloc[0]], "kept": [restored(arms, kept[stay], limits).tolist()]})
 
     return poses.groupBy("episode_index").applyInPandas(run, "episode_index long, kept array<int>")
 
@@ -173,18 +192,31 @@ def prefix(arms: list[dict[str, np.ndarray]], frames: int, spacing: float) -> np
     return np.array([*kept, *range(b, n)])
 
 
+def rotation_check(poses: DataFrame, name: str, most: float = 1e-4) -> DataFrame:
+    """Episodes in which a rotation is not orthogonal, or its determinant not 1, by more than `most`."""
+    q = validate.rotation_quality(poses, R6, ("episode_index",))
+    return validate.violations(q, name, F.greatest("orthogonality", "determinant"), most)
+
+
 def run(arms: DataFrame, settings: Settings) -> Result:
+    source = [F.col(c) for c in (*XYZ, *Q, "width")]
     poses = convert(arms, settings)
-    checks = [validate.violations(poses, "finite", F.greatest(*[(~g.finite(F.col(c))).cast("double") for c in POSE]), 0.0)]
+    # a value that is not finite would spread, and a quaternion without length has no rotation: both are found in the source
+    checks = [
+        validate.violations(arms, "finite source", F.greatest(*[(~g.finite(c)).cast("double") for c in source]), 0.0),
+        validate.violations(arms, "quaternion", (g.norm(source[3:7]) < g.NORM_FLOOR).cast("double"), 0.0),
+    ]
+    checks += [validate.violations(poses, "finite", F.greatest(*[(~g.finite(F.col(c))).cast("double") for c in POSE]), 0.0)]
+    limits = None
     if settings.smoothing.enabled:
         poses = smooth(poses, settings)
+        checks.append(rotation_check(poses, "smoothed rotation"))
     if settings.step_limit.enabled:
         s = steps(convert(arms, settings))
         ref = windows.step_reference(s, ["position_step", "rotation_step"], settings.step_limit.percentile).first()  # the one global barrier: one row
         poses = limit(poses, settings, ref["position_step_limit"], ref["rotation_step_limit"])
-        after = steps(poses)
-        checks.append(validate.violations(after, "position step", F.col("position_step"), ref["position_step_limit"] + settings.step_limit.position_tolerance_mm / 1000 + 5e-7))
-        checks.append(validate.violations(after, "rotation step", F.col("rotation_step"), ref["rotation_step_limit"] + settings.step_limit.rotation_tolerance_deg + 1e-5))
+        limits = (ref["position_step_limit"] + settings.step_limit.position_tolerance_mm / 1000 + 5e-7, ref["rotation_step_limit"] + settings.step_limit.rotation_tolerance_deg + 1e-5)
+    poses = poses.persist(StorageLevel.MEMORY_AND_DISK)  # the outputs and checks below would each run the kernels again
     lengths = poses.groupBy("episode_index").agg(F.count_distinct("frame_index").alias("n"))
     b = lengths.select("episode_index", F.lit(0).cast("long").alias("start_frame"), F.col("n").alias("end_frame"), F.lit("ok").alias("status"))
     if settings.trim.enabled:
@@ -193,12 +225,17 @@ def run(arms: DataFrame, settings: Settings) -> Result:
         poses = trim.apply_trim(poses, b).drop("source_frame")
     b = b.where("status = 'ok'")
     if settings.turn_sparsification.enabled:
-        kept = kept_frames(poses, settings)
+        kept = kept_frames(poses, settings, limits)
     else:
         kept = poses.select("episode_index", "frame_index").distinct().groupBy("episode_index").agg(F.array_sort(F.collect_list(F.col("frame_index").cast("int"))).alias("kept"))
     selection = trim.compose(kept, b)
     chosen = selection.join(b.select("episode_index", "start_frame"), "episode_index").select("episode_index", "out_frame", (F.col("source_frame") - F.col("start_frame")).alias("frame_index"))
     frames = poses.join(chosen, ["episode_index", "frame_index"]).withColumn("frame_index", F.col("out_frame")).drop("out_frame")
+    frames = frames.persist(StorageLevel.MEMORY_AND_DISK)
+    if limits is not None:  # of the frames that are written
+        after = steps(frames)
+        checks.append(validate.violations(after, "position step", F.col("position_step"), limits[0]))
+        checks.append(validate.violations(after, "rotation step", F.col("rotation_step"), limits[1]))
     offset = settings.trajectory.action_offset_frames
     frames = windows.action_shift(frames, POSE, offset, by=ARM).withColumn("timestamp", F.col("frame_index") / settings.fps)
     first = windows.episode_offsets(frames.groupBy("episode_index").agg(F.count_distinct("frame_index").alias("length"))).select("episode_index", "first_index", "length")

@@ -7,10 +7,12 @@ the feature catalogue in the schema's metadata, which Spark's own writer drops.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,8 +93,9 @@ def write(frames: DataFrame, root: str, features: dict, chunk_size: int = 1000)
         store, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
         store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
         cols = [pa.array(part[f"c{i}"].tolist(), f.type) for i, f in enumerate(schema)]
-        pq.write_table(pa.Table.from_arrays(cols, schema=schema), inner + ".tmp", filesystem=store, compression="zstd")
-        store.move(inner + ".tmp", inner)
+        own = f"{inner}.{TaskContext.get().taskAttemptId()}.tmp"  # another attempt of the task may write at the same time
+        pq.write_table(pa.Table.from_arrays(cols, schema=schema), own, filesystem=store, compression="zstd")
+        store.move(own, inner)
         return pd.DataFrame({"episode_index": [e], "length": [len(part)], "path": [path]})
 
     # names with dots go through the grouped map as numbers
@@ -100,8 +103,33 @@ def write(frames: DataFrame, root: str, features: dict, chunk_size: int = 1000)
     return plain.groupBy("episode_index").applyInPandas(run, "episode_index long, length long, path string")
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
-    df.select(F.to_json(F.struct("*")).alias("value")).write.text(path)
+def write_lines(lines: DataFrame, path: str) -> None:
+    """lines (order, value) as one text file: parts are written in order by tasks, and then joined byte by byte."""
+    spark, parts = lines.sparkSession, f"{path}.parts-{uuid.uuid4().hex}"
+    lines.repartitionByRange("order").sortWithinPartitions("order").select("value").write.text(parts)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder, whole = jvm.org.apache.hadoop.fs.Path(parts), jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(conf)
+    own = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+    out = store.create(own, True)
+    for name in sorted(f.getPath().getName() for f in store.listStatus(folder) if f.getPath().getName().startswith("part-")):
+        part = store.open(jvm.org.apache.hadoop.fs.Path(f"{parts}/{name}"))
+        jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, conf, False)
+        part.close()
+    out.close()
+    store.delete(whole, False)
+    if not store.rename(own, whole):
+        raise OSError(f"{path} could not be written")
+    store.delete(folder, True)
+
+
+def write_jsonl(df: DataFrame, path: str, *order: str) -> None:
+    """df as one file with a JSON object a line, in the order of some columns."""
+    write_lines(df.select(F.struct(*order).alias("order"), F.to_json(F.struct("*")).alias("value")), path)
+
+
+def write_json(spark: SparkSession, value: dict, path: str) -> None:
+    write_lines(spark.createDataFrame([(0, json.dumps(value, indent=2, ensure_ascii=False))], "order int, value string"), path)
 
 
 def info_of(old: dict, episodes: int, frames: int, video_keys: int, tasks: int, chunk_size: int, features: dict) -> dict:
@@ -112,4 +140,4 @@ def info_of(old: dict, episodes: int, frames: int, video_keys: int, tasks: int,
     }
 
 
-__all__ = ["Dataset", "info_of", "inspect", "read", "read_json", "slot_index", "write", "write_jsonl"]
+__all__ = ["Dataset", "info_of", "inspect", "read", "read_json", "slot_index", "write", "write_json", "write_jsonl", "write_lines"]
