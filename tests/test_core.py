@@ -177,6 +177,19 @@ def test_turn_query_by_brute_force(spark):
     assert gone
 
 
+@pytest.mark.parametrize("few", [1, 50, 10_000])
+def test_percentiles_are_exact(spark, monkeypatch, few):
+    monkeypatch.setattr(windows, "FEW", few)
+    monkeypatch.setattr(windows, "BINS", 8)
+    rng = np.random.default_rng(5)
+    for values in (rng.normal(size=501), np.round(rng.exponential(size=400), 1), np.full(30, 2.5), np.array([1.0]), np.array([1.0, 9.0])):
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (math.nan,)], "s double")
+        for p in (0, 37.5, 95, 100):
+            got = windows.step_reference(df, ["s"], p).first()
+            assert abs(got["s_limit"] - np.percentile(values, p)) < 1e-9 and got["s_max"] == values.max() and got["adjacent_pairs"] == len(values) + 2
+    assert windows.step_reference(df.limit(0), ["s"], 95).first()["s_limit"] is None
+
+
 def test_stretches_with_long_steps_are_put_back():
     p = np.stack([np.arange(10.0), np.zeros(10), np.zeros(10)], axis=1)
     arms = [{"p": p, "q": np.tile([0.0, 0, 0, 1], (10, 1))}]

@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -73,10 +74,53 @@ def step_metrics(arms: DataFrame) -> DataFrame:
     return steps.where("p is not null").groupBy("episode_index", "frame_index").agg(F.max("p").alias("position_step"), F.max("r").alias("rotation_step"))
 
 
+#: Bins of a pass over the values, and values of a bin that the driver takes to rank them.
+BINS, FEW = 4096, 10_000
+
+
+def values_at(values: DataFrame, column: str, k: int, low: float, high: float) -> tuple[float, float | None]:
+    """The values of ranks k and k + 1 (from 0; None: there is none), exactly, of a column without nulls between bounds.
+
+    Each pass counts the values of the bracket by bins and narrows it to one bin, so that neither a task nor the driver
+    holds more than BINS rows, or FEW values at the end.
+    """
+    before, after = 0, None
+    while low < high:
+        inside = values.where((F.col(column) >= low) & (F.col(column) <= high))
+        number = F.least(F.floor((F.col(column) - low) / (high - low) * BINS), F.lit(BINS - 1))
+        bins = inside.groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("low"), F.max(column).alias("high"))
+        found = sorted(bins.collect(), key=lambda r: r["bin"])
+        i = 0
+        while before + found[i]["n"] <= k:
+            before, i = before + found[i]["n"], i + 1
+        after = found[i + 1]["low"] if i + 1 < len(found) else after
+        low, high, n = found[i]["low"], found[i]["high"], found[i]["n"]
+        if n <= FEW:
+            last = sorted(r[0] for r in values.where((F.col(column) >= low) & (F.col(column) <= high)).select(column).collect())
+            return last[k - before], last[k - before + 1] if k - before + 1 < n else after
+    n = values.where(F.col(column) == low).count()
+    return low, low if k - before + 1 < n else after
+
+
 def step_reference(steps: DataFrame, columns: Sequence[str], percentile: float) -> DataFrame:
-    """Exact percentile of steps, pooled over all episodes: one row. A global barrier, summed by value before the shuffle."""
-    aggs = [F.percentile(c, F.lit(percentile / 100)).alias(f"{c}_limit") for c in columns]
-    return steps.agg(*aggs, *[F.max(c).alias(f"{c}_max") for c in columns], F.count(F.lit(1)).alias("adjacent_pairs"))
+    """Exact percentile of steps, pooled over all episodes: one row. A global barrier of a few passes over the steps."""
+    held = steps.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    known = [F.when(~F.isnan(c), F.col(c)) for c in columns]
+    aggs = [f(c).alias(f"{n}_{name}") for n, c in zip(columns, known, strict=True) for f, name in ((F.min, "least"), (F.max, "max"), (F.count, "n"))]
+    found = held.agg(*aggs, F.count(F.lit(1)).alias("adjacent_pairs")).first()
+    row: dict[str, float | int | None] = {}
+    for c in columns:
+        n, limit = found[f"{c}_n"], None
+        if n:
+            place = percentile / 100 * (n - 1)
+            k = min(math.floor(place), n - 1)
+            low, high = values_at(held.where(F.col(c).isNotNull() & ~F.isnan(c)), c, k, found[f"{c}_least"], found[f"{c}_max"])
+            limit = low if place == k or high is None else (k + 1 - place) * low + (place - k) * high
+        row |= {f"{c}_limit": limit}
+    row |= {f"{c}_max": found[f"{c}_max"] for c in columns} | {"adjacent_pairs": found["adjacent_pairs"]}
+    held.unpersist()
+    schema = ", ".join(f"{k} {'long' if k == 'adjacent_pairs' else 'double'}" for k in row)
+    return steps.sparkSession.createDataFrame([tuple(row.values())], schema)
 
 
 def smooth_positions(frames: DataFrame, columns: Sequence[str] = ("x", "y", "z"), window: int = 5, passes: int = 1, preserve: int = 2) -> DataFrame:
