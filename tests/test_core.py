@@ -9,7 +9,7 @@ import oracle
 from trackframe.functions import encode
 from trackframe.functions import geometry as g
 from trackframe.operators import kernels, media, merge, stats, trim, validate, windows
-from trackframe.plans import catalogue, config, trajectory
+from trackframe.plans import catalogue, config, merging, trajectory
 from trackframe.plans import oracle as sql
 from trackframe.sources import dataset
 
@@ -349,7 +349,7 @@ def test_dataset_round_trip(spark, tmp_path):
     wrote = dataset.write(df, root, features).collect()
     assert sorted(r["length"] for r in wrote) == [3, 3]
     (tmp_path / "set/meta").mkdir()
-    info = dataset.info_of({"features": features}, 2, 6, 1, 1, 1000, features)
+    info = dataset.info_of({"features": features}, 2, 6, 0, 1, 1000, features)
     (tmp_path / "set/meta/info.json").write_text(json.dumps(info, indent=2))
     (tmp_path / "set/meta/episodes.jsonl").write_text("".join(json.dumps({"episode_index": e, "tasks": ["t"], "length": 3}) + "\n\n" for e in range(2)))
     (tmp_path / "set/meta/tasks.jsonl").write_text(json.dumps({"task_index": 0, "task": "t"}) + "\n")
@@ -392,6 +392,22 @@ def test_command_line(spark, tmp_path):
     other = tmp_path / "other" / "set"
     assert main([*args[:4], "--output", str(other), *args[6:], "--task", "lift it"]) == 0
     assert [tuple(r) for r in dataset.read(spark, str(other)).tasks.collect()] == [(0, "lift it")]
+    assert main(["validate", "--input", str(out), "--offset", "1"]) == 0 and main(["validate", "--input", str(out), "--offset", "3"]) == 1
+    both = tmp_path / "both" / "set"
+    with pytest.raises(ValueError, match="tasks differ"):
+        main(["merge", "--input", str(out), "--input", str(other), "--output", str(both)])
+    again = tmp_path / "again" / "set"
+    assert main([*args[:4], "--output", str(again), *args[6:]]) == 0
+    assert main(["merge", "--input", str(out), "--input", str(again), "--output", str(both)]) == 0
+    merged = dataset.read(spark, str(both))
+    assert dataset.inspect(merged).count() == 0 and merged.info["total_episodes"] == 4 and merged.info["total_frames"] == 48
+    assert sorted(r[0] for r in merged.frames.select("index").collect()) == list(range(48))
+    assert main(["validate", "--input", str(both), "--offset", "1"]) == 0
+    for bad in ([str(out)], [str(out), str(out) + "/"]):
+        with pytest.raises(ValueError):
+            merging.checked_inputs(bad)
+    a, b = (merge.file_manifest(spark, str(x) + "/meta") for x in (out, again))
+    assert {r["path"] for r in a.collect()} == {r["path"] for r in b.collect()} >= {"info.json", "tasks.jsonl"}
     (root / "meta/episodes.jsonl").write_text(json.dumps({"episode_index": 0, "tasks": ["t"], "length": 99}) + "\n")
     assert main([*args, "--check"]) == 1
 

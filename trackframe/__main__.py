@@ -1,4 +1,8 @@
-"""python -m trackframe --config FILE --input DIR --output DIR [--check]: run the trajectory plan over a dataset on disk."""
+"""python -m trackframe --config FILE --input DIR --output DIR [--check]: run the trajectory plan over a dataset on disk.
+
+python -m trackframe merge --input DIR --input DIR ... --output DIR: datasets that fit as one.
+python -m trackframe validate --input DIR [--offset N]: numbering, totals, finite values and alignment of a dataset.
+"""
 
 from __future__ import annotations
 
@@ -9,8 +13,9 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from trackframe.functions import geometry
 from trackframe.operators import validate
-from trackframe.plans import config, trajectory
+from trackframe.plans import config, merging, trajectory
 from trackframe.sources import dataset
 
 SLOTS = ("x", "y", "z", "qx", "qy", "qz", "qw")
@@ -38,7 +43,40 @@ def tasks_of(d: dataset.Dataset, override: str | None):
     return d.tasks, first.join(d.tasks, "task", "left").select("episode_index", "task_index")
 
 
+def merge_command(argv: list[str]) -> int:
+    p = argparse.ArgumentParser(prog="trackframe merge")
+    p.add_argument("--input", action="append", required=True)
+    p.add_argument("--output", required=True)
+    a = p.parse_args(argv)
+    output = config.safe_output(a.output, *a.input)
+    spark = SparkSession.builder.appName("trackframe").getOrCreate()
+    print(json.dumps(merging.merge_datasets(spark, a.input, output), indent=2))
+    return 0
+
+
+def validate_command(argv: list[str]) -> int:
+    """Rows that break a rule are printed, ten at most of each; none: 0."""
+    p = argparse.ArgumentParser(prog="trackframe validate")
+    p.add_argument("--input", required=True)
+    p.add_argument("--offset", type=int, help="frames by which the action runs ahead of the state")
+    a = p.parse_args(argv)
+    d = dataset.read(SparkSession.builder.appName("trackframe").getOrCreate(), a.input)
+    found = dataset.inspect(d).limit(10).collect()
+    width = d.info["features"]["observation.state"]["shape"][0]
+    slots = d.frames.select("episode_index", "frame_index", *[F.element_at("state", i + 1).alias(f"s{i}") for i in range(width)], *([F.element_at(F.col("action").cast("array<double>"), i + 1).alias(f"action_s{i}") for i in range(width)] if "action" in d.frames.columns else []))
+    bad = F.greatest(*[(~geometry.finite(F.col(c))).cast("double") for c in slots.columns if c not in ("episode_index", "frame_index")])
+    found += validate.violations(slots, "finite", bad, 0.0).limit(10).collect()
+    if a.offset is not None:
+        error = validate.alignment_error(slots, [f"s{i}" for i in range(width)], a.offset)
+        found += validate.violations(error, "alignment", F.col("error"), 1e-6).limit(10).collect()
+    print(merging.report(found))
+    return int(bool(found))
+
+
 def main(argv: list[str] | None = None) -> int:
+    argv = sys.argv[1:] if argv is None else argv
+    if argv[:1] in (["merge"], ["validate"]):
+        return {"merge": merge_command, "validate": validate_command}[argv[0]](argv[1:])
     p = argparse.ArgumentParser(prog="trackframe", description=__doc__)
     p.add_argument("--config", required=True)
     p.add_argument("--input", required=True)

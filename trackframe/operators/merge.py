@@ -48,6 +48,8 @@ def manifest(files: DataFrame, path: Column, content: Column) -> DataFrame:
 
 
 def file_manifest(spark, root: str, skip_suffix: str = ".rrd") -> DataFrame:
-    """The manifest of a folder, but for a suffix; read by Spark, so any of its stores will do."""
+    """The manifest of a folder, by paths below it, but for a suffix; read by Spark, so any of its stores will do."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return manifest(files.where(~F.lower("path").endswith(skip_suffix)), F.col("path"), F.col("content"))
+    below = root.rstrip("/").split("://")[-1]
+    path = F.element_at(F.split("path", f"\\Q{below}/\\E", 2), -1)
+    return manifest(files.where(~F.lower("path").endswith(skip_suffix)), path, F.col("content"))

@@ -57,7 +57,7 @@ def slot_index(names: list[str], prefix: str, component: str) -> int:
 
 
 def inspect(dataset: Dataset) -> DataFrame:
-    """Violations of what a dataset must hold: numbering, lengths, totals."""
+    """Violations of what a dataset must hold: numbering, lengths, and totals (without an episode)."""
     counted = dataset.frames.groupBy("episode_index").agg(F.count(F.lit(1)).alias("rows"), F.min("frame_index").alias("lo"), F.max("frame_index").alias("hi"), F.count_distinct("frame_index").alias("distinct"))
     j = dataset.episodes.select("episode_index", "length").join(counted, "episode_index", "full")
     kinds = [
@@ -65,7 +65,15 @@ def inspect(dataset: Dataset) -> DataFrame:
         ("frame_index", (F.col("lo") != 0) | (F.col("hi") != F.col("rows") - 1) | (F.col("distinct") != F.col("rows"))),
         ("episode_index", (F.col("episode_index") < 0) | (F.col("episode_index") >= dataset.info["total_episodes"])),
     ]
-    return j.select("episode_index", F.explode(F.array(*[F.when(bad, F.lit(name)) for name, bad in kinds])).alias("check")).where("`check` is not null")
+    rows = j.select("episode_index", F.explode(F.array(*[F.when(bad, F.lit(name)) for name, bad in kinds])).alias("check")).where("`check` is not null")
+    info, videos = dataset.info, sum(f.get("dtype") == "video" for f in dataset.info.get("features", {}).values())
+    n, frames = F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))
+    totals = [
+        ("total_episodes", n != info["total_episodes"]), ("total_frames", frames != info.get("total_frames", -1)),
+        ("total_videos", n * videos != info.get("total_videos", 0)), ("total_chunks", F.ceil(n / info.get("chunks_size", 1000)) != info.get("total_chunks", -1)),
+    ]
+    whole = dataset.episodes.agg(F.array(*[F.when(bad, F.lit(name)) for name, bad in totals]).alias("bad"))
+    return rows.union(whole.select(F.lit(None).cast("long").alias("episode_index"), F.explode("bad").alias("check")).where("`check` is not null"))
 
 
 def write(frames: DataFrame, root: str, features: dict, chunk_size: int = 1000) -> DataFrame:
