@@ -30,6 +30,8 @@ LENGTH, KMER = 100, 32
 CHUNK = 1 << 21
 #: Contexts with the same leading bytes that are compared in one task; windows of larger groups are dealt by their hash.
 GROUP = 2048
+#: Contexts of large groups whose windows a task makes at once: some 70 each.
+PART = 512
 #: Contexts that a task holds at once, with the groups they complete.
 HELD = 20_000
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -234,12 +236,12 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if small:
             h, d, place, data = zip(*small, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array([False] * len(h)), pa.array(h, pa.int64()), pa.nulls(len(h), pa.int64()), pa.array(d, pa.int64()), pa.array(place, pa.int64()), pa.array(data, pa.binary())], names=names)
-        if large:
-            h, d, place, data = zip(*large, strict=True)
+        for k in range(0, len(large), PART):
+            h, d, place, data = zip(*large[k : k + PART], strict=True)
             which, offset, w, w2 = windows_of(list(data))
             place = np.array(place, np.int64)
             start = ((place >> 16) - (place >> 8 & 255))[which] + offset
-            yield pa.RecordBatch.from_arrays([pa.array([True] * len(w)), pa.array(w.view(np.int64)), pa.array(w2.view(np.int64)), pa.array(np.array(d, np.int64)[which]), pa.array(start), pa.nulls(len(w), pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(w), bool)), pa.array(w.view(np.int64)), pa.array(w2.view(np.int64)), pa.array(np.array(d, np.int64)[which]), pa.array(start), pa.nulls(len(w), pa.binary())], names=names)
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
