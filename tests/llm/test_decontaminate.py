@@ -20,9 +20,9 @@ def brute(docs, items, window=10):
     at = {}
     for i, t in items:
         w = words(t)
-        if i is not None and w:
+        if w:
             for k in range(max(len(w) - window, 0) + 1):
-                at.setdefault(tuple(w[k : k + window]), set()).add(str(i))
+                at.setdefault(tuple(w[k : k + window]), set()).update(() if i is None else (str(i),))  # no id, no name
     sizes = {len(k) for k in at}
     out = []
     for doc_id, t in docs:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import columns, fresh, map_batches, written
+from .common import columns, fresh, map_batches, row_key, written
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 WINDOW = 10
@@ -252,21 +252,21 @@ def blocks(items: DataFrame, parts: int) -> Iterator[Broadcast[Phrases]]:
         yield items.sparkSession.sparkContext.broadcast(Phrases(named))
 
 
-def _items(benchmark: DataFrame, block_words: int, nameless: bool) -> tuple[DataFrame, int]:
-    """item_id and text, with or without the items that have no id, and the number of blocks of about block_words words."""
-    items = benchmark.where("text is not null" if nameless else "item_id is not null and text is not null").select("item_id", "text")
+def _items(benchmark: DataFrame, block_words: int) -> tuple[DataFrame, int]:
+    """item_id (null: an item without a name) and text, and the number of blocks of about block_words words."""
+    items = benchmark.where("text is not null").select("item_id", "text")
     n = items.agg(F.sum(F.length("text"))).first()[0] or 0
     return items, max(1, -(-n // (6 * block_words)))
 
 
 def _each_block(docs: DataFrame, items: DataFrame, parts: int, keep: list[str], shard_symbols: int, hits: bool = False) -> DataFrame:
-    """What each block finds in the same texts; `hits`: rows with spans alone, one for each value of keep.
+    """What each block finds in the same texts, by _block; `hits`: rows with spans alone, one for each value of keep.
 
     A block's rows are written, and its phrases freed, before the next block is collected.
     """
     out = None
-    for held in blocks(items, parts):
-        found = _search(docs, held, keep, False, shard_symbols)
+    for k, held in enumerate(blocks(items, parts)):
+        found = _search(docs, held, keep, False, shard_symbols).withColumn("_block", F.lit(k))
         found = written(found.where(F.size("starts") > 0).dropDuplicates(keep) if hits else found)
         held.destroy()
         out = found if out is None else out.unionByName(found)
@@ -292,16 +292,19 @@ def _merged(starts: list, ends: list) -> tuple[list[int], list[int]]:
 def find_contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS, shard_symbols: int = SHARD_SYMBOLS) -> DataFrame:
     """doc_id, n_words, starts, ends (merged spans of words, end exclusive) and items, a row for each row of docs.
 
-    Null and empty texts have no words. A benchmark of several blocks takes a pass over docs for each; spans are then
-    merged by row (doc_id and text), so that repeated rows are found alike.
+    Null and empty texts have no words. Items without an id hit, but have no name among the items. A benchmark of several
+    blocks takes a pass over docs for each; spans are then merged by row (a hash of doc_id and text), so that repeated rows
+    are found alike.
     """
-    items, parts = _items(benchmark, block_words, False)
+    items, parts = _items(benchmark, block_words)
     if parts == 1:
         return _search(docs.select("doc_id", "text"), next(blocks(items, 1)), ["doc_id"], False, shard_symbols)
-    # rows that share doc_id and text are found alike, so one of each is enough; they are counted to be put back
-    keyed = docs.groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("_times")).withColumn("_row", F.sha2("text", 256))
-    union = _each_block(keyed, items, parts, ["doc_id", "_times", "_row"], shard_symbols)
-    g = union.groupBy("doc_id", "_row", "_times").agg(F.first("n_words").alias("n_words"), F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    # rows that share doc_id and text are found alike, so each block's are counted as one, and put back at the end
+    keyed = docs.select("doc_id", row_key().alias("_row"), "text")
+    union = _each_block(keyed, items, parts, ["doc_id", "_row"], shard_symbols)
+    first = [F.first(c).alias(c) for c in ("n_words", "starts", "ends", "items")]
+    once = union.groupBy("doc_id", "_row", "_block").agg(F.count(F.lit(1)).alias("_times"), *first)
+    g = once.groupBy("doc_id", "_row").agg(F.first("_times").alias("_times"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     g = g.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), "_times")))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,7 +321,7 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, block_words: int
 
     Null and empty texts stay; rows alike are cut alike; columns besides the text go through, whatever their names.
     """
-    items, parts = _items(benchmark, block_words, True)
+    items, parts = _items(benchmark, block_words)
     plain = docs.columns
     if parts == 1:
         kept = [c for c in plain if c != "text"]
