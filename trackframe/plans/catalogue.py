@@ -474,6 +474,7 @@ def session_episodes(spark, sf_dir):
 
 @query
 def footer_row_counts(spark, sf_dir):
+    """Rows of tables. Nothing is in the ReadSchema, so the reader adds up the row groups' counts of the footers, and reads no page."""
     names = ("lineitem", "events", "embeddings")
     out = None
     for n in names:
