@@ -43,7 +43,7 @@ PAIRED, BLOCK = 32, 2048
 #: Rows of a block that are compared at once.
 STRIP = 128
 #: Sets that a task remembers to have seen.
-CACHE = 1 << 20
+CACHE = 1 << 18
 
 
 def prefix_size(n: int) -> int:

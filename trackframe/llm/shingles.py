@@ -8,7 +8,7 @@ import numpy as np
 
 SEED = 42
 #: Words that a task remembers the hashes of.
-CACHE = 1 << 20
+CACHE = 1 << 17
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
