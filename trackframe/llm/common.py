@@ -14,12 +14,13 @@ from pyspark.sql import types as T
 
 #: A word: a run of characters that are not ASCII white space.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Rows in an Arrow batch that goes to a Python worker: whole texts must fit, long ones included.
-BATCH_ROWS = 1000
+#: Rows and bytes of an Arrow batch that goes to a Python worker: whole texts must fit, and a long one is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, lines, mixing, quality, secrets, simhash, substrings, tokens, toxicity
+from . import decontaminate, fim, licenses, lines, mixing, quality, secrets, simhash, substrings, tokens, toxicity
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,8 +64,14 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.fill_in_middle(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = F.sha2(fim.restored(F.col("output"), F.col("form")), 256)
+    return out.select("doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"), F.sha2("output", 256).alias("output_sha256"), back.alias("restored_sha256"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_simhash": op1_simhash, "op2_mixing": op2_mixing, "op3_licenses": op3_licenses, "op4_tokens": op4_tokens, "op5_substrings": op5_substrings, "op6_quality": op6_quality, "op7_secrets": op7_secrets, "op8_toxicity": op8_toxicity, "op9_decontamination": op9_decontamination, "op10_lines": op10_lines}
+    return {"op1_simhash": op1_simhash, "op2_mixing": op2_mixing, "op3_licenses": op3_licenses, "op4_tokens": op4_tokens, "op5_substrings": op5_substrings, "op6_quality": op6_quality, "op7_secrets": op7_secrets, "op8_toxicity": op8_toxicity, "op9_decontamination": op9_decontamination, "op10_lines": op10_lines, "op13_fim": op13_fim}
 
 
 #: The tree of line templates; tokens are parted by ASCII white space, as the operator parts them.
@@ -220,5 +226,24 @@ FROM place p LEFT JOIN own USING (doc_id) LEFT JOIN dirs ON dirs.dir = p.dir
 """
 
 
+#: Cuts at code points from the hash of the id; the text is rebuilt from the three parts.
+OP13_SQL = """
+WITH h AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), k AS (
+  SELECT doc_id, t, length(t)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM h
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM k
+), p AS (
+  SELECT *, substring(t, 1, a) AS prefix, substring(t, a + 1, b - a) AS middle, substring(t, b + 1) AS suffix FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(prefix || middle || suffix) AS restored_sha256
+FROM p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": OP2_SQL, "op3_licenses": OP3_SQL, "op9_decontamination": OP9_SQL, "op10_lines": OP10_SQL}
+    return {"op2_mixing": OP2_SQL, "op3_licenses": OP3_SQL, "op9_decontamination": OP9_SQL, "op10_lines": OP10_SQL, "op13_fim": OP13_SQL}
