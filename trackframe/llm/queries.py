@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fim, licenses, lines, mixing, quality, secrets, simhash, substrings, tokens, toxicity
+from . import decontaminate, fim, licenses, lines, mixing, quality, secrets, simhash, substrings, tokens, toxicity, vectors
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +65,13 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vectors.encode(read_table(spark, sf_dir, "embeddings"))
+    code = F.lower(F.concat(*[F.substring(F.hex("codes"), 4 * i + 1, 2) for i in range(vectors.PARTS)]))
+    digest = hashlib.sha256(vectors.codebook_text(books).encode()).hexdigest()
+    return vectors.label_errors(coded).select("vec_id", code.alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
 def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fim.fill_in_middle(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     back = F.sha2(fim.restored(F.col("output"), F.col("form")), 256)
@@ -71,7 +79,7 @@ def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_simhash": op1_simhash, "op2_mixing": op2_mixing, "op3_licenses": op3_licenses, "op4_tokens": op4_tokens, "op5_substrings": op5_substrings, "op6_quality": op6_quality, "op7_secrets": op7_secrets, "op8_toxicity": op8_toxicity, "op9_decontamination": op9_decontamination, "op10_lines": op10_lines, "op13_fim": op13_fim}
+    return {"op1_simhash": op1_simhash, "op2_mixing": op2_mixing, "op3_licenses": op3_licenses, "op4_tokens": op4_tokens, "op5_substrings": op5_substrings, "op6_quality": op6_quality, "op7_secrets": op7_secrets, "op8_toxicity": op8_toxicity, "op9_decontamination": op9_decontamination, "op10_lines": op10_lines, "op12_vectors": op12_vectors, "op13_fim": op13_fim}
 
 
 #: The tree of line templates; tokens are parted by ASCII white space, as the operator parts them.
@@ -226,6 +234,38 @@ FROM place p LEFT JOIN own USING (doc_id) LEFT JOIN dirs ON dirs.dir = p.dir
 """
 
 
+def _assigned(k: int) -> str:
+    return f"""a{k} AS MATERIALIZED (
+  SELECT vec_id, any_value(label) AS label, p, any_value(x) AS x, min(d) // 256 AS d, min(d) % 256 AS k FROM (
+    SELECT vec_id, label, p, x, (list_inner_product(x, x) - 2 * list_inner_product(x, e) + list_inner_product(e, e))::BIGINT * 256 + k AS d FROM parts JOIN b{k} USING (p)
+  ) GROUP BY vec_id, p
+)"""
+
+
+def _moved(k: int) -> str:
+    return f"""m{k} AS (
+  SELECT p, k, list(e ORDER BY i) AS e FROM (
+    SELECT p, k, i, floor(sum(v) / count(*)) AS e FROM (SELECT p, k, unnest(x) AS v, unnest(range(len(x))) AS i FROM a{k}) GROUP BY p, k, i
+  ) GROUP BY p, k
+), b{k + 1} AS MATERIALIZED (SELECT p, k, coalesce(m{k}.e, b{k}.e) AS e FROM b{k} LEFT JOIN m{k} USING (p, k))"""
+
+
+#: Product codes, each part against all entries: four rounds, then the codes. All numbers are integers below 2^53.
+OP12_SQL = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT vec_id, label, p, v[p * (len(v) // 4) + 1 : (p + 1) * (len(v) // 4)] AS x FROM (SELECT *, unnest(range(4)) AS p FROM kept)
+), b0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS k, x AS e FROM parts SEMI JOIN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 256) USING (vec_id)
+), {", ".join(f"{_assigned(k)}, {_moved(k)}" for k in range(4))}, {_assigned(4)},
+coded AS (SELECT vec_id, any_value(label) AS label, string_agg(lower(format('{{:02x}}', k)), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a4 GROUP BY vec_id),
+book AS (SELECT sha256(string_agg(v::BIGINT::VARCHAR, ',' ORDER BY p, k, i)) AS codebooks_sha256 FROM (SELECT p, k, unnest(e) AS v, unnest(range(len(e))) AS i FROM b4))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded, book
+"""
+
+
 #: Cuts at code points from the hash of the id; the text is rebuilt from the three parts.
 OP13_SQL = """
 WITH h AS (
@@ -246,4 +286,4 @@ FROM p
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": OP2_SQL, "op3_licenses": OP3_SQL, "op9_decontamination": OP9_SQL, "op10_lines": OP10_SQL, "op13_fim": OP13_SQL}
+    return {"op2_mixing": OP2_SQL, "op3_licenses": OP3_SQL, "op9_decontamination": OP9_SQL, "op10_lines": OP10_SQL, "op12_vectors": OP12_SQL, "op13_fim": OP13_SQL}
