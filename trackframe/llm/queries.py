@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fim, licenses, lines, mixing, quality, secrets, simhash, substrings, tokens, toxicity, vectors
+from . import decontaminate, fim, licenses, lines, mixing, quality, recompression, secrets, simhash, substrings, tokens, toxicity, vectors
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,11 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = recompression.drop_repeats(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = vectors.encode(read_table(spark, sf_dir, "embeddings"))
     code = F.lower(F.concat(*[F.substring(F.hex("codes"), 4 * i + 1, 2) for i in range(vectors.PARTS)]))
@@ -79,7 +84,7 @@ def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_simhash": op1_simhash, "op2_mixing": op2_mixing, "op3_licenses": op3_licenses, "op4_tokens": op4_tokens, "op5_substrings": op5_substrings, "op6_quality": op6_quality, "op7_secrets": op7_secrets, "op8_toxicity": op8_toxicity, "op9_decontamination": op9_decontamination, "op10_lines": op10_lines, "op12_vectors": op12_vectors, "op13_fim": op13_fim}
+    return {"op1_simhash": op1_simhash, "op2_mixing": op2_mixing, "op3_licenses": op3_licenses, "op4_tokens": op4_tokens, "op5_substrings": op5_substrings, "op6_quality": op6_quality, "op7_secrets": op7_secrets, "op8_toxicity": op8_toxicity, "op9_decontamination": op9_decontamination, "op10_lines": op10_lines, "op11_recompression": op11_recompression, "op12_vectors": op12_vectors, "op13_fim": op13_fim}
 
 
 #: The tree of line templates; tokens are parted by ASCII white space, as the operator parts them.
@@ -234,6 +239,24 @@ FROM place p LEFT JOIN own USING (doc_id) LEFT JOIN dirs ON dirs.dir = p.dir
 """
 
 
+#: Windows of 50 words as texts; a word goes if one of the 50 windows over it starts in an earlier document, too.
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 49], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+), firsts AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT windows.doc_id, i FROM windows JOIN firsts USING (s) WHERE windows.doc_id > first),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+marked AS (
+  SELECT doc_id, i, word, max(hit.i) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone
+  FROM words LEFT JOIN hit USING (doc_id, i)
+), sums AS (
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256 FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, coalesce(kept_sha256, sha256('')) AS kept_sha256 FROM d LEFT JOIN sums USING (doc_id)
+"""
+
+
 def _assigned(k: int) -> str:
     return f"""a{k} AS MATERIALIZED (
   SELECT vec_id, any_value(label) AS label, p, any_value(x) AS x, min(d) // 256 AS d, min(d) % 256 AS k FROM (
@@ -286,4 +309,4 @@ FROM p
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": OP2_SQL, "op3_licenses": OP3_SQL, "op9_decontamination": OP9_SQL, "op10_lines": OP10_SQL, "op12_vectors": OP12_SQL, "op13_fim": OP13_SQL}
+    return {"op2_mixing": OP2_SQL, "op3_licenses": OP3_SQL, "op9_decontamination": OP9_SQL, "op10_lines": OP10_SQL, "op11_recompression": OP11_SQL, "op12_vectors": OP12_SQL, "op13_fim": OP13_SQL}
