@@ -26,8 +26,10 @@ from .common import written
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 #: Rounds whose codebooks are passed through anew before codes are written.
 REPLAY = 8
-#: Rows whose distances to one entry's neighbours are made at once, and neighbours in a step.
-ROWS, STEP = 4096, 32
+#: Rows whose distances to one entry's neighbours are made at once; times the neighbours of the step before that a step ends at.
+ROWS, STEP = 4096, 12
+#: Components that a task searches for at once.
+COMPONENTS = 1 << 20
 #: Integers up to this are exact in double precision, in any order of addition.
 EXACT = 1 << 53
 
@@ -67,25 +69,32 @@ class Book:
         kind = np.float64 if exact else object
         x, e = x.astype(kind), self.entries.astype(kind)
         norm, of_entry = (x * x).sum(axis=1), (e * e).sum(axis=1)
-        to_before = ((x - e[before]) ** 2).sum(axis=1)
-        best, index = to_before.copy(), before.astype(np.int64)
+        e = np.ascontiguousarray(e.T) * -2
+        to_before = norm + of_entry[before] + (x * e.T[before]).sum(axis=1)
+        best, index = to_before - norm, before.astype(np.int64)
         by = np.argsort(before, kind="stable")
-        cuts = np.flatnonzero(np.diff(before[by])) + 1
-        for all_rows in np.split(by, cuts):
-            entry = int(before[all_rows[0]])
-            for k in range(0, len(all_rows), ROWS):
-                rows = all_rows[k : k + ROWS]
-                scan = np.searchsorted(self.near[entry].astype(kind), 4 * to_before[rows], "right")
-                rows = rows[np.argsort(-scan, kind="stable")]
-                scan = -np.sort(-scan)
-                for at in range(1, int(scan[0]), STEP):
-                    some = rows[: int(np.searchsorted(-scan, -at))]  # those that scan beyond `at` neighbours
-                    which = np.sort(self.order[entry, at : at + STEP])
-                    d = norm[some, None] - 2 * (x[some] @ e[which].T) + of_entry[which]
+        cuts = [0, *(np.flatnonzero(np.diff(before[by])) + 1).tolist(), len(by)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            entry = int(before[by[a]])
+            for k in range(a, b, ROWS):
+                rows = by[k : min(k + ROWS, b)]
+                scan = np.searchsorted(self.near[entry], 4 * to_before[rows], "right")
+                if int(scan.max()) < 2:
+                    continue
+                order = np.argsort(-scan, kind="stable")
+                rows, scan, at = rows[order], scan[order], 1
+                while at < scan[0]:  # each step takes more neighbours, for the rows that scan so far
+                    to = min(STEP * max(at, 6), int(scan[0]))
+                    some = rows[: int(np.searchsorted(-scan, -at))]
+                    which = np.sort(self.order[entry, at:to])
+                    d = x[some] @ e[:, which] + of_entry[which]
                     near = d.argmin(axis=1)  # the first of equals: the lower index
-                    d, which = d[np.arange(len(some)), near], which[near]
-                    better = (d < best[some]) | ((d == best[some]) & (which < index[some]))
-                    best[some[better]], index[some[better]] = d[better], which[better]
+                    d, which, so_far = d[np.arange(len(some)), near], which[near], best[some]
+                    better = (d < so_far) | ((d == so_far) & (which < index[some]))
+                    some = some[better]
+                    best[some], index[some] = d[better], which[better]
+                    at = to
+        best = best + norm
         return index, best.astype(np.int64) if exact else best
 
 
@@ -123,13 +132,25 @@ def _made(entries: np.ndarray) -> Book:
 
 def _batches(batches: Iterator[pa.RecordBatch], size: int, parts: int, scale: int, books: list[list[np.ndarray]]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], np.ndarray, list[np.ndarray]]]:
     made = [[_made(e) for e in round_] for round_ in books]
+    for b in _joined(batches, max(1, COMPONENTS // max(size, 1))):
+        x = _parts(integers(_matrix(b.column("v"), size), scale), parts)
+        start = np.zeros((b.num_rows, parts), np.int64)
+        if "codes" in b.schema.names:
+            start = np.frombuffer(b"".join(b.column("codes").to_pylist()), "<u2").reshape(-1, parts).astype(np.int64)
+        yield b, x, *_through(made, x, start)
+
+
+def _joined(batches: Iterator[pa.RecordBatch], many: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together to `many` rows or more: rows of the same entry are searched for at once."""
+    held, n = [], 0
     for b in batches:
-        if b.num_rows:
-            x = _parts(integers(_matrix(b.column("v"), size), scale), parts)
-            start = np.zeros((b.num_rows, parts), np.int64)
-            if "codes" in b.schema.names:
-                start = np.frombuffer(b"".join(b.column("codes").to_pylist()), "<u2").reshape(-1, parts).astype(np.int64)
-            yield b, x, *_through(made, x, start)
+        held.append(b)
+        n += b.num_rows
+        if n >= many:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n = [], 0
+    if n:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def _sums(rows: DataFrame, books: list[list[np.ndarray]], size: int, parts: int, scale: int) -> dict[tuple[int, int], tuple[int, list[int]]]:
