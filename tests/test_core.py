@@ -388,7 +388,7 @@ def test_command_line(spark, tmp_path):
     assert [tuple(r) for r in back.tasks.collect()] == [(0, "t")] and {tuple(r["tasks"]) for r in back.episodes.collect()} == {("t",)}
     assert [json.loads(x)["episode_index"] for x in (out / "meta/episodes.jsonl").read_text().splitlines()] == [0, 1]
     assert {r["task_index"] for r in back.frames.select("task_index").distinct().collect()} == {0}
-    assert sorted(x.name for x in (out / "meta").iterdir() if not x.name.startswith(".")) == ["episodes.jsonl", "episodes_stats.jsonl", "info.json", "selection.jsonl", "stats.jsonl", "tasks.jsonl"]
+    assert sorted(x.name for x in (out / "meta").iterdir() if not x.name.startswith(".")) == ["episodes.jsonl", "episodes_stats.jsonl", "info.json", "selection", "stats.json", "tasks.jsonl"]
     other = tmp_path / "other" / "set"
     assert main([*args[:4], "--output", str(other), *args[6:], "--task", "lift it"]) == 0
     assert [tuple(r) for r in dataset.read(spark, str(other)).tasks.collect()] == [(0, "lift it")]
@@ -407,11 +407,41 @@ def test_command_line(spark, tmp_path):
         with pytest.raises(ValueError):
             merging.checked_inputs(bad)
     a, b = (merge.file_manifest(spark, str(x) + "/meta") for x in (out, again))
-    assert {r["path"] for r in a.collect()} == {r["path"] for r in b.collect()} >= {"info.json", "tasks.jsonl"}
+    names = [{r["path"] for r in x.collect() if not r["path"].startswith("selection/")} for x in (a, b)]
+    assert names[0] == names[1] >= {"info.json", "tasks.jsonl"}
     (root / "meta/episodes.jsonl").write_text(json.dumps({"episode_index": 0, "tasks": ["t"], "length": 99}) + "\n")
     assert main([*args, "--check"]) == 1
 
 
+@pytest.mark.parametrize("few", [5, 10_000])
+def test_infinite_steps_have_no_rank(spark, monkeypatch, few):
+    """They are left out of the percentile, however many bins it takes, and the plan refuses their source."""
+    monkeypatch.setattr(windows, "FEW", few)
+    steps = [float(i) for i in range(2000)] + [math.inf] * 50 + [-math.inf, math.nan, None, 1.7e308]
+    df = spark.createDataFrame([(v,) for v in steps], "p double")
+    got = windows.step_reference(df, ["p"], 95).first()
+    want = sorted(v for v in steps if v is not None and math.isfinite(v))
+    assert got["p_limit"] == pytest.approx(np.percentile(want, 95)) and got["p_max"] == 1.7e308 and got["adjacent_pairs"] == len(steps)
+    arms = arms_of(spark, 12, 1).withColumn("x", F.when(F.col("frame_index") == 5, math.inf).otherwise(F.col("x")))
+    with pytest.raises(ValueError, match="finite source"):
+        trajectory.run(arms, config.Settings.of({"step_limit": {"enabled": True}}))
+
+
+def test_rotations_are_checked_after_step_limits(spark, monkeypatch):
+    s = config.Settings.of({"step_limit": {"enabled": True, "percentile": 99}})
+    limit = trajectory.limit
+    monkeypatch.setattr(trajectory, "limit", lambda *a: limit(*a).withColumns({c: F.lit(0.0) for c in ("r0", "r1", "r2")}))
+    out = trajectory.run(arms_of(spark, 40, 1), s)
+    assert "rotation" in {r["check"] for r in out.violations.collect()}
+    out.release()
+    assert all(not d.is_cached for d in out.held)
+
+
+def test_episodes_of_one_frame_have_no_steps(spark):
+    out = trajectory.run(arms_of(spark, 1, 2), config.Settings.of({"trajectory": {"action_offset_frames": 0}, "step_limit": {"enabled": True}}))
+    assert out.frames.count() == 4 and out.violations.count() == 0
+
+
 def test_sessions_of_a_stream(spark, tmp_path):
     from trackframe.streaming.sessions import session_episodes
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Matrix = list[list[Column]]
@@ -72,14 +72,41 @@ def rot6d_matrix(r: Sequence[Column], floor: float = NORM_FLOOR) -> Matrix:
     return [[a[i], b[i], c[i]] for i in range(3)]
 
 
+def with_matrix(df: DataFrame, r: Sequence[str], prefix: str = "_m", floor: float = NORM_FLOOR) -> DataFrame:
+    """df with the nine entries of `rot6d_matrix`, a projection for each step: as one expression, entries repeat one another's parts without bound."""
+    t = lambda n: [F.col(f"{prefix}_{n}{i}") for i in range(3)]
+    named = lambda n, cs: {f"{prefix}_{n}{i}": c for i, c in enumerate(cs)}
+    n, along = F.col(f"{prefix}_n"), F.col(f"{prefix}_t")
+    c = [F.col(x) for x in r]
+    out = df.withColumns({f"{prefix}_n": norm(c[:3])}).withColumns({f"{prefix}_n": at_least(n, floor)}).withColumns(named("a", [x / n for x in c[:3]]))
+    out = out.withColumns({f"{prefix}_t": dot(t("a"), c[3:])}).withColumns(named("b", [x - along * y for x, y in zip(c[3:], t("a"), strict=True)]))
+    out = out.withColumns({f"{prefix}_n": norm(t("b"))}).withColumns({f"{prefix}_n": at_least(n, floor)}).withColumns(named("b", [x / n for x in t("b")]))
+    out = out.withColumns({f"{prefix}{i}{j}": x for j, col in enumerate((t("a"), t("b"), cross(t("a"), t("b")))) for i, x in enumerate(col)})
+    return out.drop(f"{prefix}_n", f"{prefix}_t", *[f"{prefix}_{k}{i}" for k in "ab" for i in range(3)])
+
+
+def entries(prefix: str = "_m") -> Matrix:
+    """The matrix of columns that `with_matrix` adds."""
+    return [[F.col(f"{prefix}{i}{j}") for j in range(3)] for i in range(3)]
+
+
 def multiply(a: Matrix, b: Matrix) -> Matrix:
     return [[a[i][0] * b[0][j] + a[i][1] * b[1][j] + a[i][2] * b[2][j] for j in range(3)] for i in range(3)]
 
 
+def cosine(a: Matrix, b: Matrix) -> Column:
+    """Cosine of the angle between two rotations, from the trace of a'b; rounding may take it beyond 1."""
+    return (sum((a[i][j] * b[i][j] for i in range(3) for j in range(3) if i or j), a[0][0] * b[0][0]) - 1) / 2
+
+
+def angle_of(cosine: Column) -> Column:
+    """Degrees; best of a column of its own, since its bounds repeat it."""
+    return F.degrees(F.acos(clamp(cosine, -1.0, 1.0)))
+
+
 def relative_angle(a: Matrix, b: Matrix) -> Column:
     """Angle between two rotations, from the trace of a'b."""
-    trace = sum((a[i][j] * b[i][j] for i in range(3) for j in range(3) if i or j), a[0][0] * b[0][0])
-    return F.degrees(F.acos(clamp((trace - 1) / 2, -1.0, 1.0)))
+    return angle_of(cosine(a, b))
 
 
 def quaternion_angle(p: Sequence[Column], q: Sequence[Column]) -> Column:

@@ -33,8 +33,8 @@ def alignment_error(frames: DataFrame, columns: Sequence[str], offset: int, pref
 
 
 def rotation_quality(frames: DataFrame, r: Sequence[str], by: Sequence[str] = ("episode_index",)) -> DataFrame:
-    orthogonal, det = g.rotation_error(g.rot6d_matrix([F.col(c) for c in r], floor=1e-12))
-    return frames.groupBy(*by).agg(F.max(orthogonal).alias("orthogonality"), F.max(det).alias("determinant"))
+    orthogonal, det = g.rotation_error(g.entries())
+    return g.with_matrix(frames.select(*by, *r), r, floor=1e-12).groupBy(*by).agg(F.max(orthogonal).alias("orthogonality"), F.max(det).alias("determinant"))
 
 
 def duplicates(df: DataFrame, *key: str) -> DataFrame:

@@ -60,9 +60,8 @@ def unit_quaternions(arms: DataFrame, by: Sequence[str], q: Sequence[str] = ("qx
     """
     six = g.rot6d(g.quaternion_matrix([F.col(c) for c in q]))
     out = arms.select(*by, *[c.alias(f"_r{i}") for i, c in enumerate(six)])
-    m = g.rot6d_matrix([F.col(f"_r{i}") for i in range(6)])
-    out = out.select(*by, *[m[i][j].alias(f"_m{i}{j}") for i in range(3) for j in range(3)])
-    unit = g.matrix_quaternion([[F.col(f"_m{i}{j}") for j in range(3)] for i in range(3)])
+    out = g.with_matrix(out, [f"_r{i}" for i in range(6)])
+    unit = g.matrix_quaternion(g.entries())
     return out.select(*by, *[c.alias(n) for c, n in zip(unit, ("ux", "uy", "uz", "uw"), strict=True)])
 
 
@@ -79,7 +78,7 @@ BINS, FEW = 4096, 10_000
 
 
 def values_at(values: DataFrame, column: str, k: int, low: float, high: float) -> tuple[float, float | None]:
-    """The values of ranks k and k + 1 (from 0; None: there is none), exactly, of a column without nulls between bounds.
+    """The values of ranks k and k + 1 (from 0; None: there is none), exactly, of a column of finite numbers between bounds.
 
     Each pass counts the values of the bracket by bins and narrows it to one bin, so that neither a task nor the driver
     holds more than BINS rows, or FEW values at the end.
@@ -87,7 +86,8 @@ def values_at(values: DataFrame, column: str, k: int, low: float, high: float) -
     before, after = 0, None
     while low < high:
         inside = values.where((F.col(column) >= low) & (F.col(column) <= high))
-        number = F.least(F.floor((F.col(column) - low) / (high - low) * BINS), F.lit(BINS - 1))
+        # by halves, since the bracket's width may be no finite number; the least value is in the first bin and the greatest in the last
+        number = F.least(F.floor((F.col(column) / 2 - low / 2) / (high / 2 - low / 2) * BINS), F.lit(BINS - 1))
         bins = inside.groupBy(number.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("low"), F.max(column).alias("high"))
         found = sorted(bins.collect(), key=lambda r: r["bin"])
         i = 0
@@ -103,9 +103,9 @@ def values_at(values: DataFrame, column: str, k: int, low: float, high: float) -
 
 
 def step_reference(steps: DataFrame, columns: Sequence[str], percentile: float) -> DataFrame:
-    """Exact percentile of steps, pooled over all episodes: one row. A global barrier of a few passes over the steps."""
+    """Exact percentile of finite steps, pooled over all episodes: one row. A global barrier of a few passes over the steps."""
     held = steps.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    known = [F.when(~F.isnan(c), F.col(c)) for c in columns]
+    known = [F.when(~F.isnan(c) & (F.abs(c) != float("inf")), F.col(c)) for c in columns]  # an infinite step has no bin
     aggs = [f(c).alias(f"{n}_{name}") for n, c in zip(columns, known, strict=True) for f, name in ((F.min, "least"), (F.max, "max"), (F.count, "n"))]
     found = held.agg(*aggs, F.count(F.lit(1)).alias("adjacent_pairs")).first()
     row: dict[str, float | int | None] = {}
@@ -114,7 +114,7 @@ def step_reference(steps: DataFrame, columns: Sequence[str], percentile: float)
         if n:
             place = percentile / 100 * (n - 1)
             k = min(math.floor(place), n - 1)
-            low, high = values_at(held.where(F.col(c).isNotNull() & ~F.isnan(c)), c, k, found[f"{c}_least"], found[f"{c}_max"])
+            low, high = values_at(held.where(F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))), c, k, found[f"{c}_least"], found[f"{c}_max"])
             limit = low if place == k or high is None else (k + 1 - place) * low + (place - k) * high
         row |= {f"{c}_limit": limit}
     row |= {f"{c}_max": found[f"{c}_max"] for c in columns} | {"adjacent_pairs": found["adjacent_pairs"]}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trackframe.functions import encode
 from trackframe.functions import geometry as g
 from trackframe.operators import datasets, kernels, media, merge, stats, trim, validate, windows
+from trackframe.sources import files, store
 from trackframe.sources.adapters import by_role, embedding_frames, event_frames, line_frames, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -463,6 +464,48 @@ def sensor_select_fake_solver(spark, sf_dir):
     return s.select("episode_index", "frame_index", r("solved", 4).alias("solved"))
 
 
+class RunningExtremes:
+    """A stand-in for a sensor kit: the frame, the mean and the greatest value so far, as three channels."""
+
+    def __init__(self):
+        self.n, self.total, self.most = 0, 0.0, -float("inf")
+
+    def solve(self, frame):
+        self.n, self.total, self.most = self.n + 1, self.total + frame, max(self.most, frame)
+        return {"force": [[frame, self.total / self.n, self.most]]}
+
+    def release(self):
+        pass
+
+
+@query
+def solver_two_passes(spark, sf_dir):
+    """Solved once into a table; the bounds of each channel, and the codes between them, come from the table."""
+    f = event_frames(spark, sf_dir).select("episode_index", "frame_index", "x", (F.col("frame_index") % 3 == 1).alias("selected"))
+    spill = store.scratch(spark)
+    media.solve_ordered(f, "x", RunningExtremes, {"force": (1, 3)}).write.parquet(spill)
+    solved = spark.read.parquet(spill)
+    out = media.encoded(solved, "force", 3, media.channel_ranges(solved, "force", 3))
+    return out.select("episode_index", "frame_index", F.array_join(F.transform("codes", lambda c: c.cast("string")), ",").alias("codes"))
+
+
+@query
+def file_misfits(spark, sf_dir):
+    """Orders as episodes whose rows are lines; an order's lines as a file. Some files are dropped, cut, renamed or mixed."""
+    path = lambda k: encode.episode_path(files.DATA_PATH, k, 1000)
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), "l_linenumber")
+    episodes = li.groupBy("k").agg(F.count(F.lit(1)).alias("length")).select(F.col("k").alias("episode_index"), "length", path(F.col("k")).alias("path"))
+    found = li.where("k % 50 <> 1 and not (k % 50 = 2 and l_linenumber = 1)")
+    found = found.groupBy("k").agg(F.count(F.lit(1)).alias("rows"), F.min("l_linenumber").alias("lo"), F.max("l_linenumber").alias("hi"))
+    there = F.when(F.col("k") % 50 == 3, -F.col("k")).otherwise(F.col("k"))
+    found = found.select(
+        F.when(F.col("k") % 50 == 4, F.concat(F.lit("data/other_"), F.col("k").cast("string"))).otherwise(path(F.col("k"))).alias("path"), "rows",
+        there.alias("episode_index_low"), F.col("k").alias("episode_index_high"), (F.col("lo") - 1).cast("long").alias("frame_index_low"), (F.col("hi") - 1).cast("long").alias("frame_index_high"),
+        F.lit(None).cast("long").alias("index_low"), F.lit(None).cast("long").alias("index_high"), F.when(F.col("k") % 50 == 5, F.lit("no Parquet")).alias("error"),
+    )
+    return files.misfits(episodes, found)
+
+
 @query
 def session_episodes(spark, sf_dir):
     from trackframe.streaming.sessions import session_episodes as sessions

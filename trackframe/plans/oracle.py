@@ -218,6 +218,18 @@ u AS (SELECT episode_index, frame_index, sx / sqrt(sx * sx + sy * sy) AS c, sy /
 SELECT episode_index, frame_index, {r("c")} AS r0, {r("s")} AS r1, 0.0::DOUBLE AS r2, {r("-s")} AS r3, {r("c")} AS r4, 0.0::DOUBLE AS r5 FROM u"""
 SQL["sensor_select_fake_solver"] = f"""WITH {EVT}, s AS (SELECT episode_index, frame_index, avg(x) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v FROM evt)
 SELECT episode_index, frame_index, {r("v", 4)} AS solved FROM s WHERE frame_index % 4 = 1"""
+SQL["solver_two_passes"] = f"""WITH {EVT}, s AS (
+  SELECT episode_index, frame_index, x AS a, avg(x) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS b, max(x) OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM evt
+), k AS (SELECT * FROM s WHERE frame_index % 3 = 1), m AS (SELECT min(a) AS a0, max(a) AS a1, min(b) AS b0, max(b) AS b1, min(c) AS c0, max(c) AS c1 FROM k)
+SELECT episode_index, frame_index, concat_ws(',', round_even((a - a0) / (a1 - a0) * 255, 0)::INT, round_even((b - b0) / (b1 - b0) * 255, 0)::INT, round_even((c - c0) / (c1 - c0) * 255, 0)::INT) AS codes FROM k, m"""
+SQL["file_misfits"] = """WITH e AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1),
+f AS (SELECT l_orderkey AS k, count(*) AS n, min(l_linenumber) AS lo, max(l_linenumber) AS hi FROM lineitem WHERE l_orderkey % 50 <> 1 AND NOT (l_orderkey % 50 = 2 AND l_linenumber = 1) GROUP BY 1),
+named AS (SELECT *, 'data/chunk-' || lpad((k // 1000)::VARCHAR, greatest(3, len((k // 1000)::VARCHAR))::INT, '0') || '/episode_' || lpad(k::VARCHAR, greatest(6, len(k::VARCHAR))::INT, '0') || '.parquet' AS path FROM e),
+j AS (SELECT path, named.k, named.n AS length, f.k IS NOT NULL AND named.k % 50 <> 4 AS there, f.n, lo, hi FROM named LEFT JOIN f USING (k)),
+c AS (SELECT path, k AS episode_index, unnest([CASE WHEN NOT there THEN 'missing file' END, CASE WHEN there AND k % 50 = 5 THEN 'unreadable' END, CASE WHEN there AND k % 50 <> 5 AND n <> length THEN 'rows' END,
+  CASE WHEN there AND k % 50 = 3 THEN 'misplaced' END, CASE WHEN there AND k % 50 <> 5 AND (lo <> 1 OR hi <> n) THEN 'frame_index' END]) AS "check" FROM j
+UNION ALL SELECT 'data/other_' || k, NULL, 'no episode' FROM f WHERE k % 50 = 4)
+SELECT * FROM c WHERE "check" IS NOT NULL"""
 SQL["session_episodes"] = """WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOURS THEN 0 ELSE 1 END AS new FROM events),
 s AS (SELECT user_id, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM g), n AS (SELECT user_id, k, count(*) AS f FROM s GROUP BY 1, 2)
 SELECT user_id, count(*) AS sessions, sum(f)::BIGINT AS frames, max(f) AS longest FROM n GROUP BY 1"""

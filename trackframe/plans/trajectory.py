@@ -33,6 +33,12 @@ class Result:
     stats: DataFrame
     global_stats: DataFrame
     violations: DataFrame
+    held: tuple[DataFrame, ...] = ()
+
+    def release(self) -> None:
+        """Free what the run keeps for its outputs and checks."""
+        for df in self.held:
+            df.unpersist()
 
 
 def convert(arms: DataFrame, settings: Settings) -> DataFrame:
@@ -78,13 +84,12 @@ def smooth_points(p: np.ndarray, window: int, passes: int, preserve: int) -> np.
 
 def steps(poses: DataFrame) -> DataFrame:
     """The larger of the arms' steps, by frame from the second on."""
-    m = g.rot6d_matrix([F.col(c) for c in R6])
-    cols = [m[i][j].alias(f"_m{i}{j}") for i in range(3) for j in range(3)]
-    rotated = poses.select("episode_index", "frame_index", "role", *XYZ, *cols)
+    rotated = g.with_matrix(poses.select("episode_index", "frame_index", "role", *XYZ, *R6), R6)
     w = windows.ordered(ARM)
-    now = [[F.col(f"_m{i}{j}") for j in range(3)] for i in range(3)]
+    now = g.entries()
     was = [[F.lag(f"_m{i}{j}").over(w) for j in range(3)] for i in range(3)]
-    s = rotated.select("episode_index", "frame_index", windows.position_step(ARM).alias("p"), g.relative_angle(was, now).alias("r"))
+    s = rotated.select("episode_index", "frame_index", windows.position_step(ARM).alias("p"), g.cosine(was, now).alias("r"))
+    s = s.withColumn("r", g.angle_of(F.col("r")))
     return s.where("p is not null").groupBy("episode_index", "frame_index").agg(F.max("p").alias("position_step"), F.max("r").alias("rotation_step"))
 
 
@@ -120,13 +125,12 @@ def first_columns(q: np.ndarray) -> np.ndarray:
 def bounds(poses: DataFrame, settings: Settings) -> DataFrame:
     """Trim bounds of whole episodes: a frame is active if any arm moved, turned or gripped away from the end's pose."""
     s = settings.trim
-    m = g.rot6d_matrix([F.col(c) for c in R6])
-    rotated = poses.select(*ARM, "frame_index", *XYZ, "gripper", *[m[i][j].alias(f"_m{i}{j}") for i in range(3) for j in range(3)])
+    rotated = g.with_matrix(poses.select(*ARM, "frame_index", *XYZ, *R6, "gripper"), R6)
     whole = windows.whole(ARM)
 
     def active(pick) -> Column:
         there = lambda c: pick(c).over(whole)
-        now = [[F.col(f"_m{i}{j}") for j in range(3)] for i in range(3)]
+        now = g.entries()
         ref = [[there(f"_m{i}{j}") for j in range(3)] for i in range(3)]
         far = g.norm([F.col(c) - there(c) for c in XYZ]) > s.position_threshold
         turned = g.relative_angle(ref, now) > s.rotation_threshold_deg
@@ -198,25 +202,34 @@ def rotation_check(poses: DataFrame, name: str, most: float = 1e-4) -> DataFrame
     return validate.violations(q, name, F.greatest("orthogonality", "determinant"), most)
 
 
-def run(arms: DataFrame, settings: Settings) -> Result:
+def source_violations(arms: DataFrame) -> DataFrame:
+    """What no stage can mend: values that are not finite would spread, and a quaternion without length has no rotation."""
     source = [F.col(c) for c in (*XYZ, *Q, "width")]
-    poses = convert(arms, settings)
-    # a value that is not finite would spread, and a quaternion without length has no rotation: both are found in the source
-    checks = [
-        validate.violations(arms, "finite source", F.greatest(*[(~g.finite(c)).cast("double") for c in source]), 0.0),
-        validate.violations(arms, "quaternion", (g.norm(source[3:7]) < g.NORM_FLOOR).cast("double"), 0.0),
-    ]
+    infinite = validate.violations(arms, "finite source", F.greatest(*[(~g.finite(c)).cast("double") for c in source]), 0.0)
+    return infinite.unionByName(validate.violations(arms, "quaternion", (g.norm(source[3:7]) < g.NORM_FLOOR).cast("double"), 0.0))
+
+
+def run(arms: DataFrame, settings: Settings) -> Result:
+    """The plan's outputs and violations. With step limits it reads the source's steps while it is built, so a source that
+    `source_violations` finds fault with is an error there; else the faults are among the result's violations."""
+    source, poses = source_violations(arms), convert(arms, settings)
+    if settings.step_limit.enabled:
+        validate.require(source)
+    checks = [source]
     checks += [validate.violations(poses, "finite", F.greatest(*[(~g.finite(F.col(c))).cast("double") for c in POSE]), 0.0)]
     limits = None
     if settings.smoothing.enabled:
         poses = smooth(poses, settings)
-        checks.append(rotation_check(poses, "smoothed rotation"))
     if settings.step_limit.enabled:
         s = steps(convert(arms, settings))
         ref = windows.step_reference(s, ["position_step", "rotation_step"], settings.step_limit.percentile).first()  # the one global barrier: one row
-        poses = limit(poses, settings, ref["position_step_limit"], ref["rotation_step_limit"])
-        limits = (ref["position_step_limit"] + settings.step_limit.position_tolerance_mm / 1000 + 5e-7, ref["rotation_step_limit"] + settings.step_limit.rotation_tolerance_deg + 1e-5)
+        if ref["position_step_limit"] is not None:  # else no episode has two frames
+            poses = limit(poses, settings, ref["position_step_limit"], ref["rotation_step_limit"])
+            limits = (ref["position_step_limit"] + settings.step_limit.position_tolerance_mm / 1000 + 5e-7, ref["rotation_step_limit"] + settings.step_limit.rotation_tolerance_deg + 1e-5)
     poses = poses.persist(StorageLevel.MEMORY_AND_DISK)  # the outputs and checks below would each run the kernels again
+    held = [poses]
+    if settings.smoothing.enabled or settings.step_limit.enabled:
+        checks.append(rotation_check(poses, "rotation"))
     lengths = poses.groupBy("episode_index").agg(F.count_distinct("frame_index").alias("n"))
     b = lengths.select("episode_index", F.lit(0).cast("long").alias("start_frame"), F.col("n").alias("end_frame"), F.lit("ok").alias("status"))
     if settings.trim.enabled:
@@ -232,6 +245,7 @@ def run(arms: DataFrame, settings: Settings) -> Result:
     chosen = selection.join(b.select("episode_index", "start_frame"), "episode_index").select("episode_index", "out_frame", (F.col("source_frame") - F.col("start_frame")).alias("frame_index"))
     frames = poses.join(chosen, ["episode_index", "frame_index"]).withColumn("frame_index", F.col("out_frame")).drop("out_frame")
     frames = frames.persist(StorageLevel.MEMORY_AND_DISK)
+    held.append(frames)
     if limits is not None:  # of the frames that are written
         after = steps(frames)
         checks.append(validate.violations(after, "position step", F.col("position_step"), limits[0]))
@@ -247,7 +261,7 @@ def run(arms: DataFrame, settings: Settings) -> Result:
     found = checks[0]
     for c in checks[1:]:
         found = found.unionByName(c)
-    return Result(frames, selection, parts, stats.merge_stats(parts, ["role", "feature"]), found)
+    return Result(frames, selection, parts, stats.merge_stats(parts, ["role", "feature"]), found, tuple(held))
 
 
 def wide(frames: DataFrame, roles: tuple[str, ...] = ("right", "left")) -> DataFrame:

@@ -12,13 +12,15 @@ from dataclasses import dataclass
 
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import store
+
 EPISODES = "episode_index long, tasks array<string>, length long"
 STATS = "episode_index long, stats map<string, string>"
 VERSION = "v2.1"
+DATA_PATH = "data/chunk-{episode_chunk:03d}/episode_{episode_index:06d}.parquet"
 
 
 @dataclass
@@ -27,25 +29,31 @@ class Dataset:
     frames: DataFrame
     episodes: DataFrame
     tasks: DataFrame
+    root: str = ""
 
 
 def read_json(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
-def read(spark: SparkSession, root: str, state: str = "observation.state") -> Dataset:
-    """A dataset of one version; the state as doubles of its declared width, whether its lists are fixed or not."""
+def described(spark: SparkSession, root: str) -> tuple[dict, DataFrame]:
+    """A dataset's description and its episodes; no frame is looked at."""
     info = read_json(spark, f"{root}/meta/info.json")
     if info.get("codebase_version") != VERSION:
         raise ValueError(f"{root}: codebase_version {info.get('codebase_version')!r}, not {VERSION}")
+    return info, spark.read.schema(EPISODES).json(f"{root}/meta/episodes.jsonl")
+
+
+def read(spark: SparkSession, root: str, state: str = "observation.state") -> Dataset:
+    """A dataset of one version; the state as doubles of its declared width, whether its lists are fixed or not."""
+    info, episodes = described(spark, root)
     width = info["features"][state]["shape"][0]
     frames = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/data")
     v = F.col(f"`{state}`").cast("array<double>")
     right = F.when(F.size(v) == width, v).otherwise(F.raise_error(F.lit(f"{state}: a row isn't {width} wide")).cast("array<double>"))
     frames = frames.select(*[right.alias("state") if c == state else F.col(f"`{c}`") for c in frames.columns])
-    episodes = spark.read.schema(EPISODES).json(f"{root}/meta/episodes.jsonl")
     tasks = spark.read.schema("task_index long, task string").json(f"{root}/meta/tasks.jsonl")
-    return Dataset(info, frames, episodes, tasks)
+    return Dataset(info, frames, episodes, tasks, root)
 
 
 def slot_index(names: list[str], prefix: str, component: str) -> int:
@@ -76,7 +84,7 @@ def inspect(dataset: Dataset) -> DataFrame:
     return rows.union(whole.select(F.lit(None).cast("long").alias("episode_index"), F.explode("bad").alias("check")).where("`check` is not null"))
 
 
-def write(frames: DataFrame, root: str, features: dict, chunk_size: int = 1000) -> DataFrame:
+def write(frames: DataFrame, root: str, features: dict, chunk_size: int = 1000, template: str = DATA_PATH) -> DataFrame:
     """An episode a file under root, which all executors must share; episode_index, length, path of those written.
 
     frames: episode_index, frame_index, and the columns of `features` ({name: {dtype, shape}}), lists as arrays. A file
@@ -93,17 +101,13 @@ def write(frames: DataFrame, root: str, features: dict, chunk_size: int = 1000)
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         import pyarrow.parquet as pq
-        from pyarrow import fs
 
         part = part.sort_values("frame_index")
         e = int(part["episode_index"].iloc[0])
-        path = f"{root}/data/chunk-{e // chunk_size:03d}/episode_{e:06d}.parquet"
-        store, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-        store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+        path = f"{root}/{template.format(episode_chunk=e // chunk_size, episode_index=e)}"
         cols = [pa.array(part[f"c{i}"].tolist(), f.type) for i, f in enumerate(schema)]
-        own = f"{inner}.{TaskContext.get().taskAttemptId()}.tmp"  # another attempt of the task may write at the same time
-        pq.write_table(pa.Table.from_arrays(cols, schema=schema), own, filesystem=store, compression="zstd")
-        store.move(own, inner)
+        with store.whole_file(path) as out:
+            pq.write_table(pa.Table.from_arrays(cols, schema=schema), out, compression="zstd")
         return pd.DataFrame({"episode_index": [e], "length": [len(part)], "path": [path]})
 
     # names with dots go through the grouped map as numbers
@@ -117,18 +121,18 @@ def write_lines(lines: DataFrame, path: str) -> None:
     lines.repartitionByRange("order").sortWithinPartitions("order").select("value").write.text(parts)
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     folder, whole = jvm.org.apache.hadoop.fs.Path(parts), jvm.org.apache.hadoop.fs.Path(path)
-    store = folder.getFileSystem(conf)
+    fs = folder.getFileSystem(conf)
     own = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    out = store.create(own, True)
-    for name in sorted(f.getPath().getName() for f in store.listStatus(folder) if f.getPath().getName().startswith("part-")):
-        part = store.open(jvm.org.apache.hadoop.fs.Path(f"{parts}/{name}"))
+    out = fs.create(own, True)
+    for name in sorted(f.getPath().getName() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")):
+        part = fs.open(jvm.org.apache.hadoop.fs.Path(f"{parts}/{name}"))
         jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, conf, False)
         part.close()
     out.close()
-    store.delete(whole, False)
-    if not store.rename(own, whole):
+    fs.delete(whole, False)
+    if not fs.rename(own, whole):
         raise OSError(f"{path} could not be written")
-    store.delete(folder, True)
+    fs.delete(folder, True)
 
 
 def write_jsonl(df: DataFrame, path: str, *order: str) -> None:
@@ -148,4 +152,4 @@ def info_of(old: dict, episodes: int, frames: int, video_keys: int, tasks: int,
     }
 
 
-__all__ = ["Dataset", "info_of", "inspect", "read", "read_json", "slot_index", "write", "write_json", "write_jsonl", "write_lines"]
+__all__ = ["DATA_PATH", "Dataset", "described", "info_of", "inspect", "read", "read_json", "slot_index", "write", "write_json", "write_jsonl", "write_lines"]
