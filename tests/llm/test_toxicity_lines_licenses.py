@@ -2,6 +2,7 @@ import random
 import zlib
 
 import oracle
+import pytest
 from trackframe.llm import licenses, lines, queries, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, score string"
@@ -159,6 +160,33 @@ def test_templates_among_prose_of_the_same_leaf(spark):
     assert {got[i] for i, _ in logs} == {""} and all(got[i] == t for i, t in prose)
 
 
+@pytest.mark.parametrize("n", [100, 1000, 4000, 20_000])
+def test_templates_at_every_size(spark, n):
+    """Each value of a field stands in more and more lines; prose in the leaf, with frequent words at its places, too."""
+    rng = random.Random(n)
+    name = lambda k: "".join(chr(97 + int(c)) for c in str(k + 1000))
+    rows = [(i, f"session opened for user {name(rng.randrange(300))} from the city {name(rng.randrange(60))} and then closed") for i in range(n)]
+    common = ["the", "of", "and", "to", "in"]
+    word = lambda: rng.choice(common) if rng.random() < 0.5 else "".join(rng.choice("abcdefghij") for _ in range(4))
+    prose = [(n + i, "session opened for " + " ".join(word() for _ in range(9))) for i in range(n // 4)]
+    got = kept_lines(spark, rows + prose)
+    assert sum(got[i] == "" for i, _ in rows) >= 0.95 * n
+    assert all(got[i] == t for i, t in prose)
+
+
+def test_two_templates_that_share_most_tokens(spark):
+    word = lambda i: "".join(chr(97 + int(c)) for c in str(i))
+    often = [(i, f"the old server started a new task for {word(i + 100)} in the east wing") for i in range(900)]
+    rare = [(1000 + i, f"the old server stopped a bad task for {word(i + 100)} in the east wing") for i in range(60)]
+    assert set(kept_lines(spark, often + rare).values()) == {""}
+
+
+def test_ids_of_other_types(spark):
+    df = spark.createDataFrame([(f"d{i}", f"all rights are reserved here\nown {'x' * i}") for i in range(12)] + [(None, "x")], "doc_id string, text string")
+    got = {r["doc_id"]: r["text"] for r in lines.dedup_lines(df).collect()}
+    assert got["d3"] == "own xxx" and got[None] == "x"
+
+
 def test_numbers_and_long_lines(spark):
     rng = random.Random(9)
     numbers = [(i, f"{rng.randrange(10**9)} {i} 2019\nin {i}") for i in range(30)]

@@ -1,12 +1,17 @@
 """Line dedup by a tree of line templates.
 
-The tree has a fixed depth: a line's number of tokens, then its leading tokens. A token with a digit is variable. In a
-leaf, a token behind the leading ones is constant if more than `fanout` distinct lines of the leaf have it at that place;
-all others are variable, so a leaf has as many templates as there are patterns of constant tokens in it, and prose that
-shares a leaf with a template changes none of its tokens. A template with at least half of its tokens constant, and with
-more than `fanout` distinct lines, generalises them; any other line stands for itself, and so does, with its digits, a
-line that would be variable in more than half of its tokens. All of it is counting by keys, so no order of arrival
-matters and no leaf meets in one task.
+The tree has a fixed depth: a line's number of tokens, then its leading tokens. A token with a digit is variable. Behind
+the leading tokens, what is constant shows by how lines spread: a token counts the distinct lines of its leaf that have it
+at its place. All constant tokens of a template count that template's lines, and a variable field's tokens count a
+fraction of them, at every size of the table. So a line's tokens, from the highest count down, part at the widest gap (by
+ratio, `SPREAD` at least; at least half of the line's tokens stay constant), and those below it are variable. The tokens
+that stay must belong together: the lines that share the template must be at least half of those that the rarest of its
+tokens counts, which frequent words of prose, each common by itself, are not. A leaf has as many templates as there are such
+patterns in it, and prose that shares a leaf with a template changes none of them.
+
+A template needs more than `fanout` distinct lines, and so does a count, or it is taken for one. Any other line stands for
+itself, and so does, with its digits, a line that would be variable in more than half of its tokens. All of it is counting
+by keys, so no order of arrival matters and no leaf meets in one task.
 
 Lines whose template occurs in `least_docs` documents or more are dropped from all of them. A line of `long_line` tokens
 or more that stands for itself needs two documents, and stays in the first if they are fewer than `least_docs`.
@@ -28,6 +33,8 @@ from .common import columns, fresh, row_key, written
 WILD = "<*>"
 MASK = WILD.encode()
 DIGIT = re.compile(rb"[0-9]")
+#: Least ratio of the counts of a line's rarest constant token and its most frequent variable one.
+SPREAD = 2
 
 
 def parsed(line: bytes) -> tuple[list[bytes], bool]:
@@ -52,11 +59,10 @@ def _leaf(tokens: list[bytes], depth: int) -> bytes:
 def _placed_lines(docs: DataFrame, depth: int, long_line: int) -> DataFrame:
     """row, doc_id, at (place from 0), key, leaf and `long` of each line with a token: hashes, no texts."""
     names = ["row", "doc_id", "at", "key", "leaf", "long"]
-    types = [pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
+            out, types = [], [pa.binary(), b.column("doc_id").type, pa.int32(), pa.binary(), pa.binary(), pa.bool_()]
             for row, d, text in zip(*(b.column(c).to_pylist() for c in ("row", "doc_id", "text")), strict=True):
                 for at, line in enumerate((text or b"").split(b"\n")):
                     tokens, fixed = parsed(line)
@@ -65,8 +71,9 @@ def _placed_lines(docs: DataFrame, depth: int, long_line: int) -> DataFrame:
             cols = zip(*out, strict=True) if out else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
-    data = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return data.mapInArrow(run, "row binary, doc_id long, at int, key binary, leaf binary, long boolean")
+    data = docs.select(row_key().alias("row"), "doc_id", F.col("text").cast("binary").alias("text"))
+    kinds = [("at", T.IntegerType()), ("key", T.BinaryType()), ("leaf", T.BinaryType()), ("long", T.BooleanType())]
+    return data.mapInArrow(run, T.StructType([data.schema["row"], data.schema["doc_id"], *[T.StructField(n, t) for n, t in kinds]]))
 
 
 def _texts_of_lines(docs: DataFrame, depth: int) -> DataFrame:
@@ -89,13 +96,22 @@ def general_templates(lines: DataFrame, depth: int, fanout: int) -> DataFrame:
     places = inside.select("leaf", "key", F.posexplode(tokens).alias("at", "token")).where((F.col("at") >= depth) & (F.col("token") != WILD))
     slot = F.xxhash64("leaf", "at", "token")
     # written, so that the join below is dealt by itself and its common slots can be split
-    frequent = written(places.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fanout).select("slot"))
-    constant = places.select("key", "at", slot.alias("slot")).join(frequent, "slot").groupBy("key").agg(F.collect_set("at").alias("constant"))
-    held = F.transform(tokens, lambda t, i: F.when((i < depth) | F.array_contains("constant", i), t).otherwise(F.lit(WILD)))
-    named = inside.join(constant, "key").select("key", held.alias("held"))
-    enough = 2 * F.size(F.filter("held", lambda t: t != WILD)) >= F.size("held")
-    named = written(named.where(enough).select("key", F.unhex(F.md5(F.concat(F.lit("\0t "), F.array_join("held", " ")))).alias("template")))
-    several = written(named.groupBy("template").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fanout).select("template"))
+    counts = written(places.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fanout))
+    of_line = places.select("key", "at", slot.alias("slot")).join(counts, "slot").groupBy("key").agg(F.map_from_entries(F.collect_set(F.struct("at", "n"))).alias("counts"))
+    lead = F.size(F.filter(F.slice("tokens", 1, depth), lambda t: t != WILD))
+    counted = inside.join(of_line, "key").select("key", tokens.alias("tokens"), "counts").withColumn("lead", lead)
+    one = F.lit(1).cast("long")
+    spread = F.transform(F.slice("tokens", depth + 1, 1 << 30), lambda t, i: F.coalesce(F.try_element_at("counts", i + depth), one))
+    counted = counted.withColumn("s", F.sort_array(spread, False)).where("size(s) > 1")
+    gap = lambda k: F.struct((F.col("s")[k - 1] / F.col("s")[k]).alias("ratio"), (-k).alias("k"), F.col("s")[k - 1].alias("least"))
+    may = lambda k: (2 * (F.col("lead") + k) >= F.size("tokens")) & (F.col("s")[k - 1] > fanout)
+    gaps = F.transform(F.sequence(F.lit(1), F.size("s") - 1), lambda k: F.when(may(k), gap(k)))
+    parted = counted.withColumn("gap", F.array_max(gaps)).where(F.col("gap.ratio") >= SPREAD)
+    constant = lambda i: (i < depth) | (F.coalesce(F.try_element_at("counts", i), one) >= F.col("gap.least"))
+    held = F.transform("tokens", lambda t, i: F.when(constant(i), t).otherwise(F.lit(WILD)))
+    named = written(parted.select("key", F.unhex(F.md5(F.concat(F.lit("\0t "), F.array_join(held, " ")))).alias("template"), F.col("gap.least").alias("least")))
+    together = named.groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("least"))
+    several = written(together.where((F.col("n") > fanout) & (2 * F.col("n") >= F.col("least"))).select("template"))
     return named.join(several, "template").select("key", "template")
 
 
@@ -133,7 +149,7 @@ def dedup_lines(docs: DataFrame, **how) -> DataFrame:
 
     Lines without a token stay and count in no template; a null text stays null, with 0 lines. Rows that share a doc_id,
     or have none, are documents of their own unless they also share their text; rows alike in both count once, and each
-    is cut alike. "First" is the least doc_id, null last. A text that `least_docs` documents repeat loses all of its lines
+    is cut alike. "First" is the least doc_id, of whatever type, null last. A text that `least_docs` documents repeat loses all of its lines
     in all of them. Other columns play no part; columns n_lines and n_dropped of docs are replaced.
     """
     row, n, drop = fresh(docs, "_row", "_lines", "_drop")

@@ -102,18 +102,20 @@ WITH lines AS (
   SELECT n, lead FROM kinds GROUP BY n, lead HAVING count(*) > 8
 ), places AS (
   SELECT masked, n, lead, unnest(ts) AS t, unnest(range(n)) AS pos FROM kinds SEMI JOIN crowded USING (n, lead)
-), frequent AS (
-  SELECT n, lead, pos, t FROM places WHERE pos >= 3 AND t <> '<*>' GROUP BY n, lead, pos, t HAVING count(*) > 8
+), slots AS (
+  SELECT n, lead, pos, t, count(*) AS c FROM places WHERE pos >= 3 AND t <> '<*>' GROUP BY n, lead, pos, t HAVING count(*) > 8
+), counted AS (
+  SELECT p.masked, p.n, p.pos, p.t, coalesce(s.c, 1) AS c FROM places p LEFT JOIN slots s ON s.n = p.n AND s.lead = p.lead AND s.pos = p.pos AND s.t = p.t
+), sorted AS (
+  SELECT masked, any_value(n) AS n, count(*) FILTER (pos < 3 AND t <> '<*>') AS lead_n, list(c ORDER BY c DESC) FILTER (pos >= 3) AS s FROM counted GROUP BY masked
+), gaps AS (
+  SELECT masked, s[k] AS least, s[k] / s[k + 1] AS ratio FROM (SELECT *, unnest(range(1, len(s))) AS k FROM sorted) WHERE 2 * (lead_n + k) >= n AND s[k] > 8
+  QUALIFY row_number() OVER (PARTITION BY masked ORDER BY s[k] / s[k + 1] DESC, k) = 1
 ), held AS (
-  SELECT p.masked, any_value(p.n) AS n, count(f.pos) AS n_frequent,
-    string_agg(CASE WHEN p.pos < 3 OR f.pos IS NOT NULL THEN p.t ELSE '<*>' END, ' ' ORDER BY p.pos) AS template,
-    count(*) FILTER (p.t <> '<*>' AND (p.pos < 3 OR f.pos IS NOT NULL)) AS n_constant
-  FROM places p LEFT JOIN frequent f ON f.n = p.n AND f.lead = p.lead AND f.pos = p.pos AND f.t = p.t
-  GROUP BY p.masked
-), enough AS (
-  SELECT masked, template FROM held WHERE n_frequent > 0 AND 2 * n_constant >= n
+  SELECT masked, any_value(least) AS least, string_agg(CASE WHEN pos < 3 OR c >= least THEN t ELSE '<*>' END, ' ' ORDER BY pos) AS template
+  FROM counted JOIN gaps USING (masked) WHERE ratio >= 2 GROUP BY masked
 ), general AS (
-  SELECT masked, 't ' || template AS template FROM enough SEMI JOIN (SELECT template FROM enough GROUP BY template HAVING count(*) > 8) USING (template)
+  SELECT masked, 't ' || template AS template FROM held SEMI JOIN (SELECT template FROM held GROUP BY template HAVING count(*) > 8 AND 2 * count(*) >= min(least)) USING (template)
 ), named AS (
   SELECT doc_id, pos, coalesce(template, CASE WHEN fixed THEN 'm ' || tokens.masked ELSE 'r ' || raw END) AS template, template IS NULL AND n >= 20 AS own
   FROM tokens LEFT JOIN general ON fixed AND general.masked = tokens.masked
