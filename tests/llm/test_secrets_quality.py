@@ -33,40 +33,72 @@ def test_base_patterns(parts):
     assert base == [(a, b, k) for a, _, k, b in want]
 
 
-def segment_cost(g, part, brute):
-    """The cost of a part as one segment, whatever kind is cheapest."""
-    low, n = part.lower(), len(part)
-    out = [secrets.word_cost(part, g.ranks) if 3 <= n <= 32 else math.inf, secrets.date_cost(part)]
-    if n == 1:
-        out.append(brute)
-    if n >= 3 and len(set(part)) == 1:
-        out.append(brute + math.log10(n))
-    if 3 <= n <= 64 and all(x in secrets.FOLLOWS for x in zip(low, low[1:])):
-        out.append(math.log10(40 * n))
-    for size in range(2, 9):
-        if n <= 64 and n % size == 0 and n >= 2 * size and part == part[:size] * (n // size):
-            out.append(g.block_cost(part[:size], brute) + math.log10(n // size))
-    return min(out)
-
-
-def exhaustive(g, value):
-    brute = math.log10(secrets._alphabet(value))
+def exhaustive(g, value, brute=None, memo=None):
+    """The least cost over all segmentations; a block's cost is that of the block by itself."""
+    brute = math.log10(secrets._alphabet(value)) if brute is None else brute
+    memo = {} if memo is None else memo
+    if value in memo:
+        return memo[value]
+    low, n, longest = value.lower(), len(value), max(10, *map(len, g.ranks))
     best = [0.0]
-    for j in range(1, len(value) + 1):
-        best.append(min(best[i] + segment_cost(g, value[i:j], brute) for i in range(j)))
+    for j in range(1, n + 1):
+        out = best[j - 1] + brute
+        for i in range(j - 3, -1, -1):
+            part = value[i:j]
+            if len(part) <= longest:
+                out = min(out, best[i] + secrets.word_cost(part, g.ranks), best[i] + secrets.date_cost(part))
+            if all(x in secrets.FOLLOWS for x in zip(low[i:j], low[i + 1 : j])):
+                out = min(out, best[i] + math.log10(40 * (j - i)))
+            p = (part + part).find(part, 1)  # the block that is no repeat itself
+            if p < len(part):
+                each = brute if p == 1 else exhaustive(g, part[:p], brute, memo)
+                out = min(out, best[i] + each + math.log10(len(part) // p))
+        best.append(out)
+    memo[value] = best[-1]
     return best[-1]
 
 
-@settings(max_examples=400, deadline=None)
-@given(st.lists(st.sampled_from(["dragon", "dragonn", "nn", "nnnnn", "green", "boy", "horse", "zxc", "Qwe", "qwq", "111", "abc", "abcabc", "1987", "2024-05-17", "p4ss", "X", "#", "9", "kla", "klakla"]), max_size=9))
-def test_costs_are_least(parts):
-    g, value = secrets.Guesses(["zebra", "klakla"]), "".join(parts)
+PARTS = ["dragon", "dragonn", "nn", "nnnnn", "green", "boy", "horse", "zxc", "Qwe", "qwq", "111", "abc", "abcabc", "1987", "2024-05-17", "p4ss", "X", "#", "9", "kla", "klakla"]
+
+
+def agrees(g, value):
     want = exhaustive(g, value)
-    assert abs(g.cost(value) - want) < 1e-9
+    assert abs(g.cost(value) - want) < 1e-9, value
     for enough in (3.0, 8.0):
         assert (g.cost(value, enough) >= enough) == (want >= enough) or abs(want - enough) < 1e-9
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PARTS), max_size=9))
+def test_costs_are_least(parts):
+    agrees(secrets.Guesses(["zebra", "klakla"]), "".join(parts))
+
+
+def test_costs_of_long_values_are_least():
+    """Values to 300 characters, blocks to 40 and more, walks and runs of any length."""
+    rng, g = random.Random(6), secrets.Guesses(["zebra", "klakla", "internationalization"])
+    for size in (3, 7, 13, 40, 90):
+        for kind in range(4):
+            block = "".join(rng.choice(PARTS if kind % 2 else "ab#Q9") for _ in range(size))[:size]
+            value = "".join(rng.choice(PARTS) for _ in range(kind)) + block * (240 // size) + rng.choice(PARTS) * (kind // 2)
+            agrees(g, value[rng.randrange(3) : 300])
+    for value in ("qw" * 120, "x" * 290, "ab" * 70 + "ba" * 70, "aab" * 60 + "aaab" * 25, "qwertyuiop" * 20, "abcab" * 40 + "cabca" * 15):
+        agrees(g, value)
+
+
+def test_repeats_and_walks_of_any_length():
+    g = secrets.Guesses()
+    for value in ("xyz" * 20, "xyz" * 60, "xyz" * 5000, "qwertyuiop" * 8, "mnbvcxzlkj" * 3, "horse-star" * 2, "horse-star" * 60, "qwqwqwqw" * 2000):
+        assert g.cost(value, 8.0) < 8.0, value[:20]
+    assert g.cost("kT9#vQ2x!mZ7" * 3) > 8 and g.cost("".join(random.Random(2).choices("abcdefghijklmnop0123456789", k=50_000)), 8.0) >= 8
+
+
+def test_words_are_whole(spark):
+    rows = [(i, "Internationalization of the " + "z" * 70) for i in range(3)] + [(9, None)]
+    words = secrets.frequent_words(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert words == ["internationalization", "the"] and secrets.Guesses(words).cost("internationalization") < 3
+
+
 def test_guess_costs():
     g = secrets.Guesses()
     cost = g.cost

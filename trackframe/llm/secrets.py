@@ -47,13 +47,13 @@ WORDS = (
     "blue red green black white silver gold orange purple happy good best cool hot cold fire water earth wind "
     "king queen lord lady boy girl man woman baby mother father sister brother friend dog cat horse tiger lion"
 ).split()
-#: Words of the corpus that are ranked behind them.
+#: Words of the corpus that are ranked behind them, and their letters; a longer run of letters is no word, and is not cut into some.
 CORPUS_WORDS = 20_000
-LETTERS = re.compile(r"[^\W\d_]{3,16}")
+LETTERS, LEAST_LETTERS, MOST_LETTERS = re.compile(r"[^\W\d_]+"), 3, 64
 #: Rows of a keyboard; a walk steps along one.
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "qwertzuiop", "azertyuiop")
-#: Characters of the longest word, of the longest walk or repeat of a block, and of the longest block.
-LONGEST, SPAN, BLOCK = 32, 64, 8
+#: Characters of the longest block whose repeats are found.
+BLOCK = 4096
 DATE = re.compile(
     r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:(?:19|20)\d\d)|(?:19|20)\d\d"
 )
@@ -91,57 +91,90 @@ class Guesses:
 
     def __init__(self, words: list[str] | None = None):
         self.ranks = ranked(words)
+        self.longest = max([10, *map(len, self.ranks)])  # dates have 10 characters at most
         self.cost = lru_cache(4096)(self._cost)
 
-    def block_cost(self, unit: str, brute: float) -> float:
-        """Of one block that is repeated: brute force, or a word."""
-        return min(brute * len(unit), word_cost(unit, self.ranks))
+    def _cost(self, value: str, enough: float = math.inf, brute: float | None = None) -> float:
+        """log10 of the guesses that the cheapest segmentation of value takes; anything from `enough` on, if it takes as many.
 
-    def _cost(self, value: str, enough: float = math.inf) -> float:
-        """log10 of the guesses that the cheapest segmentation of value takes; from `enough` on, some lower bound of it.
+        Segments: words of the ranked list; dates; a keyboard walk of 3 characters or more; a character repeated 3 times
+        or more; a block that is no repeat itself, twice or more, at the block's own least cost and that of its number; and
+        single characters, at `brute` (the size of the value's alphabet). No segment has a greatest length, but a block
+        (BLOCK characters).
 
-        Segments: words of the ranked list; dates; a character repeated 3 times or more; a block of 2 to BLOCK characters
-        repeated twice or more, and a keyboard walk of 3 characters or more, both of SPAN characters at most; brute-force
-        characters at the alphabet's size. Linear in the value's length: a repeated character begins at most LONGEST
-        places into its run, as only a word that overlaps the run's start can be cheaper than more of the repeat.
+        Places that cost `enough` are left. A walk, or a repeat of a block, that ends where its own kind goes on is not begun
+        anew there: one segment over both costs no more, as log(a + b) <= log(a) + log(b) + the cost of another block (or
+        walk). Inside the repeats of a block no other block repeats but shorter ones and those that go beyond, so a long run
+        costs a task in proportion to its length.
         """
         n, low = len(value), value.lower()
-        brute = math.log10(_alphabet(value))
-        best = [0.0] + [math.inf] * n
-        repeat = walk = 1
-        for j in range(1, n + 1):
-            cost = best[j - 1] + brute
-            repeat = repeat + 1 if j > 1 and value[j - 1] == value[j - 2] else 1
-            walk = walk + 1 if j > 1 and (low[j - 2], low[j - 1]) in FOLLOWS else 1
-            for i in range(j - repeat, min(j - repeat + LONGEST, j - 3) + 1):
-                cost = min(cost, best[i] + brute + math.log10(j - i))
-            for i in range(max(j - min(walk, SPAN), 0), j - 2):
-                cost = min(cost, best[i] + math.log10(40 * (j - i)))
-            for size in range(2, min(BLOCK, j // 2) + 1):
-                unit, i, times = value[j - size : j], j - 2 * size, 2
-                while i >= 0 and size * times <= SPAN and value[i : i + size] == unit:
-                    cost = min(cost, best[i] + self.block_cost(unit, brute) + math.log10(times))
-                    i, times = i - size, times + 1
-            for i in range(max(0, j - LONGEST), j - 2):
-                if best[i] < cost:
-                    part = value[i:j]
-                    cost = min(cost, best[i] + word_cost(part, self.ranks), best[i] + date_cost(part))
-            best[j] = cost
-            # no segment but a repeated character goes over SPAN places: one of these costs is part of any whole
-            if j >= SPAN and repeat < SPAN and min(best[j - SPAN + 1 : j + 1]) >= enough:
-                return min(best[j - SPAN + 1 : j + 1])
+        brute = math.log10(_alphabet(value)) if brute is None else brute
+        best, by = [0.0] + [math.inf] * n, [None] * (n + 1)
+        walk = [0] * n  # where the walk from each place ends
+        for i in range(n - 1, -1, -1):
+            walk[i] = walk[i + 1] if i + 1 < n and (low[i], low[i + 1]) in FOLLOWS else i + 1
+        ends: dict[int, int] = {}  # period: the end of its run that was looked at last
+
+        def put(j: int, cost: float, kind: object) -> None:
+            if cost < best[j]:
+                best[j], by[j] = cost, kind
+
+        for i in range(n):
+            here = best[i]
+            if here >= enough:
+                continue
+            put(i + 1, here + brute, None)
+            for j in range(i + 3, min(i + self.longest, n) + 1):
+                part = value[i:j]
+                put(j, here + min(word_cost(part, self.ranks), date_cost(part)), None)
+            if by[i] != "walk" or walk[i - 1] == i:
+                for j in range(i + 3, walk[i] + 1):
+                    put(j, here + math.log10(40 * (j - i)), "walk")
+            for p in self._periods(value, i, ends):
+                unit = value[i : i + p]
+                if by[i] == p and value[i - p : i] == unit:
+                    continue
+                each = brute if p == 1 else self.cost(unit, enough - here, brute)
+                if here + each < enough:
+                    for times in range(3 if p == 1 else 2, (ends[p] - i) // p + 1):
+                        put(i + times * p, here + each + math.log10(times), p)
         return best[n]
 
+    @staticmethod
+    def _periods(value: str, i: int, ends: dict[int, int]) -> list[int]:
+        """Sizes of the blocks (no repeats themselves) that stand twice from i on; `ends` learns where their runs end."""
+        n, found, inside = len(value), [], [p for p, e in ends.items() if e >= i + 2 * p]
+        most = min((n - i) // 2, BLOCK)
+        # in a run of period p that goes on to e, another block repeats only if it is shorter, or goes beyond the run
+        p0 = min(inside, default=0)
+        sizes = [*range(1, p0 + 1), *range(max(p0 + 1, (ends[p0] - i - p0) // 2), most + 1)] if p0 else range(1, most + 1)
+        for p in sizes:
+            if p <= most and value[i] == value[i + p] and value[i : i + p] == value[i + p : i + 2 * p]:
+                unit = value[i : i + p]
+                if p > 1 and (unit + unit).find(unit, 1) < p:
+                    continue
+                if ends.get(p, 0) < i + 2 * p:
+                    e = i + 2 * p
+                    while e < n and value[e] == value[e - p]:
+                        e += 1
+                    ends[p] = e
+                found.append(p)
+        return found
+
 
 def frequent_words(docs: DataFrame, most: int = CORPUS_WORDS) -> list[str]:
-    """The `most` words of letters that most documents hold, lower-case, the most frequent first; ties by name."""
+    """The `most` words of letters that most documents hold, lower-case, the most frequent first; ties by name.
+
+    A word is a whole run of LEAST_LETTERS to MOST_LETTERS letters.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, int] = {}
         for b in batches:
             for t in b.column("text").to_pylist():
                 for w in set(LETTERS.findall((t or "").lower())):
-                    counts[w] = counts.get(w, 0) + 1
+                    if LEAST_LETTERS <= len(w) <= MOST_LETTERS:
+                        counts[w] = counts.get(w, 0) + 1
             if len(counts) > 300_000:  # a bound on the task's memory: the rest is summed after the shuffle
                 yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["w", "n"])
                 counts = {}
