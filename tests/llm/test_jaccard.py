@@ -129,3 +129,24 @@ def test_large_group_of_near_copies(spark, monkeypatch):
     want = {min(r[0] for r in g) for g in brute_kept(rows)}
     assert got == want, (len(got), len(want))
     assert 1 < len(got) < 80, len(got)
+
+
+def test_unlike_sets_of_one_name_all_stay(spark, monkeypatch):
+    """64 bits of a hash may be shared: here many sets share them, and only what is alike goes."""
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(jaccard)
+    try:
+        real = jaccard._sid
+        monkeypatch.setattr(jaccard, "_sid", lambda s, seed=jaccard.SEED: real(s, seed) % 5 if seed == jaccard.SEED else real(s, seed))
+        rng = random.Random(4)
+        rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))) for i in range(40)]
+        docs = spark.createDataFrame(rows + [(100 + i, t) for i, t in rows[:7]], "doc_id long, text string")
+        assert sorted(r["doc_id"] for r in jaccard.one_of_each(docs).collect()) == list(range(40))
+    finally:
+        cloudpickle.unregister_pickle_by_value(jaccard)
+
+
+def test_ids_of_other_types(spark):
+    docs = spark.createDataFrame([("b", "one two three four five six"), ("a", "one two three four five six"), (None, "other words stand here now ok")], "doc_id string, text string")
+    assert {r["doc_id"] for r in jaccard.one_of_each(docs).collect()} == {"a", None}

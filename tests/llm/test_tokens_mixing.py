@@ -200,3 +200,26 @@ def test_mixed_documents_keep_the_order_of_slots(spark):
         first.setdefault(i, slot)
     order = [first[i] for i in dict.fromkeys(got)]
     assert order == sorted(order)
+
+
+@pytest.mark.parametrize("chunk", [64, 3])
+def test_repeated_rows_meet_the_target(spark, monkeypatch, chunk):
+    """Rows alike in id and text are dealt the slots of their copies, whatever part of a group the mix takes."""
+    monkeypatch.setattr(mixing, "CHUNK", chunk)
+    rng = random.Random(5)
+    rows = [(1, " ".join(["w"] * 60), "en", "a", i) for i in range(700)] + [(1, " ".join(["w"] * 60), "en", "b", i) for i in range(5)]
+    rows += [(10 + i, " ".join(["v"] * rng.randrange(1, 40)), "en", rng.choice("bc"), 0) for i in range(400)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    want = {}
+    for r in mixing.mix_copies(docs, block=50).collect():
+        t = want.setdefault(r["source"], [r["target"], 0, 0])
+        t[1] += r["taken"]
+        t[2] += len(r["slots"]) * r["size"]
+    got, copies = {}, {}
+    for r in mixing.repeat_documents(docs, block=50).collect():
+        got[r["source"]] = got.get(r["source"], 0) + len(r["text"].split())
+        if r["source"] == "a":
+            copies[r["n_chars"]] = copies.get(r["n_chars"], 0) + 1
+    assert got == {s: t[2] for s, t in want.items()}
+    assert all(abs(got[s] - t[0]) <= 3 * 60 for s, t in want.items())
+    assert max(copies.values()) <= 2 and sum(copies.values()) * 60 == got["a"]

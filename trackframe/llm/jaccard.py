@@ -50,10 +50,10 @@ def prefix_size(n: int) -> int:
     return n - -(-NUM * n // DEN) + 1
 
 
-def _sid(s: np.ndarray) -> int:
+def _sid(s: np.ndarray, seed: int = SEED) -> int:
     from xxhash import xxh64_intdigest
 
-    return int(np.uint64(xxh64_intdigest(s.tobytes(), SEED)).view(np.int64))
+    return int(np.uint64(xxh64_intdigest(s.tobytes(), seed)).view(np.int64))
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
@@ -76,7 +76,7 @@ def most_overlap(a: bytes, b: bytes, total: int) -> int:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """key (of the row), doc_id, sid (of the set), n, fp (SimHash of the shingles) and bits (of the set) for each row."""
+    """key (of the row), doc_id, sid and sid2 (of the set), n, fp (SimHash of the shingles) and bits (of the set) for each row."""
 
     def make():
         shingles = hasher(SHINGLE)
@@ -85,11 +85,11 @@ def _rows(docs: DataFrame) -> DataFrame:
             for t in texts:
                 h = shingles(t)
                 s = np.unique(h)
-                yield _sid(s), len(s), int(np.uint64(simhash.majority(h)).view(np.int64)), bitmap(s).tobytes()
+                yield _sid(s), _sid(s, SEED + 1), len(s), int(np.uint64(simhash.majority(h)).view(np.int64)), bitmap(s).tobytes()
 
         return compute
 
-    fields = [T.StructField(c, T.LongType()) for c in ("sid", "n", "fp")] + [T.StructField("bits", T.BinaryType())]
+    fields = [T.StructField(c, T.LongType()) for c in ("sid", "sid2", "n", "fp")] + [T.StructField("bits", T.BinaryType())]
     return map_texts(docs.select(row_key().alias("key"), "doc_id", "text"), make, fields, ["key", "doc_id"])
 
 
@@ -331,19 +331,25 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """docs with one row of each component of links: that of the least doc_id, rows without id last, then by text.
 
     Texts without words are one group. Rows that share a doc_id are judged apart, each by its text; columns besides
-    doc_id and text play no part, whatever their names. Sets and rows are told apart by 64-bit and 128-bit hashes: two
-    of 10^9 unlike sets are taken for one with a probability of 3 %.
+    doc_id and text play no part, whatever their names; doc_id may be of any type with an order. Sets and rows are told
+    apart by 128 bits of hashes. Links name a set by 64 of them: of unlike sets that share these (some 70 of 5 x 10^10),
+    one takes part in links, and the others stay, linked to none.
     """
     scratch = Scratch()
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    plain = docs.select("doc_id", "text")
     rows = scratch.written(_rows(plain))
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
     # of equal sets first, so that large groups of copies are summed up before they are joined
-    sets = rows.groupBy("sid").agg(F.min(order).alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bits").alias("bits"))
-    sets = scratch.written(sets.select("sid", "first", F.col("first.key").alias("key"), "n", "fp", "bits"))
-    roots = checkpointed(connected_components(linked(plain, sets, scratch)).withColumnRenamed("id", "sid"))
+    sets = rows.groupBy("sid", "sid2").agg(F.min(order).alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bits").alias("bits"))
+    sets = scratch.written(sets.select("sid", "sid2", "first", F.col("first.key").alias("key"), "n", "fp", "bits"))
+    namesakes = scratch.written(sets.groupBy("sid").agg(F.min("sid2").alias("one"), F.count(F.lit(1)).alias("many")).where("many > 1").drop("many"))
     (key,) = fresh(docs, "_key")
-    least = checkpointed(sets.select("sid", "first").join(roots, "sid", "left").groupBy(F.coalesce("root", "sid")).agg(F.min("first")["key"].alias(key)).select(key))
+    apart = F.when(F.col("sid2") != F.col("one"), F.col("sid2"))  # null: the set that goes by its sid
+    named = sets.select("sid", "sid2", "first").join(namesakes, "sid", "left").select("sid", "first", apart.alias("apart"))
+    linking = sets if namesakes.isEmpty() else scratch.written(sets.join(namesakes, "sid", "left").where("one is null or sid2 = one").drop("one"))
+    roots = checkpointed(connected_components(linked(plain, linking.drop("sid2"), scratch)).withColumnRenamed("id", "sid"))
+    root = F.when(F.col("apart").isNull(), F.coalesce("root", "sid")).otherwise(F.col("sid"))
+    least = checkpointed(named.join(roots, "sid", "left").groupBy(root.alias("root"), "apart").agg(F.min("first")["key"].alias(key)).select(key))
     scratch.clear()
     kept = docs.withColumn(key, row_key()).join(least, key)
     return kept.dropDuplicates([key]).select(*columns(docs.columns))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, columns, fresh
+from .common import checkpointed, columns, fresh, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 #: log2 of the most points of the pattern.
@@ -105,15 +105,20 @@ def _order(seed: int) -> Column:
     return F.md5(F.concat_ws(" ", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("text", F.lit(""))))
 
 
-def mix(docs: DataFrame, seed: int = 17, block: int | None = None, share: float = 1.5, most: float = 2.0) -> DataFrame:
+def mix(docs: DataFrame, **how) -> DataFrame:
     """doc_id, size, source_size, target, taken, first_slot, slots and h (place in the random order) for each row of docs.
 
     first_slot: the slot of the schedule in which the first word taken of the row stands; slots: one such for each round
     over the source's words; null and empty where nothing is taken. Null texts and texts without words have size 0 and are
     never taken; a null source is a source of its own; rows with the same doc_id are rows of their own. The random order
     hashes doc_id, text and seed, so reruns agree. A source's words are taken in that order, over again up to `most` times;
-    its last block stops at its target. block: words of a block, by default after the size of the mix.
+    its last block stops at its target. Rows of a source that share doc_id and text share h. block: words of a block, by default after the size of the mix.
     """
+    return mix_copies(docs, **how).drop("copy", "source")
+
+
+def mix_copies(docs: DataFrame, seed: int = 17, block: int | None = None, share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """`mix`, with source and copy: rows of a source that share h are numbered from 0."""
     sized = docs.select("doc_id", "source", size(F.col("text")).alias("size"), _order(seed).alias("h"))
     sized = checkpointed(sized)  # ids and sizes: it is read more than once
     targets = checkpointed(source_targets(sized, share, most))
@@ -121,11 +126,13 @@ def mix(docs: DataFrame, seed: int = 17, block: int | None = None, share: float
     words = all_["words"] or 0.0
     block = block_words(words) if block is None else block
     part = F.substring("h", 1, DIGITS)
-    rows = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).select("doc_id", "size", "h", "place", "source_size", "target", part.alias("part"))
+    rows = sized.join(targets, sized["source"].eqNullSafe(targets["source"])).select("doc_id", sized["source"], "size", "h", "place", "source_size", "target", part.alias("part"))
     sums = rows.groupBy("place", "part").agg(F.sum("size").alias("n"))
     sums = sums.select("place", "part", (F.sum("n").over(Window.partitionBy("place").orderBy("part")) - F.col("n")).alias("before"))
     in_part = Window.partitionBy("place", "part").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = rows.join(sums, ["place", "part"]).withColumn("start", F.col("before") + F.sum("size").over(in_part) - F.col("size"))
+    alike = Window.partitionBy("place", "part").orderBy("h", "doc_id")
+    placed = placed.withColumn("copy", (F.row_number().over(alike) - F.rank().over(alike)).cast("long"))
     # pieces of documents by block
     pieces = placed.where("size > 0").select("place", "start", "size", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
     # a rank's words: the source's words over and over, without gaps at the ends of a round
@@ -141,17 +148,40 @@ def mix(docs: DataFrame, seed: int = 17, block: int | None = None, share: float
     taken = got.groupBy("place", "start").agg(F.sum("got").alias("taken"), F.array_compact(F.array(*first)).alias("slots"))
     full = placed.where("size > 0").join(taken, ["place", "start"], "left").unionByName(placed.where("size = 0"), allowMissingColumns=True)
     slots = F.coalesce("slots", F.array().cast("array<long>"))
-    return full.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.array_min(slots).alias("first_slot"), slots.alias("slots"), "h")
+    return full.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.array_min(slots).alias("first_slot"), slots.alias("slots"), "h", "copy", "source")
 
 
 def repeat_documents(docs: DataFrame, **how) -> DataFrame:
     """The rows of docs in the order of the mix: a row for each round in which it takes any of a document's words.
 
     A document comes up to `most` times, each at its first slot of the round, and not at all if no word of it is taken.
-    Rows alike in doc_id and text are told apart by nothing, and come as often as the one taken most. Columns besides
-    doc_id, text and source play no part.
+    Rows alike in doc_id, text and source are numbered, and each comes as often as the mix takes the copy of its number.
+    Columns besides doc_id, text and source play no part.
     """
-    h, slots, slot = fresh(docs, "_h", "_slots", "_slot")
-    taken = mix(docs.select("doc_id", "text", "source"), **how).where("taken > 0").groupBy(F.col("h").alias(h)).agg(F.max(F.struct(F.size("slots"), "slots"))["slots"].alias(slots))
-    out = docs.withColumn(h, _order(how.get("seed", 17))).join(taken, h).withColumn(slot, F.explode(slots))
+    h, at, slots, slot, n = fresh(docs, "_h", "_copy", "_slots", "_slot", "_n")
+    name = lambda order: F.md5(F.concat_ws(" ", order, F.coalesce(F.concat(F.lit("s"), "source"), F.lit("-"))))
+    taken = mix_copies(docs.select("doc_id", "text", "source"), **how).where("taken > 0").select(name(F.col("h")).alias(h), F.col("copy").alias(at), F.col("slots").alias(slots))
+    rows = docs.withColumn(h, name(_order(how.get("seed", 17))))
+    several = checkpointed(rows.groupBy(h).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > 1))
+    if several.isEmpty():
+        rows = rows.withColumn(at, F.lit(0).cast("long"))
+    else:
+        rows = _numbered_copies(rows, several, h, at, n)
+    out = rows.join(taken, [h, at]).withColumn(slot, F.explode(slots))
     return out.repartitionByRange(slot).sortWithinPartitions(slot).select(*columns(docs.columns))
+
+
+def _numbered_copies(rows: DataFrame, several: DataFrame, h: str, at: str, n: str) -> DataFrame:
+    """rows with `at`, from 0 among the rows of one h. Those of several are written first, so that their order stays.
+
+    Numbers are those within a stretch of CHUNK rows of a written file, behind the counts of the stretches before, so that no
+    task ranks a whole group.
+    """
+    (row, stretch, before) = fresh(rows, "_row", "_stretch", "_before")
+    one = rows.join(several, h, "left_anti").withColumn(at, F.lit(0).cast("long"))
+    held = written(rows.join(several.drop(n), h).withColumn(row, F.monotonically_increasing_id()))
+    held = held.withColumn(stretch, F.floor(F.col(row) / CHUNK))
+    counts = held.groupBy(h, stretch).agg(F.count(F.lit(1)).alias(n))
+    counts = counts.select(h, stretch, (F.sum(n).over(Window.partitionBy(h).orderBy(stretch)) - F.col(n)).alias(before))
+    within = F.row_number().over(Window.partitionBy(h, stretch).orderBy(row)) - 1
+    return one.unionByName(held.withColumn(at, within).join(counts, [h, stretch]).withColumn(at, F.col(at) + F.col(before)).select(*columns(one.columns)))
