@@ -89,6 +89,21 @@ def _texts_of_lines(docs: DataFrame, depth: int) -> DataFrame:
     return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "leaf binary, key binary, masked string")
 
 
+def template(tokens: list[str], counts: dict[int, int], depth: int, fanout: int) -> tuple[list[str] | None, int]:
+    """A line's tokens with the variable ones as WILD, and the least count of a constant one; None: it has no gap.
+
+    counts: of the places behind the leading ones, where they are over `fanout`.
+    """
+    n, lead = len(tokens), sum(t != WILD for t in tokens[:depth])
+    sizes = sorted((counts.get(i, 1) for i in range(depth, n)), reverse=True)
+    gaps = [(sizes[k - 1] / sizes[k], -k) for k in range(1, len(sizes)) if 2 * (lead + k) >= n and sizes[k - 1] > fanout]
+    ratio, k = max(gaps, default=(0, 0))
+    if ratio < SPREAD:
+        return None, 0
+    least = sizes[-k - 1]
+    return [t if i < depth or counts.get(i, 1) >= least else WILD for i, t in enumerate(tokens)], least
+
+
 def general_templates(lines: DataFrame, depth: int, fanout: int) -> DataFrame:
     """leaf, key, masked -> key, template: for the lines that a template generalises."""
     inside = written(lines.distinct())  # read three times
@@ -97,19 +112,19 @@ def general_templates(lines: DataFrame, depth: int, fanout: int) -> DataFrame:
     slot = F.xxhash64("leaf", "at", "token")
     # written, so that the join below is dealt by itself and its common slots can be split
     counts = written(places.groupBy(slot.alias("slot")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fanout))
-    of_line = places.select("key", "at", slot.alias("slot")).join(counts, "slot").groupBy("key").agg(F.map_from_entries(F.collect_set(F.struct("at", "n"))).alias("counts"))
-    lead = F.size(F.filter(F.slice("tokens", 1, depth), lambda t: t != WILD))
-    counted = inside.join(of_line, "key").select("key", tokens.alias("tokens"), "counts").withColumn("lead", lead)
-    one = F.lit(1).cast("long")
-    spread = F.transform(F.slice("tokens", depth + 1, 1 << 30), lambda t, i: F.coalesce(F.try_element_at("counts", i + depth), one))
-    counted = counted.withColumn("s", F.sort_array(spread, False)).where("size(s) > 1")
-    gap = lambda k: F.struct((F.col("s")[k - 1] / F.col("s")[k]).alias("ratio"), (-k).alias("k"), F.col("s")[k - 1].alias("least"))
-    may = lambda k: (2 * (F.col("lead") + k) >= F.size("tokens")) & (F.col("s")[k - 1] > fanout)
-    gaps = F.transform(F.sequence(F.lit(1), F.size("s") - 1), lambda k: F.when(may(k), gap(k)))
-    parted = counted.withColumn("gap", F.array_max(gaps)).where(F.col("gap.ratio") >= SPREAD)
-    constant = lambda i: (i < depth) | (F.coalesce(F.try_element_at("counts", i), one) >= F.col("gap.least"))
-    held = F.transform("tokens", lambda t, i: F.when(constant(i), t).otherwise(F.lit(WILD)))
-    named = written(parted.select("key", F.unhex(F.md5(F.concat(F.lit("\0t "), F.array_join(held, " ")))).alias("template"), F.col("gap.least").alias("least")))
+    of_line = places.select("key", "at", slot.alias("slot")).join(counts, "slot").groupBy("key").agg(F.collect_set(F.struct("at", "n")).alias("counts"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for key, masked, counts in zip(*(b.column(c).to_pylist() for c in ("key", "masked", "counts")), strict=True):
+                held, least = template(masked.split(" "), {x["at"]: x["n"] for x in counts}, depth, fanout)
+                if held is not None:
+                    out.append((key, hashlib.md5(b"\0t " + " ".join(held).encode()).digest(), least))
+            cols = zip(*out, strict=True) if out else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.binary(), pa.int64()), strict=True)], names=["key", "template", "least"])
+
+    named = written(inside.join(of_line, "key").select("key", "masked", "counts").mapInArrow(run, "key binary, template binary, least long"))
     together = named.groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("least"))
     several = written(together.where((F.col("n") > fanout) & (2 * F.col("n") >= F.col("least"))).select("template"))
     return named.join(several, "template").select("key", "template")
