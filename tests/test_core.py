@@ -306,6 +306,42 @@ def test_settings():
         config.safe_output("/a/b/c/d", "/a/b/c")
 
 
+SAMPLE = """
+preprocessing: {merge: {enabled: true, output: /x/merged}}
+source: {root: /x/in/set}
+output: {root: /x/out/set, chunks_size: 500, overwrite: true}
+task: {prompt: null}
+trajectory:
+  pose_transform: {enabled: true, rotation_order: intrinsic_xyz, rotation_deg: {x: 30.0, y: 0.0, z: -90.0}, translation_frame: rotated_local, translation_m: [-0.1, 0.0, 0.2]}
+  action_offset_frames: 2
+  tail_policy: repeat_last
+  gripper: {mapping: linear, distance_section: distance, radians_section: width_to_rad, clip: false}
+trim: {enabled: true, position_threshold_m: 0.03, rotation_threshold_deg: 4.0, gripper_threshold_rad: 0.1, min_episode_frames: 16}
+smoothing: {enabled: true, window_size: 7, visualization_episode_index: 0, visualization_axis_length_m: 0.005}
+step_limit: {enabled: false, percentile: 95.0, visualization_episode_index: 0}
+turn_sparsification: {enabled: true, prefix_min_spacing_m: 0.002, min_turn_context_distance_m: 0.003, dense_step_threshold_m: 0.004, max_kept_step_m: 0.005, max_position_error_m: 0.006, gripper_change_threshold_rad: 0.03}
+video: {width: 240}
+validation: {action_horizon: 32}
+"""
+
+
+def test_settings_of_dataset_pipelines(tmp_path):
+    (tmp_path / "c.yaml").write_text(SAMPLE)
+    s = config.load(str(tmp_path / "c.yaml"))
+    assert s.unused == ("preprocessing", "validation", "video") and s.source == "/x/in/set" and s.output == config.Place("/x/out/set", 500, True) and s.prompt is None
+    t = s.trajectory
+    assert (t.translation, t.rotation_deg, t.translation_frame, t.action_offset_frames, t.clip) == ((-0.1, 0.0, 0.2), (30.0, 0.0, -90.0), "rotated_local", 2, False)
+    assert (s.trim.position_threshold, s.trim.gripper_threshold, s.smoothing.window_size) == (0.03, 0.1, 7)
+    p = s.turn_sparsification
+    assert (p.prefix_min_spacing, p.min_turn_context_distance, p.dense_step_threshold, p.max_kept_step, p.max_position_error, p.gripper_change_threshold) == (0.002, 0.003, 0.004, 0.005, 0.006, 0.03)
+    with pytest.raises(ValueError, match="unknown sections preprocessing, validation, video"):
+        config.load(str(tmp_path / "c.yaml"), strict=True)
+    for bad in ({"trajectory": {"tail_policy": "drop"}}, {"trajectory": {"gripper": {"mapping": "cubic"}}}, {"trajectory": {"pose_transform": {"enabled": True, "tilt": 1}}}, {"trim": {"position_threshold_m": 1, "position_threshold": 1}}, {"output": {"folder": 1}}):
+        with pytest.raises((ValueError, TypeError)):
+            config.Settings.of(bad)
+    assert config.Settings.of({"trajectory": {"pose_transform": {"enabled": False, "rotation_deg": {"x": 1}}}}).trajectory.translation is None
+
+
 def arms_of(spark, n=90, episodes=2):
     rows = []
     for e in range(episodes):

@@ -102,16 +102,22 @@ def main(argv: list[str] | None = None) -> int:
         return commands[argv[0]](argv[1:])
     p = argparse.ArgumentParser(prog="trackframe", description=__doc__)
     p.add_argument("--config", required=True)
-    p.add_argument("--input", required=True)
-    p.add_argument("--output", required=True)
+    p.add_argument("--input", help="the dataset; else the settings' source.root")
+    p.add_argument("--output", help="else the settings' output.root")
     p.add_argument("--arms", default=ARMS, help="JSON: role to pose prefix and gripper slot")
     p.add_argument("--task", help="one prompt for all episodes, instead of the dataset's own")
     p.add_argument("--check", action="store_true", help="report violations, write nothing")
     p.add_argument("--overwrite", action="store_true", help="an output that is there gives way when the new one is whole")
     a = p.parse_args(argv)
-    settings, output = config.load(a.config), config.safe_output(a.output, a.input)
+    settings = config.load(a.config)
+    source, output = a.input or settings.source, a.output or settings.output.root
+    if not source or not output:
+        p.error("--input and --output, or source.root and output.root in the settings")
+    output, task, overwrite = config.safe_output(output, source), a.task if a.task is not None else settings.prompt, a.overwrite or settings.output.overwrite
+    if settings.unused:
+        print(f"without effect here: {', '.join(settings.unused)}", file=sys.stderr)
     spark = SparkSession.builder.appName("trackframe").getOrCreate()
-    d, roles = dataset.read(spark, a.input), json.loads(a.arms)
+    d, roles = dataset.read(spark, source), json.loads(a.arms)
     bad = dataset.inspect(d).limit(10).collect()
     poses = arms(d, roles)
     bad += trajectory.source_violations(poses).limit(10).collect()  # before any kernel runs on them
@@ -124,8 +130,8 @@ def main(argv: list[str] | None = None) -> int:
         if bad or a.check:
             print(json.dumps([r.asDict() for r in bad], indent=2))
             return int(bool(bad))
-        with store.published(spark, output, a.overwrite) as stage:
-            write(d, out, roles, a.task, stage)
+        with store.published(spark, output, overwrite) as stage:
+            write(d, out, roles, task, stage)
     finally:
         out.release()
     return 0

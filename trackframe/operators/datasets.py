@@ -18,10 +18,15 @@ def compatible_info(info: Column) -> Column:
 
 
 def differing_sets(df: DataFrame, owner: str, member: str) -> DataFrame:
-    """owner, members, missing, extra: where its set of members isn't that of the first owner by name."""
-    sets = df.groupBy(owner).agg(F.array_sort(F.collect_set(member)).alias("members"))
-    reference = F.array(*map(F.lit, sets.orderBy(owner).first()["members"]))  # the names in one dataset
-    out = sets.select(owner, F.size("members").alias("members"), F.size(F.array_except(reference, "members")).alias("missing"), F.size(F.array_except("members", reference)).alias("extra"))
+    """owner, members, missing, extra: where its set of members isn't that of the first owner by name.
+
+    Members meet by name, one row for each owner and member, and are counted; no set is gathered, and none is sent to the driver.
+    """
+    pairs = df.select(F.col(owner).alias("_o"), F.col(member).alias("_m")).distinct()
+    reference = pairs.where(F.col("_o") == pairs.agg(F.min("_o")).scalar()).select("_m", F.lit(True).alias("_known"))
+    total = reference.agg(F.count(F.lit(1))).scalar()
+    counted = pairs.join(reference, "_m", "left").groupBy("_o").agg(F.count(F.lit(1)).alias("n"), F.count("_known").alias("shared"))
+    out = counted.select(F.col("_o").alias(owner), *[c.cast("int").alias(n) for n, c in (("members", F.col("n")), ("missing", total - F.col("shared")), ("extra", F.col("n") - F.col("shared")))])
     return out.where("missing > 0 or extra > 0")
 
 

@@ -181,7 +181,7 @@ def channel_ranges(solved: DataFrame, output: str, channels: int, by: Sequence[s
 def encoded(solved: DataFrame, output: str, channels: int, ranges: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """solved with `codes`: the output in whole numbers from 0 to 255 between its channels' bounds (a channel of one value: 0)."""
     flat = ranges.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("channel", "low", "high"))).alias("_ranges"))
-    j = solved.join(F.broadcast(flat), list(by)) if by else solved.crossJoin(F.broadcast(flat))  # a row for each sensor, or one
+    j = solved.join(flat, list(by)) if by else solved.withColumn("_ranges", flat.select("_ranges").scalar())  # a row for each sensor, or one
     at = lambda i: F.element_at("_ranges", F.pmod(i, F.lit(channels)) + 1)
     code = F.transform(output, lambda v, i: encode.force_code(v, at(i)["low"], at(i)["high"]))
     return j.withColumn("codes", code).drop("_ranges")

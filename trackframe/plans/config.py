@@ -1,13 +1,39 @@
-"""Typed settings of the trajectory pipeline. Unknown keys are errors; nothing is read that has no effect."""
+"""Typed settings of the trajectory pipeline.
+
+Keys may carry their unit (`position_threshold_m`), and a pose's transform and the gripper may be sections of their own, as in
+the dataset pipelines' own files. Unknown keys are errors. Sections of back-ends (encoders, sensors, viewers) have no effect
+here: `load` keeps their names, for a command to tell; keys of a viewer (`visualization_*`) likewise.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field, fields
 from typing import Any
 
+#: What a key may end with besides its name, and what keys of viewers begin with.
+UNITS, VIEWER = ("_m", "_rad"), "visualization_"
+
+
+def _plain(values: dict[str, Any] | None, known: set[str]) -> dict[str, Any]:
+    """Keys by their names here: without a unit, and without those of viewers."""
+    out = {}
+    for k, v in (values or {}).items():
+        name = next((k.removesuffix(u) for u in UNITS if k not in known and k.removesuffix(u) in known), k)
+        if name in out:
+            raise ValueError(f"{name} is given twice")
+        if not k.startswith(VIEWER):
+            out[name] = v
+    return out
+
+
+def _only(section: dict[str, Any], key: str, value: str, where: str) -> None:
+    """A choice that has one value here."""
+    if section.pop(key, value) != value:
+        raise ValueError(f"{where}.{key}: only {value}")
+
 
 def _build(kind: type, values: dict[str, Any] | None, where: str):
-    values = dict(values or {})
+    values = _plain(values, {f.name for f in fields(kind)})
     known = {f.name: f for f in fields(kind)}
     if unknown := sorted(values.keys() - known.keys()):
         raise ValueError(f"{where}: unknown keys {', '.join(unknown)}")
@@ -24,6 +50,24 @@ class Trajectory:
     rotation_deg: tuple[float, float, float] = (0.0, 0.0, 0.0)
     translation_frame: str = "rotated_local"
 
+    @staticmethod
+    def of(values: dict[str, Any] | None) -> dict[str, Any]:
+        """The keys of sections `pose_transform` and `gripper` as those of this class."""
+        out = dict(values or {})
+        _only(out, "tail_policy", "repeat_last", "trajectory")
+        move, grip = dict(out.pop("pose_transform", None) or {}), dict(out.pop("gripper", None) or {})
+        if move.pop("enabled", bool(move)):
+            _only(move, "rotation_order", "intrinsic_xyz", "trajectory.pose_transform")
+            turn = move.pop("rotation_deg", (0.0, 0.0, 0.0))
+            out |= {"translation": tuple(move.pop("translation_m", (0.0, 0.0, 0.0))), "rotation_deg": tuple(turn[a] for a in "xyz") if isinstance(turn, dict) else tuple(turn)}
+            out |= {"translation_frame": move.pop("translation_frame", "rotated_local")}
+            if move:
+                raise ValueError(f"trajectory.pose_transform: unknown keys {', '.join(sorted(move))}")
+        _only(grip, "mapping", "linear", "trajectory.gripper")
+        # the sections' names in a calibration file, whose numbers are observed_width and gripper_radians here
+        grip = {k: v for k, v in grip.items() if k not in ("distance_section", "radians_section")}
+        return out | grip
+
     def __post_init__(self):
         if self.action_offset_frames < 0:
             raise ValueError("action_offset_frames must not be negative")
@@ -84,6 +128,15 @@ class Sparsification:
     max_consecutive_removed: int = 1
 
 
+@dataclass(frozen=True)
+class Place:
+    """Where a run reads and writes, if its command does not say so."""
+
+    root: str | None = None
+    chunks_size: int = 1000
+    overwrite: bool = False
+
+
 @dataclass(frozen=True)
 class Settings:
     trajectory: Trajectory = field(default_factory=Trajectory)
@@ -92,23 +145,34 @@ class Settings:
     trim: Trim = field(default_factory=Trim)
     turn_sparsification: Sparsification = field(default_factory=Sparsification)
     fps: int = 30
+    source: str | None = None
+    output: Place = field(default_factory=Place)
+    prompt: str | None = None
+    unused: tuple[str, ...] = ()
 
     @staticmethod
-    def of(values: dict[str, Any]) -> Settings:
+    def of(values: dict[str, Any], strict: bool = True) -> Settings:
+        """strict: a section that is none of these is an error; else its name is kept in `unused`."""
         kinds = {"trajectory": Trajectory, "smoothing": Smoothing, "step_limit": StepLimit, "trim": Trim, "turn_sparsification": Sparsification}
-        if unknown := sorted(values.keys() - kinds.keys() - {"fps"}):
+        unknown = sorted(values.keys() - kinds.keys() - {"fps", "source", "output", "task"})
+        if unknown and strict:
             raise ValueError(f"unknown sections {', '.join(unknown)}")
-        return Settings(**{k: _build(kind, values.get(k), k) for k, kind in kinds.items()}, fps=values.get("fps", 30))
+        values = values | {"trajectory": Trajectory.of(values.get("trajectory"))}
+        parts = {k: _build(kind, values.get(k), k) for k, kind in kinds.items()}
+        task, source = dict(values.get("task") or {}), dict(values.get("source") or {})
+        return Settings(
+            **parts, fps=values.get("fps", 30), source=source.get("root"), output=_build(Place, values.get("output"), "output"), prompt=task.get("prompt"), unused=tuple(unknown),
+        )
 
 
-def load(path: str) -> Settings:
+def load(path: str, strict: bool = False) -> Settings:
     import yaml
 
     with open(path) as f:
         values = yaml.safe_load(f)
     if not isinstance(values, dict):
         raise ValueError(f"{path}: a mapping is expected")
-    return Settings.of(values)
+    return Settings.of(values, strict)
 
 
 def safe_output(output: str, *sources: str) -> str:
