@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import long_, map_texts, string_
+from .common import checkpointed, long_, map_texts, string_
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
@@ -180,7 +180,15 @@ def frequent_words(docs: DataFrame, most: int = CORPUS_WORDS) -> list[str]:
                 counts = {}
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["w", "n"])
 
-    found = docs.select("text").mapInArrow(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    found = checkpointed(docs.select("text").mapInArrow(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")))
+    # words by steps of their count, some 3,000 at most, tell from which count on the words are enough: each task then sends few
+    step = F.floor(F.log2("n") * 64)
+    held, cutoff = 0, 0
+    for r in found.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("step")).collect():
+        held, cutoff = held + r["words"], r["step"]
+        if held >= most:
+            break
+    found = found.where(step >= cutoff)
     return [r["w"] for r in found.orderBy(F.desc("n"), "w").limit(most).collect()]
 
 
