@@ -87,3 +87,12 @@ def test_long_text_in_stretches(spark, monkeypatch):
 
 def test_empty(spark):
     assert run(spark, []) == []
+
+
+def test_ids_of_other_types(spark):
+    rows = [("b", "x" * 120), ("a", "x" * 110 + "y"), ("c", "z" * 20)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in s.dedup_substrings(df).collect()}
+    assert got == {"a": 109, "b": 120, "c": 0}
+    few = spark.createDataFrame([(2, "x" * 120), (1, "x" * 120)], "doc_id int, text string")
+    assert {tuple(r)[:3] for r in s.dedup_substrings(few).select("doc_id", "n_bytes", "n_removed").collect()} == {(1, 120, 119), (2, 120, 120)}

@@ -281,3 +281,11 @@ def test_cosine_by_brute_force(spark):
     for i, t in enumerate(texts):
         score, name = max(((round(cosine(vector(t), vector(x)), 6), k) for k, xs in shown.items() for x in xs), key=lambda p: (p[0], [-ord(c) for c in p[1]]))
         assert abs(got[f"f{i}"]["score"] - score) < 1e-5 and got[f"f{i}"]["own_license"] == name
+
+
+def test_templates_without_an_english_cue(spark):
+    own = {"Frei": ["Dieses Werk darf von jedermann unentgeltlich verwendet und weitergegeben werden."], "MIT": licenses.TEMPLATES["MIT"]}
+    assert licenses.cue_of(licenses.TEMPLATES) == licenses.CUE
+    files = spark.createDataFrame([("a/LIES", own["Frei"][0]), ("a/x", "int main() {}"), ("b/x", "unentgeltlich")], "path string, text string")
+    got = {r["path"]: (r["own_license"], r["license"]) for r in licenses.scan_licenses(files, templates=own).collect()}
+    assert got == {"a/LIES": ("Frei", "Frei"), "a/x": (None, "Frei"), "b/x": (None, None)}

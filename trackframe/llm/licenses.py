@@ -9,6 +9,7 @@ is a dimension of its own. A file that is like a template as a whole is its dire
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,9 +111,15 @@ def terms(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), SPLIT), lambda w: w != "")
 
 
-def candidates(text: Column) -> Column:
+def cue_of(templates: dict[str, list[str]]) -> str:
+    """CUE, and for each template that it does not match the template's own longest words, three or fewer."""
+    own = {w for texts in templates.values() for t in texts if not re.search(CUE, t) for w in sorted(set(re.findall(r"[^\W_]+", t.lower())), key=lambda w: (-len(w), w))[:3]}
+    return "|".join([CUE, *(f"(?U)\\b{w}\\b" for w in sorted(own))])
+
+
+def candidates(text: Column, cue: str = CUE) -> Column:
     """The header candidates of a text."""
-    cued = lambda parts: F.filter(parts, lambda x: x.rlike(CUE))
+    cued = lambda parts: F.filter(parts, lambda x: x.rlike(cue))
     lines = cued(F.split(text, r"\n"))
     sentences = F.flatten(F.transform(lines, lambda x: F.split(F.regexp_replace(x, SENTENCE, "$1\n"), r"\n")))
     return F.array_distinct(F.concat(lines, cued(sentences), cued(F.split(text, PARAGRAPH))))
@@ -130,9 +137,12 @@ def scan_licenses(files: DataFrame, least: float = 0.7, templates: dict[str, lis
     whole has a cosine of `least` or more to a template is the licence file of its directory; of several, the best score
     counts, then the first id by name. A file without own license takes the one of its nearest ancestor directory with a
     licence file. Rows with one path are scanned apart: each that has a license counts for the path, the best first, and
-    they inherit alike. The texts are read twice: for the document frequencies, and for the candidates.
+    they inherit alike. The texts are read twice: for the document frequencies, and for the candidates. A candidate holds a
+    cue: an English word of licences (CUE), or one of the longest words of a given template without such (`cue_of`). A
+    licence in another language is found by templates in that language.
     """
-    shown = _template_rows(files, tagged(TEMPLATES if templates is None else templates))
+    templates = TEMPLATES if templates is None else templates
+    cue, shown = cue_of(templates), _template_rows(files, tagged(templates))
     shown = shown.select("license", "variant", terms(F.col("template")).alias("ts"))
     known = shown.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ts")))).alias("v")).first()["v"]  # the terms of the given templates
     listed = F.array(*[F.lit(w) for w in known])
@@ -152,10 +162,10 @@ def scan_licenses(files: DataFrame, least: float = 0.7, templates: dict[str, lis
     t = checkpointed(vectors(shown, ["license", "variant"]).withColumnRenamed("x", "tx"))
     tnorm = t.groupBy("license", "variant").agg(F.sqrt(F.sum(F.col("tx") * F.col("tx"))).alias("tnorm"))
     # of the texts, only what has a cue goes on
-    cued = files.where(F.col("text").rlike(CUE)).select("path", "text")
+    cued = files.where(F.col("text").rlike(cue)).select("path", "text")
     whole = F.struct(F.lit(True).alias("whole"), F.col("text").alias("unit"))
-    units = F.concat(F.array(whole), F.transform(candidates(F.col("text")), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("unit"))))
-    n_headers = F.size(F.filter(F.split("text", r"\n"), lambda x: x.rlike(CUE)))
+    units = F.concat(F.array(whole), F.transform(candidates(F.col("text"), cue), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("unit"))))
+    n_headers = F.size(F.filter(F.split("text", r"\n"), lambda x: x.rlike(cue)))
     held = cued.select(F.monotonically_increasing_id().alias("row"), "path", n_headers.alias("n_headers"), F.explode(units).alias("u")).select("row", "path", "n_headers", "u.*")
     h = checkpointed(held.withColumn("key", F.md5("unit")))  # the row ids must stay as they are
     v = checkpointed(vectors(h.select("key", terms(F.col("unit")).alias("ts")).dropDuplicates(["key"]), ["key"]))  # the same header stands in many files

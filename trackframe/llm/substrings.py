@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import written
 
@@ -277,14 +278,15 @@ def dedup_substrings(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the spans' starts and ends, a row for each row of docs.
 
     A byte goes if a 100-byte string over it starts earlier, too: in a smaller doc_id, or before in the same text. Null
-    texts are empty; texts of under 100 bytes stay whole. Rows that share a doc_id, or have none, are ordered by
+    texts are empty; texts of under 100 bytes stay whole. doc_id may be of any type with an order. Rows that share a doc_id, or have none, are ordered by
     doc_id (null first) and a hash of the text, so of repeated rows the first stays; they are numbered in a table of their own.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    unique = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").isEmpty()
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    whole = isinstance(rows.schema["doc_id"].dataType, T.LongType | T.IntegerType | T.ShortType | T.ByteType)
+    unique = whole and rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null").isEmpty()
     if unique:
-        rows = rows.withColumn("d", F.col("doc_id"))
+        rows = rows.withColumn("d", F.col("doc_id").cast("long"))
     else:
         rows = rows.withColumn("o", F.xxhash64("text"))  # texts are no range keys: samples of these go to the driver
         rows = written(rows.repartitionByRange("doc_id", "o").sortWithinPartitions("doc_id", "o", "text").drop("o").withColumn("d", F.monotonically_increasing_id()))
@@ -316,5 +318,5 @@ def dedup_substrings(docs: DataFrame, group: int = GROUP) -> DataFrame:
     spans = spans.groupBy("d").agg(F.collect_list(F.struct("a", "b")).alias("found"))
     out = _zipped(rows).join(spans, "d", "left").mapInArrow(_removed, "d long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, ends array<long>")
     if unique:
-        return out.withColumnRenamed("d", "doc_id")
+        return out.withColumn("d", F.col("d").cast(docs.schema["doc_id"].dataType)).withColumnRenamed("d", "doc_id")
     return out.join(rows.select("d", "doc_id"), "d").select("doc_id", *[c for c in out.columns if c != "d"])
