@@ -74,6 +74,14 @@ def test_against_brute_force(spark):
     assert run(spark, docs, long_items) == brute(docs, long_items)
 
 
+def test_ids_of_other_types(spark):
+    docs = spark.createDataFrame([("d1", "zz A b2 ccc dd."), ("d2", None), (None, "x y"), ("d1", "zz A b2 ccc dd.")], "doc_id string, text string")
+    bench = spark.createDataFrame([("q1", "a b2 ccc"), ("q2", "x"), ("q3", "none of this")], "item_id string, text string")
+    for block_words in (1 << 20, 1):
+        got = sorted(((r["doc_id"], r["n_words"], tuple(r["starts"]), tuple(r["ends"]), tuple(r["items"])) for r in d.find_contamination(docs, bench, block_words=block_words).collect()), key=str)
+        assert got == [("d1", 5, (1,), (4,), ("q1",)), ("d1", 5, (1,), (4,), ("q1",)), ("d2", 0, (), (), ()), (None, 2, (0,), (1,), ("q2",))]
+
+
 def test_empty_tables(spark):
     assert run(spark, [], [(1, "a b")]) == []
     assert [r[1:4] for r in run(spark, [(1, "a b")], [])] == [(2, 0, 0)]

@@ -10,6 +10,7 @@ the next sample.
 from __future__ import annotations
 
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,9 +20,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import columns, fresh, map_batches, row_key, written
+from .common import columns, fresh, map_batches, written
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+#: The same words in characters, of a text whose letters A-Z are lower-case.
+WORD_PATTERN = r"[0-9a-z\x{80}-\x{10FFFF}]+"
 WINDOW = 10
 #: Positions between samples.
 SAMPLE = 8
@@ -293,27 +296,28 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_words: int =
     """doc_id, n_words, starts, ends (merged spans of words, end exclusive) and items, a row for each row of docs.
 
     Null and empty texts have no words. Items without an id hit, but have no name among the items. A benchmark of several
-    blocks takes a pass over docs for each; spans are then merged by row (a hash of doc_id and text), so that repeated rows
-    are found alike.
+    blocks takes a pass over docs for each; spans are then merged by a hash of the text, so that repeated rows are found
+    alike. doc_id goes through, whatever its type.
     """
     items, parts = _items(benchmark, block_words)
     if parts == 1:
         return _search(docs.select("doc_id", "text"), next(blocks(items, 1)), ["doc_id"], False, shard_symbols)
-    # rows that share doc_id and text are found alike, so each block's are counted as one, and put back at the end
-    keyed = docs.select("doc_id", row_key().alias("_row"), "text")
-    union = _each_block(keyed, items, parts, ["doc_id", "_row"], shard_symbols)
-    first = [F.first(c).alias(c) for c in ("n_words", "starts", "ends", "items")]
-    once = union.groupBy("doc_id", "_row", "_block").agg(F.count(F.lit(1)).alias("_times"), *first)
-    g = once.groupBy("doc_id", "_row").agg(F.first("_times").alias("_times"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    g = g.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), "_times")))
+    # spans follow from the text alone: only texts that a block hits go on from its pass, and meet the rows by their hash
+    found = _each_block(docs.select(F.sha2("text", 256).alias("_text"), "text"), items, parts, ["_text"], shard_symbols, True)
+    lists = found.groupBy("_text").agg(F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))  # a list a block
+    lower = F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    rows = docs.select("doc_id", F.sha2("text", 256).alias("_text"), F.regexp_count(lower, F.lit(WORD_PATTERN)).cast("long").alias("n_words"))
+    none = F.array().cast("array<string>")
+    joined = rows.join(lists, "_text", "left").select("doc_id", "n_words", "spans", F.coalesce("items", none).alias("items"))
+    schema = T.StructType([joined.schema["doc_id"], joined.schema["n_words"], *[T.StructField(n, T.ArrayType(T.LongType())) for n in ("starts", "ends")], T.StructField("items", T.ArrayType(T.StringType()))])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            both = [_merged([s["starts"] for s in x], [s["ends"] for s in x]) for x in b.column("spans").to_pylist()]
+            both = [_merged([s["starts"] for s in x or []], [s["ends"] for s in x or []]) for x in b.column("spans").to_pylist()]
             cols = [b.column("doc_id"), b.column("n_words"), pa.array([x[0] for x in both], pa.list_(pa.int64())), pa.array([x[1] for x in both], pa.list_(pa.int64())), b.column("items")]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_words", "starts", "ends", "items"])
 
-    return g.mapInArrow(merge, "doc_id long, n_words long, starts array<long>, ends array<long>, items array<string>")
+    return joined.mapInArrow(merge, schema)
 
 
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS, shard_symbols: int = SHARD_SYMBOLS) -> DataFrame:
