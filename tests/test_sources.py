@@ -325,6 +325,17 @@ def test_episode_without_runtime_set(spark, tmp_path):
         merging.merge_datasets(spark, [str(a), str(b)], str(tmp_path / "out/ab"), sets=RUNTIME)
 
 
+def test_json_lines(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"k": 1, "more": [2]}\n\n  \n{"k": "x"}\n{"k": 2\n[3]\n{}\n')
+    rows, bad = dataset.json_lines(spark, str(tmp_path / "a.jsonl"), "k long, s string")
+    assert sorted(map(tuple, rows.collect()), key=str) == [(1, None), (None, None)]
+    assert sorted(r["line"] for r in bad.collect()) == ['[3]', '{"k": "x"}', '{"k": 2'] and bad.first()["file"].endswith("/a.jsonl")
+    root = make(tmp_path / "set", [2])
+    with (root / "meta/episodes.jsonl").open("a") as f:
+        f.write('{"episode_index": \n')
+    assert any("no such line" in x for x in merging.file_faults(spark, str(root)))
+
+
 # statistics
 
 

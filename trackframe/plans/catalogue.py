@@ -376,7 +376,10 @@ def slerp_midpoint(spark, sf_dir):
 def matrix_to_quaternion(spark, sf_dir):
     by = ("episode_index", "frame_index", "role")
     u = windows.unit_quaternions(by_role(embedding_frames(spark, sf_dir)), by)
-    return u.select(*by, *[r(F.abs("u" + n[1])).alias(n) for n in Q])
+    # q and -q are one rotation: the sign is that of which the largest component is positive
+    largest = F.greatest(*[F.abs("u" + c) for c in "xyzw"])
+    sign = F.coalesce(*[F.when(F.abs("u" + c) == largest, F.signum("u" + c)) for c in "xyzw"])
+    return u.select(*by, *[r(F.col("u" + n[1]) * sign).alias(n) for n in Q])
 
 
 @query
@@ -411,7 +414,7 @@ def depth_missing(spark, sf_dir):
 @query
 def step_missing(spark, sf_dir):
     """Steps to and from a pose whose quaternion has no length have no angle."""
-    arms = by_role(embedding_frames(spark, sf_dir)).where("role = 'right'")
+    arms = by_role(embedding_frames(spark, sf_dir))
     gone = F.col("frame_index") % 4 == 2
     arms = arms.select("episode_index", "frame_index", "role", *XYZ, *[F.when(gone, 0.0).otherwise(F.col(c)).alias(c) for c in Q])
     s = windows.step_metrics(arms)

@@ -42,7 +42,8 @@ def report(spark: SparkSession, root: str, arms: dict[str, dict[str, str]], fps:
     shared = [p for p in {of["pose"] for of in arms.values()} if sum(of["pose"] == p for of in arms.values()) > 1]
     errors += [f"several arms share the pose {p}" for p in sorted(shared)]
 
-    episodes = spark.read.schema(dataset.EPISODES).json(f"{root}/meta/episodes.jsonl")
+    episodes, bad = dataset.json_lines(spark, f"{root}/meta/episodes.jsonl", dataset.EPISODES)
+    errors += [f"episodes.jsonl: no such line: {r['line'][:100]}" for r in bad.limit(most).collect()]
     told = episodes.agg(F.count(F.lit(1)).alias("episodes"), F.coalesce(F.sum("length"), F.lit(0)).alias("frames")).first()
     for name, key in (("episodes", "total_episodes"), ("frames", "total_frames")):
         if info.get(key) != told[name]:

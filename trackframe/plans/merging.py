@@ -71,7 +71,9 @@ def differences(datasets: dict[str, dataset.Dataset], assets: dict[str, DataFram
 def file_faults(spark: SparkSession, root: str) -> list[str]:
     """What is wrong with a dataset's files, ten at most: judged by footers, before anything reads frames."""
     info, episodes = dataset.described(spark, root)
-    return [f"{root}: {r['check']}: {r['path']}" for r in files.inspect_files(spark, root, episodes, info).orderBy("path").limit(10).collect()]
+    bad = dataset.json_lines(spark, f"{root}/meta/episodes.jsonl", dataset.EPISODES)[1].union(dataset.json_lines(spark, f"{root}/meta/tasks.jsonl", dataset.TASKS)[1])
+    found = [f"{r['file']}: no such line: {r['line'][:100]}" for r in bad.limit(10).collect()]
+    return found + [f"{root}: {r['check']}: {r['path']}" for r in files.inspect_files(spark, root, episodes, info).orderBy("path").limit(10).collect()]
 
 
 def faults(spark: SparkSession, root: str, d: dataset.Dataset) -> list[str]:

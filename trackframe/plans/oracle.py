@@ -68,8 +68,8 @@ SELECT episode_index, frame_index, {r("max(p)")} AS position_step, {r("max(a)",
 SQL["step_missing"] = f"""WITH {ARMS}, {UNIT}, s AS (SELECT episode_index, frame_index,
   sqrt(pow(x - lag(x) OVER w, 2) + pow(y - lag(y) OVER w, 2) + pow(z - lag(z) OVER w, 2)) AS p,
   CASE WHEN frame_index % 4 NOT IN (2, 3) THEN degrees(2 * acos(least(abs(ux*lag(ux) OVER w + uy*lag(uy) OVER w + uz*lag(uz) OVER w + uw*lag(uw) OVER w), 1.0))) END AS a
-  FROM unit WHERE role = 'right' WINDOW w AS ({_RW}))
-SELECT episode_index, frame_index, {r("p")} AS position_step, {r("a", 4)} AS rotation_step FROM s WHERE p IS NOT NULL"""
+  FROM unit WINDOW w AS ({_RW}))
+SELECT episode_index, frame_index, {r("max(p)")} AS position_step, {r("max(a)", 4)} AS rotation_step FROM s WHERE p IS NOT NULL GROUP BY 1, 2"""
 STEP = f"step AS (SELECT *, sqrt((x - lag(x) OVER w)*(x - lag(x) OVER w) + (y - lag(y) OVER w)*(y - lag(y) OVER w) + (z - lag(z) OVER w)*(z - lag(z) OVER w)) AS s FROM line WINDOW w AS ({W}))"
 SQL["step_limit_reference"] = f"WITH {LINE}, {STEP} SELECT {r('quantile_cont(s, 0.95)')} AS position_step_limit, {r('max(s)')} AS position_step_max, count(*) AS adjacent_pairs FROM step WHERE s IS NOT NULL"
 
@@ -154,7 +154,11 @@ p AS (SELECT episode_index, length, i, CASE WHEN k = 1 THEN 0 WHEN i = k - 1 THE
 SELECT episode_index, length, string_agg(p::VARCHAR, ',' ORDER BY i) AS places FROM p GROUP BY 1, 2"""
 SQL["channel_stats"] = f"""WITH {VAL}, px AS (SELECT label, vec_id, dim % 3 AS channel, floor(abs(value) * 255) / 255 AS value FROM val)
 SELECT label, channel, {STATS.replace("count(value)", "count(DISTINCT vec_id)")} FROM px GROUP BY 1, 2"""
-SQL["alignment_validation"] = f"""WITH {EMB} SELECT episode_index, count(*) AS length, {r("max(CASE WHEN episode_index = 3 AND frame_index = 5 THEN 0.5 ELSE 0.0 END)::DOUBLE")} AS error, max(CASE WHEN episode_index = 3 AND frame_index = 5 THEN 0.5 ELSE 0.0 END) <= 1e-6 AS ok FROM emb GROUP BY 1"""
+SQL["alignment_validation"] = f"""WITH {EMB}, a AS (SELECT episode_index, frame_index, {", ".join(f"coalesce(lead({c}, 2) OVER ({W}), last_value({c}) OVER ({ALL})) AS {c}" for c in ("right_x", "left_x"))} FROM emb),
+e AS (SELECT a.episode_index, greatest(abs(a.right_x - b.right_x), abs(a.left_x + CASE WHEN a.episode_index = 3 AND a.frame_index = 5 THEN 0.5 ELSE 0.0 END - b.left_x)) AS e
+  FROM a JOIN emb s USING (episode_index, frame_index) JOIN (SELECT episode_index, max(frame_index) AS last FROM emb GROUP BY 1) n ON n.episode_index = a.episode_index
+  JOIN emb b ON b.episode_index = a.episode_index AND b.frame_index = least(a.frame_index + 2, n.last))
+SELECT episode_index, count(*) AS length, {r("max(e)")} AS error, max(e) <= 1e-6 AS ok FROM e GROUP BY 1"""
 
 
 def _quality() -> str:
@@ -208,7 +212,9 @@ s AS (SELECT *, {mid} FROM d) SELECT episode_index, frame_index, {_rounded({f"q{
 
 
 SQL["slerp_midpoint"] = _slerp()
-SQL["matrix_to_quaternion"] = f"WITH {ARMS}, {UNIT} SELECT episode_index, frame_index, role, {_rounded({f'q{c}': f'abs(u{c})' for c in 'xyzw'})} FROM unit"
+_BIG = "greatest(abs(ux), abs(uy), abs(uz), abs(uw))"
+_SIGN = "coalesce(" + ", ".join(f"CASE WHEN abs(u{c}) = {_BIG} THEN sign(u{c}) END" for c in "xyzw") + ")"
+SQL["matrix_to_quaternion"] = f"WITH {ARMS}, {UNIT} SELECT episode_index, frame_index, role, {_rounded({f'q{c}': f'u{c} * {_SIGN}' for c in 'xyzw'})} FROM unit"
 SQL["finite_report"] = f"WITH {EVT} SELECT episode_index, count(*) FILTER (missing) AS x, count(*) FILTER (y IS NULL) AS y FROM evt GROUP BY 1"
 SQL["report_rollup"] = f"""WITH {EVT}, {BOUNDS} SELECT count(*) AS episodes, count(*) FILTER (status = 'ok') AS trimmed, sum(length)::BIGINT AS frames_before, sum(end_frame - start_frame)::BIGINT AS frames_after,
 max(length - (end_frame - start_frame)) AS most_removed, ceil(count(*) / 100.0)::BIGINT AS total_chunks, count(*) * 2 AS total_videos FROM bounds"""
@@ -251,7 +257,8 @@ SQL["dataset_compatibility"] = """WITH s AS (SELECT 'c' || lpad(o_custkey::VARCH
 ref AS (SELECT task FROM s WHERE dataset = (SELECT min(dataset) FROM s)), n AS (SELECT count(*) AS n FROM ref),
 c AS (SELECT dataset, count(*) AS members, count(*) FILTER (task IN (SELECT task FROM ref)) AS shared FROM s GROUP BY 1)
 SELECT dataset, members::INT AS members, (n - shared)::INT AS missing, (members - shared)::INT AS extra FROM c CROSS JOIN n WHERE n > shared OR members > shared"""
-SQL["compatible_info"] = "SELECT s_suppkey, 'fps,robot' AS keys, s_name AS robot FROM supplier"
+SQL["compatible_info"] = """WITH i AS (SELECT s_suppkey, MAP {'fps': '30', 'total_frames': s_suppkey::VARCHAR, 'robot': s_name, 'splits': 'x'} AS info FROM supplier)
+SELECT s_suppkey, array_to_string(list_sort(list_filter(map_keys(info), lambda k: k NOT IN ('total_episodes', 'total_frames', 'total_videos', 'total_chunks', 'splits'))), ',') AS keys, info['robot'] AS robot FROM i"""
 SQL["video_mismatches"] = """SELECT user_id AS episode_index, n AS frames, CASE WHEN user_id % 11 <> 0 THEN n - 1 END AS got_frames FROM (SELECT user_id, count(*) AS n FROM events GROUP BY 1) WHERE user_id % 11 = 0 OR user_id % 7 = 0"""
 SQL["marker_distance"] = f"""WITH {LINE}, m AS (SELECT episode_index, frame_index // 3 AS frame_index, trunc(y)::BIGINT % 4 AS marker, x, y, z FROM line),
 l AS (SELECT * FROM m WHERE marker = 0 QUALIFY count(*) OVER (PARTITION BY episode_index, frame_index) = 1),

@@ -14,11 +14,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import store
 
 EPISODES = "episode_index long, tasks array<string>, length long"
-STATS = "episode_index long, stats map<string, string>"
+TASKS = "task_index long, task string"
 VERSION = "v2.1"
 DATA_PATH = "data/chunk-{episode_chunk:03d}/episode_{episode_index:06d}.parquet"
 
@@ -36,12 +37,22 @@ def read_json(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
+def json_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, bad lines: file, line) of files with a JSON object a line; blank lines are none. A line that is no such object is
+    bad, and so is one with a value of another type; fields that the schema lacks are left out. Tasks read the files by splits.
+    """
+    text = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")).where("trim(line) <> ''")
+    kind = T.StructType.fromDDL(schema).add("_bad", "string")
+    parsed = text.withColumn("row", F.from_json("line", kind, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
+    return parsed.where("row._bad is null").select("row.*").drop("_bad"), parsed.where("row._bad is not null").select("file", "line")
+
+
 def described(spark: SparkSession, root: str) -> tuple[dict, DataFrame]:
     """A dataset's description and its episodes; no frame is looked at."""
     info = read_json(spark, f"{root}/meta/info.json")
     if info.get("codebase_version") != VERSION:
         raise ValueError(f"{root}: codebase_version {info.get('codebase_version')!r}, not {VERSION}")
-    return info, spark.read.schema(EPISODES).json(f"{root}/meta/episodes.jsonl")
+    return info, json_lines(spark, f"{root}/meta/episodes.jsonl", EPISODES)[0]
 
 
 def read(spark: SparkSession, root: str, state: str = "observation.state") -> Dataset:
@@ -52,7 +63,7 @@ def read(spark: SparkSession, root: str, state: str = "observation.state") -> Da
     v = F.col(f"`{state}`").cast("array<double>")
     right = F.when(F.size(v) == width, v).otherwise(F.raise_error(F.lit(f"{state}: a row isn't {width} wide")).cast("array<double>"))
     frames = frames.select(*[right.alias("state") if c == state else F.col(f"`{c}`") for c in frames.columns])
-    tasks = spark.read.schema("task_index long, task string").json(f"{root}/meta/tasks.jsonl")
+    tasks = json_lines(spark, f"{root}/meta/tasks.jsonl", TASKS)[0]
     return Dataset(info, frames, episodes, tasks, root)
 
 
@@ -152,4 +163,4 @@ def info_of(old: dict, episodes: int, frames: int, video_keys: int, tasks: int,
     }
 
 
-__all__ = ["DATA_PATH", "Dataset", "described", "info_of", "inspect", "read", "read_json", "slot_index", "write", "write_json", "write_jsonl", "write_lines"]
+__all__ = ["DATA_PATH", "Dataset", "described", "info_of", "inspect", "json_lines", "read", "read_json", "slot_index", "write", "write_json", "write_jsonl", "write_lines"]
