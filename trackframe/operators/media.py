@@ -121,7 +121,8 @@ def solve_ordered(
     """frames (by, frame_index, value, selected) -> by, frame_index, and each output as a flat array, for the selected frames.
 
     A recording streams through a solver of its own in one task, since each frame's result may hang on all before it; the
-    task holds one batch of frames and `rows` results at a time, however long the recording is. An output that is
+    task holds one Arrow batch of frames (of the session's rows and bytes) and `rows` results, however long the recording
+    is. The result is lazy: who reads it twice solves twice, so it is to be written once (`two_passes`). An output that is
     missing, of another shape, or not finite is an error that names the frame, for frames that are not selected, too. The
     solver is released when its recording ends, and when it fails.
     """

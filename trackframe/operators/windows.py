@@ -202,9 +202,9 @@ def episode_offsets(episodes: DataFrame) -> DataFrame:
     return episodes.withColumn("first_index", F.sum("length").over(w) - F.col("length"))
 
 
-def third_difference(columns: Sequence[str]) -> Column:
+def third_difference(columns: Sequence[str], by: Sequence[str] = ("episode_index",)) -> Column:
     """The squared third difference of positions that ends at a frame; null at the first three."""
-    w = ordered()
+    w = ordered(by)
     third = [F.col(c) - 3 * F.lag(c, 1).over(w) + 3 * F.lag(c, 2).over(w) - F.lag(c, 3).over(w) for c in columns]
     return sum((t * t for t in third[1:]), third[0] * third[0])
 

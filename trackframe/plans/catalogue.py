@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trackframe.functions import encode
 from trackframe.functions import geometry as g
 from trackframe.operators import datasets, kernels, media, merge, stats, trim, validate, windows
+from trackframe.plans import trajectory
 from trackframe.sources import files, store
 from trackframe.sources.adapters import by_role, embedding_frames, event_frames, line_frames, table
 
@@ -278,6 +279,26 @@ def smoothing_metrics(spark, sf_dir):
     return m.select("episode_index", *[r(c, 4).alias(c) for c in ("change_rms", "change_max", "jerk_before", "jerk_after")])
 
 
+def changed_poses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of each arm from its poses to those one frame later."""
+    by, names = ("episode_index", "role"), (*XYZ, *R6, "gripper")
+    before = poses(spark, sf_dir).withColumn("gripper", F.col("width"))
+    after = before.select(*by, "frame_index", *[windows.shifted(c, 1, by).alias(c) for c in names])
+    return trajectory.changes(before, after)
+
+
+@query
+def pose_changes(spark, sf_dir):
+    w = trajectory.worst_arm(changed_poses(spark, sf_dir))
+    return w.select("episode_index", *[r(c, 4).alias(c) for c in trajectory.CHANGES])
+
+
+@query
+def pose_changes_rollup(spark, sf_dir):
+    a = trajectory.changes_of_all(trajectory.worst_arm(changed_poses(spark, sf_dir)))
+    return a.select("episodes", *[r(c, 4).alias(c) for c in trajectory.CHANGES])
+
+
 @query
 def bounds_and_colors(spark, sf_dir):
     f = event_frames(spark, sf_dir)

@@ -177,6 +177,17 @@ _lags = ", ".join(f"lag({p}{c}, {k}) OVER ({W}) AS lag_{p}{c}{k}" for p in ("",
 SQL["smoothing_metrics"] = f"""WITH {EVT}, {_smooth("evt")}, l AS (SELECT *, {_lags} FROM smooth),
 m AS (SELECT episode_index, sqrt(avg(pow(sx - x, 2) + pow(sy - y, 2) + pow(sz - z, 2))) AS change_rms, max(sqrt(pow(sx - x, 2) + pow(sy - y, 2) + pow(sz - z, 2))) AS change_max, {_jerk("", "jerk_before")}, {_jerk("s", "jerk_after")} FROM l GROUP BY 1)
 SELECT episode_index, {_rounded({c: c for c in ("change_rms", "change_max", "jerk_before", "jerk_after")}, 4)} FROM m"""
+_next = ", ".join(f"coalesce(lead({c}) OVER w, {c}) AS n{c}" for c in ("x", "y", "z", "ux", "uy", "uz", "uw", "width"))
+_jerks = ", ".join(f"{p}{c} - 3 * lag({p}{c}, 1) OVER w + 3 * lag({p}{c}, 2) OVER w - lag({p}{c}, 3) OVER w AS j{p}{c}" for p in ("", "n") for c in "xyz")
+_CHANGED = f"""{ARMS}, {UNIT}, nxt AS (SELECT *, {_next} FROM unit WINDOW w AS ({_RW})), jerk AS (SELECT *, {_jerks} FROM nxt WINDOW w AS ({_RW})),
+d AS (SELECT *, sqrt(pow(nx - x, 2) + pow(ny - y, 2) + pow(nz - z, 2)) AS p, degrees(2 * acos(least(abs(ux*nux + uy*nuy + uz*nuz + uw*nuw), 1.0))) AS a, abs(nwidth - width) AS w,
+  jx*jx + jy*jy + jz*jz AS ja, jnx*jnx + jny*jny + jnz*jnz AS jb FROM jerk),
+arm AS (SELECT episode_index, role, sqrt(avg(p*p)) AS position_change_rms, max(p) AS position_change_max, sqrt(avg(a*a)) AS rotation_change_rms, max(a) AS rotation_change_max, max(w) AS gripper_change_max,
+  coalesce(sqrt(avg(ja)), 0) AS jerk_before, coalesce(sqrt(avg(jb)), 0) AS jerk_after FROM d GROUP BY 1, 2)"""
+_CHANGES = ("position_change_rms", "position_change_max", "rotation_change_rms", "rotation_change_max", "gripper_change_max", "jerk_before", "jerk_after")
+SQL["pose_changes"] = f"WITH {_CHANGED} SELECT episode_index, {_rounded({c: f'max({c})' for c in _CHANGES}, 4)} FROM arm GROUP BY 1"
+SQL["pose_changes_rollup"] = f"""WITH {_CHANGED}, e AS (SELECT episode_index, {", ".join(f"max({c}) AS {c}" for c in _CHANGES)} FROM arm GROUP BY 1)
+SELECT count(*) AS episodes, {_rounded({c: f"{'max' if c.endswith('_max') else 'avg'}({c})" for c in _CHANGES}, 4)} FROM e"""
 _hue = "CASE k % 6 WHEN 0 THEN {} WHEN 1 THEN {} WHEN 2 THEN {} WHEN 3 THEN {} WHEN 4 THEN {} ELSE {} END"
 _p, _q, _t = "(1 - 0.72::DOUBLE)", "(1 - 0.72::DOUBLE * f)", "(1 - 0.72::DOUBLE * (1 - f))"
 _rgb = {"red": ("1.0", _q, _p, _p, _t, "1.0"), "green": (_t, "1.0", "1.0", _q, _p, _p), "blue": (_p, _p, _t, "1.0", "1.0", _q)}

@@ -196,6 +196,38 @@ def prefix(arms: list[dict[str, np.ndarray]], frames: int, spacing: float) -> np
     return np.array([*kept, *range(b, n)])
 
 
+CHANGES = ("position_change_rms", "position_change_max", "rotation_change_rms", "rotation_change_max", "gripper_change_max", "jerk_before", "jerk_after")
+
+
+def changes(before: DataFrame, after: DataFrame, by: tuple[str, ...] = ARM) -> DataFrame:
+    """by, and CHANGES: how far poses of the same frames lie apart (degrees for rotations), and their third differences.
+
+    Jerk is 0 for an arm of under four frames. A frame that one side lacks is not compared.
+    """
+    names = (*XYZ, *R6, "gripper")
+    was = g.with_matrix(before.select(*by, "frame_index", *names), R6, "_m")
+    now = g.with_matrix(after.select(*by, "frame_index", *[F.col(c).alias("n_" + c) for c in names]), ["n_" + c for c in R6], "_n")
+    j = was.join(now, [*by, "frame_index"])
+    far = g.norm([F.col("n_" + c) - F.col(c) for c in XYZ])
+    j = j.select(
+        *by, far.alias("p"), g.cosine(g.entries("_m"), g.entries("_n")).alias("r"), F.abs(F.col("n_gripper") - F.col("gripper")).alias("w"),
+        windows.third_difference(XYZ, by).alias("a"), windows.third_difference(["n_" + c for c in XYZ], by).alias("b"),
+    ).withColumn("r", g.angle_of(F.col("r")))
+    rms = lambda c: F.sqrt(F.avg(F.col(c) * F.col(c)))
+    values = (rms("p"), F.max("p"), rms("r"), F.max("r"), F.max("w"), *[F.coalesce(F.sqrt(F.avg(c)), F.lit(0.0)) for c in "ab"])
+    return j.groupBy(*by).agg(*[v.alias(n) for v, n in zip(values, CHANGES, strict=True)])
+
+
+def worst_arm(changed: DataFrame) -> DataFrame:
+    """episode_index and CHANGES: the largest of an episode's arms."""
+    return changed.groupBy("episode_index").agg(*[F.max(c).alias(c) for c in CHANGES])
+
+
+def changes_of_all(episodes: DataFrame) -> DataFrame:
+    """One row: means of what is a root mean square, the largest of what is a maximum."""
+    return episodes.agg(F.count(F.lit(1)).alias("episodes"), *[(F.max if c.endswith("_max") else F.avg)(c).alias(c) for c in CHANGES])
+
+
 def rotation_check(poses: DataFrame, name: str, most: float = 1e-4) -> DataFrame:
     """Episodes in which a rotation is not orthogonal, or its determinant not 1, by more than `most`."""
     q = validate.rotation_quality(poses, R6, ("episode_index",))
@@ -273,4 +305,4 @@ def wide(frames: DataFrame, roles: tuple[str, ...] = ("right", "left")) -> DataF
     return rows.select(*by, F.concat(*[pick(x, "s") for x in roles]).alias("state"), F.concat(*[pick(x, "a") for x in roles]).alias("action"))
 
 
-__all__ = ["Result", "bounds", "convert", "kept_frames", "limit", "run", "smooth", "steps", "wide"]
+__all__ = ["CHANGES", "Result", "bounds", "changes", "changes_of_all", "worst_arm", "convert", "kept_frames", "limit", "run", "smooth", "steps", "wide"]

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes that a copy holds at once.
 BLOCK = 1 << 20
@@ -173,7 +174,7 @@ def hashed(files: DataFrame, source: str = "source") -> DataFrame:
             out = [_digest(p) if p is not None else None for p in b.column(source).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], names=[*names, "sha256"])
 
-    schema = files.schema.add("sha256", "string")
+    schema = T.StructType([*files.schema.fields, T.StructField("sha256", T.StringType())])
     return _spread(files, source).mapInArrow(run, schema)
 
 
