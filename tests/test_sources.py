@@ -11,7 +11,7 @@ from trackframe.__main__ import main
 from trackframe.plans import inspection, merging
 from trackframe.sources import dataset, files, runtime, statistics, store
 
-VIDEO, SENSOR = "observation.images.mvs_R", "observation.images.touch_S1"
+VIDEO, SENSOR = "observation.images.hand", "observation.images.touch_S1"
 RUNTIME = merging.Runtime("touch_runtime", "runtime_set_id", "observation.images.touch_")
 NAMES = [f"tcp_right_S.{c}" for c in ("x", "y", "z", "qx", "qy", "qz", "qw")]
 
