@@ -138,6 +138,22 @@ def test_step_limit_query_by_brute_force(spark):
             kernels.limit_steps(np.zeros((3, 3)), **({"limit": 1.0, "tolerance": 0.0, "preserve": 1, "max_sweeps": 5, "rotation": False} | bad))
 
 
+def test_step_limit_passes_other_columns_through(spark):
+    """Frames come in order; an episode that cannot be done keeps its NaN, and whole numbers beside nulls stay whole."""
+    rows = [(e, f, 10.0 * (f % 2), None if f == 1 else 2**53 + f) for e in (0, 1) for f in (3, 0, 4, 1, 2)]
+    rows = [(e, f, math.nan if (e, f) == (1, 2) else x, n) for e, f, x, n in rows]
+    frames = spark.createDataFrame(rows, "episode_index long, frame_index long, x double, n long").coalesce(1)
+    got = kernels.limit_episode_steps(frames, 6.0, columns=("x",), strict=False, max_sweeps=50).collect()
+    for e in (0, 1):
+        own = [r for r in got if r["episode_index"] == e]
+        assert [r["frame_index"] for r in own] == [0, 1, 2, 3, 4]
+        assert [r["n"] for r in own] == [2**53, None, *[2**53 + f for f in (2, 3, 4)]]
+        assert all((r["sweeps"] == -1) == bool(e) for r in own)
+    x = [r["x"] for r in got if r["episode_index"] == 0]
+    assert max(abs(a - b) for a, b in zip(x, x[1:])) <= 6.0 + 1e-5 and x[0] == x[4] == 0.0
+    assert [str(r["x"]) for r in got if r["episode_index"] == 1] == ["0.0", "10.0", "nan", "10.0", "0.0"]
+
+
 def thinned(p, turn_deg, context, context_distance, dense, kept_step, position_error, consecutive):
     """Frames that stay, by trying each candidate against the list of those that are kept."""
     n, kept = len(p), list(range(len(p)))

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 
@@ -22,6 +23,10 @@ def angles(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.degrees(2 * np.arccos(np.clip(np.abs((p * q).sum(axis=-1)), 0, 1)))
 
 
+def _lengths(v: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.add.reduce(v * v, axis=-1))
+
+
 def slerp(p: np.ndarray, q: np.ndarray, t: np.ndarray | float) -> np.ndarray:
     d = (p * q).sum(axis=-1, keepdims=True)
     t = np.broadcast_to(np.asarray(t, float).reshape(-1, 1) if np.ndim(t) else np.full((1, 1), t), d.shape)
@@ -49,20 +54,21 @@ def limit_steps(values: np.ndarray, limit: float, tolerance: float, preserve: in
     preserve = min(preserve, n // 2)
     free = np.ones(n, bool)
     free[:preserve] = free[n - preserve :] = False
-    measure = (lambda a, b: angles(a, b)) if rotation else (lambda a, b: np.linalg.norm(b - a, axis=-1))
+    measure = (lambda a, b: angles(a, b)) if rotation else (lambda a, b: _lengths(b - a))
     enough = limit + max(tolerance, 1e-7 if rotation else 1e-9)
     for sweep in range(1, max_sweeps + 1):
         for parity in (0, 1):
-            i = np.arange(parity, n - 1, 2)
-            d = measure(v[i], v[i + 1])
-            i, d = i[d > limit], d[d > limit]
-            if not len(i):
+            d = measure(v[parity : n - 1 : 2], v[parity + 1 :: 2])
+            far = np.flatnonzero(d > limit)
+            if not len(far):
                 continue
+            i, d = 2 * far + parity, d[far]
             left, right = free[i], free[i + 1]
-            stuck = ~left & ~right
-            if (stuck & (d > enough)).any():
-                raise ValueError("two fixed frames are further apart than the limit")
-            i, d, left, right = i[~stuck], d[~stuck], left[~stuck], right[~stuck]
+            stuck = ~(left | right)
+            if stuck.any():
+                if (d[stuck] > enough).any():
+                    raise ValueError("two fixed frames are further apart than the limit")
+                i, d, left, right = i[~stuck], d[~stuck], left[~stuck], right[~stuck]
             share = np.where(left & right, 0.5, np.where(left, 1.0, 0.0))
             excess = (d - limit) / d
             a, b = v[i], v[i + 1]
@@ -78,20 +84,25 @@ def limit_steps(values: np.ndarray, limit: float, tolerance: float, preserve: in
 
 def limit_episode_steps(frames: DataFrame, limit: float, columns: Sequence[str] = ("x", "y", "z"), rotation: bool = False, tolerance: float = 1e-5, preserve: int = 1, max_sweeps: int = 3000, by: Sequence[str] = ("episode_index",), strict: bool = True) -> DataFrame:
     """frames with `columns` moved and `sweeps`; an episode that can't be done is an error, or with strict=False has sweeps -1."""
-    columns = list(columns)
+    columns, schema = list(columns), _with(frames, "sweeps int")
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("frame_index")
+    def run(part: pa.Table) -> pa.Table:
+        at = part["frame_index"].to_numpy()
+        if (at[1:] < at[:-1]).any():  # frames that a window has numbered come in order
+            part = part.take(np.argsort(at, kind="stable"))
+        values, sweeps = np.column_stack([part[c].to_numpy() for c in columns]), -1
         try:
-            moved, sweeps = limit_steps(part[columns].to_numpy(float), limit, tolerance, preserve, max_sweeps, rotation)
+            moved, sweeps = limit_steps(values, limit, tolerance, preserve, max_sweeps, rotation)
         except (ValueError, RuntimeError):
             if strict:
                 raise
-            return part.assign(sweeps=-1)
-        part[columns] = moved
-        return part.assign(sweeps=sweeps)
+        if sweeps >= 0:
+            for k, c in enumerate(columns):
+                i = part.schema.get_field_index(c)
+                part = part.set_column(i, part.schema.field(i), pa.array(moved[:, k]).cast(part.schema.field(i).type))
+        return part.append_column("sweeps", pa.array(np.full(len(part), sweeps, np.int32)))
 
-    return frames.groupBy(*by).applyInPandas(run, _with(frames, "sweeps int"))
+    return frames.groupBy(*by).applyInArrow(run, schema)
 
 
 def project_rotations(m: np.ndarray) -> np.ndarray:
