@@ -154,6 +154,12 @@ def test_step_limit_passes_other_columns_through(spark):
     assert [str(r["x"]) for r in got if r["episode_index"] == 1] == ["0.0", "10.0", "nan", "10.0", "0.0"]
 
 
+def test_running_mean_does_not_drift():
+    solver = catalogue.RunningExtremes()
+    got = [solver.solve(0.1)["force"][0][1] for _ in range(1000)]
+    assert got == [math.fsum([0.1] * n) / n for n in range(1, 1001)]
+
+
 def thinned(p, turn_deg, context, context_distance, dense, kept_step, position_error, consecutive):
     """Frames that stay, by trying each candidate against the list of those that are kept."""
     n, kept = len(p), list(range(len(p)))

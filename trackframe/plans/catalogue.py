@@ -492,11 +492,14 @@ class RunningExtremes:
     """A stand-in for a sensor kit: the frame, the mean and the greatest value so far, as three channels."""
 
     def __init__(self):
-        self.n, self.total, self.most = 0, 0.0, -float("inf")
+        self.n, self.total, self.lost, self.most = 0, 0.0, 0.0, -float("inf")
 
     def solve(self, frame):
-        self.n, self.total, self.most = self.n + 1, self.total + frame, max(self.most, frame)
-        return {"force": [[frame, self.total / self.n, self.most]]}
+        """The sum keeps what its additions round off: a mean that lies halfway between two codes must not slip to a side."""
+        total = self.total + frame
+        self.lost += (self.total - total) + frame if abs(self.total) >= abs(frame) else (frame - total) + self.total
+        self.n, self.total, self.most = self.n + 1, total, max(self.most, frame)
+        return {"force": [[frame, (total + self.lost) / self.n, self.most]]}
 
     def release(self):
         pass
