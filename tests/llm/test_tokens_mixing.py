@@ -223,3 +223,18 @@ def test_repeated_rows_meet_the_target(spark, monkeypatch, chunk):
     assert got == {s: t[2] for s, t in want.items()}
     assert all(abs(got[s] - t[0]) <= 3 * 60 for s, t in want.items())
     assert max(copies.values()) <= 2 and sum(copies.values()) * 60 == got["a"]
+
+
+def test_texts_are_encoded_by_slices():
+    texts = ["ab", None, "", "c" * 9, "de", "f" * 4]
+    got = list(tokens.in_slices(texts, 5))
+    assert got == [["ab", None, ""], ["c" * 9], ["de"], ["f" * 4]]
+    assert list(tokens.in_slices([], 5)) == []
+    encoder = tokens.Encoder(PATH)
+    held, look_up = [], encoder._look_up
+    encoder._look_up = lambda found: held.append(sum(map(len, found))) or look_up(found)
+    many = ["some plain words " * 20_000] * 5
+    whole, most = encoder.encode(many), max(held)
+    held.clear()
+    apart = [x for s in tokens.in_slices(many) for x in encoder.encode(s)]
+    assert all((a == b).all() for a, b in zip(whole, apart, strict=True)) and max(held) < most

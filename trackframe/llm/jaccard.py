@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import simhash
-from .common import Scratch, checkpointed, columns, fresh, map_texts, row_key
+from .common import Scratch, checkpointed, columns, fresh, give_back, map_texts, row_key
 from .components import connected_components
 from .shingles import SEED, hasher
 
@@ -114,6 +114,7 @@ def _marked(docs: DataFrame, keys: DataFrame) -> DataFrame:
             b = b.filter(pa.array((held.value[p >> 6] >> (p & 63) & 1).astype(bool)))
             sets = [np.unique(shingles(t)) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([_sid(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "sid", "shingles"])
+        give_back()
 
     keyed = docs.select(row_key().alias("key"), "text")
     return keyed.select("key", place.alias("p"), "text").mapInArrow(run, "key binary, sid long, shingles binary")
@@ -169,6 +170,8 @@ def _prefixes(docs: DataFrame, common: dict[int, int]) -> DataFrame:
             ps = np.array([p for _, p in sizes])
             cols = [np.concatenate(hs), np.concatenate(parts), np.repeat(sids, ps), np.repeat([n for n, _ in sizes], ps), np.concatenate([np.arange(p) for p in ps])]
             yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in cols], names=["h", "part", "sid", "n", "at"])
+        seen.clear()
+        give_back()
 
     return docs.select("text").mapInArrow(run, "h long, part long, sid long, n long, at long")
 
@@ -222,6 +225,7 @@ def _similar(pairs: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scratc
             a, b = ([np.frombuffer(d, "<u8") for d in x.column(c).to_pylist()] for c in ("a", "b"))
             ok = [(NUM + DEN) * len(np.intersect1d(i, j, assume_unique=True)) >= NUM * (len(i) + len(j)) for i, j in zip(a, b, strict=True)]
             yield x.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
+        give_back()
 
     return scratch.written(both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long"))
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import shared_dir
+from .common import give_back, shared_dir
 
 #: Bits that a rank directory's entry covers.
 BLOCK = 512
@@ -36,8 +36,8 @@ ROW_GROUP = 1 << 20
 #: The pre-tokenizer and added tokens that Encoder's way of cutting texts is made for; other files encode whole texts.
 KNOWN = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 ADDED = ["<|endoftext|>"]
-#: Pieces that a worker remembers.
-CACHE = 600_000
+#: Pieces that a worker remembers, and characters whose pieces it holds at once (a longer text is alone).
+CACHE, AT_ONCE = 600_000, 1 << 20
 
 #: Pieces of a text that are encoded alike alone and in the text: white space stands at their start only, or is all of
 #: them; and a run of letters may end before a mark. A text whose words are parted by single blanks and line breaks is
@@ -255,6 +255,20 @@ class Encoder:
         return counts, numbers
 
 
+def in_slices(texts: list[str | None], most: int = AT_ONCE) -> Iterator[list[str | None]]:
+    """The texts in order, by lists of so many characters at most, or of one text."""
+    held: list[str | None] = []
+    size = 0
+    for t in texts:
+        if held and size + len(t or "") > most:
+            yield held
+            held, size = [], 0
+        held.append(t)
+        size += len(t or "")
+    if held:
+        yield held
+
+
 def _encoder(path: str) -> Encoder:
     """One encoder a worker process, which runs many tasks."""
     kept = sys.modules[__name__].__dict__.setdefault("_kept", {})
@@ -275,6 +289,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, se
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         encoder, part, seq, first = _encoder(tokenizer), TaskContext.get().partitionId(), 0, 0
         ids: list[np.ndarray] = []
         doc_ids: list = []
@@ -289,7 +304,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, se
             return pa.RecordBatch.from_pylist([row], schema=arrow)
 
         for b in batches:
-            for d, x in zip(b.column("doc_id").to_pylist(), encoder.encode(b.column("text").to_pylist()), strict=True):
+            encoded = chain.from_iterable(map(encoder.encode, in_slices(b.column("text").to_pylist())))
+            for d, x in zip(b.column("doc_id").to_pylist(), encoded, strict=True):
                 doc_ids.append(d)
                 ids.append(np.concatenate([x, end]))
                 held += len(ids[-1])
@@ -299,6 +315,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, se
                     seq, ids, doc_ids = seq + 1, [], []
         if ids:
             yield segment_row()
+        give_back()
 
     schema = T.StructType.fromDDL(SEGMENTS)
     from pyspark.sql.pandas.types import to_arrow_schema
